@@ -155,3 +155,109 @@ CONTAINS_UNRANKED = EdgeMap(
 SHOP: GraphSpec = spec_labels([USER, ORDER, PLACED, CONTAINS])
 ALL_LABELS: GraphSpec = spec_labels([USER, CUSTOMER, ORDER, PLACED, CONTAINS, CONTAINS_UNRANKED])
 
+
+
+def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as raw change records: finished ones inserted, open ones updated, pending ones deleted.
+
+    The date is an epoch day, and the old image has the old (half) price.
+    """
+    rows = table(spark, sf_dir, "orders")
+
+    def image(price: Column) -> Column:
+        return F.struct(
+            "o_orderkey", "o_custkey", price.alias("o_totalprice"),
+            F.unix_date(F.col("o_orderdate").cast("date")).alias("o_orderdate"), "o_orderpriority",
+        )
+
+    op = F.when(F.col("o_orderstatus") == "F", "c").when(F.col("o_orderstatus") == "O", "u").otherwise("d")
+    at = epoch_seconds(F.col("o_orderdate"))
+    return rows.select(
+        F.lit("srv.shop.orders.Envelope").alias("schema_name"),
+        op.alias("op"),
+        F.struct("o_orderkey").alias("key"),
+        F.when(op != "c", image(F.col("o_totalprice") / 2)).alias("before"),
+        F.when(op != "d", image(F.col("o_totalprice"))).alias("after"),
+        F.struct(at.alias("ts_sec"), F.lit("bin.000001").alias("file"), F.col("o_orderkey").alias("pos"),
+                 F.lit(0).alias("row")).alias("source_offset"),
+    )
+
+
+def raw_moves(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders handed over: each one was placed by its customer's neighbour before."""
+    rows = table(spark, sf_dir, "orders")
+
+    def image(customer: Column) -> Column:
+        return F.struct("o_orderkey", customer.alias("o_custkey"), "o_totalprice")
+
+    at = epoch_seconds(F.col("o_orderdate"))
+    open_order = F.col("o_orderstatus") == "O"
+    return rows.select(
+        F.lit("srv.shop.orders.Envelope").alias("schema_name"),
+        F.lit("u").alias("op"),
+        F.struct("o_orderkey").alias("key"),
+        # Only open orders change hands.
+        image(F.when(open_order, F.col("o_custkey") + 1).otherwise(F.col("o_custkey"))).alias("before"),
+        image(F.col("o_custkey")).alias("after"),
+        F.struct(at.alias("ts_sec"), F.lit("").alias("file"), F.col("o_orderkey").alias("pos"),
+                 F.lit(0).alias("row")).alias("source_offset"),
+    )
+
+
+# -- well-known binary, built from numeric columns -----------------------------
+
+
+def _double_hex(value: Column, *, little: bool) -> Column:
+    """The 8 bytes of a double (zero or normal) as hex."""
+    size = F.abs(value)
+    guess = F.floor(F.log2(size)).cast("int")
+    # log2 may round up to the next whole number just below a power of two.
+    power = F.when(F.pow(F.lit(2.0), guess.cast("double")) > size, guess - 1).otherwise(guess)
+    mantissa = (size * F.pow(F.lit(2.0), (F.lit(52) - power).cast("double"))).cast("bigint")
+    bits = F.shiftleft((power + 1023).cast("bigint"), 52).bitwiseOR(mantissa.bitwiseAND(F.lit((1 << 52) - 1)))
+    digits = F.lpad(F.hex(F.when(value == 0, F.lit(0).cast("bigint")).otherwise(bits)), 16, "0")
+    # The sign is the top bit of the first byte.
+    first = F.conv(F.substring(digits, 1, 2), 16, 10).cast("int") + F.when(value < 0, 128).otherwise(0)
+    digits = F.concat(F.lpad(F.hex(first), 2, "0"), F.substring(digits, 3, 14))
+    if not little:
+        return digits
+    return F.concat(*[F.substring(digits, 2 * i + 1, 2) for i in reversed(range(8))])
+
+
+def _uint_hex(value: int, *, little: bool) -> Column:
+    return F.lit(value.to_bytes(4, "little" if little else "big").hex())
+
+
+def _coords(points: list[tuple[Column, Column]], *, little: bool) -> list[Column]:
+    return [_double_hex(o.cast("double"), little=little) for p in points for o in p]
+
+
+def customer_shapes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A geometry per customer, its kind chosen by the market segment.
+
+    Columns ``c_custkey``, ``shape`` (well-known binary).  One segment has
+    multi-points, a kind that is refused; one has big-endian points with a
+    reference id.
+    """
+    rows = table(spark, sf_dir, "customer")
+    x, y, zero = F.col("c_acctbal"), -F.col("c_nationkey"), F.lit(0)
+
+    def wkb(kind: int, *body: Column, little: bool = True) -> Column:
+        order = F.lit("01" if little else "00")
+        return F.unhex(F.concat(order, _uint_hex(kind, little=little), *body))
+
+    def count(n: int) -> Column:
+        return _uint_hex(n, little=True)
+
+    point = wkb(1, *_coords([(x, y)], little=True))
+    line = wkb(2, count(3), *_coords([(x, y), (y, x), (zero, x)], little=True))
+    ring = [(zero, zero), (x, zero), (x, y), (zero, zero)]
+    polygon = wkb(3, count(2), count(4), *_coords(ring, little=True), count(4), *_coords(ring[::-1], little=True))
+    points = wkb(4, count(1), F.lit("01"), count(1), *_coords([(x, y)], little=True))
+    tagged = wkb(0x20000001, _uint_hex(4326, little=False), *_coords([(y, x)], little=False), little=False)
+    segment = F.col("c_mktsegment")
+    shape = (
+        F.when(segment == "BUILDING", point).when(segment == "MACHINERY", line)
+        .when(segment == "FURNITURE", polygon).when(segment == "HOUSEHOLD", points).otherwise(tagged)
+    )
+    return rows.select("c_custkey", shape.alias("shape"))

@@ -1,0 +1,36 @@
+"""Run every registered query against its reference SQL: python tests/check_queries.py [sf_dir] [name ...]"""
+
+import sys
+import time
+import traceback
+from pathlib import Path
+
+sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
+
+from __spark_entry__ import oracle_sql, queries  # noqa: E402
+from graphtide.session import local_session  # noqa: E402
+from tests.compare import compare, connect  # noqa: E402
+
+
+def main() -> int:
+    sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
+    spark, con = local_session(), connect(sf_dir)
+    bad = 0
+    for name, run in queries().items():
+        if len(sys.argv) > 2 and name not in sys.argv[2:]:
+            continue
+        start = time.time()
+        try:
+            df = run(spark, sf_dir)
+            sql = oracle_sql().get(name)
+            found = compare(df, con, sql) if sql else f"no SQL; {df.count()} rows"
+            verdict = "ok" if found is None else found
+            bad += bool(sql and found)
+        except Exception:
+            verdict, bad = "error " + traceback.format_exc()[-1500:], bad + 1
+        print(f"{name:24s} {time.time() - start:6.2f}s {verdict[:1800]}", flush=True)
+    return bad
+
+
+if __name__ == "__main__":
+    sys.exit(main())
