@@ -11,6 +11,8 @@ from collections.abc import Callable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from graphtide.functions.render import let
+
 # Geometry codes of the well-known-binary format.
 POINT, LINESTRING, POLYGON = 1, 2, 3
 KIND_NAMES = {
@@ -29,11 +31,6 @@ Z_FLAG, M_FLAG, SRID_FLAG = 0x80000000, 0x40000000, 0x20000000
 PLAIN_DECIMAL = "0." + "#" * 340
 
 
-def _let(value: Column, use: Callable[[Column], Column]) -> Column:
-    """Evaluate ``value`` once per row and hand it to ``use``, however often that mentions it."""
-    return F.transform(F.array(value), use)[0]
-
-
 def _hex_at(wkb: Column, start: Column, size: int) -> Column:
     """Big-endian hex of ``size`` bytes at 1-based ``start``, whatever the byte order."""
 
@@ -41,7 +38,7 @@ def _hex_at(wkb: Column, start: Column, size: int) -> Column:
         pairs = [F.substring(raw, 2 * i + 1, 2) for i in reversed(range(size))]
         return F.when(_little_endian(wkb), F.concat(*pairs)).otherwise(raw)
 
-    return _let(F.hex(F.substring(wkb, start, F.lit(size))), ordered)
+    return let(F.hex(F.substring(wkb, start, F.lit(size))), ordered)
 
 
 def _little_endian(wkb: Column) -> Column:
@@ -66,7 +63,7 @@ def _double_at(wkb: Column, start: Column) -> Column:
         )
         return F.when(bits < 0, -magnitude).otherwise(magnitude)
 
-    return _let(F.conv(_hex_at(wkb, start, 8), 16, -10).cast("bigint"), value)
+    return let(F.conv(_hex_at(wkb, start, 8), 16, -10).cast("bigint"), value)
 
 
 def _type_word(wkb: Column) -> Column:
@@ -84,24 +81,16 @@ def _code(word: Column) -> Column:
 
 def wkb_kind(wkb: Column) -> Column:
     """Kind name of a geometry (``Point``, ``MultiPolygon``, ...), null when unreadable."""
-    kinds = F.create_map(*[F.lit(x) for pair in KIND_NAMES.items() for x in pair])
-    readable = (F.length(wkb) >= 5) & F.substring(wkb, 1, 1).isin(b"\x00", b"\x01")
-    return F.when(readable, F.try_element_at(kinds, (_code(_type_word(wkb)) % 1000).cast("int")))
+    return let(wkb, _kind)
 
 
-def _with_layout(wkb: Column, use: Callable[[Column, Column], Column]) -> Column:
-    """Call ``use(body, stride)``: 1-based offset of the body, bytes per coordinate."""
+def _kind(wkb: Column) -> Column:
+    kinds = F.create_map(*[F.lit(x) for pair in KIND_NAMES.items() for x in pair])
+    return F.when(_readable(wkb), F.try_element_at(kinds, (_code(_type_word(wkb)) % 1000).cast("int")))
 
-    def layout(word: Column) -> Column:
-        dims = F.floor(_code(word) / 1000)
-        has_z = (_flag(word, Z_FLAG) | dims.isin(1, 3)).cast("bigint")
-        has_m = (_flag(word, M_FLAG) | dims.isin(2, 3)).cast("bigint")
-        return F.struct(
-            (F.lit(6).cast("bigint") + _flag(word, SRID_FLAG).cast("bigint") * 4).alias("body"),
-            (F.lit(16).cast("bigint") + (has_z + has_m) * 8).alias("stride"),
-        )
 
-    return _let(_let(_type_word(wkb), layout), lambda x: use(x.getField("body"), x.getField("stride")))
+def _readable(wkb: Column) -> Column:
+    return (F.length(wkb) >= 5) & F.substring(wkb, 1, 1).isin(b"\x00", b"\x01")
 
 
 def _plain(ordinate: Column) -> Column:
@@ -113,7 +102,7 @@ def _plain(ordinate: Column) -> Column:
             F.when(F.endswith(s, F.lit(".0")), F.substring(s, F.lit(1), F.length(s) - 2)).otherwise(s)
         )
 
-    return _let(ordinate.cast("string"), text)
+    return let(ordinate.cast("string"), text)
 
 
 def _pair(wkb: Column, start: Column) -> Column:
@@ -131,99 +120,97 @@ def _pairs(wkb: Column, first: Column, count: Column, stride: Column) -> Column:
     return F.transform(_indices(count), lambda i: _pair(wkb, (first + i * stride).cast("int")))
 
 
-def _coordinates(points: Column) -> Column:
-    return F.concat(F.lit("("), F.array_join(points, ", "), F.lit(")"))
+def _header(wkb: Column) -> Column:
+    """(kind, 1-based offset of the body, bytes per coordinate)."""
 
+    def header(word: Column) -> Column:
+        dims = F.floor(_code(word) / 1000)
+        has_z = (_flag(word, Z_FLAG) | dims.isin(1, 3)).cast("bigint")
+        has_m = (_flag(word, M_FLAG) | dims.isin(2, 3)).cast("bigint")
+        return F.struct(
+            (_code(word) % 1000).alias("kind"),
+            (F.lit(6).cast("bigint") + _flag(word, SRID_FLAG).cast("bigint") * 4).alias("body"),
+            (F.lit(16).cast("bigint") + (has_z + has_m) * 8).alias("stride"),
+        )
 
-def _fits(wkb: Column, first: Column, count: Column, stride: Column) -> Column:
-    """Do ``count`` coordinates from ``first`` on lie inside the value?"""
-    return first + count * stride - 1 <= F.length(wkb)
+    return F.when(_readable(wkb), let(_type_word(wkb), header))
 
 
-def _point_text(wkb: Column) -> Column:
-    def text(body: Column, stride: Column) -> Column:
-        at = body.cast("int")
-        # A point without position is stored with ordinates that are not numbers.
-        point = _let(
-            _pair(wkb, at),
-            lambda pair: F.when(F.startswith(pair, F.lit("NaN")), F.lit("POINT EMPTY")).otherwise(
-                F.concat(F.lit("POINT ("), pair, F.lit(")"))
-            ),
-        )
-        return F.when(_fits(wkb, body, F.lit(1).cast("bigint"), stride), point)
+def _run(at: Column, count: Column) -> Column:
+    return F.struct(at.cast("bigint").alias("at"), count.cast("bigint").alias("count"))
 
-    return _with_layout(wkb, text)
 
+def _fits(wkb: Column, run: Column, stride: Column) -> Column:
+    """Does a run of coordinates lie inside the value?"""
+    return run.getField("at") + run.getField("count") * stride - 1 <= F.length(wkb)
 
-def _linestring_text(wkb: Column) -> Column:
-    def text(body: Column, stride: Column) -> Column:
-        def line(count: Column) -> Column:
-            points = _coordinates(_pairs(wkb, body + 4, count, stride))
-            return F.when(
-                _fits(wkb, body + 4, count, stride) & (count != 1),
-                F.when(count == 0, F.lit("LINESTRING EMPTY")).otherwise(
-                    F.concat(F.lit("LINESTRING "), points)
-                ),
-            )
 
-        return F.when(body + 3 <= F.length(wkb), _let(_uint_at(wkb, body.cast("int")), line))
+def _counted_run(wkb: Column, at: Column) -> Column:
+    """Run of coordinates whose number stands before it, null when cut short."""
+    return F.when(at + 3 <= F.length(wkb), _run(at + 4, _uint_at(wkb, at.cast("int"))))
 
-    return _with_layout(wkb, text)
 
+def _rings(wkb: Column, body: Column, stride: Column) -> Column:
+    """Runs of a polygon, walked once: each ring starts where the one before ended.
 
-def _polygon_text(wkb: Column) -> Column:
-    """Walk the rings once: each one starts where the one before ended."""
+    Null when a ring is cut short.
+    """
+    start = F.struct(
+        (body + 4).alias("at"), F.array().cast("array<struct<at: bigint, count: bigint>>").alias("runs"),
+        F.lit(True).alias("ok"),
+    )
+
+    def step(acc: Column, _: Column) -> Column:
+        def onward(run: Column) -> Column:
+            inside = F.coalesce(acc.getField("ok") & _fits(wkb, run, stride), F.lit(False))
+            end = run.getField("at") + run.getField("count") * stride
+            return F.struct(
+                F.when(inside, end).otherwise(acc.getField("at")).alias("at"),
+                F.when(inside, F.array_append(acc.getField("runs"), run))
+                .otherwise(acc.getField("runs")).alias("runs"),
+                inside.alias("ok"),
+            )
+
+        return let(_counted_run(wkb, acc.getField("at")), onward)
 
-    def text(body: Column, stride: Column) -> Column:
-        start = F.struct(
-            (body + 4).alias("at"),
-            F.array().cast("array<string>").alias("rings"),
-            F.lit(True).alias("ok"),
+    def walk(outer: Column) -> Column:
+        # A ring takes at least four bytes, so a longer list cannot be inside the value.
+        number = outer.getField("count")
+        walked = F.aggregate(_indices(number), start, step)
+        return F.when(
+            number * 4 <= F.length(wkb),
+            let(walked, lambda w: F.when(w.getField("ok"), w.getField("runs"))),
         )
 
-        def ring(at: Column, count: Column) -> Column:
-            """(text, next offset), or null when the ring is cut short or open."""
-
-            def closed(points: Column) -> Column:
-                good = (count == 0) | (F.try_element_at(points, F.lit(1)) == F.try_element_at(points, F.lit(-1)))
-                shape = F.when(count == 0, F.lit("EMPTY")).otherwise(_coordinates(points))
-                return F.when(good, F.struct(shape.alias("text"), (at + 4 + count * stride).alias("next")))
-
-            inside = _fits(wkb, at + 4, count, stride) & ((count == 0) | (count >= 4))
-            return F.when(inside, _let(_pairs(wkb, at + 4, count, stride), closed))
-
-        def step(acc: Column, _: Column) -> Column:
-            at = acc.getField("at")
-            readable = acc.getField("ok") & (at + 3 <= F.length(wkb))
-            found = F.when(readable, _let(_uint_at(wkb, at.cast("int")), lambda n: ring(at, n)))
-            return _let(
-                found,
-                lambda r: F.struct(
-                    F.coalesce(r.getField("next"), at).alias("at"),
-                    F.when(
-                        r.isNotNull(), F.concat(acc.getField("rings"), F.array(r.getField("text")))
-                    ).otherwise(acc.getField("rings")).alias("rings"),
-                    r.isNotNull().alias("ok"),
-                ),
-            )
+    return let(_counted_run(wkb, body), walk)
 
-        def walk(rings: Column) -> Column:
-            # A ring takes at least four bytes, so a longer list cannot be inside the value.
-            walked = F.aggregate(_indices(rings), start, step)
-            shape = _let(
-                walked,
-                lambda w: F.when(
-                    w.getField("ok"), F.concat(F.lit("POLYGON "), _coordinates(w.getField("rings")))
-                ),
-            )
-            return F.when(
-                rings * 4 <= F.length(wkb),
-                F.when(rings == 0, F.lit("POLYGON EMPTY")).otherwise(shape),
-            )
 
-        return F.when(body + 3 <= F.length(wkb), _let(_uint_at(wkb, body.cast("int")), walk))
+def _coordinates(points: Column) -> Column:
+    return F.concat(F.lit("("), F.array_join(points, ", "), F.lit(")"))
+
 
-    return _with_layout(wkb, text)
+def _closed(points: Column) -> Column:
+    """Is a ring empty, or does it end where it began?"""
+    ends_meet = F.try_element_at(points, F.lit(1)) == F.try_element_at(points, F.lit(-1))
+    return (F.size(points) == 0) | ((F.size(points) >= 4) & ends_meet)
+
+
+def _shape(kind: Column, parts: Column) -> Column:
+    """Text of a geometry from the coordinate texts of its runs; null when they make none."""
+    first = parts[0]
+    size = F.size(first)
+    # A point without position is stored with ordinates that are not numbers.
+    point = F.when(F.startswith(first[0], F.lit("NaN")), F.lit("POINT EMPTY")).otherwise(
+        F.concat(F.lit("POINT "), _coordinates(first))
+    )
+    line = F.when(size == 0, F.lit("LINESTRING EMPTY")).when(
+        size >= 2, F.concat(F.lit("LINESTRING "), _coordinates(first))
+    )
+    rings = F.transform(parts, lambda r: F.when(F.size(r) == 0, F.lit("EMPTY")).otherwise(_coordinates(r)))
+    polygon = F.when(F.size(parts) == 0, F.lit("POLYGON EMPTY")).when(
+        F.forall(parts, _closed), F.concat(F.lit("POLYGON "), _coordinates(rings))
+    )
+    return F.when(kind == POINT, point).when(kind == LINESTRING, line).when(kind == POLYGON, polygon)
 
 
 def wkb_text(wkb: Column) -> Column:
@@ -232,9 +219,20 @@ def wkb_text(wkb: Column) -> Column:
     Null for every other kind and for bytes that hold no valid geometry of
     these kinds (truncated, open ring, one-point line).
     """
-    kind = wkb_kind(wkb)
-    return (
-        F.when(kind == KIND_NAMES[POINT], _point_text(wkb))
-        .when(kind == KIND_NAMES[LINESTRING], _linestring_text(wkb))
-        .when(kind == KIND_NAMES[POLYGON], _polygon_text(wkb))
-    )
+
+    def with_header(b: Column, h: Column) -> Column:
+        kind, body, stride = h.getField("kind"), h.getField("body"), h.getField("stride")
+        runs = (
+            F.when(kind == POINT, F.array(_run(body, F.lit(1))))
+            .when(kind == LINESTRING, F.array(_counted_run(b, body)))
+            .when(kind == POLYGON, _rings(b, body, stride))
+        )
+
+        def print_runs(found: Column) -> Column:
+            inside = F.forall(found, lambda r: F.coalesce(_fits(b, r, stride), F.lit(False)))
+            printed = F.transform(found, lambda r: _pairs(b, r.getField("at"), r.getField("count"), stride))
+            return F.when(inside, let(printed, lambda p: _shape(kind, p)))
+
+        return let(runs, print_runs)
+
+    return let(wkb, lambda b: let(_header(b), lambda h: with_header(b, h)))

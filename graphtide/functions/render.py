@@ -6,12 +6,23 @@ it stays inside the JVM, and it never looks at the session or JVM time zone.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 SECONDS_PER_DAY = 86_400
 
 
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """Evaluate ``value`` once per row and hand it to ``use``, however often that mentions it.
+
+    It also keeps plans small: an expression that is substituted for a column
+    (a pushed filter, a merged projection) appears once instead of everywhere.
+    """
+    return F.transform(F.array(value), use)[0]
+
+
 def floor_div(value: Column, divisor: int) -> Column:
     """Exact floor division of an integer column, also below zero."""
     value = value.cast("bigint")
@@ -22,13 +33,19 @@ def floor_div(value: Column, divisor: int) -> Column:
 def signed_bytes(value: Column) -> Column:
     """Binary as text of signed bytes, e.g. ``[1, -1, -128]``."""
 
-    def signed(i: Column) -> Column:
-        unsigned = F.conv(F.hex(F.substring(value, i, F.lit(1))), 16, 10).cast("int")
-        return F.when(unsigned > 127, unsigned - 256).otherwise(unsigned).cast("string")
+    def signed(digits: Column) -> Column:
+        # Shift, wrap and shift back: 255 -> -1 with the number mentioned once.
+        return ((F.conv(digits, 16, 10).cast("int") + 128) % 256 - 128).cast("string")
+
+    def text(bytes_: Column) -> Column:
+        pairs = F.transform(
+            F.sequence(F.lit(1), F.length(bytes_)),
+            lambda i: signed(F.hex(F.substring(bytes_, i, F.lit(1)))),
+        )
+        listed = F.concat(F.lit("["), F.array_join(pairs, ", "), F.lit("]"))
+        return F.when(F.length(bytes_) == 0, F.lit("[]")).otherwise(listed)
 
-    items = F.transform(F.sequence(F.lit(1), F.length(value)), signed)
-    text = F.concat(F.lit("["), F.array_join(items, ", "), F.lit("]"))
-    return F.when(F.length(value) == 0, F.lit("[]")).otherwise(text)
+    return let(value, text)
 
 
 def iso_date(epoch_days: Column) -> Column:

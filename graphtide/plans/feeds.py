@@ -12,7 +12,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from graphtide.functions.render import iso_timestamp_ntz
+from graphtide.functions.render import iso_timestamp_ntz, let
 from graphtide.plans.spec import EdgeMap, GraphSpec, KeyRef, Prop, VertexMap, spec_labels
 from graphtide.sources.envelopes import encode_envelopes, seq_of
 
@@ -209,19 +209,26 @@ def raw_moves(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _double_hex(value: Column, *, little: bool) -> Column:
     """The 8 bytes of a double (zero or normal) as hex."""
-    size = F.abs(value)
-    guess = F.floor(F.log2(size)).cast("int")
-    # log2 may round up to the next whole number just below a power of two.
-    power = F.when(F.pow(F.lit(2.0), guess.cast("double")) > size, guess - 1).otherwise(guess)
-    mantissa = (size * F.pow(F.lit(2.0), (F.lit(52) - power).cast("double"))).cast("bigint")
-    bits = F.shiftleft((power + 1023).cast("bigint"), 52).bitwiseOR(mantissa.bitwiseAND(F.lit((1 << 52) - 1)))
-    digits = F.lpad(F.hex(F.when(value == 0, F.lit(0).cast("bigint")).otherwise(bits)), 16, "0")
-    # The sign is the top bit of the first byte.
-    first = F.conv(F.substring(digits, 1, 2), 16, 10).cast("int") + F.when(value < 0, 128).otherwise(0)
-    digits = F.concat(F.lpad(F.hex(first), 2, "0"), F.substring(digits, 3, 14))
-    if not little:
-        return digits
-    return F.concat(*[F.substring(digits, 2 * i + 1, 2) for i in reversed(range(8))])
+
+    def power(size: Column) -> Column:
+        guess = F.floor(F.log2(size)).cast("int")
+        # log2 may round up to the next whole number just below a power of two.
+        return F.when(F.pow(F.lit(2.0), guess.cast("double")) > size, guess - 1).otherwise(guess)
+
+    def bits(size: Column, e: Column) -> Column:
+        mantissa = (size * F.pow(F.lit(2.0), (F.lit(52) - e).cast("double"))).cast("bigint")
+        return F.shiftleft((e + 1023).cast("bigint"), 52).bitwiseOR(mantissa.bitwiseAND(F.lit((1 << 52) - 1)))
+
+    def signed(v: Column) -> Column:
+        size = F.abs(v)
+        plain = F.when(v == 0, F.lit(0).cast("bigint")).otherwise(let(power(size), lambda e: bits(size, e)))
+        # The sign is the top bit.
+        return F.lpad(F.hex(F.when(v < 0, plain.bitwiseOR(F.lit(-(1 << 63)))).otherwise(plain)), 16, "0")
+
+    def ordered(digits: Column) -> Column:
+        return F.concat(*[F.substring(digits, 2 * i + 1, 2) for i in reversed(range(8))]) if little else digits
+
+    return let(value, lambda v: let(signed(v), ordered))
 
 
 def _uint_hex(value: int, *, little: bool) -> Column:

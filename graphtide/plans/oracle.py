@@ -168,11 +168,10 @@ ORACLE: dict[str, str] = {
         p_partkey AS int64, CAST(CAST(p_retailprice AS FLOAT) AS DOUBLE) AS float32, p_retailprice AS float64,
         p_size > 25 AS large, CAST(CAST(p_retailprice AS DECIMAL(12, 2)) AS VARCHAR) AS exact, p_name AS name
         FROM part""",
-    "render_bytes": """WITH bytes AS (SELECT doc_id, hex(encode(text)) AS h FROM documents),
-        listed AS (SELECT doc_id, '[' || array_to_string(list_transform(range(0, length(h) // 2), lambda i:
-            CASE WHEN CAST('0x' || substr(h, 2 * i + 1, 2) AS INTEGER) > 127
-                 THEN CAST('0x' || substr(h, 2 * i + 1, 2) AS INTEGER) - 256
-                 ELSE CAST('0x' || substr(h, 2 * i + 1, 2) AS INTEGER) END), ', ') || ']' AS t FROM bytes)
+    "render_bytes": """WITH listed AS (SELECT doc_id, '[' || array_to_string(list_transform(
+            regexp_extract_all(hex(encode(text)), '..'),
+            lambda h: CASE WHEN h >= '80' THEN CAST('0x' || h AS INTEGER) - 256 ELSE CAST('0x' || h AS INTEGER) END
+        ), ', ') || ']' AS t FROM documents)
         SELECT doc_id, md5(t) AS digest, CAST(length(t) AS INTEGER) AS chars FROM listed""",
     "render_dates": """SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%d') AS placed_on,
         strftime(CAST(o_orderdate AS DATE) - 20000, '%Y-%m-%d') AS long_ago FROM orders""",
@@ -192,6 +191,8 @@ ORACLE: dict[str, str] = {
         WHEN 'MACHINERY' THEN 'LINESTRING (' || {_points((_X, _Y), (_Y, _X), (_O, _X))} || ')'
         WHEN 'FURNITURE' THEN 'POLYGON ((' || {_points(*_RING)} || '), (' || {_points(*_RING[::-1])} || '))'
         WHEN 'HOUSEHOLD' THEN NULL ELSE 'POINT (' || {_points((_Y, _X))} || ')' END AS shape FROM customer""",
+    "geometry_refused": """SELECT c_custkey, 'MultiPoint' AS geometry_kind FROM customer
+        WHERE c_mktsegment = 'HOUSEHOLD'""",
     "geometry_kinds": """SELECT CASE c_mktsegment WHEN 'MACHINERY' THEN 'LineString' WHEN 'FURNITURE' THEN 'Polygon'
         WHEN 'HOUSEHOLD' THEN 'MultiPoint' ELSE 'Point' END AS kind, count(*) AS shapes FROM customer GROUP BY 1""",
     "null_absent": """SELECT o_orderkey AS _vid,
