@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from graphtide.operators.route import route_table
 from graphtide.plans.spec import OP, RANK, SEQ, EdgeMap, Label, VertexMap, quoted
+from graphtide.sources.envelopes import decode_envelopes
 
 
 def project_slots(changes: DataFrame, label: Label) -> DataFrame:
@@ -75,6 +76,15 @@ def label_changes(feed: DataFrame, label: Label) -> DataFrame:
     return map_columns(project_slots(route_table(feed, label), label), label)
 
 
+def decode_label(feed: DataFrame, label: Label, col: str = "value") -> DataFrame:
+    """Envelope text -> change rows of one label, parsing each record once.
+
+    For a feed of the label's table alone (a topic per table); records of other
+    tables are skipped, at the price of parsing them.
+    """
+    return label_changes(decode_envelopes(feed, col, data_ddl=label.data_ddl), label)
+
+
 def change_ddl(label: Label) -> str:
     """Schema of a label's change rows, without the operation and the order."""
     keys = [f"{n} {'bigint' if n == RANK else ref.type}" for n, ref in label.keys.items()]

@@ -23,6 +23,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def source_rows(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
+    """Rows of a table that become changes, dealt out to all cores."""
+    return spread(table(spark, sf_dir, name).select(*columns))
+
+
 def epoch_seconds(wall_clock: Column) -> Column:
     """Whole seconds since 1970 of a timestamp without zone."""
     days = F.unix_date(wall_clock.cast("date")).cast("bigint")
@@ -51,7 +56,7 @@ def _envelope(rows: DataFrame, name: str, op: Column, data: list[Column], key: l
 
 def users(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``shop.users``: each event is a change of its user's row."""
-    events = table(spark, sf_dir, "events")
+    events = source_rows(spark, sf_dir, "events", "*")
     kind = F.col("event_type")
     at = epoch_seconds(F.col("ts"))
     return _envelope(
@@ -65,7 +70,7 @@ def users(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def contains(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``shop.contains``: order lines as changes of an order-part edge, ranked by line number."""
-    lines = table(spark, sf_dir, "lineitem")
+    lines = source_rows(spark, sf_dir, "lineitem", "*")
     flag = F.col("l_returnflag")
     at = epoch_seconds(F.col("l_shipdate"))
     return _envelope(
@@ -80,7 +85,7 @@ def contains(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``shop.orders``: every order is inserted once."""
-    rows = table(spark, sf_dir, "orders")
+    rows = source_rows(spark, sf_dir, "orders", "*")
     at = epoch_seconds(F.col("o_orderdate"))
     return _envelope(
         rows, "orders", F.lit("c"),
@@ -92,9 +97,9 @@ def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def customer_tail(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``shop.customer`` after its snapshot: an order sets the balance, a pending one deletes."""
-    rows = table(spark, sf_dir, "orders").join(
-        table(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey")
-    )
+    orders_ = source_rows(spark, sf_dir, "orders", "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice",
+                          "o_orderdate")
+    rows = orders_.join(table(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey"))
     at = epoch_seconds(F.col("o_orderdate"))
     return _envelope(
         rows, "customer",
@@ -105,6 +110,16 @@ def customer_tail(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Deal the rows out to all cores when the input has fewer splits than there are cores.
+
+    A feed arrives in as many parts as its topic or directory has; a small table
+    in one row group would leave all parsing to one task.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def text(feed: DataFrame) -> DataFrame:
     """Envelopes as JSON text, the form they arrive in."""
     return encode_envelopes(feed)
