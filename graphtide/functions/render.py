@@ -122,7 +122,8 @@ def clock_time(value: Column, per_second: int, pattern: str = "HH:mm:ss") -> Col
         hour = F.pmod(hour + 11, F.lit(12).cast("bigint")) + 1
     elif pattern != "HH:mm:ss":
         raise ValueError(f"unknown time pattern {pattern!r}")
-    return F.format_string("%02d:%02d:%02d", hour, minute, second)
+    # format_string prints nulls instead of passing them on.
+    return F.when(value.isNotNull(), F.format_string("%02d:%02d:%02d", hour, minute, second))
 
 
 def _clock_parts(second_of_day: Column) -> tuple[Column, Column, Column]:

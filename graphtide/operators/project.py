@@ -8,27 +8,32 @@ from pyspark.sql import types as T
 
 from graphtide.operators.route import route_table
 from graphtide.plans.spec import OP, RANK, SEQ, EdgeMap, Label, VertexMap, quoted
-from graphtide.sources.envelopes import decode_envelopes
+from graphtide.sources.envelopes import ENVELOPE, decode_envelopes
 
 
 def project_slots(changes: DataFrame, label: Label) -> DataFrame:
     """Row image as typed columns in slot order; a column the image lacks is null.
 
-    ``changes`` are envelopes of the label's table.  The result also has the
-    operation and the ordering column.
+    ``changes`` are envelopes of the label's table, whose row image is a struct
+    ``data``, JSON text ``data``, or still inside the record (``envelope``).
+    The result also has the operation and the ordering column.
     """
     control = [F.col("op").alias(OP), F.col("seq").alias(SEQ)]
-    data = changes.schema["data"].dataType
-    if isinstance(data, T.StructType):
-        types = label.column_types
-        present = {n for n in data.names}
-        slots = [
-            (F.col("data").getField(c) if c in present else F.lit(None)).cast(types[c]).alias(c)
-            for c in label.slots
-        ]
-        return changes.select(*slots, *control)
-    row = F.inline(F.array(F.from_json(F.col("data"), label.data_ddl)))
-    return changes.select(row, *control)
+    if "data" in changes.columns and isinstance(changes.schema["data"].dataType, T.StructType):
+        row = F.col("data")
+        present = set(changes.schema["data"].dataType.names)
+    else:
+        text = F.col("data") if "data" in changes.columns else F.col(ENVELOPE)
+        schema = label.data_ddl if "data" in changes.columns else f"data: struct<{label.data_ddl}>"
+        parsed = F.from_json(text, f"struct<{schema}>")
+        image = parsed if "data" in changes.columns else parsed.getField("data")
+        # As in decode_envelopes, a generator keeps the parser from being copied.
+        changes = changes.select("op", "seq", F.explode(F.array(image)).alias("data"))
+        row, present = F.col("data"), set(label.slots)
+    slots = [
+        (row.getField(c) if c in present else F.lit(None)).cast(label.type_of(c)).alias(c) for c in label.slots
+    ]
+    return changes.select(*slots, *control)
 
 
 def map_columns(slots: DataFrame, label: Label) -> DataFrame:
@@ -87,5 +92,5 @@ def decode_label(feed: DataFrame, label: Label, col: str = "value") -> DataFrame
 
 def change_ddl(label: Label) -> str:
     """Schema of a label's change rows, without the operation and the order."""
-    keys = [f"{n} {'bigint' if n == RANK else ref.type}" for n, ref in label.keys.items()]
-    return ", ".join([*keys, *(f"{quoted(p.name)} {p.type}" for p in label.props)])
+    keys = [f"{n} {'bigint' if n == RANK else label.type_of(ref.column)}" for n, ref in label.keys.items()]
+    return ", ".join([*keys, *(f"{quoted(p.name)} {label.type_of(p.column)}" for p in label.props)])

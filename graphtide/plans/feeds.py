@@ -133,31 +133,31 @@ def mixed_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 USER = VertexMap(
     "user", SPACE, DB, "users",
-    (Prop("last_event", "last_event"), Prop("value", "value", "double"), Prop("props", "props"),
-     Prop("seen_at", "seen_at")),
+    (Prop("last_event", "last_event", "string"), Prop("value", "value", "double"), Prop("props", "props", "string"),
+     Prop("seen_at", "seen_at", "string")),
     id=KeyRef("user_id", "bigint"),
 )
 CUSTOMER = VertexMap(
     "customer", SPACE, DB, "customer",
-    (Prop("name", "c_name"), Prop("nation", "c_nationkey", "int"), Prop("balance", "c_acctbal", "double"),
-     Prop("segment", "c_mktsegment")),
+    (Prop("name", "c_name", "string"), Prop("nation", "c_nationkey", "int"), Prop("balance", "c_acctbal", "double"),
+     Prop("segment", "c_mktsegment", "string")),
     id=KeyRef("c_custkey", "bigint"),
 )
 ORDER = VertexMap(
     "order", SPACE, DB, "orders",
-    (Prop("status", "o_orderstatus"), Prop("total", "o_totalprice", "double"), Prop("placed_on", "o_orderdate"),
-     Prop("priority", "o_orderpriority")),
+    (Prop("status", "o_orderstatus", "string"), Prop("total", "o_totalprice", "double"), Prop("placed_on", "o_orderdate", "string"),
+     Prop("priority", "o_orderpriority", "string")),
     id=KeyRef("o_orderkey", "bigint"),
 )
 PLACED = EdgeMap(
     "placed", SPACE, DB, "orders",
-    (Prop("total", "o_totalprice", "double"), Prop("placed_on", "o_orderdate")),
+    (Prop("total", "o_totalprice", "double"), Prop("placed_on", "o_orderdate", "string")),
     src=KeyRef("o_custkey", "bigint"), dst=KeyRef("o_orderkey", "bigint"),
 )
 _LINE_PROPS = (
     Prop("supplier", "l_suppkey", "bigint"), Prop("quantity", "l_quantity", "double"),
     Prop("price", "l_extendedprice", "double"), Prop("discount", "l_discount", "double"),
-    Prop("tax", "l_tax", "double"), Prop("line_status", "l_linestatus"), Prop("shipped_on", "l_shipdate"),
+    Prop("tax", "l_tax", "double"), Prop("line_status", "l_linestatus", "string"), Prop("shipped_on", "l_shipdate", "string"),
 )
 CONTAINS = EdgeMap(
     "contains", SPACE, DB, "contains", (Prop("line", "l_linenumber", "int"), *_LINE_PROPS),

@@ -112,6 +112,11 @@ def _points(*pairs: tuple[str, str]) -> str:
 
 _RING = [(_O, _O), (_X, _O), (_X, _Y), (_O, _O)]
 
+_USER_TEXT = """('{"op":"' || op || '","ts_sec":' || ts_sec || ',"db":"shop","table":"users","key":["user_id"],'
+    || '"data":{"user_id":' || user_id || ',"last_event":"' || last_event || '","value":' || CAST(value AS VARCHAR)
+    || ',"props":"' || replace(props, '"', '\\"') || '","seen_at":"' || seen_at || '"},"parse_time":' || (ts_sec + 1)
+    || ',"seq":{"ts_sec":' || ts_sec || ',"file":"","pos":' || pos || ',"row":0}}')"""
+
 ORACLE: dict[str, str] = {
     "vertex_state": VERTEX_STATE,
     "late_change": VERTEX_STATE,
@@ -136,9 +141,7 @@ ORACLE: dict[str, str] = {
         FROM mixed JOIN (VALUES ('users', 'shop.user'), ('customer', 'shop.customer'), ('orders', 'shop.order'),
             ('orders', 'shop.placed')) t(tab, label) USING (tab) GROUP BY ALL""",
     "envelope_decode": f"""WITH {USERS} SELECT op, ts_sec, 'shop' AS db, 'users' AS "table", 'user_id' AS key,
-        '{{"user_id":' || user_id || ',"last_event":"' || last_event || '","value":' || CAST(value AS VARCHAR)
-            || ',"props":"' || replace(props, '"', '\\"') || '","seen_at":"' || seen_at || '"}}' AS data,
-        ts_sec + 1 AS parse_time, pos, CAST(0 AS INTEGER) AS "row" FROM users""",
+        {_USER_TEXT} AS envelope, ts_sec + 1 AS parse_time, pos, CAST(0 AS INTEGER) AS "row" FROM users""",
     "envelope_encode": f"""WITH {ORDERS} SELECT
         '{{"op":"c","ts_sec":' || ts_sec || ',"db":"shop","table":"orders","key":["o_orderkey"],"data":'
         || '{{"o_orderkey":' || o_orderkey || ',"o_custkey":' || o_custkey || ',"o_orderstatus":"' || o_orderstatus
@@ -201,10 +204,7 @@ ORACLE: dict[str, str] = {
     "route_insert": _routed("N", "c"),
     "route_update": _routed("A", "u"),
     "route_delete": _routed("R", "d"),
-    "route_table": f"""WITH {USERS} SELECT op, ts_sec, pos,
-        '{{"user_id":' || user_id || ',"last_event":"' || last_event || '","value":' || CAST(value AS VARCHAR)
-            || ',"props":"' || replace(props, '"', '\\"') || '","seen_at":"' || seen_at || '"}}' AS data
-        FROM users""",
+    "route_table": f"WITH {USERS} SELECT op, ts_sec, pos, {_USER_TEXT} AS envelope FROM users",
     "fan_out": f"""WITH {MIXED}, {LABELS} SELECT label, kind, {_CLASS} AS op_class, count(*) AS changes,
         max(ts_sec) AS last_sec FROM mixed JOIN labels_read USING (tab) GROUP BY ALL""",
     "key_coverage": """SELECT 'shop.placed' AS label, 'o_custkey' AS missing, count(*) AS changes FROM orders""",

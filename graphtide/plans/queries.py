@@ -88,7 +88,7 @@ def multi_source_route(spark, sf):
 def envelope_decode(spark, sf):
     decoded = _decoded(feeds.users(spark, sf))
     return decoded.select(
-        "op", "ts_sec", "db", "table", F.array_join("key", ",").alias("key"), "data", "parse_time",
+        "op", "ts_sec", "db", "table", F.array_join("key", ",").alias("key"), "envelope", "parse_time",
         F.col("seq.pos").alias("pos"), F.col("seq.row").alias("row"),
     )
 
@@ -306,7 +306,7 @@ def route_delete(spark, sf):
 @query
 def route_table(spark, sf):
     routed = route.route_table(_mixed(spark, sf), feeds.USER)
-    return routed.select("op", "ts_sec", F.col("seq.pos").alias("pos"), "data")
+    return routed.select("op", "ts_sec", F.col("seq.pos").alias("pos"), "envelope")
 
 
 @query
@@ -479,13 +479,13 @@ def stream_resume(spark, sf):
     """Two runs on one checkpoint with new files, a folded version and a replayed batch in between."""
     home = shared_dir(spark, "resume")
     feed, checkpoint = join(home, "feed"), join(home, "checkpoint")
-    text = feeds.text(feeds.contains(spark, sf))
+    changes = feeds.contains(spark, sf)
     store = GraphStore(spark, join(home, "store"), feeds.SHOP, buckets=8)
-    early = F.get_json_object("value", "$.data.l_linestatus") == "F"
-    text.where(early).write.mode("append").text(feed)
+    finished = F.col("data.l_linestatus") == "F"
+    feeds.text(changes.where(finished)).write.mode("append").text(feed)
     sync_available(stream_feed(spark, feed), store, checkpoint)
     store.compact(feeds.CONTAINS)
-    text.where(~early).write.mode("append").text(feed)
+    feeds.text(changes.where(~finished)).write.mode("append").text(feed)
     sync_available(stream_feed(spark, feed), store, checkpoint)
     store.append(decode_envelopes(spark.read.text(feed)), store.batches()[-1] + 1)
     return store.state(feeds.CONTAINS)

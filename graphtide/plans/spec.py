@@ -27,13 +27,19 @@ class SpecError(ValueError):
     """The mapping cannot be used as written."""
 
 
+# Type of a column the mapping does not declare: whatever the record holds, as
+# text.  Numbers are exact up to 38 digits; declare ``string`` for columns that
+# hold text anyway, that is cheaper.
+AUTO = "auto"
+
+
 @dataclass(frozen=True)
 class Prop:
     """Property ``name`` filled from source column ``column``."""
 
     name: str
     column: str
-    type: str = "string"
+    type: str = AUTO
     position: int | None = None
 
 
@@ -42,7 +48,7 @@ class KeyRef:
     """Source column that supplies an id, a source, a destination or a rank."""
 
     column: str
-    type: str = "string"
+    type: str = AUTO
     position: int | None = None
 
 
@@ -109,18 +115,25 @@ class Label:
         types: dict[str, str] = {}
         refs = [*(k for k in self.keys.values() if k is not None), *self.props]
         for ref in refs:
-            known = types.setdefault(ref.column, ref.type)
-            if known != ref.type:
+            known = types.get(ref.column, AUTO)
+            if AUTO not in (known, ref.type) and known != ref.type:
                 raise SpecError(
                     f"{self.label}: column {ref.column!r} is declared both {known!r} and {ref.type!r}"
                 )
+            types[ref.column] = ref.type if known == AUTO else known
         return types
 
+    def type_of(self, column: str) -> str:
+        """SQL type a source column has in vertices and edges."""
+        declared = self.column_types[column]
+        return "string" if declared == AUTO else declared
+
     @property
     def data_ddl(self) -> str:
-        """Schema of the row image as DDL: mapped columns only, in slot order."""
+        """Schema to parse the row image with: mapped columns only, in slot order."""
         types = self.column_types
-        return ", ".join(f"{quoted(c)} {types[c]}" for c in self.slots)
+        parsed = {c: "variant" if types[c] == AUTO else types[c] for c in self.slots}
+        return ", ".join(f"{quoted(c)}: {t}" for c, t in parsed.items())
 
     def validate(self) -> None:
         for what, value in (("name", self.name), ("space", self.space), ("source", self.source),
@@ -219,7 +232,7 @@ def _key(block: Mapping | None, where: str, *, optional: bool = False) -> KeyRef
         if optional:
             return None
         raise SpecError(f"{where} is missing or names no sqlCol")
-    return KeyRef(column, block.get("type", "string"), block.get("position"))
+    return KeyRef(column, block.get("type", AUTO), block.get("position"))
 
 
 def _common(block: Mapping) -> dict:
@@ -231,7 +244,7 @@ def _common(block: Mapping) -> dict:
             db=block["sourceDatabase"],
             table=block["sourceTable"],
             props=tuple(
-                Prop(f["name"], f["sqlCol"], f.get("type", "string"), f.get("position"))
+                Prop(f["name"], f["sqlCol"], f.get("type", AUTO), f.get("position"))
                 for f in block.get("fieldList") or ()
             ),
         )
@@ -282,7 +295,7 @@ def load_spec(path: str) -> GraphSpec:
 def with_types(spec: GraphSpec, types: Mapping[str, Mapping[str, str]]) -> GraphSpec:
     """Declare column types, given as ``{'db.table': {column: type}}``.
 
-    Mapping files carry no types, so their columns default to strings.
+    Mapping files need not carry types; their columns are text then.
     """
     from dataclasses import replace
 

@@ -4,8 +4,8 @@
      "key": ["id"], "data": {"id": 4, "name": "djs"}, "parse_time": 1661328785,
      "seq": {"ts_sec": 1661328784, "file": "bin.000008", "pos": 16610, "row": 0}}
 
-``op`` is r (snapshot), c, u or d.  ``data`` differs per table, so it stays JSON
-text until the label that reads it is known.  ``seq`` is the total order of the
+``op`` is r (snapshot), c, u or d.  ``data`` differs per table, so the record is
+kept as text until the label that reads it is known.  ``seq`` is the total order of the
 changes of a source; a feed without it falls back to ``ts_sec``.
 """
 
@@ -23,6 +23,7 @@ from graphtide.plans.spec import quoted
 SEQ_TYPE = "struct<ts_sec: bigint, file: string, pos: bigint, row: int>"
 ENVELOPE_COLUMNS = ("op", "ts_sec", "db", "table", "key", "data", "parse_time", "seq")
 BAD_JSON = "bad_json"
+ENVELOPE = "envelope"
 
 
 def seq_of(ts_sec: Column, pos: Column | None = None, row: Column | None = None,
@@ -37,19 +38,24 @@ def seq_of(ts_sec: Column, pos: Column | None = None, row: Column | None = None,
 
 
 def decode_envelopes(df: DataFrame, col: str = "value", *, data_ddl: str | None = None) -> DataFrame:
-    """Parse envelope text; other columns of ``df`` are kept.
+    """Parse the head of envelope text; other columns of ``df`` are kept.
 
-    ``data_ddl`` (the row schema) parses the row image in the same pass and is
-    meant for a feed of a single table.  A record that is no valid envelope has
-    its text in ``bad_json``.
+    The whole record stays in ``envelope``, from which a label later parses the
+    columns it maps.  Cutting ``data`` out as text instead would print its
+    numbers anew and lose digits.  With ``data_ddl`` (schema of the row) the row
+    is parsed in the same pass, as struct ``data``; that is meant for a feed of
+    a single table.  A record that is no envelope has its text in ``bad_json``.
     """
-    data = f"struct<{data_ddl}>" if data_ddl else "string"
+    data = f"data struct<{data_ddl}>, " if data_ddl else ""
     schema = (
-        "op string, ts_sec bigint, db string, `table` string, `key` array<string>, "
-        f"data {data}, parse_time bigint, seq {SEQ_TYPE}, {BAD_JSON} string"
+        f"op string, ts_sec bigint, db string, `table` string, `key` array<string>, {data}"
+        f"parse_time bigint, seq {SEQ_TYPE}, {BAD_JSON} string"
     )
-    parsed = F.from_json(F.col(quoted(col)), schema, {"columnNameOfCorruptRecord": BAD_JSON})
+    text = F.col(quoted(col))
+    parsed = F.from_json(text, schema, {"columnNameOfCorruptRecord": BAD_JSON})
     kept = [F.col(quoted(c)) for c in df.columns if c != col]
+    if not data_ddl:
+        kept.append(text.alias(ENVELOPE))
     # inline() keeps later filters above the parser.  Selecting from the struct
     # instead would let the optimiser copy the parser into every pushed filter.
     out = df.select(*kept, F.inline(F.array(parsed)))
@@ -63,16 +69,22 @@ def encode_envelopes(df: DataFrame, col: str = "value") -> DataFrame:
     envelope (such as ``source``) are kept beside the text.
     """
     parts = [c for c in ENVELOPE_COLUMNS if c in df.columns]
-    kept = [F.col(quoted(c)) for c in df.columns if c not in ENVELOPE_COLUMNS]
-    data_type = df.schema["data"].dataType
-    if not isinstance(data_type, T.StringType):
+    kept = [F.col(quoted(c)) for c in df.columns if c not in (*ENVELOPE_COLUMNS, ENVELOPE, BAD_JSON)]
+    if ENVELOPE in df.columns:
+        return df.select(*kept, F.col(ENVELOPE).alias(col))
+    if not isinstance(df.schema["data"].dataType, T.StringType):
         return df.select(*kept, F.to_json(F.struct(*parts)).alias(col))
     # Text is spliced in as it is: re-parsing could change number formats.
     head = F.to_json(F.struct(*[c for c in parts if c != "data"]))
-    spliced = F.concat(F.lit('{"data":'), F.col("data"), F.lit(","), F.substring(head, F.lit(2), F.length(head)))
+    spliced = F.concat(data_envelope(F.col("data"), close=","), F.substring(head, F.lit(2), F.length(head)))
     return df.select(*kept, F.coalesce(spliced, head).alias(col))
 
 
+def data_envelope(data: Column, close: str = "}") -> Column:
+    """Envelope text that holds nothing but the row image."""
+    return F.concat(F.lit('{"data":'), data, F.lit(close))
+
+
 def union_sources(feeds: Mapping[str, DataFrame]) -> DataFrame:
     """One DataFrame of several named sources, told apart by column ``source``."""
     if not feeds:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from graphtide.plans.spec import OP, RANK, SEQ, Label, quoted
@@ -49,14 +49,17 @@ def snapshot_rows(table: DataFrame, label: Label) -> DataFrame:
 
     The rows are typed already, so they skip the envelope altogether.
     """
-    keys = [
-        F.lit(0).cast("bigint").alias(name)
-        if ref is None
-        else (F.coalesce(F.col(quoted(ref.column)).cast("bigint"), F.lit(0)) if name == RANK
-              else F.col(quoted(ref.column)).cast(ref.type)).alias(name)
-        for name, ref in label.keys.items()
-    ]
-    props = [F.col(quoted(p.column)).cast(p.type).alias(p.name) for p in label.props]
+    def typed(column: str) -> Column:
+        return F.col(quoted(column)).cast(label.type_of(column))
+
+    keys = []
+    for name, ref in label.keys.items():
+        if name == RANK:
+            rank = F.lit(None) if ref is None else F.col(quoted(ref.column))
+            keys.append(F.coalesce(rank.cast("bigint"), F.lit(0).cast("bigint")).alias(name))
+        else:
+            keys.append(typed(ref.column).alias(name))
+    props = [typed(p.column).alias(p.name) for p in label.props]
     rows = table.select(*keys, *props, F.lit("r").alias(OP), seq_of(F.lit(0)).alias(SEQ))
     return rows.dropna(subset=label.key_names)
 

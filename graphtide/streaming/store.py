@@ -22,15 +22,15 @@ from pyspark.sql import functions as F
 
 from graphtide.operators import fold, project, route, verify
 from graphtide.plans.spec import DELETED, OP, SEQ, GraphSpec, Label
-from graphtide.sources.envelopes import BAD_JSON, SEQ_TYPE
+from graphtide.sources.envelopes import ENVELOPE, SEQ_TYPE, data_envelope
 from graphtide.streaming.files import Files, join
 
 REJECTED = "_rejected"
 LOG_DDL = (
-    f"op string, seq {SEQ_TYPE}, `key` array<string>, data string, parse_time bigint, "
+    f"op string, seq {SEQ_TYPE}, `key` array<string>, {ENVELOPE} string, parse_time bigint, "
     "source string, db string, `table` string, reason string, label string, batch_id bigint"
 )
-LOG_COLUMNS = ("op", "seq", "key", "data", "parse_time", "source", "db", "table", "reason", "label")
+LOG_COLUMNS = ("op", "seq", "key", ENVELOPE, "parse_time", "source", "db", "table", "reason", "label")
 _VERSION = re.compile(r"upto-(\d+)\.buckets-(\d+)$")
 
 
@@ -64,12 +64,13 @@ class GraphStore:
         self.files.mark(join(self.root, "commits", str(batch_id)))
 
     def _logged(self, feed: DataFrame) -> DataFrame:
+        if ENVELOPE not in feed.columns:
+            data = F.col("data") if dict(feed.dtypes)["data"] == "string" else F.to_json("data")
+            feed = feed.withColumn(ENVELOPE, data_envelope(data))
         if not self.keep_rejects:
             found = route.fan_out(feed, self.spec).withColumn("reason", F.lit(None).cast("string"))
         else:
             found = route.judge(feed, self.spec).withColumn("label", F.coalesce("label", F.lit(REJECTED)))
-            if BAD_JSON in found.columns:
-                found = found.withColumn("data", F.coalesce(BAD_JSON, "data"))
         return found.select(*LOG_COLUMNS)
 
     # -- reading ---------------------------------------------------------------
