@@ -384,7 +384,8 @@ def edge_state_rank(spark, sf):
 
 @query
 def deleted_keys(spark, sf):
-    return fold.deleted_keys(_user_rows(spark, sf), feeds.USER)
+    user = feeds.USER.bare()
+    return fold.deleted_keys(project.decode_label(feeds.text(feeds.users(spark, sf)), user), user)
 
 
 @query
@@ -436,8 +437,10 @@ def edge_fetch(spark, sf):
 
 @query
 def one_hop(spark, sf):
+    placed = feeds.PLACED.bare()
+    edges = fold.current_state(project.decode_label(feeds.text(feeds.orders(spark, sf)), placed), placed)
     seeds = feeds.table(spark, sf, "customer").where("c_mktsegment = 'BUILDING'")
-    return verify.one_hop(_placed(spark, sf), seeds.select(F.col("c_custkey").alias(SRC)))
+    return verify.one_hop(edges, seeds.select(F.col("c_custkey").alias(SRC)))
 
 
 @query

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Iterable, Mapping
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, fields, replace
 
 # Control and key columns of every change and state table.  A property may not
 # use one of these names.
@@ -135,6 +135,18 @@ class Label:
         parsed = {c: "variant" if types[c] == AUTO else types[c] for c in self.slots}
         return ", ".join(f"{quoted(c)}: {t}" for c, t in parsed.items())
 
+    def bare(self) -> Label:
+        """The label without its properties, for work that only needs to know what exists.
+
+        Records are then parsed for their key columns alone, and only those are
+        shuffled.
+        """
+        names = {f.name for f in fields(self)} - {f.name for f in fields(Label)}
+        types = self.column_types
+        refs = {n: getattr(self, n) for n in names}
+        keys = {n: ref and KeyRef(ref.column, types[ref.column]) for n, ref in refs.items()}
+        return replace(self, props=(), **keys)
+
     def validate(self) -> None:
         for what, value in (("name", self.name), ("space", self.space), ("source", self.source),
                             ("db", self.db), ("table", self.table)):
@@ -297,8 +309,6 @@ def with_types(spec: GraphSpec, types: Mapping[str, Mapping[str, str]]) -> Graph
 
     Mapping files need not carry types; their columns are text then.
     """
-    from dataclasses import replace
-
     def typed(ref, columns):
         return None if ref is None else replace(ref, type=columns.get(ref.column, ref.type))
 

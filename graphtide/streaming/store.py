@@ -115,17 +115,23 @@ class GraphStore:
         versions = self.versions(label)
         if not versions:
             return fold.latest_changes(self.changes(label), label)
-        base = self._version(label, *versions[-1])
+        base = self._version(label, *versions[-1]).select(*fold.state_columns(label), SEQ, DELETED)
         if not self._newer(versions[-1][0]):
             return base
         tail = fold.latest_changes(self.changes(label, after=versions[-1][0]), label)
-        return fold.merge_latest(base, tail, label)
+        # The join takes the partitioning of its finer side.  Cut the folded tail like the
+        # version, whatever the session's shuffle partitions, so that it is the tail that moves.
+        return fold.merge_latest(base, tail.repartition(versions[-1][1], *label.key_names), label)
 
     def state(self, label: Label | str) -> DataFrame:
         """Current vertices or edges of a label."""
         label = self._label(label)
         return fold.alive(self.latest(label), label)
 
+    def live_keys(self, label: Label | str) -> DataFrame:
+        """Keys of the current vertices or edges; properties are neither parsed nor shuffled."""
+        return self.state(self._label(label).bare())
+
     def lookup(self, label: Label | str, ids: DataFrame) -> DataFrame:
         """Vertices by ``_vid``; only the requested keys are folded."""
         return self._narrowed(label, lambda rows: verify.lookup_vertices(rows, ids))
@@ -146,8 +152,8 @@ class GraphStore:
     def stats(self) -> DataFrame:
         """Rows per label and totals."""
         return verify.graph_stats(
-            {v.label: self.state(v) for v in self.spec.vertices},
-            {e.label: self.state(e) for e in self.spec.edges},
+            {v.label: self.live_keys(v) for v in self.spec.vertices},
+            {e.label: self.live_keys(e) for e in self.spec.edges},
         )
 
     # -- maintenance -----------------------------------------------------------
@@ -228,7 +234,8 @@ class GraphStore:
     def _version(self, label: Label, upto: int, buckets: int) -> DataFrame:
         table = self._table(label, upto, buckets)
         keys = ", ".join(label.key_names)
-        columns = f"{project.change_ddl(label)}, {SEQ} {SEQ_TYPE}, {DELETED} boolean"
+        full = self.spec.label(label.label)  # a bare label reads the same files
+        columns = f"{project.change_ddl(full)}, {SEQ} {SEQ_TYPE}, {DELETED} boolean"
         path = join(self._home(label), f"upto-{upto}.buckets-{buckets}").replace("'", "\\'")
         self.spark.sql(
             f"CREATE TABLE IF NOT EXISTS {table} ({columns}) USING parquet "

@@ -83,3 +83,10 @@ def test_types_can_be_declared_apart():
     typed = with_types(SPORT, {"test.player": {"playerid": "bigint"}})
     assert typed.label("player").column_types["playerid"] == "bigint"
     assert typed.label("team").type_of("teamid") == "string"
+
+
+def test_bare_label_keeps_keys_and_types():
+    bare = PEOPLE.label("friend").bare()
+    assert bare.slots == ["srcId", "dstId", "ranks"] and bare.prop_names == []
+    assert bare.type_of("ranks") == "int" and bare.label == "social.friend"
+    assert SPORT.label("follow").bare().rank is None
