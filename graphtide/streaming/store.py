@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from graphtide.operators import fold, project, route, verify
 from graphtide.plans.spec import DELETED, OP, SEQ, GraphSpec, Label
 from graphtide.sources.envelopes import ENVELOPE, SEQ_TYPE, data_envelope
+from graphtide.sources.snapshot import snapshot_rows
 from graphtide.streaming.files import Files, join
 
 REJECTED = "_rejected"
@@ -31,6 +32,10 @@ LOG_DDL = (
     "source string, db string, `table` string, reason string, label string, batch_id bigint"
 )
 LOG_COLUMNS = ("op", "seq", "key", ENVELOPE, "parse_time", "source", "db", "table", "reason", "label")
+EMPTY_FEED_DDL = (
+    f"op string, seq {SEQ_TYPE}, `key` array<string>, {ENVELOPE} string, parse_time bigint, "
+    "source string, db string, `table` string"
+)
 _VERSION = re.compile(r"upto-(\d+)\.buckets-(\d+)$")
 
 
@@ -59,9 +64,26 @@ class GraphStore:
         leaves no trace.
         """
         path = join(self.root, "log", f"batch_id={batch_id}")
-        routed = self._logged(feed)
-        routed.write.mode("overwrite").partitionBy("label").parquet(path)
-        self.files.mark(join(self.root, "commits", str(batch_id)))
+        marker = join(self.root, "commits", str(batch_id))
+        self.files.remove(marker)  # while it is rewritten, the batch is not complete
+        self._logged(feed).write.mode("overwrite").partitionBy("label").parquet(path)
+        self.files.mark(marker)
+
+    def load_snapshot(self, label: Label | str, table: DataFrame) -> None:
+        """Make the rows of a source table the first version of a label, as batch 0.
+
+        Typed rows go straight into the buckets: one shuffle and no JSON.  Use
+        it for large tables before the stream starts; a table that feeds several
+        labels is loaded once for each.
+        """
+        label = self._label(label)
+        if self.versions(label):
+            raise ValueError(f"{label.label} has a version already")
+        rows = fold.latest_changes(snapshot_rows(table, label), label)
+        with self._shuffling_into(self.buckets):
+            self._write(rows.repartition(self.buckets, *label.key_names), label, 0, self.buckets)
+        if 0 not in self.batches():
+            self.append(self.spark.createDataFrame([], EMPTY_FEED_DDL), 0)
 
     def _logged(self, feed: DataFrame) -> DataFrame:
         if ENVELOPE not in feed.columns:

@@ -149,6 +149,17 @@ def test_snapshot_then_stream(spark, rows, store, tmp_path):
     assert rows(store.state("person_simple")) == [(1, "n", 50)]
 
 
+def test_snapshot_loaded_as_version(spark, rows, store):
+    table = spark.createDataFrame([(1, "a", 1), (2, "b", 2), (2, "b", 2)], "id int, name string, age int")
+    store.load_snapshot("person_simple", table)
+    assert rows(store.state("person_simple")) == [(1, "a", 1), (2, "b", 2)]
+    assert rows(store.state("friend")) == []
+    store.append(batch(spark, person("d", 1, 1), person("u", 2, 1, age=9)), 1)
+    assert rows(store.state("person_simple")) == [(2, "n", 9)]
+    with pytest.raises(ValueError, match="already"):
+        store.load_snapshot("person_simple", table)
+
+
 def put(spark, tmp_path, *texts):
     spark.createDataFrame([(t,) for t in texts], "value string").coalesce(1).write.mode("append").text(
         str(tmp_path / "feed"))
