@@ -392,7 +392,7 @@ def deleted_keys(spark, sf):
 def late_change(spark, sf):
     """Every change delivered twice, in an order that has nothing to do with time."""
     feed = feeds.text(feeds.users(spark, sf))
-    shuffled = feed.unionByName(feed).repartition(8, F.xxhash64("value"))
+    shuffled = feed.unionByName(feed).hint("rebalance")
     rows = project.label_changes(decode_envelopes(shuffled), feeds.USER)
     return fold.current_state(rows, feeds.USER)
 
@@ -471,9 +471,11 @@ def reconcile(spark, sf):
 def stream_vertex_state(spark, sf):
     """Envelope files as a stream into a store, read back as vertices."""
     home = shared_dir(spark, "stream")
-    feeds.text(feeds.users(spark, sf)).repartition(4).write.text(join(home, "feed"))
-    store = GraphStore(spark, join(home, "store"), feeds.SHOP, buckets=8)
-    sync_available(stream_feed(spark, join(home, "feed"), max_files_per_trigger=2), store, join(home, "checkpoint"))
+    feeds.text(feeds.users(spark, sf)).write.text(join(home, "feed"))
+    store = GraphStore(spark, join(home, "store"), feeds.SHOP)
+    files = max(1, spark.sparkContext.defaultParallelism // 2)
+    stream = stream_feed(spark, join(home, "feed"), max_files_per_trigger=files)
+    sync_available(stream, store, join(home, "checkpoint"))
     return store.state(feeds.USER)
 
 
@@ -483,7 +485,7 @@ def stream_resume(spark, sf):
     home = shared_dir(spark, "resume")
     feed, checkpoint = join(home, "feed"), join(home, "checkpoint")
     changes = feeds.contains(spark, sf)
-    store = GraphStore(spark, join(home, "store"), feeds.SHOP, buckets=8)
+    store = GraphStore(spark, join(home, "store"), feeds.SHOP)
     finished = F.col("data.l_linestatus") == "F"
     feeds.text(changes.where(finished)).write.mode("append").text(feed)
     sync_available(stream_feed(spark, feed), store, checkpoint)
@@ -498,7 +500,7 @@ def stream_resume(spark, sf):
 def store_bootstrap(spark, sf):
     """Snapshot loaded as the first version, then the tail folded into it."""
     home = shared_dir(spark, "bootstrap")
-    store = GraphStore(spark, join(home, "store"), feeds.ALL_LABELS, buckets=8)
+    store = GraphStore(spark, join(home, "store"), feeds.ALL_LABELS)
     store.load_snapshot(feeds.CUSTOMER, feeds.table(spark, sf, "customer"))
     store.append(_decoded(feeds.customer_tail(spark, sf)), 1)
     store.compact(feeds.CUSTOMER)
@@ -509,7 +511,7 @@ def store_bootstrap(spark, sf):
 def store_lookup(spark, sf):
     """Lookups that fold only the requested keys, from a version and newer changes."""
     home = shared_dir(spark, "lookup")
-    store = GraphStore(spark, join(home, "store"), feeds.ALL_LABELS, buckets=8)
+    store = GraphStore(spark, join(home, "store"), feeds.ALL_LABELS)
     customers = feeds.table(spark, sf, "customer")
     bootstrap(store, snapshot_envelopes(customers, feeds.DB, "customer", ["c_custkey"]))
     store.compact(feeds.CUSTOMER)

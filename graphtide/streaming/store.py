@@ -44,15 +44,17 @@ class GraphStore:
 
     Batches are numbered from 0; number 0 is kept for a snapshot.
 
-    ``buckets`` is the number of files of a folded version; choose it so that
-    one holds a few hundred megabytes.  ``keep_rejects`` also logs the changes
+    ``buckets`` is the number of files of a folded version (default: the
+    session's shuffle partitions); choose it so that one holds a few hundred
+    megabytes.  ``keep_rejects`` also logs the changes
     that reach no label.  One writer (streaming query) feeds a store.
     """
 
-    def __init__(self, spark: SparkSession, root: str, spec: GraphSpec, *, buckets: int = 32,
+    def __init__(self, spark: SparkSession, root: str, spec: GraphSpec, *, buckets: int | None = None,
                  keep_rejects: bool = False) -> None:
         self.spark, self.root, self.spec = spark, root, spec
-        self.buckets, self.keep_rejects = buckets, keep_rejects
+        self.buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+        self.keep_rejects = keep_rejects
         self.files = Files(spark)
 
     # -- writing ---------------------------------------------------------------
