@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from graphtide.operators.route import route_table
-from graphtide.plans.spec import OP, RANK, SEQ, EdgeMap, Label, VertexMap, quoted
+from graphtide.plans.spec import OP, RANK, SEQ, EdgeMap, GraphSpec, Label, VertexMap, quoted
 from graphtide.sources.envelopes import ENVELOPE, decode_envelopes
 
 
@@ -90,7 +92,11 @@ def decode_label(feed: DataFrame, label: Label, col: str = "value") -> DataFrame
     return label_changes(decode_envelopes(feed, col, data_ddl=label.data_ddl), label)
 
 
+def graph_changes(feed: DataFrame, spec: GraphSpec, label: Label) -> DataFrame:
+    """Decoded feed -> change rows of a label from all tables that feed it."""
+    return reduce(DataFrame.unionByName, [label_changes(feed, m) for m in spec.mappings(label)])
+
+
 def change_ddl(label: Label) -> str:
     """Schema of a label's change rows, without the operation and the order."""
-    keys = [f"{n} {'bigint' if n == RANK else label.type_of(ref.column)}" for n, ref in label.keys.items()]
-    return ", ".join([*keys, *(f"{quoted(p.name)} {label.type_of(p.column)}" for p in label.props)])
+    return ", ".join(f"{quoted(n)} {t}" for n, t in label.shape.items())

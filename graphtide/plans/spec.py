@@ -135,6 +135,17 @@ class Label:
         parsed = {c: "variant" if types[c] == AUTO else types[c] for c in self.slots}
         return ", ".join(f"{quoted(c)}: {t}" for c, t in parsed.items())
 
+    @property
+    def shape(self) -> dict[str, str]:
+        """Columns of the vertices or edges and their types."""
+        keys = {n: "bigint" if n == RANK else self.type_of(r.column) for n, r in self.keys.items()}
+        return keys | {p.name: self.type_of(p.column) for p in self.props}
+
+    @property
+    def route(self) -> str:
+        """Name of this mapping among all: what it feeds and where it reads."""
+        return f"{self.kind}-{self.label}@{self.source}.{self.db}.{self.table}"
+
     def bare(self) -> Label:
         """The label without its properties, for work that only needs to know what exists.
 
@@ -207,27 +218,43 @@ class GraphSpec:
     sources: tuple[str, ...] = field(default=())
 
     def __post_init__(self) -> None:
-        seen: set[tuple[str, str]] = set()
+        seen: set[tuple[str, ...]] = set()
         for label in self.labels:
             label.validate()
-            ident = (label.kind, label.label)
+            ident = (label.kind, label.label, label.source, label.db, label.table)
             if ident in seen:
-                raise SpecError(f"{label.kind} {label.label} is mapped twice")
+                raise SpecError(f"{label.kind} {label.label} is mapped twice from {label.db}.{label.table}")
             seen.add(ident)
             if self.sources and label.source not in self.sources:
                 raise SpecError(
                     f"{label.label} reads source {label.source!r}, which is not among {list(self.sources)}"
                 )
+            first = self.mappings(label)[0]
+            if label.shape != first.shape:
+                raise SpecError(
+                    f"the mappings of {label.kind} {label.label} differ in keys, properties or types: "
+                    f"{first.shape} and {label.shape}"
+                )
 
     @property
     def labels(self) -> list[Label]:
+        """All mappings; a label that several tables feed occurs once for each."""
         return [*self.vertices, *self.edges]
 
+    def mappings(self, label: Label) -> list[Label]:
+        """All mappings that feed the same vertex or edge label."""
+        return [x for x in self.labels if (x.kind, x.label) == (label.kind, label.label)]
+
+    def distinct(self, kind: str | None = None) -> list[Label]:
+        """One mapping of every label, optionally of one kind."""
+        first = {(x.kind, x.label): x for x in reversed(self.labels)}
+        return [x for x in reversed(first.values()) if kind in (None, x.kind)]
+
     def label(self, name: str) -> Label:
-        """Find a label by ``space.name`` or, when that is unique, by ``name``."""
-        hits = [x for x in self.labels if name in (x.label, x.name)]
+        """A mapping of the label ``space.name`` or, when that is unique, ``name``."""
+        hits = [x for x in self.distinct() if name in (x.label, x.name)]
         if len(hits) != 1:
-            raise SpecError(f"{name!r} matches {len(hits)} labels of {[x.label for x in self.labels]}")
+            raise SpecError(f"{name!r} matches {len(hits)} labels of {[x.label for x in self.distinct()]}")
         return hits[0]
 
     def captured_tables(self) -> dict[str, list[str]]:

@@ -1,8 +1,8 @@
 """Graph tables on plain parquet: an append-only change log and folded versions.
 
-    <root>/log/batch_id=<n>/label=<space.name>/    routed changes of micro-batch n
-    <root>/commits/<n>                             batch n is complete
-    <root>/base/<space.name>/upto-<n>.buckets-<b>/ all changes up to batch n, folded
+    <root>/log/batch_id=<n>/route=<mapping>/          routed changes of micro-batch n
+    <root>/commits/<n>                                batch n is complete
+    <root>/base/<kind>-<label>/upto-<n>.buckets-<b>/  all changes up to batch n, folded
 
 A micro-batch is one write job however many labels it feeds, and writing it
 again replaces it.  A reader sees whole batches only, the same ones for every
@@ -14,7 +14,9 @@ as tombstones, or an older change that arrives late would bring a key back.
 from __future__ import annotations
 
 import re
+from collections.abc import Mapping
 from contextlib import contextmanager
+from functools import reduce
 from zlib import crc32
 
 from pyspark.sql import DataFrame, SparkSession
@@ -29,9 +31,9 @@ from graphtide.streaming.files import Files, join
 REJECTED = "_rejected"
 LOG_DDL = (
     f"op string, seq {SEQ_TYPE}, `key` array<string>, {ENVELOPE} string, parse_time bigint, "
-    "source string, db string, `table` string, reason string, label string, batch_id bigint"
+    "source string, db string, `table` string, reason string, route string, batch_id bigint"
 )
-LOG_COLUMNS = ("op", "seq", "key", ENVELOPE, "parse_time", "source", "db", "table", "reason", "label")
+LOG_COLUMNS = ("op", "seq", "key", ENVELOPE, "parse_time", "source", "db", "table", "reason", "route")
 EMPTY_FEED_DDL = (
     f"op string, seq {SEQ_TYPE}, `key` array<string>, {ENVELOPE} string, parse_time bigint, "
     "source string, db string, `table` string"
@@ -46,8 +48,8 @@ class GraphStore:
 
     ``buckets`` is the number of files of a folded version (default: the
     session's shuffle partitions); choose it so that one holds a few hundred
-    megabytes.  ``keep_rejects`` also logs the changes
-    that reach no label.  One writer (streaming query) feeds a store.
+    megabytes.  ``keep_rejects`` also logs the changes that reach no label.  One
+    writer (streaming query) feeds a store.
     """
 
     def __init__(self, spark: SparkSession, root: str, spec: GraphSpec, *, buckets: int | None = None,
@@ -68,20 +70,23 @@ class GraphStore:
         path = join(self.root, "log", f"batch_id={batch_id}")
         marker = join(self.root, "commits", str(batch_id))
         self.files.remove(marker)  # while it is rewritten, the batch is not complete
-        self._logged(feed).write.mode("overwrite").partitionBy("label").parquet(path)
+        self._logged(feed).write.mode("overwrite").partitionBy("route").parquet(path)
         self.files.mark(marker)
 
-    def load_snapshot(self, label: Label | str, table: DataFrame) -> None:
+    def load_snapshot(self, label: Label | str, tables: DataFrame | Mapping[Label, DataFrame]) -> None:
         """Make the rows of a source table the first version of a label, as batch 0.
 
         Typed rows go straight into the buckets: one shuffle and no JSON.  Use
         it for large tables before the stream starts; a table that feeds several
-        labels is loaded once for each.
+        labels is loaded once for each.  A label that several tables feed gets
+        them all at once, as ``{mapping: table}``.
         """
         label = self._label(label)
         if self.versions(label):
             raise ValueError(f"{label.label} has a version already")
-        rows = fold.latest_changes(snapshot_rows(table, label), label)
+        tables = tables if isinstance(tables, Mapping) else {label: tables}
+        found = [snapshot_rows(table, mapping) for mapping, table in tables.items()]
+        rows = fold.latest_changes(reduce(DataFrame.unionByName, found), label)
         with self._shuffling_into(self.buckets):
             self._write(rows.repartition(self.buckets, *label.key_names), label, 0, self.buckets)
         if 0 not in self.batches():
@@ -94,7 +99,9 @@ class GraphStore:
         if not self.keep_rejects:
             found = route.fan_out(feed, self.spec).withColumn("reason", F.lit(None).cast("string"))
         else:
-            found = route.judge(feed, self.spec).withColumn("label", F.coalesce("label", F.lit(REJECTED)))
+            found = route.judge(feed, self.spec)
+        name = F.concat("kind", F.lit("-"), "label", F.lit("@"), "source", F.lit("."), "db", F.lit("."), "table")
+        found = found.withColumn("route", F.coalesce(name, F.lit(REJECTED)))
         return found.select(*LOG_COLUMNS)
 
     # -- reading ---------------------------------------------------------------
@@ -103,13 +110,13 @@ class GraphStore:
         """Numbers of the complete batches."""
         return sorted(int(n) for n in self.files.names(join(self.root, "commits")) if n.isdigit())
 
-    def _log(self, label: str, after: int) -> DataFrame | None:
+    def _log(self, route_name: str, after: int) -> DataFrame | None:
         log = join(self.root, "log")
         paths = [join(log, f"batch_id={n}") for n in self.batches() if n > after]
         if not paths:
             return None
         reader = self.spark.read.schema(LOG_DDL).option("basePath", log)
-        return reader.parquet(*paths).where(F.col("label") == label)
+        return reader.parquet(*paths).where(F.col("route") == route_name)
 
     def rejects(self) -> DataFrame:
         """Logged changes that reached no label, with the reason."""
@@ -118,12 +125,19 @@ class GraphStore:
 
     def changes(self, label: Label | str, *, after: int = -1) -> DataFrame:
         """Change rows of a label from the batches after a given one."""
-        label = self._label(label)
-        logged = self._log(label.label, after)
+        parts = [self._mapping_changes(m, after) for m in self._mappings(self._label(label))]
+        return reduce(DataFrame.unionByName, parts)
+
+    def _mappings(self, label: Label) -> list[Label]:
+        found = self.spec.mappings(label)
+        return found if label.props else [m.bare() if m.props else m for m in found]
+
+    def _mapping_changes(self, mapping: Label, after: int) -> DataFrame:
+        logged = self._log(mapping.route, after)
         if logged is None:
-            ddl = f"{project.change_ddl(label)}, {OP} string, {SEQ} {SEQ_TYPE}"
+            ddl = f"{project.change_ddl(mapping)}, {OP} string, {SEQ} {SEQ_TYPE}"
             return self.spark.createDataFrame([], ddl)
-        return project.map_columns(project.project_slots(logged, label), label)
+        return project.map_columns(project.project_slots(logged, mapping), mapping)
 
     def versions(self, label: Label | str) -> list[tuple[int, int]]:
         """Complete folded versions as (last batch, buckets), oldest first."""
@@ -176,8 +190,8 @@ class GraphStore:
     def stats(self) -> DataFrame:
         """Rows per label and totals."""
         return verify.graph_stats(
-            {v.label: self.live_keys(v) for v in self.spec.vertices},
-            {e.label: self.live_keys(e) for e in self.spec.edges},
+            {v.label: self.live_keys(v) for v in self.spec.distinct("vertex")},
+            {e.label: self.live_keys(e) for e in self.spec.distinct("edge")},
         )
 
     # -- maintenance -----------------------------------------------------------
@@ -210,7 +224,7 @@ class GraphStore:
             self.spark.conf.set(key, before)
 
     def compact_all(self) -> None:
-        for label in self.spec.labels:
+        for label in self.spec.distinct():
             self.compact(label)
 
     def rebucket(self, label: Label | str, buckets: int) -> None:
@@ -225,8 +239,8 @@ class GraphStore:
 
         Readers that started before must have finished.
         """
-        folded = [self.versions(x) for x in self.spec.labels]
-        for label, versions in zip(self.spec.labels, folded):
+        folded = [self.versions(x) for x in self.spec.distinct()]
+        for label, versions in zip(self.spec.distinct(), folded):
             for upto, buckets in versions[:-1]:
                 self.spark.sql(f"DROP TABLE IF EXISTS {self._table(label, upto, buckets)}")
                 self.files.remove(join(self._home(label), f"upto-{upto}.buckets-{buckets}"))
@@ -258,7 +272,7 @@ class GraphStore:
     def _version(self, label: Label, upto: int, buckets: int) -> DataFrame:
         table = self._table(label, upto, buckets)
         keys = ", ".join(label.key_names)
-        full = self.spec.label(label.label)  # a bare label reads the same files
+        full = self.spec.mappings(label)[0]  # a bare label reads the same files
         columns = f"{project.change_ddl(full)}, {SEQ} {SEQ_TYPE}, {DELETED} boolean"
         path = join(self._home(label), f"upto-{upto}.buckets-{buckets}").replace("'", "\\'")
         self.spark.sql(

@@ -62,9 +62,9 @@ KEYS = {"person": ["id"], "friend": ["srcId", "dstId", "ranks"], "player": ["pla
         "follow": ["src_player", "dst_player"], "serve": ["playerid", "teamid"]}
 
 
-def change(op, table, data, at=0, **more):
+def change(op, table, data, at=0, table_name=None, **more):
     """One envelope as text; ``at`` is its place in the order of changes."""
-    doc = {"op": op, "ts_sec": 1_600_000_000, "db": "test", "table": table, "key": KEYS[table], "data": data,
+    doc = {"op": op, "ts_sec": 1_600_000_000, "db": "test", "table": table_name or table, "key": KEYS[table], "data": data,
            "parse_time": 1_600_000_001, "seq": {"ts_sec": 1_600_000_000, "file": "bin.1", "pos": at, "row": 0}}
     return json.dumps({**doc, **more})
 

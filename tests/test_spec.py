@@ -90,3 +90,18 @@ def test_bare_label_keeps_keys_and_types():
     assert bare.slots == ["srcId", "dstId", "ranks"] and bare.prop_names == []
     assert bare.type_of("ranks") == "int" and bare.label == "social.friend"
     assert SPORT.label("follow").bare().rank is None
+
+
+def test_several_tables_may_feed_one_label():
+    def second(sink):
+        sink["tagList"].append({**sink["tagList"][0], "sourceTable": "person_archive"})
+
+    spec = spec_from_dict(changed(second))
+    assert len(spec.mappings(spec.label("person_simple"))) == 2 and len(spec.distinct("vertex")) == 1
+
+    def unlike(sink):
+        second(sink)
+        sink["tagList"][1] = {**sink["tagList"][1], "fieldList": sink["tagList"][1]["fieldList"][:1]}
+
+    with pytest.raises(SpecError, match="differ in keys"):
+        spec_from_dict(changed(unlike))

@@ -1,8 +1,11 @@
+from dataclasses import replace
+
 import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from graphtide.operators import fold, project
+from graphtide.plans.spec import KeyRef, Prop, VertexMap, spec_labels
 from graphtide.sources.envelopes import decode_envelopes, stream_feed
 from graphtide.sources.snapshot import snapshot_envelopes
 from graphtide.streaming.store import GraphStore
@@ -53,7 +56,7 @@ def test_replayed_batch_changes_nothing(spark, rows, store):
 def test_unfinished_batch_is_invisible(spark, rows, store):
     store.append(batch(spark, person("c", 1, 1)), 0)
     # A writer that died before its commit leaves files but no marker.
-    store._logged(batch(spark, person("c", 2, 2))).write.partitionBy("label").parquet(f"{store.root}/log/batch_id=1")
+    store._logged(batch(spark, person("c", 2, 2))).write.partitionBy("route").parquet(f"{store.root}/log/batch_id=1")
     assert rows(store.state("person_simple").select("_vid")) == [(1,)]
     store.append(batch(spark, person("c", 3, 2)), 1)
     assert rows(store.state("person_simple").select("_vid")) == [(1,), (3,)]
@@ -160,6 +163,25 @@ def test_snapshot_loaded_as_version(spark, rows, store):
         store.load_snapshot("person_simple", table)
 
 
+def test_label_fed_by_two_sources(spark, rows, tmp_path):
+    here = replace(PERSON, props=PERSON.props)
+    there = VertexMap("person_simple", "social", "test", "staff", (Prop("name", "full_name"), Prop("age", "age", "int")),
+                      source="db_2", id=KeyRef("staff_id", "int"))
+    spec = spec_labels([here, there])
+    store = GraphStore(spark, str(tmp_path), spec, buckets=2)
+    staff = change("c", "person", {"staff_id": 2, "full_name": "x", "age": 3}, table_name="staff")
+    first = feed(spark, person("c", 1, 1)).unionByName(feed(spark, staff, source="db_2"))
+    store.append(decode_envelopes(first), 1)
+    assert rows(store.state("person_simple")) == [(1, "n", 1), (2, "x", 3)]
+    direct = fold.current_state(project.graph_changes(decode_envelopes(first), spec, here), here)
+    assert rows(direct) == rows(store.state("person_simple"))
+    store.compact_all()
+    gone = feed(spark, change("d", "person", {"staff_id": 2}, 5, table_name="staff"), source="db_2")
+    store.append(decode_envelopes(gone), 2)
+    assert rows(store.live_keys("person_simple")) == [(1,)]
+    assert ("Tag", "social.person_simple", 1) in rows(store.stats())
+
+
 def put(spark, tmp_path, *texts):
     spark.createDataFrame([(t,) for t in texts], "value string").coalesce(1).write.mode("append").text(
         str(tmp_path / "feed"))
