@@ -59,19 +59,20 @@ def iso_local(epoch_seconds: Column, nanos: Column) -> Column:
     Seconds are left out when they and the fraction are zero; a fraction is
     printed with 3, 6 or 9 digits.
     """
-    second_of_day = F.pmod(epoch_seconds, F.lit(SECONDS_PER_DAY).cast("bigint"))
-    day = iso_date(floor_div(epoch_seconds, SECONDS_PER_DAY))
-    hour, minute, second = _clock_parts(second_of_day)
-    fraction = (
-        F.when(nanos == 0, F.lit(""))
-        .when(nanos % 1_000_000 == 0, F.format_string(".%03d", floor_div(nanos, 1_000_000)))
-        .when(nanos % 1_000 == 0, F.format_string(".%06d", floor_div(nanos, 1_000)))
-        .otherwise(F.format_string(".%09d", nanos))
-    )
+    # A timestamp without zone prints the same in every session.
+    moment = F.timestamp_add("SECOND", epoch_seconds, F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"))
+    to_the_minute = F.translate(F.substring_index(moment.cast("string"), ":", 2), " ", "T")
+    second = F.pmod(epoch_seconds, F.lit(60).cast("bigint"))
+    digits = F.when(nanos % 1_000_000 == 0, 3).when(nanos % 1_000 == 0, 6).otherwise(9)
+    fraction = F.concat(F.lit("."), F.substring(_padded(nanos, 9), F.lit(1), digits))
     tail = F.when((second == 0) & (nanos == 0), F.lit("")).otherwise(
-        F.concat(F.format_string(":%02d", second), fraction)
+        F.concat(F.lit(":"), _padded(second, 2), F.when(nanos == 0, F.lit("")).otherwise(fraction))
     )
-    return F.concat(day, F.format_string("T%02d:%02d", hour, minute), tail)
+    return F.concat(to_the_minute, tail)
+
+
+def _padded(number: Column, width: int) -> Column:
+    return F.lpad(number.cast("string"), width, "0")
 
 
 def iso_epoch(value: Column, per_second: int) -> Column:
@@ -84,10 +85,10 @@ def iso_epoch(value: Column, per_second: int) -> Column:
 
 def iso_timestamp_ntz(value: Column) -> Column:
     """A Spark timestamp without zone as ISO text (its own wall clock)."""
-    days = F.unix_date(value.cast("date")).cast("bigint")
-    seconds = days * SECONDS_PER_DAY + F.hour(value) * 3600 + F.minute(value) * 60
+    # Taken apart by field: differences between timestamps would pass through the session zone.
+    minutes = F.unix_date(value.cast("date")).cast("bigint") * 1440 + F.hour(value) * 60 + F.minute(value)
     micros = (F.extract(F.lit("SECOND"), value) * 1_000_000).cast("bigint")
-    return iso_local(seconds + floor_div(micros, 1_000_000), F.pmod(micros, F.lit(1_000_000).cast("bigint")) * 1000)
+    return iso_epoch(minutes * 60_000_000 + micros, 1_000_000)
 
 
 def iso_instant(value: Column, tz: str = "UTC") -> Column:
@@ -122,8 +123,7 @@ def clock_time(value: Column, per_second: int, pattern: str = "HH:mm:ss") -> Col
         hour = F.pmod(hour + 11, F.lit(12).cast("bigint")) + 1
     elif pattern != "HH:mm:ss":
         raise ValueError(f"unknown time pattern {pattern!r}")
-    # format_string prints nulls instead of passing them on.
-    return F.when(value.isNotNull(), F.format_string("%02d:%02d:%02d", hour, minute, second))
+    return F.concat(_padded(hour, 2), F.lit(":"), _padded(minute, 2), F.lit(":"), _padded(second, 2))
 
 
 def _clock_parts(second_of_day: Column) -> tuple[Column, Column, Column]:

@@ -261,7 +261,7 @@ def customer_shapes(spark: SparkSession, sf_dir: str) -> DataFrame:
     multi-points, a kind that is refused; one has big-endian points with a
     reference id.
     """
-    rows = table(spark, sf_dir, "customer")
+    rows = source_rows(spark, sf_dir, "customer", "*")
     x, y, zero = F.col("c_acctbal"), -F.col("c_nationkey"), F.lit(0)
 
     def wkb(kind: int, *body: Column, little: bool = True) -> Column:

@@ -195,7 +195,7 @@ def _inserted(rows: DataFrame, image, name: str, pos) -> DataFrame:
 
 @query
 def render_bytes(spark, sf):
-    docs = feeds.table(spark, sf, "documents")
+    docs = feeds.source_rows(spark, sf, "documents", "doc_id", "text")
     rendered = render.signed_bytes(F.encode("text", "UTF-8"))
     return docs.select("doc_id", F.md5(rendered).alias("digest"), F.length(rendered).alias("chars"))
 
@@ -210,7 +210,7 @@ def render_dates(spark, sf):
 
 @query
 def render_timestamps(spark, sf):
-    events = feeds.table(spark, sf, "events")
+    events = feeds.source_rows(spark, sf, "events", "*")
     micros = feeds.epoch_micros(F.col("ts"))
     return events.select(
         "event_id",
@@ -224,7 +224,7 @@ def render_timestamps(spark, sf):
 
 @query
 def render_zoned(spark, sf):
-    events = feeds.table(spark, sf, "events")
+    events = feeds.source_rows(spark, sf, "events", "*")
     instant = F.concat(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), F.lit("Z"))
     return events.select("event_id", render.iso_zoned(instant, "UTC").alias("utc"),
                          render.iso_zoned(instant, "Asia/Shanghai").alias("shanghai"))
@@ -232,7 +232,7 @@ def render_zoned(spark, sf):
 
 @query
 def render_time(spark, sf):
-    events = feeds.table(spark, sf, "events")
+    events = feeds.source_rows(spark, sf, "events", "*")
     micros = F.pmod(feeds.epoch_micros(F.col("ts")), F.lit(86_400_000_000))
     millis = render.floor_div(micros, 1000).cast("int")
     return events.select(
