@@ -156,3 +156,15 @@ class Words:
     def text(self, a: int, b: int) -> bytes:
         """Words a to b (exclusive) with one blank between."""
         return b" ".join(self.bytes[s:e].tobytes() for s, e in zip(self.start[a:b], self.end[a:b]))
+
+
+def code_points(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Code points of all texts and where each text begins, one more offset at the end; null is empty."""
+    data, offsets = utf8(texts)
+    first = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])
+    points = np.frombuffer(data.tobytes().decode("utf-8", "replace").encode("utf-32-le", "surrogatepass"), np.uint32)
+    if len(points) == first[-1]:
+        return points, first[offsets]
+    # Bytes that are not UTF-8: decode text by text, so that each keeps its place.
+    each = [np.frombuffer(data[a:b].tobytes().decode("utf-8", "replace").encode("utf-32-le"), np.uint32) for a, b in zip(offsets, offsets[1:])]
+    return np.concatenate(each), np.concatenate([[0], np.cumsum([len(x) for x in each])])

@@ -8,8 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from graphtide.llm import sql
-from graphtide.llm.common import table
+from graphtide.llm.common import fold, table
 from graphtide.llm.decontaminate import find_contamination
+from graphtide.llm.language import label_languages
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -19,8 +20,15 @@ def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
 
 
+def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = fold(F.col("doc_id"), 3) == 1
+    found = label_languages(table(spark, sf_dir, "documents"), ~held_out, keep=["doc_id"])
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "rejected")
+
+
 REGISTRY: dict[str, Query] = {
     "op6_decontamination": op6_decontamination,
+    "op7_language": op7_language,
 }
 
 ORACLE: dict[str, str] = {
