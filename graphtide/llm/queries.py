@@ -11,10 +11,15 @@ from graphtide.llm import sql
 from graphtide.llm.common import fold, table
 from graphtide.llm.decontaminate import find_contamination
 from graphtide.llm.language import label_languages
+from graphtide.llm.pii import find_pii
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_pii(table(spark, sf_dir, "documents"), keep=["doc_id"])
+
+
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = find_contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), keep=["doc_id"])
     return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
@@ -27,6 +32,7 @@ def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 REGISTRY: dict[str, Query] = {
+    "op5_pii": op5_pii,
     "op6_decontamination": op6_decontamination,
     "op7_language": op7_language,
 }
