@@ -11,6 +11,7 @@ from graphtide.llm import sql
 from graphtide.llm.common import fold, table
 from graphtide.llm.decontaminate import find_contamination
 from graphtide.llm.language import label_languages
+from graphtide.llm.near_dup import find_near_duplicates
 from graphtide.llm.pii import find_pii
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -31,10 +32,15 @@ def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "rejected")
 
 
+def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_near_duplicates(table(spark, sf_dir, "documents"), keep=["doc_id"])
+
+
 REGISTRY: dict[str, Query] = {
     "op5_pii": op5_pii,
     "op6_decontamination": op6_decontamination,
     "op7_language": op7_language,
+    "op10_near_duplicates": op10_near_duplicates,
 }
 
 ORACLE: dict[str, str] = {
