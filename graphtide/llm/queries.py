@@ -13,10 +13,18 @@ from graphtide.llm.decontaminate import find_contamination
 from graphtide.llm.language import label_languages
 from graphtide.llm.near_dup import find_near_duplicates
 from graphtide.llm.pii import find_pii
+from graphtide.llm.toxicity import THRESHOLD, score_toxicity, train
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = fold(F.col("doc_id"), 3) == 1
+    docs = table(spark, sf_dir, "documents")
+    scored = score_toxicity(docs, train(docs, table(spark, sf_dir, "labels"), ~held_out), keep=["doc_id"])
+    return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))
+
+
 def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_pii(table(spark, sf_dir, "documents"), keep=["doc_id"])
 
@@ -37,6 +45,7 @@ def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 REGISTRY: dict[str, Query] = {
+    "op2_toxicity": op2_toxicity,
     "op5_pii": op5_pii,
     "op6_decontamination": op6_decontamination,
     "op7_language": op7_language,
