@@ -7,22 +7,28 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from graphtide.llm import sql
+from graphtide.llm import quality, sql, toxicity
 from graphtide.llm.common import fold, table
 from graphtide.llm.decontaminate import find_contamination
 from graphtide.llm.language import label_languages
 from graphtide.llm.near_dup import find_near_duplicates
 from graphtide.llm.pii import find_pii
-from graphtide.llm.toxicity import THRESHOLD, score_toxicity, train
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = quality.train(docs, table(spark, sf_dir, "labels"), lambda id: fold(id, 4) != 2)
+    scored = quality.score_quality(docs, model, keep=["doc_id"])
+    return scored.select("doc_id", (fold(F.col("doc_id"), 4) == 2).alias("held_out"), "score", (F.col("score") >= quality.THRESHOLD).cast("int").alias("predicted"))
+
+
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     held_out = fold(F.col("doc_id"), 3) == 1
     docs = table(spark, sf_dir, "documents")
-    scored = score_toxicity(docs, train(docs, table(spark, sf_dir, "labels"), ~held_out), keep=["doc_id"])
-    return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))
+    scored = toxicity.score_toxicity(docs, toxicity.train(docs, table(spark, sf_dir, "labels"), ~held_out), keep=["doc_id"])
+    return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"))
 
 
 def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -45,6 +51,7 @@ def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 REGISTRY: dict[str, Query] = {
+    "op1_quality": op1_quality,
     "op2_toxicity": op2_toxicity,
     "op5_pii": op5_pii,
     "op6_decontamination": op6_decontamination,
