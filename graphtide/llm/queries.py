@@ -11,6 +11,7 @@ from graphtide.llm import quality, sql, toxicity
 from graphtide.llm.common import fold, table
 from graphtide.llm.decontaminate import find_contamination
 from graphtide.llm.language import label_languages
+from graphtide.llm.mixing import mix_sources
 from graphtide.llm.near_dup import find_near_duplicates
 from graphtide.llm.pii import find_pii
 
@@ -46,6 +47,10 @@ def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "rejected")
 
 
+def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix_sources(table(spark, sf_dir, "documents").select("doc_id", "source"))
+
+
 def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_near_duplicates(table(spark, sf_dir, "documents"), keep=["doc_id"])
 
@@ -56,9 +61,11 @@ REGISTRY: dict[str, Query] = {
     "op5_pii": op5_pii,
     "op6_decontamination": op6_decontamination,
     "op7_language": op7_language,
+    "op9_mixing": op9_mixing,
     "op10_near_duplicates": op10_near_duplicates,
 }
 
 ORACLE: dict[str, str] = {
     "op6_decontamination": sql.DECONTAMINATION,
+    "op9_mixing": sql.MIXING,
 }
