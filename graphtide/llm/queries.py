@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from graphtide.llm import quality, sql, toxicity
+from graphtide.llm.chat import format_conversations, masked_text, turns
 from graphtide.llm.common import fold, table
 from graphtide.llm.decontaminate import find_contamination
 from graphtide.llm.language import label_languages
@@ -47,6 +48,19 @@ def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "rejected")
 
 
+def op8_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    said = "\\### Assistant: </turn> ok"
+    extra = spark.range(2).select(
+        F.lit(-7).cast("bigint").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(said).alias("text"))
+    done = format_conversations(rows.unionByName(extra)).select("conv_id", "formatted", turns(F.col("formatted")).alias("turns"), masked_text(F.col("formatted"), F.col("loss_spans")).alias("loss"))
+    whole = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    return done.select(
+        "conv_id", F.size("turns").cast("bigint").alias("n_turns"), F.sha2(whole, 256).alias("turns_sha256"),
+        F.length("loss").cast("bigint").alias("loss_chars"), F.sha2("loss", 256).alias("loss_sha256"),
+        F.length("formatted").cast("bigint").alias("formatted_chars"))
+
+
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(table(spark, sf_dir, "documents").select("doc_id", "source"))
 
@@ -61,11 +75,13 @@ REGISTRY: dict[str, Query] = {
     "op5_pii": op5_pii,
     "op6_decontamination": op6_decontamination,
     "op7_language": op7_language,
+    "op8_chat": op8_chat,
     "op9_mixing": op9_mixing,
     "op10_near_duplicates": op10_near_duplicates,
 }
 
 ORACLE: dict[str, str] = {
     "op6_decontamination": sql.DECONTAMINATION,
+    "op8_chat": sql.CHAT,
     "op9_mixing": sql.MIXING,
 }

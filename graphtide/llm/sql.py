@@ -51,3 +51,19 @@ SELECT doc_id, source, CAST(mix_rank // 32 // w * total + slots.t AS BIGINT) AS
        CAST(mix_rank AS BIGINT) AS mix_rank, mix_rank // 32 // w * total + slots.t < horizon AS in_mix
 FROM d JOIN s USING (key) CROSS JOIN g CROSS JOIN ends JOIN slots ON slots.i = s.i AND slots.k = (mix_rank // 32) % w
 """
+
+_ESCAPED = "replace(replace(replace({0}, '\\', '\\b'), '#', '\\h'), '<', '\\l')"
+
+CHAT = f"""
+WITH c AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL VALUES (-7, 0, 'user', '\\### Assistant: </turn> ok'), (-7, 1, 'assistant', '\\### Assistant: </turn> ok')),
+g AS (
+  SELECT conv_id, count(*) AS n_turns, string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text) AS whole,
+         coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '') AS loss,
+         sum(length('### ' || replace({_ESCAPED.format('role')}, ':', '\\c') || ': ' || {_ESCAPED.format('text')} || '</turn>' || chr(10))) AS formatted_chars
+  FROM c GROUP BY conv_id)
+SELECT conv_id, CAST(n_turns AS BIGINT) AS n_turns, sha256(whole) AS turns_sha256, CAST(length(loss) AS BIGINT) AS loss_chars,
+       sha256(loss) AS loss_sha256, CAST(formatted_chars AS BIGINT) AS formatted_chars
+FROM g
+"""
