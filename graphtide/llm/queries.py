@@ -11,6 +11,7 @@ from graphtide.llm import quality, sql, toxicity
 from graphtide.llm.chat import format_conversations, masked_text, turns
 from graphtide.llm.common import fold, table
 from graphtide.llm.decontaminate import find_contamination
+from graphtide.llm.divergence import apply_rules
 from graphtide.llm.language import label_languages
 from graphtide.llm.mixing import mix_sources
 from graphtide.llm.near_dup import find_near_duplicates
@@ -33,6 +34,11 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"))
 
 
+def op4_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = apply_rules(table(spark, sf_dir, "documents"), keep=["doc_id"])
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "char_distance", "word_distance")
+
+
 def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_pii(table(spark, sf_dir, "documents"), keep=["doc_id"])
 
@@ -72,6 +78,7 @@ def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 REGISTRY: dict[str, Query] = {
     "op1_quality": op1_quality,
     "op2_toxicity": op2_toxicity,
+    "op4_divergence": op4_divergence,
     "op5_pii": op5_pii,
     "op6_decontamination": op6_decontamination,
     "op7_language": op7_language,
