@@ -12,7 +12,9 @@ Texts with the same words are one node.  Nodes that share a band are candidates;
 is a link when the exact weighted similarity is at least ``SIMILARITY``.  Within a band's
 bucket nodes are first compared with one node each, then only across components that are
 still apart, so a group of thousands of copies needs about one comparison for each of
-them, and no pair that could join two components is left out.
+them, and no pair that could join two components is left out.  Before that last step the
+shingles of the nodes left are counted: a node can overlap others at most in the shingles
+that another node has too, which rules out most pairs of a family of looser copies.
 
 With 32 bands of 6 components, a pair at similarity 0.8 is missed with probability 6e-5.
 
@@ -157,11 +159,14 @@ def _shingles() -> Callable[[pa.Array], list]:
     return columns
 
 
-def _verified(signed: DataFrame, pairs: DataFrame, text: str, purpose: str) -> DataFrame:
-    """The pairs (a, b) whose multisets overlap enough."""
-    nodes = pairs.select(F.col("a").alias(_ROW)).union(pairs.select("b")).distinct()
+def _bags(signed: DataFrame, nodes: DataFrame, text: str, purpose: str) -> DataFrame:
+    """The multisets of the nodes (a column of rows), as sets."""
     texts = signed.select(_ROW, named(text)).join(nodes, _ROW, "left_semi")
-    bags = stored(annotate(texts, text, [StructField("bag", ArrayType(LongType(), False))], _shingles, [_ROW]), f"near-dup-bags-{purpose}")
+    return stored(annotate(texts, text, [StructField("bag", ArrayType(LongType(), False))], _shingles, [_ROW]), f"near-dup-bags-{purpose}")
+
+
+def _verified(bags: DataFrame, pairs: DataFrame, purpose: str) -> DataFrame:
+    """The pairs (a, b) whose multisets overlap enough."""
     both = (
         pairs.join(bags.select(F.col(_ROW).alias("b"), F.col("bag").alias("bag_b")), "b")
         .join(bags.select(F.col(_ROW).alias("a"), F.col("bag").alias("bag_a")), "a")
@@ -218,28 +223,42 @@ def find_near_duplicates(docs: DataFrame, *, id: str = "doc_id", text: str = "te
     crowded = stored(buckets.join(shared, "bucket"), "near-dup-crowded").select("bucket", "node", "weight")
 
     # Each node with the first node of one of its buckets; then again with other nodes, across components.
+    texts = signed.select(_ROW, "␟body")
     links, labels = None, None
-    for number in range(1 + STAR_ROUNDS):
+    for number in range(STAR_ROUNDS):
         apart = crowded.withColumn("component", F.col("node")) if labels is None else _apart(crowded, labels)
-        if number < STAR_ROUNDS:
-            # The star's centre differs from round to round; the packed order is cheap to take the least of.
-            rank = F.col("node") if number == 0 else F.xxhash64("node", F.lit(number))
-            centre = apart.groupBy("bucket").agg(F.min(F.struct(rank.alias("rank"), "node", "weight", "component")).alias("c"))
-            pairs = (
-                apart.join(centre, "bucket").where((F.col("component") != F.col("c.component")) & _similar_size("weight", "c.weight"))
-                .groupBy("node").agg(F.min("c.node").alias("other"))
-            )
-        else:
-            other = apart.select("bucket", F.col("node").alias("other"), F.col("weight").alias("other_weight"), F.col("component").alias("other_component"))
-            pairs = apart.join(other, "bucket").where((F.col("component") < F.col("other_component")) & _similar_size("weight", "other_weight"))
-        pairs = stored(pairs.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct(), f"near-dup-pairs-{number}")
-        if pairs.isEmpty():
-            break
-        found = _verified(signed.select(_ROW, "␟body"), pairs, "␟body", str(number))
+        # The star's centre differs from round to round.
+        rank = F.col("node") if number == 0 else F.xxhash64("node", F.lit(number))
+        centre = apart.groupBy("bucket").agg(F.min(F.struct(rank.alias("rank"), "node", "weight", "component")).alias("c"))
+        pairs = (
+            apart.join(centre, "bucket").where((F.col("component") != F.col("c.component")) & _similar_size("weight", "c.weight"))
+            .groupBy("node").agg(F.min("c.node").alias("other"))
+        )
+        pairs = stored(_ordered(pairs), f"near-dup-pairs-{number}")
+        ends = pairs.select(F.col("a").alias(_ROW)).union(pairs.select("b")).distinct()
+        found = _verified(_bags(texts, ends, "␟body", str(number)), pairs, str(number))
         links = found if links is None else links.unionByName(found)
         if not links.isEmpty():
             labels = components(links, f"near-dup-{number}")
 
+    # What is still apart is compared in full, as far as the shingles leave room for a link.
+    apart = crowded.withColumn("component", F.col("node")) if labels is None else _apart(crowded, labels)
+    bags = _bags(texts, apart.select(F.col("node").alias(_ROW)).distinct(), "␟body", "rest")
+    single = bags.select(_ROW, F.explode("bag").alias("shingle"))
+    common = single.groupBy("shingle").agg(F.count("*").alias("n")).where("n > 1").select("shingle")
+    room = single.join(common, "shingle").groupBy(F.col(_ROW).alias("node")).agg(F.count("*").alias("room"))
+    near = stored(apart.join(room, "node").where(F.col("room") >= SIMILARITY * F.col("weight")), "near-dup-rest")
+    other = near.select("bucket", *[F.col(c).alias(f"other_{c}") for c in ("node", "weight", "component", "room")])
+    overlap = F.least("room", "other_room")
+    across = (F.col("component") < F.col("other_component")) & (overlap >= SIMILARITY * (F.col("weight") + F.col("other_weight") - overlap))
+    pairs = near.join(other, "bucket").where(across)
+    pairs = stored(_ordered(pairs.select("node", F.col("other_node").alias("other"))), "near-dup-pairs-rest")
+    if not pairs.isEmpty():
+        found = _verified(bags, pairs, "rest")
+        links = links.unionByName(found)
+        if not found.isEmpty():
+            labels = components(links, "near-dup-rest")
+
     whole = members
     if labels is not None:
         whole = members.join(labels, "node", "left").select(_ROW, F.coalesce("component", "node").alias("node"))
@@ -248,6 +267,10 @@ def find_near_duplicates(docs: DataFrame, *, id: str = "doc_id", text: str = "te
     return signed.select(*kept, _ROW).join(classes, _ROW).drop(_ROW)
 
 
+def _ordered(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct()
+
+
 def _apart(crowded: DataFrame, labels: DataFrame) -> DataFrame:
     """Rows of the buckets that hold more than one component."""
     known = crowded.join(labels, "node", "left").select("bucket", "node", "weight", F.coalesce("component", "node").alias("component"))
