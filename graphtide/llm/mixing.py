@@ -29,7 +29,7 @@ from graphtide.llm.common import named, stored
 
 BLOCK = 32
 RESOLUTION = 1000
-BUCKET = 20_000  # documents of a source that are ranked together, about
+BUCKET = 4_000  # documents of a source that are ranked together, about
 
 
 def _pattern(sources: DataFrame, weights: dict[str, float] | None) -> DataFrame:
