@@ -16,6 +16,7 @@ from graphtide.llm.language import label_languages
 from graphtide.llm.mixing import mix_sources
 from graphtide.llm.near_dup import find_near_duplicates
 from graphtide.llm.pii import find_pii
+from graphtide.llm.url_filter import Rule, filter_urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -34,6 +35,16 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"))
 
 
+RULES = [
+    Rule("allow", "com", "/"), Rule("block", "example.com", "/en/"), Rule("allow", "www.example.com", "/en/"),
+    Rule("block", "net", "/es/"), Rule("block", "net", "/fr/"),
+]
+
+
+def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_urls(table(spark, sf_dir, "pages").select("page_id", "url"), RULES, keep=["page_id"])
+
+
 def op4_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = apply_rules(table(spark, sf_dir, "documents"), keep=["doc_id"])
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "char_distance", "word_distance")
@@ -78,6 +89,7 @@ def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 REGISTRY: dict[str, Query] = {
     "op1_quality": op1_quality,
     "op2_toxicity": op2_toxicity,
+    "op3_url_filter": op3_url_filter,
     "op4_divergence": op4_divergence,
     "op5_pii": op5_pii,
     "op6_decontamination": op6_decontamination,
