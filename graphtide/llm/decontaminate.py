@@ -179,7 +179,8 @@ def find_contamination(
         if part is None:
             break
     none = annotate(here, text, FIELDS, partial(_search, spark.sparkContext.broadcast([])), [*(keep or docs.columns), "␟row"])
-    ends = F.transform(F.sequence(F.lit(0), F.size("hit_words") / 2 - 1), lambda i: F.struct(F.get("hit_words", (i * 2).cast("int")).alias("a"), F.get("hit_words", (i * 2 + 1).cast("int")).alias("b")))
+    begins = F.filter("hit_words", lambda _, i: i % 2 == 0)
+    ends = F.transform(begins, lambda x, i: F.struct(x.alias("a"), F.get("hit_words", i * 2 + 1).alias("b")))
     one = hits.select("␟row", "hit_items", ends.alias("r")).groupBy("␟row").agg(
         F.array_sort(F.flatten(F.collect_list("r"))).alias("r"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("hit_items")))).alias("items"))
     flat = F.aggregate(
