@@ -22,7 +22,8 @@ def labelled(docs: DataFrame, labels: DataFrame, label: str, trusted: Column, mo
     order = F.xxhash64(F.col("␟id").cast("string"))
     ids = [known.where(F.col("label") == value).orderBy(order, "␟id").limit(most) for value in (0, 1)]
     chosen = F.broadcast(ids[0].unionByName(ids[1]))
-    return docs.join(chosen, named(id) == F.col("␟id")).select(F.col("␟id").alias("id"), named(text).cast("string").alias("text"), "label")
+    texts = docs.select(named(id).alias("␟own"), named(text).cast("string").alias("text"))
+    return texts.join(chosen, F.col("␟own") == F.col("␟id")).select(F.col("␟id").alias("id"), "text", "label")
 
 
 @dataclass

@@ -12,9 +12,10 @@ Texts with the same words are one node.  Nodes that share a band are candidates;
 is a link when the exact weighted similarity is at least ``SIMILARITY``.  Within a band's
 bucket nodes are first compared with one node each, then only across components that are
 still apart, so a group of thousands of copies needs about one comparison for each of
-them, and no pair that could join two components is left out.  Before that last step the
-shingles of the nodes left are counted: a node can overlap others at most in the shingles
-that another node has too, which rules out most pairs of a family of looser copies.
+them, and no pair that could join two components is left out.  In that last step each
+node brings a longer signature of one bit a component: a pair whose bits differ more than
+``SKETCH_MISSES`` allows (a similarity of 0.8 does so with probability 3e-5) is ruled out
+within the join, which keeps a family of looser copies from being expanded into pairs.
 
 With 32 bands of 6 components, a pair at similarity 0.8 is missed with probability 6e-5.
 
@@ -25,6 +26,7 @@ each class the first row stays (``kept``) and gives ``class_id``.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -39,6 +41,11 @@ SIMILARITY = 0.8
 BANDS, ROWS = 32, 6
 COMPONENTS = BANDS * ROWS
 STAR_ROUNDS = 2
+SKETCH = 2048
+# Bits agree with probability (1 + similarity) / 2; four standard deviations below 0.8.
+SKETCH_MISSES = int(SKETCH * 0.1 + 4 * (SKETCH * 0.09) ** 0.5)
+# Ids up to which a semi-join may broadcast them (8 bytes each); more are joined by a shuffle.
+BROADCAST_IDS = 2_000_000
 _ROW = "␟row"
 _U = np.uint64
 
@@ -87,9 +94,9 @@ class Bags:
         return mixed(np.repeat(self.code, self.count) + copy.astype(_U)), np.repeat(self.text, self.count)
 
 
-def signatures(bags: Bags) -> np.ndarray:
-    """Signature of each text, a row of ``COMPONENTS``; texts without shingles have noughts."""
-    out = np.zeros((bags.texts, COMPONENTS), _U)
+def signatures(bags: Bags, components: int = COMPONENTS) -> np.ndarray:
+    """Signature of each text, a row of ``components``; texts without shingles have noughts."""
+    out = np.zeros((bags.texts, components), _U)
     levels = np.ceil(np.log2(bags.count)).astype(np.int64) + 1  # pieces (0,1], (1,2], (2,4], ...
     item = np.repeat(np.arange(len(bags.code)), levels)
     level = np.arange(levels.sum()) - np.repeat(np.cumsum(levels) - levels, levels)
@@ -98,7 +105,7 @@ def signatures(bags: Bags) -> np.ndarray:
     width = np.maximum(lower, 1)
     texts, most = bags.text[item], bags.count[item]
     todo = bags.weight > 0
-    until = np.where(todo, (np.log(COMPONENTS) + 2) / np.maximum(bags.weight, 1), 0)
+    until = np.where(todo, (np.log(components) + 2) / np.maximum(bags.weight, 1), 0)
     while todo.any():
         own = np.flatnonzero(todo[texts])
         seed, text, wide, low, high = seeds[own], texts[own], width[own], lower[own], most[own]
@@ -107,11 +114,11 @@ def signatures(bags: Bags) -> np.ndarray:
         cells, times, values = [], [], []
         while len(seed):
             drawn = mixed(seed + _U(step * 0xD1342543DE82EF95 % (1 << 64)))
-            time = time - np.log(((drawn >> _U(11)).astype(np.float64) + 1) * 2.0**-53) / (COMPONENTS * wide)
+            time = time - np.log(((drawn >> _U(11)).astype(np.float64) + 1) * 2.0**-53) / (components * wide)
             live = time <= until[text]
             seed, text, wide, low, high, time, drawn = (x[live] for x in (seed, text, wide, low, high, time, drawn))
             value = mixed(drawn + _U(0x2545F4914F6CDD1D))
-            cell = text * COMPONENTS + ((value >> _U(33)) * _U(COMPONENTS) >> _U(31)).astype(np.int64)
+            cell = text * components + ((value >> _U(33)) * _U(components) >> _U(31)).astype(np.int64)
             within = low + ((value & _U(0xFFFFFFFF)) * wide.astype(_U) >> _U(32)).astype(np.int64) < high
             cells.append(cell[within])
             times.append(time[within])
@@ -149,20 +156,32 @@ def _sign() -> Callable[[pa.Array], list]:
     return columns
 
 
-def _shingles() -> Callable[[pa.Array], list]:
+BAG = [StructField("bag", ArrayType(LongType(), False))]
+SKETCHED = [*BAG, StructField("sketch", ArrayType(LongType(), False))]
+
+
+def _shingles(sketched: bool) -> Callable[[pa.Array], list]:
     def columns(texts: pa.Array) -> list[pa.Array]:
-        codes, text = Bags(texts).expanded()
+        bags = Bags(texts)
+        codes, text = bags.expanded()
         order = np.argsort(text, kind="stable")
         size = np.bincount(text, minlength=len(texts))
-        return [pa.ListArray.from_arrays(np.concatenate([[0], np.cumsum(size)]).astype(np.int32), pa.array(codes[order].view(np.int64)))]
+        made = [pa.ListArray.from_arrays(np.concatenate([[0], np.cumsum(size)]).astype(np.int32), pa.array(codes[order].view(np.int64)))]
+        if sketched:
+            bits = np.packbits((signatures(bags, SKETCH) & _U(1)).astype(np.uint8), axis=1).view(np.int64)
+            made.append(pa.ListArray.from_arrays(np.arange(0, bits.size + 1, SKETCH // 64, dtype=np.int32), pa.array(bits.ravel())))
+        return made
 
     return columns
 
 
-def _bags(signed: DataFrame, nodes: DataFrame, text: str, purpose: str) -> DataFrame:
-    """The multisets of the nodes (a column of rows), as sets."""
-    texts = signed.select(_ROW, named(text)).join(nodes, _ROW, "left_semi")
-    return stored(annotate(texts, text, [StructField("bag", ArrayType(LongType(), False))], _shingles, [_ROW]), f"near-dup-bags-{purpose}")
+def _bags(signed: DataFrame, nodes: DataFrame, purpose: str, sketched: bool = False) -> DataFrame:
+    """The multisets of the nodes (a column of rows), as sets; with their bands and sketches if wanted."""
+    ids = stored(nodes.distinct(), f"near-dup-nodes-{purpose}")
+    small = ids.count() <= BROADCAST_IDS
+    texts = signed.select(_ROW, "␟bands", "␟body").join(F.broadcast(ids) if small else ids, _ROW, "left_semi")
+    keep = [_ROW, "␟bands"] if sketched else [_ROW]
+    return stored(annotate(texts, "␟body", SKETCHED if sketched else BAG, partial(_shingles, sketched), keep), f"near-dup-bags-{purpose}")
 
 
 def _verified(bags: DataFrame, pairs: DataFrame, purpose: str) -> DataFrame:
@@ -223,7 +242,6 @@ def find_near_duplicates(docs: DataFrame, *, id: str = "doc_id", text: str = "te
     crowded = stored(buckets.join(shared, "bucket"), "near-dup-crowded").select("bucket", "node", "weight")
 
     # Each node with the first node of one of its buckets; then again with other nodes, across components.
-    texts = signed.select(_ROW, "␟body")
     links, labels = None, None
     for number in range(STAR_ROUNDS):
         apart = crowded.withColumn("component", F.col("node")) if labels is None else _apart(crowded, labels)
@@ -235,23 +253,20 @@ def find_near_duplicates(docs: DataFrame, *, id: str = "doc_id", text: str = "te
             .groupBy("node").agg(F.min("c.node").alias("other"))
         )
         pairs = stored(_ordered(pairs), f"near-dup-pairs-{number}")
-        ends = pairs.select(F.col("a").alias(_ROW)).union(pairs.select("b")).distinct()
-        found = _verified(_bags(texts, ends, "␟body", str(number)), pairs, str(number))
+        ends = pairs.select(F.col("a").alias(_ROW)).union(pairs.select("b"))
+        found = _verified(_bags(signed, ends, str(number)), pairs, str(number))
         links = found if links is None else links.unionByName(found)
         if not links.isEmpty():
             labels = components(links, f"near-dup-{number}")
 
-    # What is still apart is compared in full, as far as the shingles leave room for a link.
+    # What is still apart is compared in full, each pair in the first bucket that both are in.
     apart = crowded.withColumn("component", F.col("node")) if labels is None else _apart(crowded, labels)
-    bags = _bags(texts, apart.select(F.col("node").alias(_ROW)).distinct(), "␟body", "rest")
-    single = bags.select(_ROW, F.explode("bag").alias("shingle"))
-    common = single.groupBy("shingle").agg(F.count("*").alias("n")).where("n > 1").select("shingle")
-    room = single.join(common, "shingle").groupBy(F.col(_ROW).alias("node")).agg(F.count("*").alias("room"))
-    near = stored(apart.join(room, "node").where(F.col("room") >= SIMILARITY * F.col("weight")), "near-dup-rest")
-    other = near.select("bucket", *[F.col(c).alias(f"other_{c}") for c in ("node", "weight", "component", "room")])
-    overlap = F.least("room", "other_room")
-    across = (F.col("component") < F.col("other_component")) & (overlap >= SIMILARITY * (F.col("weight") + F.col("other_weight") - overlap))
-    pairs = near.join(other, "bucket").where(across)
+    bags = _bags(signed, apart.select(F.col("node").alias(_ROW)), "rest", sketched=True)
+    near = apart.join(bags.select(F.col(_ROW).alias("node"), F.col("␟bands").alias("bands"), "sketch"), "node")
+    other = near.select("bucket", *[F.col(c).alias(f"other_{c}") for c in ("node", "weight", "component", "bands", "sketch")])
+    misses = F.aggregate(F.zip_with("sketch", "other_sketch", lambda a, b: F.bit_count(a.bitwiseXOR(b))), F.lit(0), lambda a, x: a + x)
+    across = (F.col("component") < F.col("other_component")) & _similar_size("weight", "other_weight") & (misses <= SKETCH_MISSES)
+    pairs = near.join(other, "bucket").where(across & (F.array_min(F.array_intersect("bands", "other_bands")) == F.col("bucket")))
     pairs = stored(_ordered(pairs.select("node", F.col("other_node").alias("other"))), "near-dup-pairs-rest")
     if not pairs.isEmpty():
         found = _verified(bags, pairs, "rest")

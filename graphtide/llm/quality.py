@@ -128,7 +128,8 @@ def train(docs: DataFrame, labels: DataFrame, trusted: Callable[[Column], Column
     ids = docs.select(named(id).alias("␟id")).where(trusted(F.col("␟id")))
     free = ids.join(labels.select(named(id).alias("␟id")), "␟id", "left_anti").where("`␟id` is not null").distinct()
     chosen = F.broadcast(free.orderBy(F.xxhash64(F.col("␟id").cast("string")), "␟id").limit(SAMPLE))
-    unlabelled = docs.join(chosen, named(id) == F.col("␟id")).select(named(text).cast("string").alias("text"), F.lit(-1).alias("label"))
+    texts = docs.select(named(id).alias("␟own"), named(text).cast("string").alias("text"))
+    unlabelled = texts.join(chosen, F.col("␟own") == F.col("␟id")).select("text", F.lit(-1).alias("label"))
     rows = labelled(docs, labels, label, trusted(named(id)), SAMPLE, id=id, text=text).select("text", "label").unionByName(unlabelled)
     rows = stored(annotate(rows, "text", [StructField("f", ArrayType(FloatType()))], _features, ["label"]), "quality-sample").toArrow()
     y = rows.column("label").to_numpy()

@@ -106,17 +106,17 @@ def differences(urls: DataFrame, model: DataFrame, key: str, keep: list[str]) ->
 
 
 def threshold(scored: DataFrame) -> float:
-    """The difference that best separates accepted from rejected URLs (balanced); the middle of ties."""
+    """The difference that best separates accepted from rejected URLs (balanced), in the middle of the gap around it."""
     place = F.floor(F.greatest(F.lit(-LIMIT), F.least(F.lit(LIMIT), F.col("difference"))) / BIN)
     bins = scored.groupBy(place.alias("bin")).agg(F.count_if("accepted").alias("a"), F.count_if(~F.col("accepted")).alias("r"))  # 4001 rows at most
     rows = sorted((r["bin"], r["a"], r["r"]) for r in bins.collect())
     accepted, rejected = sum(r[1] for r in rows), sum(r[2] for r in rows)
     if not accepted or not rejected:
         return 0.0
-    best, below_a, below_r = [], 0, 0
+    best, below_a, below_r, before = [], 0, 0, rows[0][0] - 1
     for at, a, r in [*rows, (rows[-1][0] + 1, 0, 0)]:
-        best.append((below_r / rejected - below_a / accepted, at))
-        below_a, below_r = below_a + a, below_r + r
+        best.append((below_r / rejected - below_a / accepted, (before + 1 + at) / 2))
+        below_a, below_r, before = below_a + a, below_r + r, at
     top = max(b for b, _ in best)
     ties = [at for b, at in best if b > top - 1e-12]
     return ties[len(ties) // 2] * BIN
