@@ -44,6 +44,7 @@ STAR_ROUNDS = 2
 SKETCH = 2048
 # Bits agree with probability (1 + similarity) / 2; four standard deviations below 0.8.
 SKETCH_MISSES = int(SKETCH * 0.1 + 4 * (SKETCH * 0.09) ** 0.5)
+CELLS = 200_000  # components of the texts that are drawn together; about a dozen points each
 # Ids up to which a semi-join may broadcast them (8 bytes each); more are joined by a shuffle.
 BROADCAST_IDS = 2_000_000
 _ROW = "␟row"
@@ -97,15 +98,26 @@ class Bags:
 def signatures(bags: Bags, components: int = COMPONENTS) -> np.ndarray:
     """Signature of each text, a row of ``components``; texts without shingles have noughts."""
     out = np.zeros((bags.texts, components), _U)
-    levels = np.ceil(np.log2(bags.count)).astype(np.int64) + 1  # pieces (0,1], (1,2], (2,4], ...
-    item = np.repeat(np.arange(len(bags.code)), levels)
+    order = np.argsort(bags.text, kind="stable")
+    code, text, count = bags.code[order], bags.text[order], bags.count[order]
+    step = max(1, CELLS // components)
+    for a in range(0, bags.texts, step):
+        low, high = np.searchsorted(text, [a, a + step])
+        _fill(out[a : a + step], code[low:high], text[low:high] - a, count[low:high], bags.weight[a : a + step])
+    return out
+
+
+def _fill(out: np.ndarray, code: np.ndarray, text_of: np.ndarray, count: np.ndarray, weight: np.ndarray) -> None:
+    components = out.shape[1]
+    levels = np.ceil(np.log2(count)).astype(np.int64) + 1  # pieces (0,1], (1,2], (2,4], ...
+    item = np.repeat(np.arange(len(code)), levels)
     level = np.arange(levels.sum()) - np.repeat(np.cumsum(levels) - levels, levels)
-    seeds = mixed(bags.code[item] + level.astype(_U) * _U(RADIX))
+    seeds = mixed(code[item] + level.astype(_U) * _U(RADIX))
     lower = np.where(level == 0, 0, 1 << np.maximum(level - 1, 0))
     width = np.maximum(lower, 1)
-    texts, most = bags.text[item], bags.count[item]
-    todo = bags.weight > 0
-    until = np.where(todo, (np.log(components) + 2) / np.maximum(bags.weight, 1), 0)
+    texts, most = text_of[item], count[item]
+    todo = weight > 0
+    until = np.where(todo, (np.log(components) + 2) / np.maximum(weight, 1), 0)
     while todo.any():
         own = np.flatnonzero(todo[texts])
         seed, text, wide, low, high = seeds[own], texts[own], width[own], lower[own], most[own]
@@ -131,7 +143,6 @@ def signatures(bags: Bags, components: int = COMPONENTS) -> np.ndarray:
         flat[cell[first]] = value[first]
         todo = todo & np.isinf(earliest.reshape(out.shape)).any(1)
         until = np.where(todo, until * 2, until)
-    return out
 
 
 SIGNED = [StructField("␟key", BinaryType()), StructField("␟weight", LongType()), StructField("␟bands", ArrayType(LongType(), False))]
