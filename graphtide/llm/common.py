@@ -15,7 +15,7 @@ from pyspark.sql.types import StructField, StructType
 from graphtide.streaming.files import shared_dir
 
 # Bytes of text that a task works on at once; one longer text makes a piece of its own.
-PIECE_BYTES = 4_000_000
+PIECE_BYTES = 1_000_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -44,7 +44,7 @@ STAR_ROUNDS = 2
 SKETCH = 2048
 # Bits agree with probability (1 + similarity) / 2; four standard deviations below 0.8.
 SKETCH_MISSES = int(SKETCH * 0.1 + 4 * (SKETCH * 0.09) ** 0.5)
-CELLS = 200_000  # components of the texts that are drawn together; about a dozen points each
+CELLS = 100_000  # components of the texts that are drawn together; about a dozen points each
 # Ids up to which a semi-join may broadcast them (8 bytes each); more are joined by a shuffle.
 BROADCAST_IDS = 2_000_000
 _ROW = "␟row"
