@@ -105,7 +105,13 @@ def iso_zoned(value: Column, tz: str = "UTC", *, malformed: str = "raise") -> Co
         raise ValueError(f"malformed must be 'raise' or 'null', not {malformed!r}")
     # A zone designator is required: a bare local time would be read in the session zone.
     zoned = F.when(value.rlike(r"(Z|[+-]\d{2}(:?\d{2})?)$"), value)
-    rendered = iso_instant(F.try_to_timestamp(zoned), tz)
+    # An instant stops at microseconds; the digits behind them are taken from the text.
+    wall = iso_instant(F.try_to_timestamp(F.regexp_replace(zoned, r"(\.\d{6})\d+", "$1")), tz)
+    behind = F.regexp_extract(zoned, r"\.\d{6}(\d{1,3})", 1)
+    behind = F.when(behind.rlike("[1-9]"), F.rpad(behind, 3, "0")).otherwise("")
+    whole = F.when(wall.contains("."), F.concat(F.substring_index(wall, ".", 1), F.lit("."), F.rpad(F.substring_index(wall, ".", -1), 6, "0")))
+    whole = F.coalesce(whole, F.concat(wall, F.lit(".000000")))
+    rendered = F.when(behind == "", wall).otherwise(F.concat(whole, behind))
     if malformed == "null":
         return rendered
     complaint = F.raise_error(F.concat(F.lit("not a zoned timestamp: "), value)).cast("string")

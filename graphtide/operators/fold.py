@@ -1,8 +1,12 @@
 """Folding change rows into the current state of a label.
 
-The newest change of a key wins, in the order of ``_seq``.  Ties are broken by
-"a delete beats anything else" and then by the property values, so the result
-depends neither on the arrival order nor on how often a change is delivered.
+The newest change of a key wins.  Where a change has a log position (``_seq.file``
+and ``pos``) that decides, as the second of a statement that waited for a lock lies
+before its place in the log; without a file the second comes first, then ``pos`` and
+``row``.  Ties are broken by "a delete beats anything else" and then by the property
+values, so the result depends neither on the arrival order nor on how often a change is
+delivered.  Sources that feed one label should not share keys: positions of different
+logs compare by file name, which says nothing about time.
 """
 
 from __future__ import annotations
@@ -20,10 +24,36 @@ def with_deleted(changes: DataFrame) -> DataFrame:
     return changes.withColumn(DELETED, F.col(OP) == "d").drop(OP) if OP in changes.columns else changes
 
 
+def _order(seq: Column) -> Column:
+    """``_seq`` as a value that compares as changes do; ``_seq_of`` undoes it."""
+    file = seq.getField("file")
+    placed = F.length(file) > 0
+    pos, row = seq.getField("pos"), seq.getField("row")
+    return F.struct(
+        # A longer name is a later file: counters outgrow their leading zeros.
+        F.length(file).alias("width"), file.alias("file"), F.when(placed, pos).alias("at"), F.when(placed, row).alias("nth"),
+        seq.getField("ts_sec").alias("ts_sec"), F.when(~placed, pos).alias("pos"), F.when(~placed, row).alias("row"),
+    )
+
+
+def _seq_of(order: Column) -> Column:
+    get = order.getField
+    return F.struct(
+        get("ts_sec").alias("ts_sec"), get("file").alias("file"), F.coalesce(get("at"), get("pos")).alias("pos"),
+        F.coalesce(get("nth"), get("row")).alias("row"),
+    )
+
+
 def _version(df: DataFrame, keys: Sequence[str]) -> Column:
     """Everything but the key as one comparable value, order first."""
     rest = [c for c in df.columns if c not in {*keys, SEQ, DELETED}]
-    return F.struct(SEQ, DELETED, *[quoted(c) for c in rest])
+    return F.struct(_order(F.col(SEQ)).alias("order"), DELETED, *[quoted(c) for c in rest])
+
+
+def _unpacked(df: DataFrame, keys: Sequence[str], label: Label) -> DataFrame:
+    """Undo ``_version`` (column ``newest``)."""
+    rows = df.select(*keys, "newest.*").withColumn(SEQ, _seq_of(F.col("order")))
+    return rows.select(*state_columns(label), SEQ, DELETED)
 
 
 def latest_changes(changes: DataFrame, label: Label) -> DataFrame:
@@ -34,7 +64,7 @@ def latest_changes(changes: DataFrame, label: Label) -> DataFrame:
     """
     changes = with_deleted(changes)
     newest = changes.groupBy(*label.key_names).agg(F.max(_version(changes, label.key_names)).alias("newest"))
-    return newest.select(*label.key_names, "newest.*").select(*state_columns(label), SEQ, DELETED)
+    return _unpacked(newest, label.key_names, label)
 
 
 def state_columns(label: Label) -> list[str]:
@@ -65,17 +95,21 @@ def bootstrap_then_tail(snapshot: DataFrame, tail: DataFrame) -> DataFrame:
     return snapshot.unionByName(tail)
 
 
-def merge_latest(base: DataFrame, tail: DataFrame, label: Label) -> DataFrame:
+def merge_latest(base: DataFrame, tail: DataFrame, label: Label, on: Sequence[str] | None = None) -> DataFrame:
     """Two folded tables into one; each has a key at most once.
 
-    A full outer join on the whole key: when ``base`` is bucketed by it, only
-    ``tail`` is shuffled.
+    A full outer join on ``on`` (the whole key by default): when ``base`` is
+    bucketed by it, only ``tail`` is shuffled.  A rank that is always 0 must not
+    be among ``on``: the optimiser would fold it out of the join.
     """
-    keys = label.key_names
-    old = base.select(*keys, _version(base, keys).alias("old"))
-    new = tail.select(*base.columns).select(*keys, _version(base, keys).alias("new"))
+    keys = list(on or label.key_names)
+    old = base.select(*keys, _version(base, label.key_names).alias("old"))
+    new = tail.select(*base.columns).select(*keys, _version(base, label.key_names).alias("new"))
     newest = old.join(new, keys, "full_outer").select(*keys, F.greatest("old", "new").alias("newest"))
-    return newest.select(*keys, "newest.*").select(*base.columns)
+    for constant in label.key_names:
+        if constant not in keys:
+            newest = newest.withColumn(constant, F.lit(0).cast("bigint"))
+    return _unpacked(newest, label.key_names, label)
 
 
 def state_stream(changes: DataFrame, label: Label) -> DataFrame:

@@ -129,15 +129,17 @@ def normalize_changes(raw: DataFrame, types: Mapping[str, str] | None = None, *,
 
     ``raw`` has ``schema_name, op, before, after, source_offset`` and, when the
     table has a primary key, ``key``; a ``source`` column is kept.  With
-    ``track_key_moves`` (the columns a label is identified by) an update that
-    changes one of them also deletes what stood under the old values.
+    ``track_key_moves`` (the columns labels are identified by) an update that
+    changes one of them also deletes what stood under the old values.  The delete
+    comes just before its update (``row`` less one), so a label whose own key
+    stayed keeps its vertex or edge.
     ``as_text=False`` leaves ``data`` a struct.
     """
     schema = raw.schema["after"].dataType
     db, table = split_origin(F.col("schema_name"))
     offset = F.col("source_offset")
     op, before, after = F.col("op"), F.col("before"), F.col("after")
-    picked = F.struct(op.alias("op"), pick_image(op, before, after).alias("image"))
+    picked = F.struct(op.alias("op"), pick_image(op, before, after).alias("image"), F.lit(0).alias("ahead"))
     images = F.array(picked)
     if track_key_moves:
         moved = F.lit(False)
@@ -145,7 +147,7 @@ def normalize_changes(raw: DataFrame, types: Mapping[str, str] | None = None, *,
             moved = moved | ~before.getField(name).eqNullSafe(after.getField(name))
         moved = (op == "u") & before.isNotNull() & after.isNotNull() & moved
         images = F.when(
-            moved, F.array(F.struct(F.lit("d").alias("op"), before.alias("image")), picked)
+            moved, F.array(F.struct(F.lit("d").alias("op"), before.alias("image"), F.lit(1).alias("ahead")), picked)
         ).otherwise(images)
     envelope = [
         offset["ts_sec"].cast("bigint").alias("ts_sec"),
@@ -159,6 +161,8 @@ def normalize_changes(raw: DataFrame, types: Mapping[str, str] | None = None, *,
         envelope.append(F.col("source"))
     if track_key_moves:
         rows = raw.select(*envelope, F.inline(images))
+        # On equal order a delete wins, so it must not share that of its update.
+        rows = rows.withColumn("seq", F.col("seq").withField("row", F.col("seq.row") - F.col("ahead"))).drop("ahead")
     else:
         rows = raw.select(*envelope, op, picked["image"].alias("image"))
     data = render_row(F.col("image"), schema, types, **options)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -12,41 +13,59 @@ from graphtide.operators.route import route_table
 from graphtide.plans.spec import OP, RANK, SEQ, EdgeMap, GraphSpec, Label, VertexMap, quoted
 from graphtide.sources.envelopes import ENVELOPE, decode_envelopes
 
+BAD = "_bad"
 
-def project_slots(changes: DataFrame, label: Label) -> DataFrame:
+
+def project_slots(changes: DataFrame, label: Label, carry: Sequence[str] = ()) -> DataFrame:
     """Row image as typed columns in slot order; a column the image lacks is null.
 
+    A value that does not fit its declared type leaves the image's text in ``_bad``.
     ``changes`` are envelopes of the label's table, whose row image is a struct
     ``data``, JSON text ``data``, or still inside the record (``envelope``).
-    The result also has the operation and the ordering column.
+    The result also has the operation, the ordering column and those to ``carry``.
     """
     control = [F.col("op").alias(OP), F.col("seq").alias(SEQ)]
+    bad = F.lit(None).cast("string")
     if "data" in changes.columns and isinstance(changes.schema["data"].dataType, T.StructType):
         row = F.col("data")
         present = set(changes.schema["data"].dataType.names)
     else:
-        text = F.col("data") if "data" in changes.columns else F.col(ENVELOPE)
-        schema = label.data_ddl if "data" in changes.columns else f"data: struct<{label.data_ddl}>"
-        parsed = F.from_json(text, f"struct<{schema}>")
-        image = parsed if "data" in changes.columns else parsed.getField("data")
+        own = "data" in changes.columns
+        text = F.col("data") if own else F.col(ENVELOPE)
+        schema = label.data_ddl if own else f"data: struct<{label.data_ddl}>"
+        parsed = F.from_json(text, f"struct<{schema}, {BAD}: string>", {"columnNameOfCorruptRecord": BAD})
         # As in decode_envelopes, a generator keeps the parser from being copied.
-        changes = changes.select("op", "seq", F.explode(F.array(image)).alias("data"))
-        row, present = F.col("data"), set(label.slots)
+        changes = changes.select(*dict.fromkeys(["op", "seq", *carry]), F.explode(F.array(parsed)).alias("parsed"))
+        row, present = F.col("parsed") if own else F.col("parsed.data"), set(label.slots)
+        bad = F.col("parsed").getField(BAD)
     slots = [
         (row.getField(c) if c in present else F.lit(None)).cast(label.type_of(c)).alias(c) for c in label.slots
     ]
-    return changes.select(*slots, *control)
+    return changes.select(*slots, *control, bad.alias(BAD), *carry)
 
 
 def map_columns(slots: DataFrame, label: Label) -> DataFrame:
     """Slots to key and property columns, bound by name.
 
     A missing rank is rank 0.  A row without an id, source or destination can
-    not be stored and is dropped; ``null_keys`` returns those.
+    not be stored, and one with a value of the wrong type would store a null; both
+    are left out and ``rejected_slots`` returns them.  A delete needs its key only.
     """
+    if BAD in slots.columns:
+        slots = slots.where(F.col(BAD).isNull() | (F.col(OP) == "d"))
     return _mapped(slots, label).dropna(subset=label.key_names)
 
 
+def rejected_slots(slots: DataFrame, label: Label) -> DataFrame:
+    """Projected changes that ``map_columns`` leaves out, with the ``reason``: ``bad_value`` or ``null_key``."""
+    missing = F.lit(False)
+    for name, ref in label.keys.items():
+        if name != RANK:
+            missing = missing | F.col(quoted(ref.column)).isNull()
+    spoiled = F.col(BAD).isNotNull() & ((F.col(OP) != "d") | missing)
+    return slots.withColumn("reason", F.when(spoiled, "bad_value").when(missing, "null_key")).where("reason IS NOT NULL")
+
+
 def null_keys(slots: DataFrame, label: Label) -> DataFrame:
     """Projected changes that name no vertex or edge."""
     missing = F.lit(False)

@@ -9,9 +9,6 @@ from graphtide.plans.spec import GraphSpec, Label
 from graphtide.sources.envelopes import BAD_JSON
 
 INSERT, UPDATE, DELETE = "INSERT", "UPDATE", "DELETE"
-# Most labels that may be broadcast as routes (about 100 bytes each); a larger
-# spec leaves the choice of join to the optimiser.
-MAX_BROADCAST_ROUTES = 50_000
 ROUTE_DDL = "source string, db string, `table` string, label string, kind string, index_columns array<string>"
 _ON = ["source", "db", "table"]
 
@@ -31,13 +28,10 @@ def routes(spark: SparkSession, spec: GraphSpec) -> DataFrame:
     return spark.createDataFrame(rows, ROUTE_DDL)
 
 
-def _small(df: DataFrame, spec: GraphSpec) -> DataFrame:
-    return F.broadcast(df) if len(spec.labels) <= MAX_BROADCAST_ROUTES else df
-
-
 def _tables(spark: SparkSession, spec: GraphSpec) -> DataFrame:
     named = sorted({(x.source, x.db, x.table) for x in spec.labels})
-    return _small(spark.createDataFrame(named, "source string, db string, `table` string"), spec)
+    # As many rows as the mapping has tables; the mapping is an object of the driver anyway.
+    return F.broadcast(spark.createDataFrame(named, "source string, db string, `table` string"))
 
 
 def scope_feed(feed: DataFrame, spec: GraphSpec) -> DataFrame:
@@ -59,7 +53,7 @@ def fan_out(feed: DataFrame, spec: GraphSpec) -> DataFrame:
     Adds ``label``, ``kind``, ``index_columns`` and ``op_class``.
     """
     known = with_source(feed).withColumn("op_class", op_class(F.col("op"))).where("op_class IS NOT NULL")
-    return known.join(_small(routes(feed.sparkSession, spec), spec), _ON, "inner")
+    return known.join(F.broadcast(routes(feed.sparkSession, spec)), _ON, "inner")
 
 
 def unrouted(feed: DataFrame, spec: GraphSpec) -> DataFrame:
@@ -79,7 +73,18 @@ def judge(feed: DataFrame, spec: GraphSpec) -> DataFrame:
     bad = F.col(BAD_JSON).isNotNull() if BAD_JSON in feed.columns else F.lit(False)
     reason = F.when(F.col("label").isNull(), F.when(bad, "bad_json").when(~F.col("_known"), "bad_op")
                     .otherwise("unrouted"))
-    return feed.join(_small(plan, spec), [*_ON, "_known"], "left").withColumn("reason", reason).drop("_known")
+    return feed.join(F.broadcast(plan), [*_ON, "_known"], "left").withColumn("reason", reason).drop("_known")
+
+
+def judge_tables(feed: DataFrame, spec: GraphSpec) -> DataFrame:
+    """``judge`` without the labels: every change once, with a null reason if some label reads its table."""
+    feed = with_source(feed)
+    tables = _tables(feed.sparkSession, spec).withColumn("_read", F.lit(True))
+    bad = F.col(BAD_JSON).isNotNull() if BAD_JSON in feed.columns else F.lit(False)
+    reason = (
+        F.when(bad, "bad_json").when(op_class(F.col("op")).isNull(), "bad_op").when(F.col("_read").isNull(), "unrouted")
+    )
+    return feed.join(F.broadcast(tables), _ON, "left").withColumn("reason", reason).drop("_read")
 
 
 def rejects(feed: DataFrame, spec: GraphSpec) -> DataFrame:

@@ -47,41 +47,41 @@ def _salted_semi(edges: DataFrame, wanted: DataFrame, on: list[str], spread: Col
     return salted.join(wanted, [*on, "_salt"], "left_semi").drop("_salt")
 
 
-def graph_stats(vertices: Mapping[str, DataFrame], edges: Mapping[str, DataFrame]) -> DataFrame:
-    """Rows per tag and edge type, and the totals of the space.
+def graph_stats(vertices: Mapping[tuple[str, str], DataFrame], edges: Mapping[tuple[str, str], DataFrame]) -> DataFrame:
+    """Rows per tag and edge type, and the totals of each space.
 
-    ``type`` is Tag, Edge or Space.  A vertex that carries several tags counts
-    once in the total.  Every label is read once: vertices are grouped by id,
+    The labels are keyed by (space, name).  ``type`` is Tag, Edge or Space.  A
+    vertex that carries several tags of a space counts once in its total.  Every label is read once: vertices are grouped by id,
     and each group votes for its tags and for the total.
     """
-    names = [("Tag", n) for n in vertices] + [("Edge", n) for n in edges]
-    names += [("Space", "vertices")] * bool(vertices) + [("Space", "edges")] * bool(edges)
+    names = [(s, "Tag", n) for s, n in vertices] + [(s, "Edge", n) for s, n in edges]
+    names += [(s, "Space", what) for what, labels in (("vertices", vertices), ("edges", edges)) for s in dict.fromkeys(s for s, _ in labels)]
     if not names:
         raise ValueError("no label given")
     votes = []
     if vertices:
         tagged = _labelled(vertices, F.col(VID).cast("string").alias(VID))
         total = F.struct(F.lit("Space").alias("type"), F.lit("vertices").alias("name"))
-        per_id = tagged.groupBy(VID).agg(F.collect_set("name").alias("tags"))
+        per_id = tagged.groupBy("space", VID).agg(F.collect_set("name").alias("tags"))
         tags = F.transform("tags", lambda t: F.struct(F.lit("Tag").alias("type"), t.alias("name")))
-        votes.append(per_id.select(F.inline(F.array_append(tags, total))).withColumn("n", F.lit(1)))
+        votes.append(per_id.select("space", F.inline(F.array_append(tags, total))).withColumn("n", F.lit(1)))
     if edges:
-        per_type = _labelled(edges).groupBy("name").agg(F.count(F.lit(1)).alias("n"))
+        per_type = _labelled(edges).groupBy("space", "name").agg(F.count(F.lit(1)).alias("n"))
         both = F.array(
             F.struct(F.lit("Edge").alias("type"), F.col("name").alias("name")),
             F.struct(F.lit("Space").alias("type"), F.lit("edges").alias("name")),
         )
-        votes.append(per_type.select("n", F.inline(both)))
-    counted = reduce(DataFrame.unionByName, votes).groupBy("type", "name").agg(F.sum("n").alias("n"))
+        votes.append(per_type.select("space", "n", F.inline(both)))
+    counted = reduce(DataFrame.unionByName, votes).groupBy("space", "type", "name").agg(F.sum("n").alias("n"))
     # As many rows as labels: this join only adds the labels without rows.
-    listed = counted.sparkSession.createDataFrame(names, "type string, name string")
-    return listed.join(counted, ["type", "name"], "left").select(
-        "type", "name", F.coalesce("n", F.lit(0)).alias("count")
+    listed = counted.sparkSession.createDataFrame(names, "space string, type string, name string")
+    return listed.join(counted, ["space", "type", "name"], "left").select(
+        "space", "type", "name", F.coalesce("n", F.lit(0)).alias("count")
     )
 
 
-def _labelled(frames: Mapping[str, DataFrame], *columns: Column) -> DataFrame:
-    parts = [df.select(F.lit(name).alias("name"), *columns) for name, df in frames.items()]
+def _labelled(frames: Mapping[tuple[str, str], DataFrame], *columns: Column) -> DataFrame:
+    parts = [df.select(F.lit(space).alias("space"), F.lit(name).alias("name"), *columns) for (space, name), df in frames.items()]
     return reduce(DataFrame.unionByName, parts)
 
 

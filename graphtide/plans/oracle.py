@@ -233,10 +233,10 @@ ORACLE: dict[str, str] = {
             UNION ALL SELECT 'shop.order', o_orderkey FROM orders),
         links AS (SELECT 'shop.placed' AS name FROM orders
             UNION ALL SELECT 'shop.contains' FROM line_newest WHERE op <> 'd')
-        SELECT 'Tag' AS type, name, count(*) AS count FROM ids GROUP BY name
-        UNION ALL SELECT 'Edge', name, count(*) FROM links GROUP BY name
-        UNION ALL SELECT 'Space', 'vertices', count(DISTINCT id) FROM ids
-        UNION ALL SELECT 'Space', 'edges', count(*) FROM links""",
+        SELECT 'shop' AS space, 'Tag' AS type, name, count(*) AS count FROM ids GROUP BY name
+        UNION ALL SELECT 'shop', 'Edge', name, count(*) FROM links GROUP BY name
+        UNION ALL SELECT 'shop', 'Space', 'vertices', count(DISTINCT id) FROM ids
+        UNION ALL SELECT 'shop', 'Space', 'edges', count(*) FROM links""",
     "reconcile": f"""WITH {_CUSTOMER_ROWS}, graph AS (SELECT * FROM customer_newest WHERE op <> 'd'),
         source AS (SELECT * FROM customer WHERE c_acctbal > 0)
         SELECT coalesce(s.c_custkey, g.c_custkey) AS _vid,

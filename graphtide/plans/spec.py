@@ -146,6 +146,11 @@ class Label:
         """Name of this mapping among all: what it feeds and where it reads."""
         return f"{self.kind}-{self.label}@{self.source}.{self.db}.{self.table}"
 
+    @property
+    def place(self) -> str:
+        """Name of the source table."""
+        return f"{self.source}.{self.db}.{self.table}"
+
     def bare(self) -> Label:
         """The label without its properties, for work that only needs to know what exists.
 

@@ -1,12 +1,13 @@
 """Flat JSON envelopes: one change of one source row per record.
 
-    {"op": "u", "ts_sec": 1661328784, "db": "test", "table": "person",
-     "key": ["id"], "data": {"id": 4, "name": "djs"}, "parse_time": 1661328785,
-     "seq": {"ts_sec": 1661328784, "file": "bin.000008", "pos": 16610, "row": 0}}
+    {"op": "u", "ts_sec": 1700000000, "db": "shop", "table": "article",
+     "key": ["sku"], "data": {"sku": "A-7", "price": 12.5}, "parse_time": 1700000003,
+     "seq": {"ts_sec": 1700000000, "file": "log.000021", "pos": 512, "row": 0}}
 
 ``op`` is r (snapshot), c, u or d.  ``data`` differs per table, so the record is
 kept as text until the label that reads it is known.  ``seq`` is the total order of the
-changes of a source; a feed without it falls back to ``ts_sec``.
+changes of a source (see ``operators.fold``); a feed without it falls back to ``ts_sec`` and,
+from a topic, the offset.
 """
 
 from __future__ import annotations
@@ -23,6 +24,7 @@ from graphtide.plans.spec import quoted
 SEQ_TYPE = "struct<ts_sec: bigint, file: string, pos: bigint, row: int>"
 ENVELOPE_COLUMNS = ("op", "ts_sec", "db", "table", "key", "data", "parse_time", "seq")
 BAD_JSON = "bad_json"
+OFFSET = "_offset"  # place in a topic's partition; orders the changes of a feed without seq
 ENVELOPE = "envelope"
 
 
@@ -59,7 +61,8 @@ def decode_envelopes(df: DataFrame, col: str = "value", *, data_ddl: str | None
     # inline() keeps later filters above the parser.  Selecting from the struct
     # instead would let the optimiser copy the parser into every pushed filter.
     out = df.select(*kept, F.inline(F.array(parsed)))
-    return out.withColumn("seq", F.coalesce("seq", seq_of(F.col("ts_sec"))))
+    place = F.col(OFFSET) if OFFSET in df.columns else None
+    return out.withColumn("seq", F.coalesce("seq", seq_of(F.col("ts_sec"), place)))
 
 
 def encode_envelopes(df: DataFrame, col: str = "value") -> DataFrame:
@@ -109,4 +112,4 @@ def stream_feed(spark: SparkSession, path: str, *, max_files_per_trigger: int |
 def stream_topic(spark: SparkSession, options: Mapping[str, str]) -> DataFrame:
     """Envelopes from a Kafka topic (needs Spark's Kafka connector on the class path)."""
     raw = spark.readStream.format("kafka").options(**options).load()
-    return raw.select(F.col("value").cast("string").alias("value"))
+    return raw.select(F.col("value").cast("string").alias("value"), F.col("offset").alias(OFFSET))

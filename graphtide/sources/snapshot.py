@@ -6,8 +6,10 @@ from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DecimalType, FractionalType
 
-from graphtide.plans.spec import OP, RANK, SEQ, Label, quoted
+from graphtide.operators.normalize import render_row, render_value
+from graphtide.plans.spec import AUTO, OP, RANK, SEQ, Label, quoted
 from graphtide.sources.envelopes import seq_of
 
 
@@ -44,13 +46,22 @@ def read_jdbc_snapshot(spark: SparkSession, label: Label, url: str, **kwargs) ->
     return spark.read.format("jdbc").options(**jdbc_options(label, url, **kwargs)).load()
 
 
-def snapshot_rows(table: DataFrame, label: Label) -> DataFrame:
+def snapshot_rows(table: DataFrame, label: Label, types: Mapping[str, str] | None = None, **options) -> DataFrame:
     """Table rows as change rows of a label: op ``r``, ordered before every change.
 
-    The rows are typed already, so they skip the envelope altogether.
+    Values are rendered as ``normalize.render_row`` does (with the same logical
+    ``types`` and options), so a row reads alike in snapshot and tail.  Declared
+    columns are then cast and skip the envelope; fractions of undeclared ones take
+    its way through JSON, which settles how they are printed.
     """
+    kinds = {f.name: f.dataType for f in table.schema.fields}
+
     def typed(column: str) -> Column:
-        return F.col(quoted(column)).cast(label.type_of(column))
+        kind, declared = kinds[column], label.column_types[column]
+        value = render_value(F.col(quoted(column)), kind, (types or {}).get(column), **options)
+        if declared == AUTO and isinstance(kind, (DecimalType, FractionalType)):
+            return F.try_variant_get(F.try_parse_json(F.to_json(F.struct(value.alias("v")))), "$.v", "string")
+        return value.cast(label.type_of(column))
 
     keys = []
     for name, ref in label.keys.items():
@@ -64,16 +75,17 @@ def snapshot_rows(table: DataFrame, label: Label) -> DataFrame:
     return rows.dropna(subset=label.key_names)
 
 
-def snapshot_envelopes(table: DataFrame, db: str, name: str, key: list[str]) -> DataFrame:
-    """Table rows as decoded envelopes, for a table that feeds several labels."""
-    columns = [F.col(quoted(c)) for c in table.columns]
+def snapshot_envelopes(table: DataFrame, db: str, name: str, key: list[str], types: Mapping[str, str] | None = None,
+                       **options) -> DataFrame:
+    """Table rows as decoded envelopes, for a table that feeds several labels; rendered like changes."""
+    image = F.struct(*[F.col(quoted(c)) for c in table.columns])
     return table.select(
         F.lit("r").alias("op"),
         F.lit(0).cast("bigint").alias("ts_sec"),
         F.lit(db).alias("db"),
         F.lit(name).alias("table"),
         F.array(*[F.lit(c) for c in key]).alias("key"),
-        F.to_json(F.struct(*columns)).alias("data"),
+        F.to_json(render_row(image, table.schema, types, **options)).alias("data"),
         F.lit(None).cast("bigint").alias("parse_time"),
         seq_of(F.lit(0)).alias("seq"),
     )

@@ -1,29 +1,32 @@
 """Graph tables on plain parquet: an append-only change log and folded versions.
 
-    <root>/log/batch_id=<n>/route=<mapping>/          routed changes of micro-batch n
-    <root>/commits/<n>                                batch n is complete
-    <root>/base/<kind>-<label>/upto-<n>.buckets-<b>/  all changes up to batch n, folded
+    <root>/log/batch_id=<n>/place=<source.db.table>/   changes of micro-batch n, once for each table
+    <root>/commits/<n>.<owner>                         batch n is complete, and who wrote it
+    <root>/base/<kind>-<label>/upto-<n>.gen-<g>.buckets-<b>/   all changes up to batch n, folded
 
-A micro-batch is one write job however many labels it feeds, and writing it
+A change is logged once, however many labels read its table, and routed when it
+is read: a label added later finds what its table has logged.  Writing a batch
 again replaces it.  A reader sees whole batches only, the same ones for every
-label.  The folded version is bucketed by the whole key, so folding newer
-changes into it shuffles those changes but not the version.  Deletes stay in it
-as tombstones, or an older change that arrives late would bring a key back.
+label.  The folded version is bucketed by the key (an edge without a rank: by
+its two ends), so folding newer changes into it shuffles those changes but not
+the version.  Deletes stay in it as tombstones, or an older change that arrives
+late would bring a key back.
 """
 
 from __future__ import annotations
 
+import hashlib
 import re
 from collections.abc import Mapping
-from contextlib import contextmanager
 from functools import reduce
-from zlib import crc32
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType
 
 from graphtide.operators import fold, project, route, verify
-from graphtide.plans.spec import DELETED, OP, SEQ, GraphSpec, Label
+from graphtide.plans.spec import DELETED, DST, OP, RANK, SEQ, SRC, VID, GraphSpec, Label, quoted
 from graphtide.sources.envelopes import ENVELOPE, SEQ_TYPE, data_envelope
 from graphtide.sources.snapshot import snapshot_rows
 from graphtide.streaming.files import Files, join
@@ -31,14 +34,27 @@ from graphtide.streaming.files import Files, join
 REJECTED = "_rejected"
 LOG_DDL = (
     f"op string, seq {SEQ_TYPE}, `key` array<string>, {ENVELOPE} string, parse_time bigint, "
-    "source string, db string, `table` string, reason string, route string, batch_id bigint"
+    "source string, db string, `table` string, reason string, place string, batch_id bigint"
 )
-LOG_COLUMNS = ("op", "seq", "key", ENVELOPE, "parse_time", "source", "db", "table", "reason", "route")
+LOG_COLUMNS = ("op", "seq", "key", ENVELOPE, "parse_time", "source", "db", "table", "reason", "place")
 EMPTY_FEED_DDL = (
     f"op string, seq {SEQ_TYPE}, `key` array<string>, {ENVELOPE} string, parse_time bigint, "
     "source string, db string, `table` string"
 )
-_VERSION = re.compile(r"upto-(\d+)\.buckets-(\d+)$")
+_VERSION = re.compile(r"upto-(\d+)\.gen-(\d+)\.buckets-(\d+)$")
+ANYONE = "manual"
+
+
+class Version(NamedTuple):
+    """A folded version; a later generation of the same batches replaces an earlier one."""
+
+    upto: int
+    generation: int
+    buckets: int
+
+    @property
+    def folder(self) -> str:
+        return f"upto-{self.upto}.gen-{self.generation}.buckets-{self.buckets}"
 
 
 class GraphStore:
@@ -48,31 +64,48 @@ class GraphStore:
 
     ``buckets`` is the number of files of a folded version (default: the
     session's shuffle partitions); choose it so that one holds a few hundred
-    megabytes.  ``keep_rejects`` also logs the changes that reach no label.  One
-    writer (streaming query) feeds a store.
+    megabytes.  ``log_files`` bounds the files that a batch writes for one table.
+    ``keep_rejects`` also logs the changes that reach no label.  One writer
+    (streaming query) feeds a store.
     """
 
     def __init__(self, spark: SparkSession, root: str, spec: GraphSpec, *, buckets: int | None = None,
-                 keep_rejects: bool = False) -> None:
+                 keep_rejects: bool = False, log_files: int = 8) -> None:
         self.spark, self.root, self.spec = spark, root, spec
         self.buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
-        self.keep_rejects = keep_rejects
+        self.keep_rejects, self.log_files = keep_rejects, log_files
         self.files = Files(spark)
 
     # -- writing ---------------------------------------------------------------
 
-    def append(self, feed: DataFrame, batch_id: int) -> None:
-        """Route a batch of decoded envelopes and log it under its number.
+    def append(self, feed: DataFrame, batch_id: int, owner: str = ANYONE) -> None:
+        """Log a batch of decoded envelopes under its number.
 
-        Repeating a number replaces its batch, so a replay after a failure
-        leaves no trace.
+        Repeating a number replaces its batch, so a replay after a failure leaves
+        no trace; one that is folded already is not written again.  A number that
+        another owner has written, or a new one that a version would hide, is
+        refused.
         """
+        before = self._owners().get(batch_id)
+        if before not in (None, owner):
+            raise ValueError(f"batch {batch_id} belongs to {before!r}, not to {owner!r}")
+        if batch_id <= self.folded():
+            if before is None:
+                raise ValueError(f"batch {batch_id} would not be read: versions hold the batches up to {self.folded()}")
+            return
+        self._append(feed, batch_id, owner)
+
+    def _append(self, feed: DataFrame, batch_id: int, owner: str) -> None:
         path = join(self.root, "log", f"batch_id={batch_id}")
-        marker = join(self.root, "commits", str(batch_id))
+        marker = join(self.root, "commits", f"{batch_id}.{owner}")
         self.files.remove(marker)  # while it is rewritten, the batch is not complete
-        self._logged(feed).write.mode("overwrite").partitionBy("route").parquet(path)
+        self._logged(feed).write.mode("overwrite").partitionBy("place").parquet(path)
         self.files.mark(marker)
 
+    def folded(self) -> int:
+        """The last batch that some version holds, -1 without versions."""
+        return max((v.upto for label in self.spec.distinct() for v in self.versions(label)), default=-1)
+
     def load_snapshot(self, label: Label | str, tables: DataFrame | Mapping[Label, DataFrame]) -> None:
         """Make the rows of a source table the first version of a label, as batch 0.
 
@@ -87,41 +120,58 @@ class GraphStore:
         tables = tables if isinstance(tables, Mapping) else {label: tables}
         found = [snapshot_rows(table, mapping) for mapping, table in tables.items()]
         rows = fold.latest_changes(reduce(DataFrame.unionByName, found), label)
-        with self._shuffling_into(self.buckets):
-            self._write(rows.repartition(self.buckets, *label.key_names), label, 0, self.buckets)
+        self._write(rows.repartition(self.buckets, *self._identity(label)), label, Version(0, 0, self.buckets))
         if 0 not in self.batches():
-            self.append(self.spark.createDataFrame([], EMPTY_FEED_DDL), 0)
+            self._append(self.spark.createDataFrame([], EMPTY_FEED_DDL), 0, ANYONE)
 
     def _logged(self, feed: DataFrame) -> DataFrame:
         if ENVELOPE not in feed.columns:
             data = F.col("data") if dict(feed.dtypes)["data"] == "string" else F.to_json("data")
             feed = feed.withColumn(ENVELOPE, data_envelope(data))
+        judged = route.judge_tables(feed, self.spec)
         if not self.keep_rejects:
-            found = route.fan_out(feed, self.spec).withColumn("reason", F.lit(None).cast("string"))
-        else:
-            found = route.judge(feed, self.spec)
-        name = F.concat("kind", F.lit("-"), "label", F.lit("@"), "source", F.lit("."), "db", F.lit("."), "table")
-        found = found.withColumn("route", F.coalesce(name, F.lit(REJECTED)))
-        return found.select(*LOG_COLUMNS)
+            judged = judged.where("reason IS NULL")
+        place = F.when(F.col("reason").isNull(), F.concat_ws(".", "source", "db", "table")).otherwise(REJECTED)
+        # A few files for each table, and a hot table in as many tasks.
+        spread = F.pmod(F.xxhash64(ENVELOPE, "seq"), F.lit(self.log_files))
+        return judged.withColumn("place", place).select(*LOG_COLUMNS).repartition(F.col("place"), spread)
 
     # -- reading ---------------------------------------------------------------
 
+    def _owners(self) -> dict[int, str]:
+        """Complete batches and who wrote them."""
+        names = (n.partition(".") for n in self.files.names(join(self.root, "commits")))
+        return {int(n): owner for n, _, owner in names if n.isdigit()}
+
     def batches(self) -> list[int]:
         """Numbers of the complete batches."""
-        return sorted(int(n) for n in self.files.names(join(self.root, "commits")) if n.isdigit())
+        return sorted(self._owners())
 
-    def _log(self, route_name: str, after: int) -> DataFrame | None:
+    def _log(self, place: str, after: int) -> DataFrame | None:
         log = join(self.root, "log")
         paths = [join(log, f"batch_id={n}") for n in self.batches() if n > after]
         if not paths:
             return None
         reader = self.spark.read.schema(LOG_DDL).option("basePath", log)
-        return reader.parquet(*paths).where(F.col("route") == route_name)
+        return reader.parquet(*paths).where(F.col("place") == place)
 
     def rejects(self) -> DataFrame:
-        """Logged changes that reached no label, with the reason."""
+        """Logged changes that do not reach a label, with the reason and the label.
+
+        What no label reads is there if the store keeps rejects.  A change with a
+        value of the wrong type (``bad_value``) or without its key (``null_key``) is
+        found anew from the log, so up to the next ``vacuum``.
+        """
+        shown = ["reason", "label", ENVELOPE, "op", "seq", "source", "db", "table"]
         found = self._log(REJECTED, -1)
-        return self.spark.createDataFrame([], LOG_DDL) if found is None else found
+        if found is None:
+            return self.spark.createDataFrame([], f"reason string, label string, {LOG_DDL}").select(*shown)
+        found = found.withColumn("label", F.lit(None).cast("string")).select(*shown)
+        for mapping in self.spec.labels:
+            logged = self._log(mapping.place, -1).where(route.op_class(F.col("op")).isNotNull())
+            spoiled = project.rejected_slots(project.project_slots(logged, mapping, carry=[ENVELOPE, "op", "seq", "source", "db", "table"]), mapping)
+            found = found.unionByName(spoiled.withColumn("label", F.lit(mapping.label)).select(*shown))
+        return found
 
     def changes(self, label: Label | str, *, after: int = -1) -> DataFrame:
         """Change rows of a label from the batches after a given one."""
@@ -133,19 +183,23 @@ class GraphStore:
         return found if label.props else [m.bare() if m.props else m for m in found]
 
     def _mapping_changes(self, mapping: Label, after: int) -> DataFrame:
-        logged = self._log(mapping.route, after)
+        logged = self._log(mapping.place, after)
         if logged is None:
             ddl = f"{project.change_ddl(mapping)}, {OP} string, {SEQ} {SEQ_TYPE}"
             return self.spark.createDataFrame([], ddl)
+        logged = logged.where(route.op_class(F.col("op")).isNotNull())
         return project.map_columns(project.project_slots(logged, mapping), mapping)
 
-    def versions(self, label: Label | str) -> list[tuple[int, int]]:
-        """Complete folded versions as (last batch, buckets), oldest first."""
+    def versions(self, label: Label | str) -> list[Version]:
+        """Complete folded versions, oldest first."""
         home = self._home(self._label(label))
         found = [_VERSION.match(n) for n in self.files.names(home)]
-        return sorted(
-            (int(m[1]), int(m[2])) for m in found if m and self.files.exists(join(home, m[0], "_SUCCESS"))
-        )
+        return sorted(Version(*map(int, m.groups())) for m in found if m and self.files.exists(join(home, m[0], "_SUCCESS")))
+
+    def _identity(self, label: Label) -> list[str]:
+        """The key columns that tell vertices or edges apart: not a rank that no mapping fills."""
+        ranked = any(m.keys.get(RANK) is not None for m in self.spec.mappings(label))
+        return [n for n in label.key_names if n != RANK or ranked]
 
     def latest(self, label: Label | str) -> DataFrame:
         """Newest change of every key, tombstones included."""
@@ -153,13 +207,14 @@ class GraphStore:
         versions = self.versions(label)
         if not versions:
             return fold.latest_changes(self.changes(label), label)
-        base = self._version(label, *versions[-1]).select(*fold.state_columns(label), SEQ, DELETED)
-        if not self._newer(versions[-1][0]):
+        base = self._version(label, versions[-1]).select(*fold.state_columns(label), SEQ, DELETED)
+        if not self._newer(versions[-1].upto):
             return base
-        tail = fold.latest_changes(self.changes(label, after=versions[-1][0]), label)
+        tail = fold.latest_changes(self.changes(label, after=versions[-1].upto), label)
         # The join takes the partitioning of its finer side.  Cut the folded tail like the
         # version, whatever the session's shuffle partitions, so that it is the tail that moves.
-        return fold.merge_latest(base, tail.repartition(versions[-1][1], *label.key_names), label)
+        identity = self._identity(label)
+        return fold.merge_latest(base, tail.repartition(versions[-1].buckets, *identity), label, identity)
 
     def state(self, label: Label | str) -> DataFrame:
         """Current vertices or edges of a label."""
@@ -172,26 +227,39 @@ class GraphStore:
 
     def lookup(self, label: Label | str, ids: DataFrame) -> DataFrame:
         """Vertices by ``_vid``; only the requested keys are folded."""
-        return self._narrowed(label, lambda rows: verify.lookup_vertices(rows, ids))
+        return self._narrowed(self._label(label), ids, [VID])
 
     def fetch(self, label: Label | str, pairs: DataFrame) -> DataFrame:
         """Edges by ``(_src, _dst)``; only the requested keys are folded."""
-        return self._narrowed(label, lambda rows: verify.fetch_edges(rows, pairs))
+        return self._narrowed(self._label(label), pairs, [SRC, DST])
 
-    def _narrowed(self, label: Label | str, narrow) -> DataFrame:
-        label = self._label(label)
+    def one_hop(self, label: Label | str, seeds: DataFrame) -> DataFrame:
+        """Out-neighbours of the seeds (column ``_src``): keys of the edges, properties neither parsed nor moved."""
+        return self._narrowed(self._label(label).bare(), seeds, [SRC])
+
+    def _narrowed(self, label: Label, wanted: DataFrame, on: list[str]) -> DataFrame:
+        """Current rows whose ``on`` columns are among ``wanted``.
+
+        Where these are what the version is bucketed by, the request is cut like the
+        version and the version stays where it is.  Else (a source alone, or a ranked
+        edge by its ends) a small request is broadcast and a large one makes both
+        sides move, split where skewed.
+        """
+        wanted = wanted.select(*[F.col(c).cast(label.shape[c]).alias(c) for c in on]).distinct()
         versions = self.versions(label)
-        rows = narrow(self.changes(label, after=versions[-1][0] if versions else -1))
-        rows = fold.with_deleted(rows)
+        newer = self.changes(label, after=versions[-1].upto if versions else -1)
+        rows = fold.with_deleted(newer.join(wanted, on, "left_semi"))
         if versions:
-            rows = rows.unionByName(narrow(self._version(label, *versions[-1])))
+            asked = wanted.repartition(versions[-1].buckets, *on) if on == self._identity(label) else wanted
+            base = self._version(label, versions[-1]).select(*rows.columns)
+            rows = rows.unionByName(base.join(asked, on, "left_semi"))
         return fold.current_state(rows, label)
 
     def stats(self) -> DataFrame:
-        """Rows per label and totals."""
+        """Rows per label and totals of each space."""
         return verify.graph_stats(
-            {v.label: self.live_keys(v) for v in self.spec.distinct("vertex")},
-            {e.label: self.live_keys(e) for e in self.spec.distinct("edge")},
+            {(v.space, v.label): self.live_keys(v) for v in self.spec.distinct("vertex")},
+            {(e.space, e.label): self.live_keys(e) for e in self.spec.distinct("edge")},
         )
 
     # -- maintenance -----------------------------------------------------------
@@ -201,38 +269,28 @@ class GraphStore:
         label = self._label(label)
         done = self.batches()
         versions = self.versions(label)
-        if not done or (versions and versions[-1][0] >= done[-1]):
-            return versions[-1][0] if versions else None
+        if not done or (versions and versions[-1].upto >= done[-1]):
+            return versions[-1].upto if versions else None
         latest = self.latest(label)
-        buckets = versions[-1][1] if versions else self.buckets
+        buckets = versions[-1].buckets if versions else self.buckets
         if not versions:
             # Later versions come out of the join in bucket order already.
-            latest = latest.repartition(buckets, *label.key_names)
-        with self._shuffling_into(buckets):
-            self._write(latest, label, done[-1], buckets)
+            latest = latest.repartition(buckets, *self._identity(label))
+        self._write(latest, label, Version(done[-1], 0, buckets))
         return done[-1]
 
-    @contextmanager
-    def _shuffling_into(self, partitions: int):
-        """Let the fold shuffle straight into the buckets, so writing needs no second shuffle."""
-        key = "spark.sql.shuffle.partitions"
-        before = self.spark.conf.get(key)
-        self.spark.conf.set(key, str(partitions))
-        try:
-            yield
-        finally:
-            self.spark.conf.set(key, before)
-
     def compact_all(self) -> None:
         for label in self.spec.distinct():
             self.compact(label)
 
     def rebucket(self, label: Label | str, buckets: int) -> None:
-        """Rewrite the newest version with another number of buckets."""
+        """Rewrite the newest version with another number of buckets, as its next generation."""
         label = self._label(label)
-        upto, _ = self.versions(label)[-1]
-        latest = self._version(label, *self.versions(label)[-1]).repartition(buckets, *label.key_names)
-        self._write(latest, label, upto, buckets)
+        last = self.versions(label)[-1]
+        if buckets == last.buckets:
+            raise ValueError(f"{label.label} has {buckets} buckets already")
+        latest = self._version(label, last).select(*fold.state_columns(label), SEQ, DELETED)
+        self._write(latest.repartition(buckets, *self._identity(label)), label, Version(last.upto, last.generation + 1, buckets))
 
     def vacuum(self) -> None:
         """Delete superseded versions and the batches every label has folded.
@@ -241,15 +299,15 @@ class GraphStore:
         """
         folded = [self.versions(x) for x in self.spec.distinct()]
         for label, versions in zip(self.spec.distinct(), folded):
-            for upto, buckets in versions[:-1]:
-                self.spark.sql(f"DROP TABLE IF EXISTS {self._table(label, upto, buckets)}")
-                self.files.remove(join(self._home(label), f"upto-{upto}.buckets-{buckets}"))
-        oldest = min((v[-1][0] for v in folded if v), default=-1) if all(folded) else -1
-        for batch in self.batches():
+            for version in versions[:-1]:
+                self.spark.sql(f"DROP TABLE IF EXISTS {self._table(label, version)}")
+                self.files.remove(join(self._home(label), version.folder))
+        oldest = min((v[-1].upto for v in folded if v), default=-1) if all(folded) else -1
+        for batch, owner in sorted(self._owners().items()):
             if batch <= oldest and not self.keep_rejects:
                 # The marker of the newest folded batch stays: it dates the store.
                 if batch < oldest:
-                    self.files.remove(join(self.root, "commits", str(batch)))
+                    self.files.remove(join(self.root, "commits", f"{batch}.{owner}"))
                 self.files.remove(join(self.root, "log", f"batch_id={batch}"))
 
     # -- helpers ---------------------------------------------------------------
@@ -263,31 +321,45 @@ class GraphStore:
     def _home(self, label: Label) -> str:
         return join(self.root, "base", f"{label.kind}-{label.label}")
 
-    def _table(self, label: Label, upto: int, buckets: int) -> str:
+    def _table(self, label: Label, version: Version) -> str:
         """Catalog name of a version; the catalog is what tells Spark about the buckets."""
-        place = crc32(f"{self._home(label)}".encode())
+        place = hashlib.sha256(join(self._home(label), version.folder).encode()).hexdigest()
         plain = re.sub(r"\W", "_", label.label).lower()
-        return f"graphtide_{plain}_{place:08x}_{upto}_{buckets}"
+        return f"graphtide_{plain}_{place}"
 
-    def _version(self, label: Label, upto: int, buckets: int) -> DataFrame:
-        table = self._table(label, upto, buckets)
-        keys = ", ".join(label.key_names)
+    def _version(self, label: Label, version: Version) -> DataFrame:
+        """A version with the columns of the label as mapped now: one that it was written without is null."""
+        table = self._table(label, version)
+        path = join(self._home(label), version.folder)
         full = self.spec.mappings(label)[0]  # a bare label reads the same files
-        columns = f"{project.change_ddl(full)}, {SEQ} {SEQ_TYPE}, {DELETED} boolean"
-        path = join(self._home(label), f"upto-{upto}.buckets-{buckets}").replace("'", "\\'")
-        self.spark.sql(
-            f"CREATE TABLE IF NOT EXISTS {table} ({columns}) USING parquet "
-            f"CLUSTERED BY ({keys}) SORTED BY ({keys}) INTO {buckets} BUCKETS LOCATION '{path}'"
-        )
-        return self.spark.table(table)
-
-    def _write(self, latest: DataFrame, label: Label, upto: int, buckets: int) -> None:
-        path = join(self._home(label), f"upto-{upto}.buckets-{buckets}")
-        table = self._table(label, upto, buckets)
+        if not self.spark.catalog.tableExists(table):
+            written = self.spark.read.parquet(path).schema
+            identity = ", ".join(self._identity(label))
+            columns = ", ".join(f"{quoted(f.name)} {f.dataType.simpleString()}" for f in written.fields)
+            place = path.replace("'", "\\'")
+            self.spark.sql(
+                f"CREATE TABLE IF NOT EXISTS {table} ({columns}) USING parquet "
+                f"CLUSTERED BY ({identity}) SORTED BY ({identity}) INTO {version.buckets} BUCKETS LOCATION '{place}'"
+            )
+        found = self.spark.table(table)
+        kinds = dict(found.dtypes)
+        changed = sorted(n for n in label.key_names if kinds[n] != _simple(full.shape[n]))
+        if changed:
+            raise ValueError(f"{label.label}: the type of {changed} is not that of the folded version; load the label anew")
+        props = {n: t for n, t in full.shape.items() if n not in full.key_names}
+        shown = [F.col(quoted(n)).cast(t) if n in kinds else F.lit(None).cast(t) for n, t in props.items()]
+        return found.select(*label.key_names, *[c.alias(n) for c, n in zip(shown, props)], SEQ, DELETED)
+
+    def _write(self, latest: DataFrame, label: Label, version: Version) -> None:
+        table = self._table(label, version)
         self.spark.sql(f"DROP TABLE IF EXISTS {table}")
+        identity = self._identity(label)
         (
             latest.write.format("parquet").mode("overwrite")
-            .bucketBy(buckets, *label.key_names).sortBy(*label.key_names)
-            .option("path", path).saveAsTable(table)
+            .bucketBy(version.buckets, *identity).sortBy(*identity)
+            .option("path", join(self._home(label), version.folder)).saveAsTable(table)
         )
 
+
+def _simple(ddl: str) -> str:
+    return DataType.fromDDL(ddl).simpleString()

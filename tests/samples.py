@@ -1,28 +1,28 @@
-"""Small literal inputs: two labels with a rank and without, a sports graph, changes as text."""
+"""Small literal inputs: two labels with a rank and without, a port graph, changes as text."""
 
 import json
 
 from graphtide.plans.spec import spec_from_dict
 
-PEOPLE_DOC = {
+DEPOT_DOC = {
     "mysqlSourceInList": [{"sqlName": "db_1", "address": "localhost", "port": 3306}],
     "graphSink": {
         "tagList": [{
-            "sinkName": "person_simple", "graphSpace": "social", "sourceSql": "db_1",
-            "sourceDatabase": "test", "sourceTable": "person",
+            "sinkName": "crate", "graphSpace": "depot", "sourceSql": "db_1",
+            "sourceDatabase": "yard", "sourceTable": "crate",
             "idIndex": {"sqlCol": "id", "position": 0, "type": "int"},
             "fieldList": [{"name": "name", "sqlCol": "name", "position": 1},
                           {"name": "age", "sqlCol": "age", "position": 2, "type": "int"}],
         }],
         "edgeList": [{
-            "sinkName": "friend", "graphSpace": "social", "sourceSql": "db_1",
-            "sourceDatabase": "test", "sourceTable": "friend",
-            "srcIndex": {"sqlCol": "srcId", "position": 0, "type": "int"},
-            "dstIndex": {"sqlCol": "dstId", "position": 1, "type": "int"},
-            "rankIndex": {"sqlCol": "ranks", "position": 3, "type": "int"},
+            "sinkName": "lashing", "graphSpace": "depot", "sourceSql": "db_1",
+            "sourceDatabase": "yard", "sourceTable": "lashing",
+            "srcIndex": {"sqlCol": "inner", "position": 0, "type": "int"},
+            "dstIndex": {"sqlCol": "outer", "position": 1, "type": "int"},
+            "rankIndex": {"sqlCol": "layer", "position": 3, "type": "int"},
             "fieldList": [
                 {"name": "note", "sqlCol": "note", "position": 2},
-                {"name": "level", "sqlCol": "ranks", "position": 3, "type": "int"},
+                {"name": "level", "sqlCol": "layer", "position": 3, "type": "int"},
                 {"name": "weight", "sqlCol": "weight", "position": 4, "type": "decimal(3,1)"},
                 {"name": "since", "sqlCol": "since", "position": 5},
                 {"name": "place", "sqlCol": "place", "position": 6},
@@ -31,40 +31,40 @@ PEOPLE_DOC = {
     },
 }
 
-SPORT_DOC = {
+PORT_DOC = {
     "graphSink": {
         "tagList": [
-            {"sinkName": "player", "graphSpace": "sport", "sourceSql": "db_1", "sourceDatabase": "test",
-             "sourceTable": "player", "idIndex": {"sqlCol": "playerid", "position": 0},
+            {"sinkName": "berth", "graphSpace": "port", "sourceSql": "db_1", "sourceDatabase": "yard",
+             "sourceTable": "berth", "idIndex": {"sqlCol": "berthno", "position": 0},
              "fieldList": [{"name": "name", "sqlCol": "name", "position": 1},
                            {"name": "age", "sqlCol": "age", "position": 2, "type": "int"}]},
-            {"sinkName": "team", "graphSpace": "sport", "sourceSql": "db_1", "sourceDatabase": "test",
-             "sourceTable": "team", "idIndex": {"sqlCol": "teamid", "position": 0},
+            {"sinkName": "harbour", "graphSpace": "port", "sourceSql": "db_1", "sourceDatabase": "yard",
+             "sourceTable": "harbour", "idIndex": {"sqlCol": "harbourno", "position": 0},
              "fieldList": [{"name": "name", "sqlCol": "name", "position": 1}]},
         ],
         "edgeList": [
-            {"sinkName": "follow", "graphSpace": "sport", "sourceSql": "db_1", "sourceDatabase": "test",
-             "sourceTable": "follow", "srcIndex": {"sqlCol": "src_player", "position": 0},
-             "dstIndex": {"sqlCol": "dst_player", "position": 1},
-             "fieldList": [{"name": "degree", "sqlCol": "degree", "position": 2, "type": "int"}]},
-            {"sinkName": "serve", "graphSpace": "sport", "sourceSql": "db_1", "sourceDatabase": "test",
-             "sourceTable": "serve", "srcIndex": {"sqlCol": "playerid", "position": 0},
-             "dstIndex": {"sqlCol": "teamid", "position": 1},
-             "fieldList": [{"name": "start_year", "sqlCol": "start_year", "position": 2, "type": "int"},
-                           {"name": "end_year", "sqlCol": "end_year", "position": 3, "type": "int"}]},
+            {"sinkName": "channel", "graphSpace": "port", "sourceSql": "db_1", "sourceDatabase": "yard",
+             "sourceTable": "channel", "srcIndex": {"sqlCol": "from_berth", "position": 0},
+             "dstIndex": {"sqlCol": "to_berth", "position": 1},
+             "fieldList": [{"name": "depth", "sqlCol": "depth", "position": 2, "type": "int"}]},
+            {"sinkName": "lease", "graphSpace": "port", "sourceSql": "db_1", "sourceDatabase": "yard",
+             "sourceTable": "lease", "srcIndex": {"sqlCol": "berthno", "position": 0},
+             "dstIndex": {"sqlCol": "harbourno", "position": 1},
+             "fieldList": [{"name": "opened", "sqlCol": "opened", "position": 2, "type": "int"},
+                           {"name": "closed", "sqlCol": "closed", "position": 3, "type": "int"}]},
         ],
     },
 }
 
-PEOPLE = spec_from_dict(PEOPLE_DOC)
-SPORT = spec_from_dict(SPORT_DOC)
-KEYS = {"person": ["id"], "friend": ["srcId", "dstId", "ranks"], "player": ["playerid"], "team": ["teamid"],
-        "follow": ["src_player", "dst_player"], "serve": ["playerid", "teamid"]}
+DEPOT = spec_from_dict(DEPOT_DOC)
+PORT = spec_from_dict(PORT_DOC)
+KEYS = {"crate": ["id"], "lashing": ["inner", "outer", "layer"], "berth": ["berthno"], "harbour": ["harbourno"],
+        "channel": ["from_berth", "to_berth"], "lease": ["berthno", "harbourno"]}
 
 
 def change(op, table, data, at=0, table_name=None, **more):
     """One envelope as text; ``at`` is its place in the order of changes."""
-    doc = {"op": op, "ts_sec": 1_600_000_000, "db": "test", "table": table_name or table, "key": KEYS[table], "data": data,
+    doc = {"op": op, "ts_sec": 1_600_000_000, "db": "yard", "table": table_name or table, "key": KEYS[table], "data": data,
            "parse_time": 1_600_000_001, "seq": {"ts_sec": 1_600_000_000, "file": "bin.1", "pos": at, "row": 0}}
     return json.dumps({**doc, **more})
 

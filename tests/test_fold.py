@@ -4,88 +4,88 @@ from pyspark.sql import functions as F
 
 from graphtide.operators import fold, project, verify
 from graphtide.sources.snapshot import snapshot_rows
-from tests.samples import PEOPLE, SPORT, change, feed
+from tests.samples import DEPOT, PORT, change, feed
 
-PERSON, FOLLOW, SERVE, PLAYER = (PEOPLE.label("person_simple"), SPORT.label("follow"), SPORT.label("serve"),
-                                 SPORT.label("player"))
+CRATE, CHANNEL, LEASE, BERTH = (DEPOT.label("crate"), PORT.label("channel"), PORT.label("lease"),
+                                 PORT.label("berth"))
 
 
 def changes(spark, label, *texts):
     return project.decode_label(feed(spark, *texts), label)
 
 
-def player(op, at, age=30, pid="p1", name="Tim"):
-    return change(op, "player", {"playerid": pid, "age": age, "name": name}, at)
+def berth(op, at, age=30, pid="p1", name="north"):
+    return change(op, "berth", {"berthno": pid, "age": age, "name": name}, at)
 
 
 def test_vertex_scenario(spark, rows):
     """Insert, update, delete: seen, replaced, gone."""
-    steps = [player("c", 1), player("u", 2, 31), player("d", 3, 31)]
-    want = [[("p1", "Tim", 30)], [("p1", "Tim", 31)], []]
+    steps = [berth("c", 1), berth("u", 2, 31), berth("d", 3, 31)]
+    want = [[("p1", "north", 30)], [("p1", "north", 31)], []]
     for n, expected in enumerate(want, 1):
-        state = fold.current_state(changes(spark, PLAYER, *steps[:n]), PLAYER)
+        state = fold.current_state(changes(spark, BERTH, *steps[:n]), BERTH)
         ids = spark.createDataFrame([("p1",), ("p1",), ("p9",)], "_vid string")
         assert rows(verify.lookup_vertices(state, ids)) == expected
 
 
 def test_edge_scenario(spark, rows):
-    def link(op, at, degree):
-        return change(op, "follow", {"src_player": "p1", "dst_player": "p2", "degree": degree}, at)
+    def link(op, at, depth):
+        return change(op, "channel", {"from_berth": "p1", "to_berth": "p2", "depth": depth}, at)
 
-    steps = [link("c", 1, 95), link("u", 2, 96), link("d", 3, 96)]
-    for n, expected in enumerate([[("p1", "p2", 0, 95)], [("p1", "p2", 0, 96)], []], 1):
-        state = fold.current_state(changes(spark, FOLLOW, *steps[:n]), FOLLOW)
+    steps = [link("c", 1, 41), link("u", 2, 42), link("d", 3, 42)]
+    for n, expected in enumerate([[("p1", "p2", 0, 41)], [("p1", "p2", 0, 42)], []], 1):
+        state = fold.current_state(changes(spark, CHANNEL, *steps[:n]), CHANNEL)
         pairs = spark.createDataFrame([("p1", "p2"), ("p2", "p1")], "_src string, _dst string")
         assert rows(verify.fetch_edges(state, pairs)) == expected
 
 
 def test_deleting_a_vertex_leaves_its_edges(spark, rows):
-    texts = [player("c", 1), change("c", "follow", {"src_player": "p1", "dst_player": "p2", "degree": 1}, 2),
-             player("d", 3)]
-    assert rows(fold.current_state(changes(spark, PLAYER, *texts), PLAYER)) == []
-    assert len(rows(fold.current_state(changes(spark, FOLLOW, *texts), FOLLOW))) == 1
+    texts = [berth("c", 1), change("c", "channel", {"from_berth": "p1", "to_berth": "p2", "depth": 1}, 2),
+             berth("d", 3)]
+    assert rows(fold.current_state(changes(spark, BERTH, *texts), BERTH)) == []
+    assert len(rows(fold.current_state(changes(spark, CHANNEL, *texts), CHANNEL))) == 1
 
 
 def test_parallel_edges_collapse_without_a_rank(spark, rows):
-    stints = [change("c", "serve", {"playerid": "p1", "teamid": "t1", "start_year": y, "end_year": y + 1}, at)
+    stints = [change("c", "lease", {"berthno": "p1", "harbourno": "t1", "opened": y, "closed": y + 1}, at)
               for at, y in enumerate((1999, 2010))]
-    state = fold.current_state(changes(spark, SERVE, *stints), SERVE)
+    state = fold.current_state(changes(spark, LEASE, *stints), LEASE)
     assert rows(state) == [("p1", "t1", 0, 2010, 2011)]
 
 
-def test_same_second_changes_follow_their_position(spark, rows):
-    texts = [player("u", 9, 40), player("c", 7), player("d", 8), player("u", 10, 41)]
-    assert rows(fold.current_state(changes(spark, PLAYER, *texts), PLAYER)) == [("p1", "Tim", 41)]
+def test_same_second_changes_channel_their_position(spark, rows):
+    texts = [berth("u", 9, 40), berth("c", 7), berth("d", 8), berth("u", 10, 41)]
+    assert rows(fold.current_state(changes(spark, BERTH, *texts), BERTH)) == [("p1", "north", 41)]
 
 
 def test_ties_are_settled_the_same_way(spark, rows):
-    tied = [player("u", 1, 40), player("u", 1, 41), player("u", 1, 39)]
+    tied = [berth("u", 1, 40), berth("u", 1, 41), berth("u", 1, 39)]
     for texts in (tied, tied[::-1], tied + tied):
-        assert rows(fold.current_state(changes(spark, PLAYER, *texts), PLAYER)) == [("p1", "Tim", 41)]
-    with_delete = [*tied, player("d", 1, 0)]
+        assert rows(fold.current_state(changes(spark, BERTH, *texts), BERTH)) == [("p1", "north", 41)]
+    with_delete = [*tied, berth("d", 1, 0)]
     for texts in (with_delete, with_delete[::-1]):
-        assert rows(fold.current_state(changes(spark, PLAYER, *texts), PLAYER)) == []
+        assert rows(fold.current_state(changes(spark, BERTH, *texts), BERTH)) == []
 
 
 def test_file_order_beats_position(spark, rows):
     def at(file, pos, age):
         seq = {"ts_sec": 5, "file": file, "pos": pos, "row": 0}
-        return change("u", "player", {"playerid": "p1", "age": age, "name": "x"}, seq=seq)
+        return change("u", "berth", {"berthno": "p1", "age": age, "name": "x"}, seq=seq)
 
     texts = [at("bin.000002", 4, 2), at("bin.000001", 900, 1)]
-    assert rows(fold.current_state(changes(spark, PLAYER, *texts), PLAYER)) == [("p1", "x", 2)]
+    assert rows(fold.current_state(changes(spark, BERTH, *texts), BERTH)) == [("p1", "x", 2)]
 
 
 def test_snapshot_loses_to_any_change(spark, rows):
-    table = spark.createDataFrame([("p1", "Tim", 1), ("p2", "Tony", 2)], "playerid string, name string, age int")
-    tail = changes(spark, PLAYER, player("u", 0, 5))
-    both = fold.bootstrap_then_tail(snapshot_rows(table, PLAYER), tail)
-    assert rows(fold.current_state(both, PLAYER)) == [("p1", "Tim", 5), ("p2", "Tony", 2)]
+    table = spark.createDataFrame([("p1", "north", 1), ("p2", "south", 2)], "berthno string, name string, age int")
+    tail = changes(spark, BERTH, berth("u", 0, 5))
+    both = fold.bootstrap_then_tail(snapshot_rows(table, BERTH), tail)
+    assert rows(fold.current_state(both, BERTH)) == [("p1", "north", 5), ("p2", "south", 2)]
 
 
 def test_deleted_keys(spark, rows):
-    texts = [player("c", 1), player("d", 2), player("d", 1, pid="p2"), player("c", 2, pid="p2")]
-    assert rows(fold.deleted_keys(changes(spark, PLAYER, *texts), PLAYER)) == [("p1",)]
+    texts = [berth("c", 1), berth("d", 2), berth("d", 1, pid="p2"), berth("c", 2, pid="p2")]
+    assert rows(fold.deleted_keys(changes(spark, BERTH, *texts), BERTH)) == [("p1",)]
 
 
 def brute_force(history):
@@ -107,18 +107,18 @@ HISTORY = st.lists(
 @given(HISTORY, st.randoms(use_true_random=False), st.integers(0, 25))
 def test_fold_properties(spark, rows, history, random, cut):
     """Order, repetition and splitting of a feed do not matter."""
-    texts = [change(op, "person", {"id": vid, "name": n, "age": a}, pos) for op, vid, pos, n, a in history]
+    texts = [change(op, "crate", {"id": vid, "name": n, "age": a}, pos) for op, vid, pos, n, a in history]
     want = brute_force(history)
     mixed = texts + random.sample(texts, len(texts) // 2)
     random.shuffle(mixed)
-    assert rows(fold.current_state(changes(spark, PERSON, *mixed), PERSON)) == want
-    parts = [fold.latest_changes(changes(spark, PERSON, *p), PERSON) for p in (texts[:cut], texts[cut:]) if p]
-    merged = parts[0] if len(parts) == 1 else fold.merge_latest(*parts, PERSON)
-    assert rows(fold.alive(merged, PERSON)) == want
+    assert rows(fold.current_state(changes(spark, CRATE, *mixed), CRATE)) == want
+    parts = [fold.latest_changes(changes(spark, CRATE, *p), CRATE) for p in (texts[:cut], texts[cut:]) if p]
+    merged = parts[0] if len(parts) == 1 else fold.merge_latest(*parts, CRATE)
+    assert rows(fold.alive(merged, CRATE)) == want
 
 
 def test_fold_combines_before_its_only_shuffle(spark, plan):
-    text = plan(fold.current_state(changes(spark, PERSON, change("c", "person", {"id": 1})), PERSON))
+    text = plan(fold.current_state(changes(spark, CRATE, change("c", "crate", {"id": 1})), CRATE))
     assert text.count("Exchange") == 1
     assert text.index("partial_max") > text.index("Exchange")  # printed top down: below the shuffle
 
@@ -126,11 +126,11 @@ def test_fold_combines_before_its_only_shuffle(spark, plan):
 def test_hot_key(spark, rows):
     """One id owns nearly all changes; it still leaves one row per task before the shuffle."""
     hot = spark.range(0, 20_000, numPartitions=4).select(
-        F.format_string('{"op":"u","ts_sec":1,"db":"test","table":"person","data":{"id":%d,"age":%d},'
+        F.format_string('{"op":"u","ts_sec":1,"db":"yard","table":"crate","data":{"id":%d,"age":%d},'
                         '"seq":{"ts_sec":1,"file":"","pos":%d,"row":0}}',
                         F.when(F.col("id") < 19_990, 7).otherwise(F.col("id")), F.col("id") % 100,
                         F.col("id")).alias("value"), F.lit("db_1").alias("source"))
-    state = fold.current_state(project.decode_label(hot, PERSON), PERSON)
+    state = fold.current_state(project.decode_label(hot, CRATE), CRATE)
     got = rows(state.select("_vid", "age"))
     assert len(got) == 11 and (7, 19_989 % 100) in got
 
@@ -171,11 +171,13 @@ def test_stats(spark, rows):
         return spark.createDataFrame([(v,) for v in values], "_vid int")
 
     stats = verify.graph_stats(
-        {"player": ids(1, 2, 3), "team": ids(3, 4), "coach": ids()},
-        {"serve": edges(spark, [(1, 3, 0, 0), (1, 4, 0, 0)]), "follow": edges(spark, [])},
+        {("a", "a.dog"): ids(1, 2, 3), ("a", "a.cat"): ids(3, 4), ("a", "a.owl"): ids(), ("b", "b.dog"): ids(1, 9)},
+        {("a", "a.near"): edges(spark, [(1, 3, 0, 0), (1, 4, 0, 0)]), ("a", "a.far"): edges(spark, [])},
     )
-    assert rows(stats) == [("Edge", "follow", 0), ("Edge", "serve", 2), ("Space", "edges", 2),
-                           ("Space", "vertices", 4), ("Tag", "coach", 0), ("Tag", "player", 3), ("Tag", "team", 2)]
+    assert rows(stats) == [
+        ("a", "Edge", "a.far", 0), ("a", "Edge", "a.near", 2), ("a", "Space", "edges", 2), ("a", "Space", "vertices", 4),
+        ("a", "Tag", "a.cat", 2), ("a", "Tag", "a.dog", 3), ("a", "Tag", "a.owl", 0),
+        ("b", "Space", "vertices", 2), ("b", "Tag", "b.dog", 2)]
 
 
 def test_reconcile(spark, rows, plan):

@@ -4,34 +4,34 @@ import json
 import pytest
 
 from graphtide.plans.spec import EdgeMap, KeyRef, Prop, SpecError, VertexMap, load_spec, spec_from_dict, with_types
-from tests.samples import PEOPLE, PEOPLE_DOC, SPORT, SPORT_DOC
+from tests.samples import DEPOT, DEPOT_DOC, PORT, PORT_DOC
 
 
 def changed(edit):
-    doc = copy.deepcopy(PEOPLE_DOC)
+    doc = copy.deepcopy(DEPOT_DOC)
     edit(doc["graphSink"])
     return doc
 
 
 def test_slot_order():
-    assert PEOPLE.label("person_simple").slots == ["id", "name", "age"]
+    assert DEPOT.label("crate").slots == ["id", "name", "age"]
     # The rank is also a property, so it is not inserted again.
-    assert PEOPLE.label("friend").slots == ["srcId", "dstId", "note", "ranks", "weight", "since", "place"]
-    assert SPORT.label("sport.serve").slots == ["playerid", "teamid", "start_year", "end_year"]
+    assert DEPOT.label("lashing").slots == ["inner", "outer", "note", "layer", "weight", "since", "place"]
+    assert PORT.label("port.lease").slots == ["berthno", "harbourno", "opened", "closed"]
 
 
 def test_index_columns_and_keys():
-    assert PEOPLE.label("friend").index_columns == ["srcId", "dstId", "ranks"]
-    assert SPORT.label("follow").index_columns == ["src_player", "dst_player"]
-    assert SPORT.label("follow").key_names == ["_src", "_dst", "_rank"]
+    assert DEPOT.label("lashing").index_columns == ["inner", "outer", "layer"]
+    assert PORT.label("channel").index_columns == ["from_berth", "to_berth"]
+    assert PORT.label("channel").key_names == ["_src", "_dst", "_rank"]
 
 
 def test_captured_tables_are_distinct():
-    assert SPORT.captured_tables() == {"db_1": ["test.follow", "test.player", "test.serve", "test.team"]}
+    assert PORT.captured_tables() == {"db_1": ["yard.berth", "yard.channel", "yard.harbour", "yard.lease"]}
 
 
 def test_missing_lists_are_empty():
-    spec = spec_from_dict({"graphSink": {"tagList": None, "edgeList": SPORT_DOC["graphSink"]["edgeList"]}})
+    spec = spec_from_dict({"graphSink": {"tagList": None, "edgeList": PORT_DOC["graphSink"]["edgeList"]}})
     assert len(spec.vertices) == 0 and len(spec.edges) == 2
 
 
@@ -53,7 +53,7 @@ def test_unusable_mappings_are_refused(edit, complaint):
 
 def test_rank_block_without_column_is_no_rank():
     spec = spec_from_dict(changed(lambda s: s["edgeList"][0].update(rankIndex={"sqlCol": "", "position": 3})))
-    assert spec.label("friend").rank is None
+    assert spec.label("lashing").rank is None
 
 
 def test_conflicting_types_are_refused():
@@ -71,33 +71,33 @@ def test_positions_are_optional():
 
 def test_load_json_and_yaml(tmp_path):
     path = tmp_path / "map.json"
-    path.write_text(json.dumps(PEOPLE_DOC))
-    assert load_spec(str(path)) == PEOPLE
+    path.write_text(json.dumps(DEPOT_DOC))
+    assert load_spec(str(path)) == DEPOT
     yaml = pytest.importorskip("yaml")
     path = tmp_path / "map.yaml"
-    path.write_text(yaml.safe_dump(PEOPLE_DOC))
-    assert load_spec(str(path)) == PEOPLE
+    path.write_text(yaml.safe_dump(DEPOT_DOC))
+    assert load_spec(str(path)) == DEPOT
 
 
 def test_types_can_be_declared_apart():
-    typed = with_types(SPORT, {"test.player": {"playerid": "bigint"}})
-    assert typed.label("player").column_types["playerid"] == "bigint"
-    assert typed.label("team").type_of("teamid") == "string"
+    typed = with_types(PORT, {"yard.berth": {"berthno": "bigint"}})
+    assert typed.label("berth").column_types["berthno"] == "bigint"
+    assert typed.label("harbour").type_of("harbourno") == "string"
 
 
 def test_bare_label_keeps_keys_and_types():
-    bare = PEOPLE.label("friend").bare()
-    assert bare.slots == ["srcId", "dstId", "ranks"] and bare.prop_names == []
-    assert bare.type_of("ranks") == "int" and bare.label == "social.friend"
-    assert SPORT.label("follow").bare().rank is None
+    bare = DEPOT.label("lashing").bare()
+    assert bare.slots == ["inner", "outer", "layer"] and bare.prop_names == []
+    assert bare.type_of("layer") == "int" and bare.label == "depot.lashing"
+    assert PORT.label("channel").bare().rank is None
 
 
 def test_several_tables_may_feed_one_label():
     def second(sink):
-        sink["tagList"].append({**sink["tagList"][0], "sourceTable": "person_archive"})
+        sink["tagList"].append({**sink["tagList"][0], "sourceTable": "crate_archive"})
 
     spec = spec_from_dict(changed(second))
-    assert len(spec.mappings(spec.label("person_simple"))) == 2 and len(spec.distinct("vertex")) == 1
+    assert len(spec.mappings(spec.label("crate"))) == 2 and len(spec.distinct("vertex")) == 1
 
     def unlike(sink):
         second(sink)
