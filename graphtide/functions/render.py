@@ -109,9 +109,14 @@ def iso_zoned(value: Column, tz: str = "UTC", *, malformed: str = "raise") -> Co
     wall = iso_instant(F.try_to_timestamp(F.regexp_replace(zoned, r"(\.\d{6})\d+", "$1")), tz)
     behind = F.regexp_extract(zoned, r"\.\d{6}(\d{1,3})", 1)
     behind = F.when(behind.rlike("[1-9]"), F.rpad(behind, 3, "0")).otherwise("")
-    whole = F.when(wall.contains("."), F.concat(F.substring_index(wall, ".", 1), F.lit("."), F.rpad(F.substring_index(wall, ".", -1), 6, "0")))
-    whole = F.coalesce(whole, F.concat(wall, F.lit(".000000")))
-    rendered = F.when(behind == "", wall).otherwise(F.concat(whole, behind))
+
+    def with_nanos(wall: Column) -> Column:
+        fraction = F.when(wall.contains("."), F.substring_index(wall, ".", -1)).otherwise("")
+        seconds = F.when(F.length(wall) == 16, F.concat(wall, F.lit(":00"))).otherwise(F.substring_index(wall, ".", 1))
+        return F.when(behind == "", wall).otherwise(F.concat(seconds, F.lit("."), F.rpad(fraction, 6, "0"), behind))
+
+    # The array makes the rendered time a value; named several times it would be computed as often.
+    rendered = F.get(F.transform(F.array(wall), with_nanos), F.lit(0))
     if malformed == "null":
         return rendered
     complaint = F.raise_error(F.concat(F.lit("not a zoned timestamp: "), value)).cast("string")

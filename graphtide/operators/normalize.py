@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -11,6 +12,7 @@ from pyspark.sql import types as T
 from graphtide.functions import geometry, render
 from graphtide.plans.spec import quoted
 from graphtide.sources.envelopes import seq_of
+from graphtide.sources.raw import OFFSET_TYPE
 
 # Logical types a plain number or text column may carry (public schema names of
 # the change-data-capture format) and the short names used in ``types``.
@@ -29,6 +31,15 @@ _UNITS = {"timestamp": 10**3, "micro_timestamp": 10**6, "nano_timestamp": 10**9,
           "micro_time": 10**6, "nano_time": 10**9}
 
 
+@dataclass(frozen=True)
+class RawTable:
+    """A captured table: schema of its rows, of its key (None: no primary key) and logical types by column."""
+
+    row: str
+    key: str | None = None
+    types: Mapping[str, str] | None = None
+
+
 def pick_image(op: Column, before: Column, after: Column) -> Column:
     """Row image a change speaks about: the old one for a delete, else the new one."""
     return F.when(op == "d", before).otherwise(after)
@@ -171,6 +182,43 @@ def normalize_changes(raw: DataFrame, types: Mapping[str, str] | None = None, *,
                        *(["source"] if "source" in raw.columns else []))
 
 
+def normalize_feed(feed: DataFrame, tables: Mapping[str, RawTable], col: str = "value", *,
+                   now: int | Column | None = None, **options) -> DataFrame:
+    """Raw change JSON of many tables to envelope columns, in one pass.
+
+    ``tables`` describes each captured table by ``db.table``.  A record is parsed
+    for its head, and then once more with the schema of its own table.  A record
+    of a table that is not described keeps its head and has no ``data``; routing
+    rejects it.  Use it as ``decode`` of a stream: ``partial(normalize_feed, tables=...)``.
+    """
+    text = F.col(quoted(col))
+    head = F.from_json(text, f"schema_name string, op string, source_offset {OFFSET_TYPE}")
+    kept = [F.col(quoted(c)) for c in feed.columns if c != col]
+    # As in decode_envelopes, a generator keeps the parser from being copied.
+    rows = feed.select(*kept, text.alias("_text"), F.inline(F.array(head)))
+    db, table = split_origin(F.col("schema_name"))
+    place = F.concat_ws(".", db, table)
+    data, key = F.lit(None).cast("string"), F.lit(None).cast("array<string>")
+    for name, raw in tables.items():
+        image = T.StructType.fromDDL(raw.row)
+        both = F.from_json(F.col("_text"), T.StructType([T.StructField("before", image), T.StructField("after", image)]))
+
+        # The array makes the parsed record a value that both images come from.
+        once = F.get(F.transform(F.array(both), _renderer(image, raw.types, options)), F.lit(0))
+        data = F.when(place == name, once).otherwise(data)
+        if raw.key:
+            names = F.array(*[F.lit(n) for n in T.StructType.fromDDL(raw.key).names])
+            key = F.when(place == name, names).otherwise(key)
+    offset = F.col("source_offset")
+    return rows.select(
+        "op", offset["ts_sec"].alias("ts_sec"), db.alias("db"), table.alias("table"), data.alias("data"), key.alias("key"),
+        parse_time(now).alias("parse_time"), seq_of(offset["ts_sec"], offset["pos"], offset["row"], offset["file"]).alias("seq"), *kept)
+
+
+def _renderer(image: T.StructType, types: Mapping[str, str] | None, options: Mapping) -> Callable[[Column], Column]:
+    return lambda record: F.to_json(render_row(pick_image(F.col("op"), record["before"], record["after"]), image, types, **options))
+
+
 def normalize_geometry(df: DataFrame, col: str) -> tuple[DataFrame, DataFrame]:
     """Replace a binary geometry column by its text; also return the refused rows.
 

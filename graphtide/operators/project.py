@@ -62,7 +62,7 @@ def rejected_slots(slots: DataFrame, label: Label) -> DataFrame:
     for name, ref in label.keys.items():
         if name != RANK:
             missing = missing | F.col(quoted(ref.column)).isNull()
-    spoiled = F.col(BAD).isNotNull() & ((F.col(OP) != "d") | missing)
+    spoiled = F.col(BAD).isNotNull() & (F.col(OP) != "d")
     return slots.withColumn("reason", F.when(spoiled, "bad_value").when(missing, "null_key")).where("reason IS NOT NULL")
 
 

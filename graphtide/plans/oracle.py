@@ -221,6 +221,17 @@ ORACLE: dict[str, str] = {
     "edge_rows_rank": f"WITH {CONTAINS} SELECT {_RANKED}, op AS _op FROM contains",
     "key_moves": """SELECT o_custkey AS _src, o_orderkey AS _dst, CAST(0 AS BIGINT) AS _rank, o_totalprice AS total
         FROM orders""",
+    "key_moves_vertex": "SELECT o_orderkey AS _vid, o_totalprice AS total FROM orders",
+    "rejected_values": f"""WITH {TAIL} SELECT CASE WHEN op = 'd' THEN 'null_key' ELSE 'bad_value' END AS reason, op,
+        count(*) AS changes FROM tail JOIN customer USING (c_custkey) WHERE op <> 'd' OR customer.c_nationkey = 3 GROUP BY op""",
+    "normalize_mixed": """SELECT 'shop' AS db, 'orders' AS "table", CASE o_orderstatus WHEN 'F' THEN 'c' WHEN 'O' THEN 'u' ELSE 'd' END AS op,
+            'o_orderkey' AS key, count(*) AS changes, CAST(sum(o_custkey) AS BIGINT) AS total,
+            min(strftime(o_orderdate, '%Y-%m-%d')) AS least, max(o_orderkey) AS last FROM orders GROUP BY o_orderstatus
+        UNION ALL SELECT 'shop', 'customer', 'c', 'c_custkey', count(*), CAST(sum(c_nationkey) AS BIGINT), min(c_name), max(c_custkey) FROM customer""",
+    "snapshot_tail_render": """SELECT o_orderkey AS _vid, strftime(o_orderdate, '%Y-%m-%dT%H:%M') || '|' || strftime(o_orderdate, '%Y-%m-%d')
+            || '|[' || ascii(o_orderpriority) || ', ' || ascii(o_orderpriority[2:]) || ']|'
+            || regexp_replace(regexp_replace(CAST(CAST(o_totalprice AS DECIMAL(18, 2)) AS VARCHAR), '0+$', ''), '[.]$', '') AS text
+        FROM orders""",
     "edge_fetch": f"""WITH {ORDERS} SELECT o_custkey AS _src, o_orderkey AS _dst, CAST(0 AS BIGINT) AS _rank,
         o_totalprice AS total, o_orderdate AS placed_on FROM placed WHERE o_orderstatus = 'O'""",
     "one_hop": """SELECT o_custkey AS _src, o_orderkey AS _dst, CAST(0 AS BIGINT) AS _rank
@@ -246,3 +257,6 @@ ORACLE: dict[str, str] = {
         FROM source s FULL OUTER JOIN graph g ON s.c_custkey = g.c_custkey
         WHERE g.c_custkey IS NULL OR s.c_custkey IS NULL OR s.c_acctbal <> g.c_acctbal""",
 }
+
+# The store gives what the operators give on the whole feed.
+ORACLE |= {"store_edges": ORACLE["edge_state"], "store_fetch": ORACLE["edge_fetch"], "store_one_hop": ORACLE["one_hop"]}

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from graphtide.functions import geometry, render
 from graphtide.operators import fold, normalize, project, route, verify
 from graphtide.plans import feeds
-from graphtide.plans.spec import DST, SEQ, SRC, VID, KeyRef, Prop, VertexMap, spec_labels
+from graphtide.plans.spec import DST, OP, SEQ, SRC, VID, KeyRef, Prop, VertexMap, spec_labels
 from graphtide.sources.envelopes import decode_envelopes, stream_feed, union_sources
 from graphtide.sources.label_csv import read_label_csv, write_label_csv
 from graphtide.sources.snapshot import snapshot_envelopes, snapshot_rows
@@ -452,6 +452,100 @@ def graph_stats(spark, sf):
     return store.stats()
 
 
+@query
+def store_edges(spark, sf):
+    """Edges without a rank: two folds of a version and a newer tail."""
+    store = GraphStore(spark, join(shared_dir(spark, "edges"), "store"), spec_labels([feeds.CONTAINS_UNRANKED]))
+    changes = _decoded(feeds.contains(spark, sf))
+    for number in range(3):
+        store.append(changes.where(F.pmod("seq.pos", F.lit(3)) == number), number + 1)
+        if number < 2:
+            store.compact(feeds.CONTAINS_UNRANKED)
+    return store.state(feeds.CONTAINS_UNRANKED)
+
+
+def _placed_store(spark, sf, purpose: str) -> GraphStore:
+    """Orders as edges, half of them folded."""
+    store = GraphStore(spark, join(shared_dir(spark, purpose), "store"), spec_labels([feeds.PLACED]))
+    changes = _decoded(feeds.orders(spark, sf))
+    store.append(changes.where("seq.pos % 2 = 0"), 1)
+    store.compact(feeds.PLACED)
+    store.append(changes.where("seq.pos % 2 = 1"), 2)
+    return store
+
+
+@query
+def store_fetch(spark, sf):
+    """Edges between given ends, from a version and newer changes."""
+    asked = feeds.table(spark, sf, "orders").where("o_orderstatus = 'O'")
+    pairs = asked.select(F.col("o_custkey").alias(SRC), F.col("o_orderkey").alias(DST))
+    return _placed_store(spark, sf, "fetch").fetch(feeds.PLACED, pairs)
+
+
+@query
+def store_one_hop(spark, sf):
+    """Orders of the customers of a segment, from a version and newer changes."""
+    seeds = feeds.table(spark, sf, "customer").where("c_mktsegment = 'BUILDING'").select(F.col("c_custkey").alias(SRC))
+    return _placed_store(spark, sf, "one-hop").one_hop(feeds.PLACED, seeds)
+
+
+@query
+def key_moves_vertex(spark, sf):
+    """The moves of ``key_moves`` seen by a vertex that keeps its key: no order disappears."""
+    label = replace(feeds.ORDER, props=(Prop("total", "o_totalprice", "double"),))
+    moves = normalize.normalize_changes(feeds.raw_moves(spark, sf), now=NOW, track_key_moves=feeds.PLACED.index_columns, as_text=False)
+    return fold.current_state(project.label_changes(moves, label), label)
+
+
+@query
+def rejected_values(spark, sf):
+    """Changes whose values do not fit the mapping: a name declared a number, an id that is missing."""
+    label = replace(feeds.CUSTOMER, props=(Prop("name", "c_name", "int"),))
+    tail = feeds.customer_tail(spark, sf)
+    nameless = tail.withColumn("data", F.col("data").withField("c_custkey", F.expr("nullif(data.c_nationkey, 3) + data.c_custkey")))
+    slots = project.project_slots(route.route_table(_decoded(nameless), label), label)
+    found = project.rejected_slots(slots, label)
+    return found.groupBy("reason", F.col(OP).alias("op")).agg(F.count(F.lit(1)).alias("changes"))
+
+
+@query
+def normalize_mixed(spark, sf):
+    """Raw change text of two tables through one decoder."""
+    customers = feeds.table(spark, sf, "customer").select(
+        F.lit("srv.shop.customer.Envelope").alias("schema_name"), F.lit("c").alias("op"), F.struct("c_custkey").alias("key"),
+        F.struct("c_custkey", "c_name", "c_nationkey").alias("after"),
+        F.struct(F.lit(5).cast("bigint").alias("ts_sec"), F.lit("bin.000001").alias("file"), F.col("c_custkey").alias("pos"), F.lit(0).alias("row")).alias("source_offset"))
+    text = [df.select(F.to_json(F.struct("*")).alias("value")) for df in (feeds.raw_orders(spark, sf), customers)]
+    flat = normalize.normalize_feed(text[0].unionByName(text[1]), {
+        "shop.orders": normalize.RawTable("o_orderkey bigint, o_custkey bigint, o_totalprice double, o_orderdate int, o_orderpriority string", "o_orderkey bigint", {"o_orderdate": "date"}),
+        "shop.customer": normalize.RawTable("c_custkey bigint, c_name string, c_nationkey int", "c_custkey bigint"),
+    }, now=NOW)
+    field = lambda name: F.get_json_object("data", f"$.{name}")
+    return flat.groupBy("db", "table", "op", F.array_join("key", ",").alias("key")).agg(
+        F.count("data").alias("changes"), F.sum(F.coalesce(field("o_custkey"), field("c_nationkey")).cast("bigint")).alias("total"),
+        F.min(F.coalesce(field("o_orderdate"), field("c_name"))).alias("least"), F.max("seq.pos").alias("last"))
+
+
+@query
+def snapshot_tail_render(spark, sf):
+    """Undeclared columns read alike from a snapshot, from its envelopes and from changes: one text for each row."""
+    table = feeds.table(spark, sf, "orders").select(
+        "o_orderkey", F.col("o_orderdate").alias("at"), F.col("o_orderdate").cast("date").alias("day"),
+        F.encode(F.substring("o_orderpriority", 1, 2), "UTF-8").alias("bytes"), F.col("o_totalprice").cast("decimal(18,2)").alias("price"))
+    label = VertexMap("seen", feeds.SPACE, feeds.DB, "orders", tuple(Prop(c, c) for c in ("at", "day", "bytes", "price")), id=KeyRef("o_orderkey", "bigint"))
+    raw = table.select(
+        F.lit("srv.shop.orders.Envelope").alias("schema_name"), F.lit("c").alias("op"), F.struct("o_orderkey").alias("key"),
+        F.lit(None).cast(table.schema).alias("before"), F.struct("*").alias("after"),
+        F.struct(F.lit(1).cast("bigint").alias("ts_sec"), F.lit("").alias("file"), F.lit(0).cast("bigint").alias("pos"), F.lit(0).alias("row")).alias("source_offset"))
+    ways = [
+        snapshot_rows(table, label),
+        project.label_changes(snapshot_envelopes(table, feeds.DB, "orders", ["o_orderkey"]), label),
+        project.label_changes(normalize.normalize_changes(raw, now=NOW), label),
+    ]
+    text = F.concat_ws("|", "at", "day", "bytes", "price").alias("text")
+    return reduce(DataFrame.unionByName, [w.select(VID, text) for w in ways]).distinct()
+
+
 @query
 def reconcile(spark, sf):
     """Customers in credit against the graph: some changed, some gone, some never in credit."""

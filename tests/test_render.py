@@ -70,9 +70,9 @@ def test_wall_clock_ignores_session_zone(spark):
 
 
 def test_zoned(spark):
-    items = ["2031-03-05T06:07:08Z", "2031-03-05T06:07:08.120+02:00", None]
+    items = ["2031-03-05T06:07:08Z", "2031-03-05T06:07:08.120+02:00", None, "2031-03-05T06:07:08.123456789Z", "2031-03-05T06:07:00.000000001Z", "2031-03-05T06:07:08.120000000Z"]
     assert values(spark, "string", items, lambda v: render.iso_zoned(v, "Asia/Shanghai")) == [
-        "2031-03-05T14:07:08", "2031-03-05T12:07:08.120", None]
+        "2031-03-05T14:07:08", "2031-03-05T12:07:08.120", None, "2031-03-05T14:07:08.123456789", "2031-03-05T14:07:00.000000001", "2031-03-05T14:07:08.120"]
     bad = ["2031-03-05T06:07:08", "soon"]
     assert values(spark, "string", bad, lambda v: render.iso_zoned(v, malformed="null")) == [None, None]
     with pytest.raises(PySparkException, match="not a zoned timestamp: soon"):
