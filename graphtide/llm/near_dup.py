@@ -14,8 +14,9 @@ bucket nodes are first compared with one node each, then only across components
 still apart, so a group of thousands of copies needs about one comparison for each of
 them, and no pair that could join two components is left out.  In that last step each
 node brings a longer signature of one bit a component: a pair whose bits differ more than
-``SKETCH_MISSES`` allows (a similarity of 0.8 does so with probability 3e-5) is ruled out
-within the join, which keeps a family of looser copies from being expanded into pairs.
+``SKETCH_MISSES`` allows (a similarity of 0.8 does so with probability 3e-5), or that would
+need more shingles in common than either shares with any other node, is ruled out within
+the join, which keeps a family of looser copies from being expanded into pairs.
 
 With 32 bands of 6 components, a pair at similarity 0.8 is missed with probability 6e-5.
 
@@ -47,6 +48,8 @@ SKETCH_MISSES = int(SKETCH * 0.1 + 4 * (SKETCH * 0.09) ** 0.5)
 CELLS = 100_000  # components of the texts that are drawn together; about a dozen points each
 # Ids up to which a semi-join may broadcast them (8 bytes each); more are joined by a shuffle.
 BROADCAST_IDS = 2_000_000
+# Shingles up to which the multisets of a round are broadcast (8 bytes each); beyond, pairs move to them.
+BROADCAST_SHINGLES = 4_000_000
 _ROW = "␟row"
 _U = np.uint64
 
@@ -197,9 +200,11 @@ def _bags(signed: DataFrame, nodes: DataFrame, purpose: str, sketched: bool = Fa
 
 def _verified(bags: DataFrame, pairs: DataFrame, purpose: str) -> DataFrame:
     """The pairs (a, b) whose multisets overlap enough."""
+    size = bags.agg(F.sum(F.size("bag").cast("bigint"))).head()[0] or 0
+    side = (lambda df: F.broadcast(df)) if size <= BROADCAST_SHINGLES else (lambda df: df)
     both = (
-        pairs.join(bags.select(F.col(_ROW).alias("b"), F.col("bag").alias("bag_b")), "b")
-        .join(bags.select(F.col(_ROW).alias("a"), F.col("bag").alias("bag_a")), "a")
+        pairs.join(side(bags.select(F.col(_ROW).alias("b"), F.col("bag").alias("bag_b"))), "b")
+        .join(side(bags.select(F.col(_ROW).alias("a"), F.col("bag").alias("bag_a"))), "a")
     )
     common = F.size(F.array_intersect("bag_a", "bag_b"))
     return stored(both.where(common >= SIMILARITY * (F.size("bag_a") + F.size("bag_b") - common)).select("a", "b"), f"near-dup-links-{purpose}")
@@ -273,10 +278,17 @@ def find_near_duplicates(docs: DataFrame, *, id: str = "doc_id", text: str = "te
     # What is still apart is compared in full, each pair in the first bucket that both are in.
     apart = crowded.withColumn("component", F.col("node")) if labels is None else _apart(crowded, labels)
     bags = _bags(signed, apart.select(F.col("node").alias(_ROW)), "rest", sketched=True)
-    near = apart.join(bags.select(F.col(_ROW).alias("node"), F.col("␟bands").alias("bands"), "sketch"), "node")
-    other = near.select("bucket", *[F.col(c).alias(f"other_{c}") for c in ("node", "weight", "component", "bands", "sketch")])
+    single = bags.select(_ROW, F.explode("bag").alias("shingle"))
+    common = single.groupBy("shingle").agg(F.count("*").alias("n")).where("n > 1").select("shingle")
+    room = single.join(common, "shingle").groupBy(_ROW).agg(F.count("*").alias("room"))
+    room = stored(room.where(F.col("room") > 0), "near-dup-room").select(F.col(_ROW).alias("node"), "room")
+    near = apart.join(room, "node").where(F.col("room") >= SIMILARITY * F.col("weight"))
+    near = near.join(bags.select(F.col(_ROW).alias("node"), F.col("␟bands").alias("bands"), "sketch"), "node")
+    other = near.select("bucket", *[F.col(c).alias(f"other_{c}") for c in ("node", "weight", "component", "room", "bands", "sketch")])
+    overlap = F.least("room", "other_room")
+    fits = overlap >= SIMILARITY * (F.col("weight") + F.col("other_weight") - overlap)
     misses = F.aggregate(F.zip_with("sketch", "other_sketch", lambda a, b: F.bit_count(a.bitwiseXOR(b))), F.lit(0), lambda a, x: a + x)
-    across = (F.col("component") < F.col("other_component")) & _similar_size("weight", "other_weight") & (misses <= SKETCH_MISSES)
+    across = (F.col("component") < F.col("other_component")) & _similar_size("weight", "other_weight") & fits & (misses <= SKETCH_MISSES)
     pairs = near.join(other, "bucket").where(across & (F.array_min(F.array_intersect("bands", "other_bands")) == F.col("bucket")))
     pairs = stored(_ordered(pairs.select("node", F.col("other_node").alias("other"))), "near-dup-pairs-rest")
     if not pairs.isEmpty():
