@@ -344,7 +344,7 @@ def rejected_changes(spark, sf):
 def project_slots(spark, sf):
     changes = route.route_table(_decoded(feeds.contains(spark, sf)), feeds.CONTAINS)
     slots = project.project_slots(changes, feeds.CONTAINS)
-    return slots.withColumn("ts_sec", F.col(f"{SEQ}.ts_sec")).drop(SEQ)
+    return slots.withColumn("ts_sec", F.col(f"{SEQ}.ts_sec")).drop(SEQ, project.BAD)
 
 
 @query
