@@ -139,6 +139,9 @@ def filter_urls(pages: DataFrame, rules: list[Rule], *, url: str = "url", keep:
     model = learn(examples.where("not calibrates"), distinct.select("url"))
     limit = threshold(differences(examples.where("calibrates"), model, "url", ["accepted"]))
     free = differences(distinct.where("verdict is null").select("url"), model, "url", []).withColumnRenamed("url", "␟text")
-    joined = judged.withColumn("␟text", F.when(F.col("␟verdict").isNull(), text)).join(free, "␟text", "left")
+    # Rows that a rule judges stay out of the join: they would all meet under one key.
+    ruled = judged.where("`␟verdict` is not null").withColumn("difference", F.lit(None).cast("double"))
+    others = judged.where("`␟verdict` is null").withColumn("␟text", text).join(free, "␟text", "left").drop("␟text")
     learned = F.when(F.coalesce("difference", F.lit(0.0)) >= limit, "allow").otherwise("block")
+    joined = ruled.unionByName(others)
     return joined.select(*[named(c) for c in keep], "host", "path", "rule", F.coalesce("␟verdict", learned).alias("verdict"), "difference")
