@@ -48,8 +48,9 @@ SKETCH_MISSES = int(SKETCH * 0.1 + 4 * (SKETCH * 0.09) ** 0.5)
 CELLS = 100_000  # components of the texts that are drawn together; about a dozen points each
 # Ids up to which a semi-join may broadcast them (8 bytes each); more are joined by a shuffle.
 BROADCAST_IDS = 2_000_000
-# Shingles up to which the multisets of a round are broadcast (8 bytes each); beyond, pairs move to them.
-BROADCAST_SHINGLES = 4_000_000
+# Shingles up to which the multisets of a round are broadcast (8 bytes each, in all the 10 MB up to
+# which Spark broadcasts by default); beyond, pairs and multisets are joined by a shuffle.
+BROADCAST_SHINGLES = 1_250_000
 _ROW = "␟row"
 _U = np.uint64
 
