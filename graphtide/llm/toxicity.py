@@ -6,7 +6,8 @@ the passages of toxic texts whose six-byte grams occur in a far larger share of
 than of ordinary texts.  Each window of a text is compressed with both; what the toxic
 dictionary saves is the distance.  The savings of a text's windows (largest, sum, sum for
 the square root of the windows) are turned into a score by a logistic regression on
-labelled texts that the dictionaries have not seen.
+labelled texts that the dictionaries have not seen, each class weighted to its share of
+all trusted labels, so that a score is a probability whatever the sample's mix.
 
 The dictionaries and the regression see at most ``SAMPLE`` labelled texts of each class.
 A null text is an empty one: its score is that of a text without windows' savings.  With
@@ -28,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, StructField
 
 from graphtide.llm.common import annotate, pieces, stored
-from graphtide.llm.learning import Logistic, labelled
+from graphtide.llm.learning import Logistic, known, labelled
 
 SAMPLE = 6000  # labelled texts of each class that are learned from
 LEAST = 8
@@ -144,15 +145,18 @@ def train(docs: DataFrame, labels: DataFrame, trusted: Column, *, label: str = "
 
     words = half.where("label = 0").select(F.explode(F.split(F.lower("text"), r"\s+")).alias("word")).where("word <> ''")
     frequent = words.groupBy("word").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "word").limit(ORDINARY_WORDS).collect()
-    known = set(marked.tolist())
-    common = [w for w in (f" {r['word']} ".encode() for r in frequent) if not known & set(_grams(w).tolist())]
+    taken = set(marked.tolist())
+    common = [w for w in (f" {r['word']} ".encode() for r in frequent) if not taken & set(_grams(w).tolist())]
     ordinary_bytes = b"".join(common[::-1])[-ORDINARY_BYTES:] or b" "
     toxic_bytes = ordinary_bytes + b"\0" + b"\0".join(passages[::-1])
 
     rows = annotate(sample.where("part = 1").select("text", "label"), "text", [StructField("f", ArrayType(DoubleType()))], partial(_features, ordinary_bytes, toxic_bytes), ["label"])
     rows = rows.toArrow()
-    x = np.array(rows.column("f").to_pylist())
-    return ToxicityModel(ordinary_bytes, toxic_bytes, Logistic.fit(x, rows.column("label").to_numpy()))
+    x, y = np.array(rows.column("f").to_pylist()), rows.column("label").to_numpy()
+    # The classes are sampled alike, so each is weighted to its share of all trusted labels.
+    of_class = {r["label"]: r["n"] for r in known(labels, label, trusted, id=id).groupBy("label").agg(F.count("*").alias("n")).collect()}
+    share = np.array([of_class[0], of_class[1]]) / sum(of_class.values())
+    return ToxicityModel(ordinary_bytes, toxic_bytes, Logistic.fit(x, y, counts=(share * len(y) / np.bincount(y, minlength=2))[y]))
 
 
 FIELDS = [StructField("score", DoubleType())]

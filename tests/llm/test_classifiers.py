@@ -57,6 +57,23 @@ def test_toxicity(spark, toxic_corpus):
     assert toxicity.score_toxicity(docs.where("false"), model).count() == 0
 
 
+def test_toxicity_keeps_the_share_of_a_large_label_table(spark, documents, monkeypatch):
+    # All toxic texts and one in seven ordinary ones hold the word: less than half of those that do are toxic.
+    rows, labels = [], []
+    for k in range(3000):
+        bad = k % 10 == 0
+        rows.append((k, f"ba to rime sun lori {'vilewretch' if bad or k % 8 == 1 else 'ba'} to rime sun lori"))
+        labels.append((k, int(bad)))
+    docs, labels = documents(rows), spark.createDataFrame(labels, "doc_id long, toxic int")
+    decided = {}
+    for most in (6000, 150):
+        monkeypatch.setattr(toxicity, "SAMPLE", most)
+        got = toxicity.score_toxicity(docs, toxicity.train(docs, labels, F.lit(True)), keep=["doc_id"]).collect()
+        decided[most] = {r.doc_id for r in got if r.score >= toxicity.THRESHOLD}
+        assert abs(np.mean([r.score for r in got]) - 0.1) < 0.04
+    assert decided[150] == decided[6000]
+
+
 def test_quality_on_held_out_rows(spark, documents):
     docs, labels = (spark.read.parquet(f"{BASE}/{t}.parquet") for t in ("documents", "labels"))
     model = quality.train(docs, labels, lambda id: F.pmod(F.crc32(id.cast("string")), F.lit(4)) != 2)
