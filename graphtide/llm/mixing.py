@@ -4,68 +4,100 @@ Each source is cut into blocks of ``BLOCK`` documents in a pseudo-random order.
 integer weights w of sum W, block j (from nought) of a source may not be placed before
 slot j*W/w and must be placed before slot (j+1)*W/w; the earliest deadline among the
 released blocks gets the slot.  At every slot a source's share then differs from its
-target by less than one block.  The windows repeat after W slots, so one period is
-scheduled (an aggregate over W slots, in one row) and every block finds its slot from it
-by arithmetic: no document waits for another.
+target by less than one block.  The driver goes over the blocks once (not the documents),
+with heaps of the sources, and writes their slots to the shared folder part by part.
 
-Without explicit weights a source weighs the square root of its documents.  Weights are
-rounded to about ``RESOLUTION`` slots a period; every source gets one at least.  A source
-that is not among explicit weights gets the least.  The period has one entry for each
-slot, so the one-row step grows with the number of sources, not of documents.
+Without explicit weights a source weighs the square root of its documents, to 64 binary
+places; explicit weights are taken as the decimals they are written as.  Sources that
+have no explicit weight above nought weigh one part in ``RESOLUTION`` together.
 
 No document is dropped or repeated.  ``in_mix`` marks the blocks before the first slot at
-which some source has none left, where the shares hold; the others keep their slots
-behind it.  A null source is a source of its own.  Repeated rows are placed each; an
-empty table gives an empty one.
+which some source has none left, where the shares hold; the others follow in the order
+of their deadlines.  A null source is a source of its own.  Repeated rows are placed
+each; an empty table gives an empty one.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Iterator
+from fractions import Fraction
+from heapq import heapify, heappop, heappush, heapreplace
+from itertools import islice
+from math import isqrt, lcm
+
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
 from graphtide.llm.common import named, stored
+from graphtide.streaming.files import shared_dir
 
 BLOCK = 32
 RESOLUTION = 1000
 BUCKET = 4_000  # documents of a source that are ranked together, about
+PART = 500_000  # blocks that the driver holds at once
 
 
-def _pattern(sources: DataFrame, weights: dict[str, float] | None) -> DataFrame:
-    """(key, n, w, total, slots): what each source weighs and its slots in one period."""
-    one = sources.agg(F.array_sort(F.collect_list(F.struct("key", "n"))).alias("s"))
+def _weights(sources: list[tuple[str, int]], weights: dict[str, float] | None) -> list[int]:
+    """Integer weights of the sources, given as (key, documents)."""
     if weights is None:
-        raw = F.transform("s", lambda x: F.sqrt(x["n"].cast("double")))
-    else:
-        given = F.create_map(*[F.lit(v) for k, w in weights.items() for v in ("=" + k, float(w))])
-        raw = F.transform("s", lambda x: F.coalesce(F.element_at(given, x["key"]), F.lit(0.0)))
-    one = one.withColumn("raw", raw)
-    total = F.aggregate("raw", F.lit(0.0), lambda a, x: a + x)
-    share = lambda x: F.greatest(F.lit(1), F.round(RESOLUTION * F.try_divide(x, F.col("sum"))).cast("int"))
-    one = one.withColumn("sum", total).withColumn("w", F.transform("raw", share))
-    one = one.withColumn("total", F.aggregate("w", F.lit(0), lambda a, x: a + x)).where("total > 0")
-
-    def place(state: Column, slot: Column) -> Column:
-        def bid(count: Column, i: Column) -> Column:
-            w, all_ = F.get("w", i), F.col("total")
-            due = F.floor(((count + 1) * all_ + w - 1) / w).cast("int")
-            return F.when((count < w) & (F.floor(count * all_ / w) <= slot), F.struct(due.alias("due"), i.alias("i")))
-
-        best = F.array(F.array_min(F.transform(state["counts"], bid)))
-        step = lambda b: F.struct(F.transform(state["counts"], lambda c, i: c + (i == b["i"]).cast("int")).alias("counts"), F.concat(state["picks"], F.array(b["i"])).alias("picks"))
-        return F.element_at(F.transform(best, step), 1)
-
-    start = F.struct(F.transform("w", lambda x: F.lit(0)).alias("counts"), F.array().cast("array<int>").alias("picks"))
-    one = one.withColumn("picks", F.aggregate(F.sequence(F.lit(0), F.col("total") - 1), start, place)["picks"])
-    rows = one.select("picks", "total", "w", F.posexplode("s").alias("i", "source"))
-    slots = F.filter(F.transform("picks", lambda p, t: F.when(p == F.col("i"), t)), lambda t: t.isNotNull())
-    return rows.select(F.col("source.key").alias("key"), F.col("source.n").alias("n"), F.get("w", "i").alias("w"), "total", slots.alias("slots"))
-
-
-def _slot(block: Column) -> Column:
-    """The slot of a source's block, from the columns of the pattern."""
-    return F.floor(block / F.col("w")) * F.col("total") + F.get("slots", (block % F.col("w")).cast("int"))
+        return [isqrt(n << 128) for _, n in sources]
+    given = {"=" + k: max(Fraction(0), Fraction(str(w))) for k, w in weights.items()}
+    own = [given.get(key, Fraction(0)) for key, _ in sources]
+    rest = (sum(own) or Fraction(1)) / RESOLUTION / max(1, own.count(0))
+    own = [w or rest for w in own]
+    scale = lcm(*(w.denominator for w in own))
+    return [int(w * scale) for w in own]
+
+
+def schedule(weights: list[int], blocks: list[int]) -> Iterator[tuple[int, int, bool]]:
+    """(source, block, in the mix) of each slot in turn, for ``blocks`` of each source."""
+    total = sum(weights)
+    due = lambda i, j: -(-(j + 1) * total // weights[i])
+    done = [0] * len(weights)
+    ready = [(due(i, 0), i) for i in range(len(weights))]  # released, by deadline
+    heapify(ready)
+    waiting: list[tuple[int, int]] = []  # by release
+    slot = 0
+    while ready or waiting:
+        while waiting and waiting[0][0] <= slot:
+            i = heappop(waiting)[1]
+            heappush(ready, (due(i, done[i]), i))
+        i = ready[0][1]
+        if done[i] == blocks[i]:
+            break
+        heappop(ready)
+        yield i, done[i], True
+        done[i] += 1
+        heappush(waiting, (done[i] * total // weights[i], i))
+        slot += 1
+    left = [(due(i, j), i) for i, j in enumerate(done) if j < blocks[i]]
+    heapify(left)
+    while left:
+        i = left[0][1]
+        yield i, done[i], False
+        done[i] += 1
+        if done[i] < blocks[i]:
+            heapreplace(left, (due(i, done[i]), i))
+        else:
+            heappop(left)
+
+
+def _slots(counts: DataFrame, weights: dict[str, float] | None, block: int) -> DataFrame:
+    """(␟key, ␟block, ␟slot, in_mix) of every block; ``counts`` has (key, n)."""
+    spark = counts.sparkSession
+    sources = sorted(((r["key"], r["n"]) for r in counts.toLocalIterator()), key=lambda s: s[0].encode("utf-8", "surrogatepass"))
+    placed = enumerate(schedule(_weights(sources, weights), [-(-n // block) for _, n in sources]))
+    path = shared_dir(spark, "mixing-slots")
+    schema = pa.schema([("␟key", pa.string()), ("␟block", pa.int64()), ("␟slot", pa.int64()), ("in_mix", pa.bool_())])
+    form = "`␟key` string, `␟block` bigint, `␟slot` bigint, in_mix boolean"
+    first = True
+    while (part := list(islice(placed, PART))) or first:
+        columns = [[sources[i][0] for _, (i, _, _) in part], [j for _, (_, j, _) in part], [t for t, _ in part], [m for _, (_, _, m) in part]]
+        spark.createDataFrame(pa.table(columns, schema=schema), form).write.mode("append").parquet(path)
+        first = False
+    return spark.read.schema(form).parquet(path)
 
 
 def mix_sources(
@@ -78,19 +110,26 @@ def mix_sources(
     order = F.md5(F.concat_ws(":", F.lit(str(seed)), named(id).cast("string")))
     keyed = docs.select(*[named(c) for c in kept], key.alias("␟key"), order.alias("␟order"))
     counts = docs.groupBy(key.alias("key")).agg(F.count("*").alias("n"))
-    pattern = stored(_pattern(counts, weights), "mixing-pattern").withColumn("buckets", F.ceil(F.col("n") / BUCKET))
-    pattern = pattern.withColumn("end", F.min(_slot(F.ceil(F.col("n") / block))).over(Window.partitionBy("total"))).withColumnRenamed("key", "␟key")
+    counts = stored(counts, "mixing-sources")
+    slots = _slots(counts, weights, block)
+    pattern = counts.select(F.col("key").alias("␟key"), F.ceil(F.col("n") / BUCKET).alias("buckets"))
 
     # A source is ranked in buckets of its order, so that a large one is not one task's.
     bucket = F.shiftright(F.conv(F.substring("␟order", 1, 8), 16, 10).cast("bigint") * F.col("buckets"), 32)
     sizes = keyed.select("␟key", "␟order").join(pattern, "␟key").groupBy("␟key", bucket.alias("␟bucket")).agg(F.count("*").alias("size"))
     before = F.sum("size").over(Window.partitionBy("␟key").orderBy("␟bucket").rowsBetween(Window.unboundedPreceding, -1))
-    offsets = sizes.select("␟key", "␟bucket", F.coalesce(before, F.lit(0)).alias("␟before"))
+    offsets = sizes.select("␟key", "␟bucket", "size", F.coalesce(before, F.lit(0)).alias("␟before"))
+    # The slots of a bucket's blocks go to it in a list, so that no document is moved for its slot.
+    at = lambda rank: F.floor(rank / block)
+    own = offsets.withColumn("␟block", F.explode(F.sequence(at(F.col("␟before")), at(F.col("␟before") + F.col("size") - 1)))).join(slots, ["␟key", "␟block"])
+    offsets = own.groupBy("␟key", "␟bucket", "␟before").agg(F.array_sort(F.collect_list(F.struct("␟block", "␟slot", "in_mix"))).alias("␟slots"))
+
     placed = keyed.join(pattern, "␟key").withColumn("␟bucket", bucket)
     number = F.row_number().over(Window.partitionBy("␟key", "␟bucket").orderBy("␟order", named(id)))
     ranked = placed.withColumn("␟number", number).join(offsets, ["␟key", "␟bucket"])
     rank = F.col("␟before") + F.col("␟number") - 1
-    ranked = ranked.withColumn("␟rank", rank).withColumn("␟block", F.floor(F.col("␟rank") / block)).withColumn("␟slot", _slot(F.col("␟block")))
+    ranked = ranked.withColumn("␟rank", rank).withColumn("␟block", at(F.col("␟rank")))
+    place = F.get("␟slots", (F.col("␟block") - at(F.col("␟before"))).cast("int"))
     return ranked.select(
-        *[named(c) for c in kept], F.col("␟slot").alias("mix_slot"), F.col("␟block").alias("mix_block"), F.col("␟rank").alias("mix_rank"),
-        (F.col("␟slot") < F.col("end")).alias("in_mix"))
+        *[named(c) for c in kept], place["␟slot"].alias("mix_slot"), F.col("␟block").alias("mix_block"), F.col("␟rank").alias("mix_rank"),
+        place["in_mix"].alias("in_mix"))

@@ -2,7 +2,7 @@ from collections import Counter
 
 from pyspark.sql import functions as F
 
-from graphtide.llm.mixing import RESOLUTION, mix_sources
+from graphtide.llm.mixing import RESOLUTION, mix_sources, schedule
 
 
 def deviations(rows, weights):
@@ -30,6 +30,26 @@ def test_less_than_one_block_from_target(spark):
     assert max(per_slot.values()) <= 2
 
 
+def test_unrounded_targets(spark):
+    third = F.when(F.pmod("id", F.lit(3)) == 0, "hot").otherwise(F.concat(F.lit("s"), F.pmod(F.floor(F.col("id") / 3), F.lit(19)).cast("string")))
+    docs = spark.range(6000).select(F.col("id").alias("doc_id"), third.alias("source"))
+    rows = mix_sources(docs, block=1).collect()
+    sizes = Counter(r.source for r in rows)
+    assert sum(r.in_mix for r in rows) > 4000 and deviations(rows, {s: n**0.5 for s, n in sizes.items()}) < 1
+    assert sorted(r.mix_slot for r in rows) == list(range(6000))
+
+    docs = spark.range(5010).select(F.col("id").alias("doc_id"), F.when(F.col("id") < 10, "rare").otherwise("often").alias("source"))
+    weights = {"rare": 0.0004, "often": 0.9996}
+    assert deviations(mix_sources(docs, weights=weights, block=1).collect(), weights) < 1
+
+
+def test_many_sources():
+    weights = [1000, *[1] * 50_000]
+    placed = list(schedule(weights, [2000, *[2] * 50_000]))
+    assert len(set(placed)) == len(placed) == 102_000 and all(m for _, _, m in placed)
+    assert abs(sum(i == 0 for i, _, _ in placed[:25_500]) - 500) < 1
+
+
 def test_rows(spark, documents):
     docs = documents([(1, "a", "en", None), (1, "a", "en", None), (2, None, "en", ""), (3, "b", "en", "s"), (None, "c", "en", "s")])
     rows = mix_sources(docs, block=1).collect()
