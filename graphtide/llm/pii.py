@@ -90,6 +90,9 @@ _BRACKETED = re.compile(rf"{_B}(?:(at|arroba|@)|({_DOTS}|\.)){_E}", re.I)
 _BARE = re.compile(
     rf"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++(?P<at>[ \t]{{1,3}}(?:at|arroba)[ \t]{{1,3}}|[ \t]{{0,3}}@[ \t]{{0,3}})[A-Za-z0-9-]++"
     rf"(?P<rest>(?:[ \t]{{1,3}}(?:{_DOTS})[ \t]{{1,3}}[A-Za-z0-9-]++|\.[A-Za-z0-9-]++)+)", re.I)
+# A name with a spelled dot behind it; a name has at most 64 characters.
+_DOTTED_NAME = re.compile(rf"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]+(?P<dot>[ \t]{{1,3}}(?:{_DOTS})[ \t]{{1,3}})\Z", re.I)
+_NAME_REACH = 80
 _SPELLED_DOT = re.compile(rf"[ \t]{{1,3}}(?:{_DOTS})[ \t]{{1,3}}", re.I)
 
 # Digits in words (English, German, French, Spanish).
@@ -99,12 +102,16 @@ _SPELLED = {
     "zéro": "0", "un": "1", "deux": "2", "trois": "3", "quatre": "4", "cinq": "5", "sept": "7", "huit": "8", "neuf": "9",
     "cero": "0", "uno": "1", "dos": "2", "tres": "3", "cuatro": "4", "cinco": "5", "seis": "6", "siete": "7", "ocho": "8", "nueve": "9",
 }
-_NUMERAL = "(?:" + "|".join(sorted(_SPELLED, key=len, reverse=True)) + r"|[0-9])(?![^\W_])"
+_WORDS = "|".join(sorted(_SPELLED, key=len, reverse=True))
+_NUMERAL = f"(?:{_WORDS}|[0-9]++)(?![^\\W_])"
 _GAP = rf"(?:[ \t]{{0,2}}[-,.][ \t]{{0,2}}|[ \t]{{1,3}}(?:(?:{_DOTS})[ \t]{{1,3}})?)"
-_NUMBER = re.compile(rf"(?<![^\W_])(?:plus[ \t-]{{1,3}}|\+[ \t]{{0,2}})?{_NUMERAL}(?:{_GAP}{_NUMERAL}){{3,}}", re.I)
+_NUMBER = re.compile(rf"(?<![^\W_])(?:plus[ \t-]{{1,3}}|\+[ \t]{{0,2}})?{_NUMERAL}(?:{_GAP}{_NUMERAL})+", re.I)
+_SINGLES = re.compile(_NUMBER.pattern.replace("[0-9]++", "[0-9]")[:-1] + "{3,}", re.I)  # single digits only
 _TOKEN = re.compile(rf"plus|\+|{_DOTS}|\.|" + _NUMERAL, re.I)
+_THOUSANDS = re.compile(r"plus[ \t-]{1,3}[0-9]{1,3}(?:[ .,][0-9]{3})+", re.I)
+_SAID = re.compile(f"{_WORDS}|plus|{_DOTS}", re.I)
 _ANY_SPELLED = re.compile("|".join(sorted(_SPELLED, key=len, reverse=True)), re.I)
-LEAST_SPELLED = 4  # words of a number that must be spelled for it to be rewritten
+LEAST_SPELLED = 4  # words of a number that must be spelled for it to be rewritten without being an identifier
 
 Edit = tuple[int, int, str]
 
@@ -114,18 +121,47 @@ def _characters(text: str) -> Iterator[Edit]:
         yield m.start(), m.end(), _CHARACTERS[m[0]]
 
 
+def _number(text: str, start: int, end: int, apart: bool) -> Iterator[Edit]:
+    """Digits for the words of a number; the gap before a token goes with it.
+
+    The gap between two numerals stays if both are written in digits and one has several,
+    or (``apart``) if one has several.
+    """
+    at, before = start, ""
+    for t in _TOKEN.finditer(text, start, end):
+        word = t[0].lower()
+        new = _SPELLED.get(word) or (word if word.isdigit() else "+" if word in ("plus", "+") else ".")
+        both = before.isdigit() and word.isdigit()
+        several = (before.isdigit() and len(before) > 1) or (word.isdigit() and len(word) > 1)
+        numerals = before not in ("", "+", ".") and new not in ("+", ".")
+        if numerals and several and (both or apart):
+            at = t.start()
+        if (at, t.end(), new) != (t.start(), t.end(), t[0]):
+            yield at, t.end(), new
+        at, before = t.end(), word if word.isdigit() or word in _SPELLED else new
+
+
+def _put(text: str, start: int, end: int, edits: list[Edit]) -> str:
+    out, at = [], start
+    for a, b, new in edits:
+        out += [text[at:a], new]
+        at = b
+    return "".join(out) + text[at:end]
+
+
 def _numbers(text: str) -> Iterator[Edit]:
     for m in _NUMBER.finditer(text):
-        if len(_ANY_SPELLED.findall(m[0])) < LEAST_SPELLED:
+        if not _SAID.search(m[0]) or _THOUSANDS.fullmatch(m[0]):
             continue
-        at, before = m.start(), ""
-        for t in _TOKEN.finditer(text, m.start(), m.end()):
-            word = t[0].lower()
-            new = _SPELLED.get(word) or (word if word.isdigit() else "+" if word in ("plus", "+") else ".")
-            # The gap before a token goes with it.
-            if (at, t.end(), new) != (t.start(), t.end(), t[0]):
-                yield at, t.end(), new
-            at, before = t.end(), new
+        for apart in (False, True):
+            edits = list(_number(text, *m.span(), apart))
+            if plain(_put(text, *m.span(), edits)):
+                yield from edits
+                break
+        else:
+            for part in _SINGLES.finditer(text, *m.span()):
+                if len(_ANY_SPELLED.findall(part[0])) >= LEAST_SPELLED:
+                    yield from _number(text, *part.span(), False)
 
 
 def _brackets(text: str) -> Iterator[Edit]:
@@ -134,15 +170,23 @@ def _brackets(text: str) -> Iterator[Edit]:
 
 
 def _bare(text: str) -> Iterator[Edit]:
+    after = 0
     for m in _BARE.finditer(text):
         dots = list(_SPELLED_DOT.finditer(text, *m.span("rest")))
+        name, begin = [], m.start()
+        while n := _DOTTED_NAME.search(text[max(after, begin - _NAME_REACH) : begin]):
+            shift = max(after, begin - _NAME_REACH)
+            name.append((shift + n.start("dot"), begin, "."))
+            begin = shift + n.start()
         # "at" before a plain domain is prose unless the name looks like a login.
-        if "@" not in m["at"] and not dots and not re.search(r"[0-9._%+]", text[m.start() : m.start("at")]):
+        if "@" not in m["at"] and not dots and not name and not re.search(r"[0-9._%+]", text[m.start() : m.start("at")]):
             continue
+        yield from reversed(name)
         if m["at"] != "@":
             yield *m.span("at"), "@"
         for d in dots:
             yield d.start(), d.end(), "."
+        after = m.end()
 
 
 _TRANSDUCERS: list[tuple[Callable[[str], bool], Callable[[str], Iterator[Edit]]]] = [

@@ -42,6 +42,16 @@ CASES = [
     ("call plus four nine one five one two three four five six", "phone", "plus four nine one five one two three four five six"),
     ("plus vier neun eins zwei drei vier fünf sechs sieben acht.", "phone", "plus vier neun eins zwei drei vier fünf sechs sieben acht"),
     ("at one nine two dot one six eight dot one dot two", "ip", "one nine two dot one six eight dot one dot two"),
+    ("host 192 dot 168 dot 1 dot 10 is up", "ip", "192 dot 168 dot 1 dot 10"),
+    ("in 2020, 192 dot 168 dot one dot 10", "ip", "192 dot 168 dot one dot 10"),
+    ("in 2020 one nine two dot 168 dot 1 dot 10", "ip", "one nine two dot 168 dot 1 dot 10"),
+    ("in 2020 one nine two dot one six eight dot one dot two", "ip", "one nine two dot one six eight dot one dot two"),
+    ("call +49 one five one 2345678 now", "phone", "+49 one five one 2345678"),
+    ("call plus four nine 151 2345678", "phone", "plus four nine 151 2345678"),
+    ("call plus 49 151 2345678", "phone", "plus 49 151 2345678"),
+    ("card 4111 one one one one 1111 1111", "card", "4111 one one one one 1111 1111"),
+    ("ask john dot smith at example dot com", "email", "john dot smith at example dot com"),
+    ("ask j dot r dot smith at example.com", "email", "j dot r dot smith at example.com"),
 ]
 
 
@@ -58,6 +68,11 @@ def test_prose_is_left_alone():
         assert plain(text) == [] and disguised(text, []) == [], text
 
 
+def test_numbers_of_prose_are_left_alone():
+    for text in ("plus 10 000 000 euros", "from 10 to one 250 dot 5", "two 4 six 800", "in 2020, one two 3 and 45", "at the red dot smith saw one"):
+        assert plain(text) == [] and disguised(text, []) == [], text
+
+
 def test_base_spans_stay_with_disguised_ones():
     text = "a@b.cd and ann [at] exa [dot] org and +49 151 2345678"
     base = plain(text)
@@ -68,6 +83,8 @@ def test_long_runs_are_linear():
     for unit in ("a", "1", "1 ", "+1", "a@", "1.", "one "):
         plain(unit * 50_000)
     disguised("one two " * 5_000, [])
+    for unit in ("one 22 ", "12 dot ", "a dot "):
+        disguised(unit * 20_000, [])
 
 
 def test_rows(spark, documents):
