@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 from functools import lru_cache
 
 import numpy as np
@@ -56,26 +56,29 @@ def annotate(
     df: DataFrame,
     text: str,
     fields: list[StructField],
-    work: Callable[[], Callable[[pa.Array], list]],
+    work: Callable[[], Callable[..., list]],
     keep: list[str] | None = None,
+    also: Sequence[Column] = (),
 ) -> DataFrame:
     """Add the columns ``fields``, computed from the texts in Arrow batches.
 
     ``work()`` is called once in each task and gives the function from texts to
     columns.  ``keep`` names the input columns to return (all by default).  An
-    input column that has the name of a new one is replaced by it.
+    input column that has the name of a new one is replaced by it.  The values of
+    ``also`` are handed to that function beside the texts and not returned.
     """
     new = {f.name.lower() for f in fields}
     kept = [c for c in (df.columns if keep is None else keep) if c.lower() not in new]
     schema = StructType([df.schema[c] for c in kept] + fields)
     at = kept.index(text) if text in kept and dict(df.dtypes)[text] == "string" else len(kept)
-    source = df.select(*[named(c) for c in kept], *([named(text).cast("string").alias("␟text")] if at == len(kept) else []))
-    names = schema.names
+    own = [named(text).cast("string").alias("␟text")] if at == len(kept) else []
+    source = df.select(*[named(c) for c in kept], *own, *[c.alias(f"␟also-{i}") for i, c in enumerate(also)])
+    names, beside = schema.names, range(len(kept) + len(own), len(kept) + len(own) + len(also))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         columns = work()
         for piece in pieces(batches, at):
-            made = columns(piece.column(at))
+            made = columns(piece.column(at), *(piece.column(i) for i in beside))
             yield pa.RecordBatch.from_arrays([*(piece.column(i) for i in range(len(kept))), *made], names=names)
 
     return source.mapInArrow(run, schema)
@@ -119,16 +122,21 @@ def _powers(bits: int) -> tuple[np.ndarray, np.ndarray]:
 
 _code = np.arange(256, dtype=np.uint8)
 LOWER = np.where((_code >= 65) & (_code <= 90), _code + 32, _code).astype(np.uint8)
+AS_IS = _code
 IS_WORD = (_code >= 0x80) | ((_code >= 48) & (_code <= 57)) | ((_code >= 97) & (_code <= 122))
+NOT_BLANK = (_code != 0x20) & ((_code < 0x09) | (_code > 0x0D))
 
 
 class Words:
-    """Words of a batch of texts: runs of ASCII letters (lower-cased), digits and all above ASCII."""
+    """Words of a batch of texts: runs of ASCII letters (lower-cased), digits and all above ASCII.
 
-    def __init__(self, texts: pa.Array) -> None:
+    ``word`` marks other bytes as those of words, ``case=AS_IS`` leaves letters as they are.
+    """
+
+    def __init__(self, texts: pa.Array, word: np.ndarray = IS_WORD, case: np.ndarray = LOWER) -> None:
         data, offsets = utf8(texts)
-        self.bytes = LOWER[data]
-        inside = IS_WORD[self.bytes]
+        self.bytes = case[data]
+        inside = word[self.bytes]
         n = len(data)
         cut = np.zeros(n + 1, bool)
         cut[offsets] = True

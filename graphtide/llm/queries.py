@@ -12,10 +12,12 @@ from graphtide.llm.chat import format_conversations, masked_text, turns
 from graphtide.llm.common import fold, table
 from graphtide.llm.decontaminate import find_contamination
 from graphtide.llm.divergence import apply_rules
+from graphtide.llm.fill_middle import fill_in_middle, restored
 from graphtide.llm.language import label_languages
 from graphtide.llm.mixing import mix_sources
 from graphtide.llm.near_dup import find_near_duplicates
 from graphtide.llm.pii import find_pii
+from graphtide.llm.runs import collapse_runs
 from graphtide.llm.url_filter import Rule, filter_urls
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -86,6 +88,33 @@ def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_near_duplicates(table(spark, sf_dir, "documents"), keep=["doc_id"])
 
 
+def op11_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = fill_in_middle(table(spark, sf_dir, "documents"), keep=["doc_id"])
+    return done.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"),
+        F.sha2(restored(F.col("output"), F.col("form")), 256).alias("restored_sha256"))
+
+
+def op12_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    # A tenth of the texts get a periodic end.
+    h = F.crc32(F.col("doc_id").cast("string"))
+    words = F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    planted = docs.where((h % 10) == 0).select("doc_id", "text", words.alias("w"), F.floor(h / 10).alias("g")).withColumn("n", F.size("w"))
+    planted = planted.withColumn("a", F.pmod("g", "n").cast("int"))
+    planted = planted.withColumn("p", (1 + F.floor((F.col("n") - F.col("a")) / (3 + F.col("g") % 8))).cast("int"))
+    turned = F.transform(F.sequence(F.lit(0), F.col("n") - 1), lambda i: F.get("w", F.when(i < F.col("a"), i).otherwise(F.col("a") + F.pmod(i - F.col("a"), F.col("p")))))
+    planted = planted.select("doc_id", F.when(F.col("n") > 0, F.array_join(turned, " ")).otherwise(F.col("text")).alias("text"))
+    rest = docs.where(F.coalesce((h % 10) != 0, F.lit(True))).select("doc_id", "text")
+    done = collapse_runs(rest.unionByName(planted), keep=["doc_id"])
+    rows = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    listed = F.array_join(F.transform(rows, lambda r: F.concat(r, F.lit("\n"))), "")
+    return done.select(
+        "doc_id", "n_runs", "longest.start", "longest.length", "longest.period",
+        F.floor(F.lit(1000) * F.col("longest.length") / F.col("longest.period")).alias("exponent_milli"),
+        F.sha2(listed, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
 REGISTRY: dict[str, Query] = {
     "op1_quality": op1_quality,
     "op2_toxicity": op2_toxicity,
@@ -97,10 +126,13 @@ REGISTRY: dict[str, Query] = {
     "op8_chat": op8_chat,
     "op9_mixing": op9_mixing,
     "op10_near_duplicates": op10_near_duplicates,
+    "op11_fill_middle": op11_fill_middle,
+    "op12_runs": op12_runs,
 }
 
 ORACLE: dict[str, str] = {
     "op6_decontamination": sql.DECONTAMINATION,
     "op8_chat": sql.CHAT,
     "op9_mixing": sql.MIXING,
+    "op11_fill_middle": sql.FILL_MIDDLE,
 }

@@ -67,3 +67,25 @@ SELECT conv_id, CAST(n_turns AS BIGINT) AS n_turns, sha256(whole) AS turns_sha25
        sha256(loss) AS loss_sha256, CAST(formatted_chars AS BIGINT) AS formatted_chars
 FROM g
 """
+
+FILL_MIDDLE = r"""
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS t, sha256('42:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h,
+         regexp_extract_all(coalesce(text, ''), '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') AS u
+  FROM documents),
+r AS (
+  SELECT *, len(u) AS n, CAST('0x' || h[1:8] AS BIGINT) % (len(u) + 1) AS x, CAST('0x' || h[9:16] AS BIGINT) % (len(u) + 1) AS y,
+         CAST('0x' || h[17:24] AS BIGINT) % 100 AS rate, CAST('0x' || h[25:32] AS BIGINT) % 100 AS turn
+  FROM d),
+f AS (
+  SELECT *, array_to_string(u[1:least(x, y)], '') AS p, array_to_string(u[least(x, y) + 1:greatest(x, y)], '') AS m,
+         array_to_string(u[greatest(x, y) + 1:n], '') AS s,
+         CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR rate >= 50 THEN 'plain'
+              WHEN turn < 80 THEN 'spm' ELSE 'psm' END AS form
+  FROM r)
+SELECT doc_id, CAST(n AS BIGINT) AS n, form, CAST(CASE WHEN form <> 'plain' THEN length(p) END AS BIGINT) AS prefix_chars,
+       CAST(CASE WHEN form <> 'plain' THEN length(m) END AS BIGINT) AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+       sha256(t) AS restored_sha256
+FROM f
+"""
