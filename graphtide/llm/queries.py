@@ -18,6 +18,7 @@ from graphtide.llm.mixing import mix_sources
 from graphtide.llm.near_dup import find_near_duplicates
 from graphtide.llm.pii import find_pii
 from graphtide.llm.runs import collapse_runs
+from graphtide.llm.token_groups import link_documents
 from graphtide.llm.url_filter import Rule, filter_urls
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -115,6 +116,10 @@ def op12_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(listed, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
 
 
+def op13_token_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return link_documents(table(spark, sf_dir, "documents"), keep=["doc_id"])
+
+
 REGISTRY: dict[str, Query] = {
     "op1_quality": op1_quality,
     "op2_toxicity": op2_toxicity,
@@ -128,6 +133,7 @@ REGISTRY: dict[str, Query] = {
     "op10_near_duplicates": op10_near_duplicates,
     "op11_fill_middle": op11_fill_middle,
     "op12_runs": op12_runs,
+    "op13_token_groups": op13_token_groups,
 }
 
 ORACLE: dict[str, str] = {
