@@ -11,9 +11,9 @@ node without a link is a group of its own.
 
 The matrix has a row for each shingle and group: the group's token union.  A query node can
 only link into a group of another component that holds enough of its shingles, so it
-looks up its rarest ones: among a node's first n - ceil(0.8 n) + 1 shingles, in any fixed
-order, one is among the first m - ceil(8/9 m) + 1 of any smaller node of size m that it links
-to.  Only these have entries in the matrix.  The order puts frequent shingles last, so a
+looks up its rarest ones: among a node's first n - ceil(0.8 n) + k shingles, in any fixed
+order, k are among the first m - ceil(8/9 m) + k of any smaller node of size m that it links
+to (``AGREE``; fewer where a node is smaller).  Only these have entries in the matrix.  The order puts frequent shingles last, so a
 passage that many documents share is hardly ever looked up.  For each group found, the
 query's overlap with the whole token union bounds its overlap with each member; only a
 group that the bound lets through is opened, and its members are compared.
@@ -44,12 +44,13 @@ PERCENT = 80
 BLOCK_NODES, BLOCK_SHINGLES = 256, 1 << 18  # of nodes that are compared with each other at once
 GROUP_NODES = 64
 QUERIES, QUERY_SHINGLES = 512, 1 << 20  # that look into one group in a task
-FREQUENT = 32  # documents that make a shingle a frequent one
+FREQUENT = 8  # documents that make a shingle a frequent one
 MOST_FREQUENT = 1_000_000  # frequent shingles that the order tells apart; a broadcast of 5 MB
 # Shingles are counted if their hash is in the lower 5/16: rare ones are looked up from the least hash on,
 # a fifth of a document, and this leaves room for a third of frequent ones.
 COUNTED = np.uint64(5 << 60)
 BROADCAST_ROWS = 1_000_000  # keys up to which a join may broadcast them; more are joined by a shuffle
+AGREE = 4  # looked-up shingles that a group must hold
 CHUNK = 4096
 _ROW = "␟row"
 _U = np.uint64
@@ -103,7 +104,8 @@ class Sets:
 
 def _lookups(n: np.ndarray) -> np.ndarray:
     """How many of its first shingles a query looks up."""
-    return np.where(n > 0, n - -(-PERCENT * n // 100) + 1, 0)
+    common = -(-PERCENT * n // 100)
+    return n - common + np.minimum(AGREE, common)
 
 
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -219,8 +221,8 @@ def _linked(common: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarr
     return 100 * common >= PERCENT * (left + right - common)
 
 
-def _lists(table: pa.Table) -> list[np.ndarray]:
-    column = table.column("shingles").combine_chunks()
+def _lists(table: pa.Table, name: str = "shingles") -> list[np.ndarray]:
+    column = table.column(name).combine_chunks()
     values, offsets = column.values.to_numpy(), column.offsets.to_numpy()
     return [values[a:b] for a, b in zip(offsets, offsets[1:])]
 
@@ -232,8 +234,8 @@ def _inner(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = list({k: i for i, k in enumerate(keys)}.values())  # the leader may come twice
         if len(own) < 2:
             continue
-        lists = [x for i, x in enumerate(_lists(table.select(["shingles"]))) if i in set(own)]
-        names = [k for i, k in enumerate(keys) if i in set(own)]
+        lists, names = _lists(table), [keys[i] for i in own]
+        lists = [lists[i] for i in own]
         codes, seen = np.unique(np.concatenate(lists), return_counts=True)
         codes = codes[seen > 1]
         if not len(codes):
@@ -258,24 +260,30 @@ def _inner(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary())], names=["a", "b"])
 
 
+def _qualified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(block, node) of the queries whose overlap with the token union of the block's group allows a link.
+
+    Halves of the hashes do: where they collide, the bound is looser.
+    """
+    for table in _groups(batches):
+        asks, halves = table.column("asks").to_numpy(), _lists(table, "halves")
+        union = np.unique(np.concatenate([halves[i] for i in np.flatnonzero(~asks)]))
+        queries = np.flatnonzero(asks)
+        inside = np.array([np.isin(halves[i], union).sum() for i in queries])
+        chosen = table.take(queries[100 * inside >= PERCENT * np.array([len(halves[i]) for i in queries])]).select(["block", "node"])
+        yield from chosen.to_batches()
+
+
 def _opened(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Links of queries with a member of a group, as components (a, b)."""
+    """Links of queries with a member of the block's group, as components (a, b)."""
     for table in _groups(batches):
-        asks = table.column("asks").to_numpy()
-        component, lists = table.column("component").to_numpy(), _lists(table)
-        members, queries = [lists[i] for i in np.flatnonzero(~asks)], np.flatnonzero(asks)
+        asks, component, lists = table.column("asks").to_numpy(), table.column("component").to_numpy(), _lists(table)
+        members, asked = ([lists[i] for i in np.flatnonzero(x)] for x in (~asks, asks))
         union = np.unique(np.concatenate(members))
-        # A link needs this much of the query in the group's token union.
-        inside = np.array([np.isin(lists[i], union, assume_unique=True).sum() for i in queries])
-        queries = queries[100 * inside >= PERCENT * np.array([len(lists[i]) for i in queries])]
-        if not len(queries):
-            continue
-        asked = [lists[i] for i in queries]
         common = sum(q.astype(np.float64) @ m.T for q, m in zip(_incidence(asked, union), _incidence(members, union)))
         near = _linked(common, np.array([len(x) for x in asked])[:, None], np.array([len(x) for x in members])[None, :]).any(1)
-        if near.any():
-            own = component[queries[near]]
-            yield pa.RecordBatch.from_arrays([pa.array(own, pa.int64()), pa.array(np.full(len(own), component[~asks][0]), pa.int64())], names=["a", "b"])
+        own = component[asks][near]
+        yield pa.RecordBatch.from_arrays([pa.array(own, pa.int64()), pa.array(np.full(len(own), component[~asks][0]), pa.int64())], names=["a", "b"])
 
 
 def _within_lots(docs: DataFrame, text: str, nodes: DataFrame) -> DataFrame:
@@ -303,13 +311,15 @@ def _lookup(base: DataFrame, known: DataFrame) -> DataFrame:
         "n_shingles", "␟lookups")
     queries = own.select(F.explode("␟lookups").alias("shingle"), "node", "component", n.alias("n"))
     # A member meets only queries that are no smaller, so fewer of its shingles do.
-    first = F.slice("␟lookups", 1, (n - F.ceil(2 * PERCENT * n / (100 + PERCENT)) + 1).cast("int"))
+    common = F.ceil(2 * PERCENT * n / (100 + PERCENT))
+    first = F.slice("␟lookups", 1, (n - common + F.least(F.lit(AGREE), common)).cast("int"))
     entries = own.select(F.explode(first).alias("shingle"), F.col("component").alias("into"), "part", "size", n.alias("low"), n.alias("high"))
     alone = entries.where("size = 1").drop("size")
     grouped = entries.where("size > 1").groupBy("shingle", "into", "part").agg(F.min("low").alias("low"), F.max("high").alias("high"))
     fits = (F.col("component") != F.col("into")) & (F.col("low") <= F.col("n")) & (100 * F.col("high") >= PERCENT * F.col("n"))
-    found = queries.join(alone.unionByName(grouped), "shingle").where(fits)
-    return stored(found.select("node", "n", "component", "into", "part").distinct(), "shingle-lookups")
+    found = queries.join(alone.unionByName(grouped), "shingle").where(fits).groupBy("node", "n", "component", "into", "part").agg(F.count("*").alias("agree"))
+    enough = F.least(F.lit(AGREE), F.ceil(PERCENT * F.col("n") / 100))
+    return stored(found.where(F.col("agree") >= enough).drop("agree"), "shingle-lookups")
 
 
 def _across(docs: DataFrame, text: str, nodes: DataFrame, known: DataFrame, found: DataFrame) -> DataFrame:
@@ -325,7 +335,12 @@ def _across(docs: DataFrame, text: str, nodes: DataFrame, known: DataFrame, foun
     roles = stored(members.unionByName(queries), "shingle-roles")
     wanted = stored(roles.select("node").distinct().join(nodes.select("␟key", "node"), "node"), "shingle-wanted")
     sets = _sets(docs, text, wanted, "␟key", "shingle-sets").select("node", "shingles")
-    opened = roles.join(sets, "node").select("block", "component", "asks", "shingles")
+    halves = F.transform("shingles", lambda x: F.shiftright(x, 32).cast("int")).alias("halves")
+    bounded = roles.join(sets.select("node", halves), "node").select("block", "node", "asks", "halves")
+    bounded = stored(bounded.repartition("block").sortWithinPartitions("block").mapInArrow(_qualified, "block bigint, node bigint"), "shingle-qualified")
+    members = roles.where(~F.col("asks")).join(bounded.select("block").distinct(), "block", "left_semi")
+    queries = roles.where("asks").join(bounded, ["block", "node"], "left_semi")
+    opened = members.unionByName(queries).join(sets, "node").select("block", "component", "asks", "shingles")
     return stored(opened.repartition("block").sortWithinPartitions("block").mapInArrow(_opened, "a bigint, b bigint"), "shingle-links")
 
 
