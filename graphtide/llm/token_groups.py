@@ -165,7 +165,7 @@ def _signed(frequent) -> Callable[[], Callable[[pa.Array], list]]:
 def _keyed() -> Callable[[pa.Array], list]:
     def columns(texts: pa.Array) -> list:
         sets = Sets(texts)
-        return [sets.keys(), pa.array(sets.lots())]
+        return [sets.keys(), pa.array(sets.lots()), sets.lists()]
 
     return columns
 
@@ -178,10 +178,9 @@ def _bounded(df: DataFrame) -> DataFrame:
 def _sets(docs: DataFrame, text: str, wanted: DataFrame, on: str, purpose: str) -> DataFrame:
     """One row of (␟key, shingles) with the columns of ``wanted`` for each set that it names by ``on``."""
     bodies = docs.select(named(text).cast("string").alias("␟body"))
-    found = annotate(bodies, "␟body", FIELDS[:2], _keyed).where("`␟key` is not null").join(_bounded(wanted), on)
-    rest = [c for c in found.columns if c not in ("␟key", "␟body")]
-    made = annotate(found, "␟body", [StructField("shingles", ArrayType(LongType(), False))], lambda: lambda texts: [Sets(texts).lists()], ["␟key", *rest])
-    return stored(made.groupBy("␟key").agg(*[F.first(c).alias(c) for c in (*rest, "shingles")]), purpose)
+    made = annotate(bodies, "␟body", [*FIELDS[:2], StructField("shingles", ArrayType(LongType(), False))], _keyed, [])
+    found = made.where("`␟key` is not null").join(_bounded(wanted), on)
+    return stored(found.groupBy("␟key").agg(*[F.first(c).alias(c) for c in found.columns if c != "␟key"]), purpose)
 
 
 def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
