@@ -5,16 +5,18 @@ Two link if 100 times the common shingles are at least ``PERCENT`` times the uni
 a component is what links reach.
 
 Equal sets are one node.  Similar nodes are partitioned into groups: nodes that agree in two
-minimum hashes are compared within bounded blocks (a large lot is split, its leader is in
-every block), and each component that this yields, in parts of ``GROUP_NODES``, is a group; a
-node without a link is a group of its own.
+minimum hashes (a lot; each node is in ``LOTS`` of them) are compared within bounded blocks
+(a large lot is split, its leader is in every block).  The groups are parts, of
+``GROUP_NODES`` about, of the components that this yields, and of the unlinked nodes of a lot;
+a node without a lot is a group of its own.
 
 The matrix has a row for each shingle and group: the group's token union.  A query node can
 only link into a group of another component that holds enough of its shingles, so it
 looks up its rarest ones: among a node's first n - ceil(0.8 n) + k shingles, in any fixed
 order, k are among the first m - ceil(8/9 m) + k of any smaller node of size m that it links
 to (``AGREE``; fewer where a node is smaller).  Only these have entries in the matrix.  The order puts frequent shingles last, so a
-passage that many documents share is hardly ever looked up.  For each group found, the
+passage that many documents share is hardly ever looked up; and what comes before a common
+shingle on either side is lost to the overlap, which rules most groups out at once.  For each group found, the
 query's overlap with the whole token union bounds its overlap with each member; only a
 group that the bound lets through is opened, and its members are compared.
 
@@ -50,6 +52,7 @@ MOST_FREQUENT = 1_000_000  # frequent shingles that the order tells apart; a bro
 # a fifth of a document, and this leaves room for a third of frequent ones.
 COUNTED = np.uint64(5 << 60)
 BROADCAST_ROWS = 1_000_000  # keys up to which a join may broadcast them; more are joined by a shuffle
+LOTS = 4
 AGREE = 4  # looked-up shingles that a group must hold
 CHUNK = 4096
 _ROW = "␟row"
@@ -89,14 +92,14 @@ class Sets:
         data = np.stack([self._sums(0x51ED270B), self._sums(0xA5B35705)], 1).tobytes()
         return pa.array([data[16 * i : 16 * i + 16] if n else None for i, n in enumerate(self.count.tolist())], pa.binary())
 
-    def lots(self) -> np.ndarray:
-        """Two minimum hashes of each set, as one number; similar sets often agree in it."""
-        out, filled = np.zeros(len(self.count), _U), self.count > 0
-        if filled.any():
-            for salt in (0x2545F491, 0x1CE4E5B9):
-                least = np.minimum.reduceat(mixed(self.code ^ _U(salt)), self.first[:-1][filled])
-                out[filled] = mixed(out[filled] * _U(RADIX) + least)
-        return out.view(np.int64)
+    def lots(self) -> pa.Array:
+        """Pairs of minimum hashes of each set, a number for each pair; similar sets often agree in one."""
+        filled = self.count > 0
+        out = np.zeros((filled.sum(), LOTS), _U)
+        for i in range(2 * LOTS if len(out) else 0):
+            least = np.minimum.reduceat(mixed(self.code + _U(0x2545F4914F6CDD1D * (i + 1) % (1 << 64))), self.first[:-1][filled])
+            out[:, i // 2] = mixed(out[:, i // 2] * _U(RADIX) + least + _U(i))
+        return pa.ListArray.from_arrays(np.concatenate([[0], np.cumsum(filled * LOTS)]).astype(np.int32), pa.array(out.ravel().view(np.int64)))
 
     def lists(self) -> pa.Array:
         return pa.ListArray.from_arrays(self.first.astype(np.int32), pa.array(self.code.view(np.int64)))
@@ -134,7 +137,8 @@ def frequent_shingles(docs: DataFrame, *, text: str = "text") -> tuple[np.ndarra
 
 
 FIELDS = [
-    StructField("␟key", BinaryType()), StructField("␟lot", LongType()), StructField("n_shingles", LongType()), StructField("␟lookups", ArrayType(LongType(), False)),
+    StructField("␟key", BinaryType()), StructField("␟lots", ArrayType(LongType(), False)), StructField("n_shingles", LongType()),
+    StructField("␟lookups", ArrayType(LongType(), False)),
 ]
 
 
@@ -154,7 +158,7 @@ def _signed(frequent) -> Callable[[], Callable[[pa.Array], list]]:
             chosen = order[np.arange(len(order)) - sets.first[:-1][sets.text] < many[sets.text]]
             offsets = np.concatenate([[0], np.cumsum(many)]).astype(np.int32)
             return [
-                sets.keys(), pa.array(sets.lots()), pa.array(sets.count, pa.int64()),
+                sets.keys(), sets.lots(), pa.array(sets.count, pa.int64()),
                 pa.ListArray.from_arrays(offsets, pa.array(sets.code[chosen].view(np.int64)))]
 
         return columns
@@ -165,7 +169,7 @@ def _signed(frequent) -> Callable[[], Callable[[pa.Array], list]]:
 def _keyed() -> Callable[[pa.Array], list]:
     def columns(texts: pa.Array) -> list:
         sets = Sets(texts)
-        return [sets.keys(), pa.array(sets.lots()), sets.lists()]
+        return [sets.keys(), sets.lists()]
 
     return columns
 
@@ -175,12 +179,13 @@ def _bounded(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
 
 
-def _sets(docs: DataFrame, text: str, wanted: DataFrame, on: str, purpose: str) -> DataFrame:
-    """One row of (␟key, shingles) with the columns of ``wanted`` for each set that it names by ``on``."""
+def _sets(docs: DataFrame, text: str, nodes: DataFrame, wanted: DataFrame, purpose: str) -> DataFrame:
+    """(node, shingles) of the nodes in ``wanted``."""
+    keys = stored(wanted.select("node").distinct().join(nodes.select("␟key", "node"), "node"), f"{purpose}-keys")
     bodies = docs.select(named(text).cast("string").alias("␟body"))
-    made = annotate(bodies, "␟body", [*FIELDS[:2], StructField("shingles", ArrayType(LongType(), False))], _keyed, [])
-    found = made.where("`␟key` is not null").join(_bounded(wanted), on)
-    return stored(found.groupBy("␟key").agg(*[F.first(c).alias(c) for c in found.columns if c != "␟key"]), purpose)
+    made = annotate(bodies, "␟body", [FIELDS[0], StructField("shingles", ArrayType(LongType(), False))], _keyed, [])
+    found = made.where("`␟key` is not null").join(_bounded(keys), "␟key")
+    return stored(found.groupBy("node").agg(F.first("shingles").alias("shingles")), purpose)
 
 
 def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
@@ -227,13 +232,12 @@ def _lists(table: pa.Table, name: str = "shingles") -> list[np.ndarray]:
 
 
 def _inner(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Links that connect what is connected within a block, as (a, b)."""
+    """Links (a, b) that connect what is connected within a block."""
     for table in _groups(batches):
-        keys = table.column("␟key").to_pylist()
-        own = list({k: i for i, k in enumerate(keys)}.values())  # the leader may come twice
+        names, own = np.unique(table.column("node").to_numpy(), return_index=True)  # the leader may come twice
         if len(own) < 2:
             continue
-        lists, names = _lists(table), [keys[i] for i in own]
+        lists = _lists(table)
         lists = [lists[i] for i in own]
         codes, seen = np.unique(np.concatenate(lists), return_counts=True)
         codes = codes[seen > 1]
@@ -251,12 +255,12 @@ def _inner(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             while len(wave):
                 reached = near[wave] & left
                 new = np.flatnonzero(reached.any(0))
-                a += [names[i] for i in wave[reached[:, new].argmax(0)]]
-                b += [names[i] for i in new]
+                a += names[wave[reached[:, new].argmax(0)]].tolist()
+                b += names[new].tolist()
                 left[new] = False
                 wave = new
         if a:
-            yield pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary())], names=["a", "b"])
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
 
 def _qualified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -274,48 +278,79 @@ def _qualified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _opened(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Links of queries with a member of the block's group, as components (a, b)."""
+    """Links of queries with members of the block's group, as components (a, b)."""
     for table in _groups(batches):
         asks, component, lists = table.column("asks").to_numpy(), table.column("component").to_numpy(), _lists(table)
         members, asked = ([lists[i] for i in np.flatnonzero(x)] for x in (~asks, asks))
         union = np.unique(np.concatenate(members))
         common = sum(q.astype(np.float64) @ m.T for q, m in zip(_incidence(asked, union), _incidence(members, union)))
-        near = _linked(common, np.array([len(x) for x in asked])[:, None], np.array([len(x) for x in members])[None, :]).any(1)
-        own = component[asks][near]
-        yield pa.RecordBatch.from_arrays([pa.array(own, pa.int64()), pa.array(np.full(len(own), component[~asks][0]), pa.int64())], names=["a", "b"])
+        near = _linked(common, np.array([len(x) for x in asked])[:, None], np.array([len(x) for x in members])[None, :])
+        links = np.stack([x[i] for x, i in zip((component[asks], component[~asks]), np.nonzero(near))], 1)
+        links = np.unique(links[links[:, 0] != links[:, 1]], axis=0)
+        yield pa.RecordBatch.from_arrays([pa.array(links[:, 0], pa.int64()), pa.array(links[:, 1], pa.int64())], names=["a", "b"])
 
 
-def _within_lots(docs: DataFrame, text: str, nodes: DataFrame) -> DataFrame:
-    """Links (a, b) between nodes of the same lot."""
-    lots = nodes.groupBy("␟lot").agg(F.count("*").alias("n"), F.sum("n_shingles").alias("size"), F.min("␟key").alias("leader")).where("n > 1")
+def _lots(nodes: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The lots of several nodes (lot, n, leader, parts), and their members (lot, node, n, parts)."""
+    member = nodes.select("node", "n_shingles", F.explode("␟lots").alias("lot"))
+    lots = member.groupBy("lot").agg(F.count("*").alias("n"), F.sum("n_shingles").alias("size"), F.min("node").alias("leader")).where("n > 1")
     parts = F.ceil(F.greatest(F.col("n") / BLOCK_NODES, F.col("size") / BLOCK_SHINGLES))
-    lots = stored(lots.select("␟lot", "leader", parts.cast("int").alias("parts")), "shingle-lots")
-    found = _sets(docs, text, lots.select("␟lot", "parts", "leader"), "␟lot", "shingle-lot-sets")
-    own = F.pmod(F.xxhash64("␟key"), F.col("parts"))
-    blocks = found.select(F.xxhash64("␟lot", own).alias("block"), "␟key", "shingles")
-    leaders = found.where((F.col("␟key") == F.col("leader")) & (F.col("parts") > 1)).withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-    blocks = blocks.unionByName(leaders.select(F.xxhash64("␟lot", F.col("part").cast("bigint")).alias("block"), "␟key", "shingles"))
-    links = stored(blocks.repartition("block").sortWithinPartitions("block").mapInArrow(_inner, "a binary, b binary"), "shingle-inner")
-    node = nodes.select("␟key", "node")
-    links = links.join(node.toDF("a", "x"), "a").join(node.toDF("b", "y"), "b")
-    return stored(links.select(F.col("x").alias("a"), F.col("y").alias("b")), "shingle-inner-links")
+    lots = stored(lots.select("lot", "n", "leader", parts.alias("parts")), "shingle-lots")
+    return lots, stored(member.join(lots, "lot").select("lot", "node", "n", "parts"), "shingle-members")
+
+
+def _within_lots(docs: DataFrame, text: str, nodes: DataFrame, lots: DataFrame, member: DataFrame) -> DataFrame:
+    """Links (a, b) between nodes of the same lot."""
+    block = F.xxhash64("lot", "part").alias("block")
+    roles = member.withColumn("part", F.pmod(F.xxhash64("node", "lot"), "parts")).select(block, "node")
+    leaders = lots.where("parts > 1").withColumn("part", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("parts") - 1))).select(block, F.col("leader").alias("node"))
+    roles = stored(roles.unionByName(leaders), "shingle-blocks")
+    blocks = roles.join(_sets(docs, text, nodes, roles, "shingle-lot-sets"), "node").select("block", "node", "shingles")
+    return stored(blocks.repartition("block").sortWithinPartitions("block").mapInArrow(_inner, "a bigint, b bigint"), "shingle-inner-links")
+
+
+def _grouped(nodes: DataFrame, member: DataFrame, labels: DataFrame) -> DataFrame:
+    """(␟key, node, component, into, part, size) of all nodes with copies, or with others in their group.
+
+    The parts of components count up from nought, those of lots down from -1.
+    """
+    sizes = labels.groupBy("component").agg(F.count("*").alias("size"))
+    linked = labels.join(sizes, "component").select("node", "component", F.col("component").alias("into"), "size")
+    fullest = member.join(labels, "node", "left_anti").groupBy("node").agg(F.max(F.struct("n", "lot"))["lot"].alias("into"))
+    fullest = stored(fullest, "shingle-fullest")
+    loose = fullest.join(fullest.groupBy("into").agg(F.count("*").alias("size")).where("size > 1"), "into").select("node", F.col("node").alias("component"), "into", F.col("size"))
+    part = F.pmod(F.xxhash64("node"), F.ceil(F.col("size") / GROUP_NODES))
+    found = linked.withColumn("part", part).unionByName(loose.withColumn("part", -1 - part))
+    found = nodes.select("␟key", "node", "copies").join(found, "node", "left").where("copies > 1 or into is not null")
+    own = F.col("node")
+    return stored(found.select(
+        "␟key", "node", F.coalesce("component", own).alias("component"), F.coalesce("into", own).alias("into"),
+        F.coalesce("part", F.lit(0)).alias("part"), F.coalesce("size", F.lit(1)).alias("size")), "shingle-known")
 
 
 def _lookup(base: DataFrame, known: DataFrame) -> DataFrame:
-    """Queries and groups of another component that share a looked-up shingle: (node, n, component, into, part)."""
+    """Queries and groups that share enough looked-up shingles: (node, n, component, into, part)."""
     n = F.col("n_shingles")
     own = base.where("`␟key` is not null").select(_ROW, "␟key", "n_shingles", "␟lookups").join(_bounded(known), "␟key", "left")
     own = own.where(F.col("node").isNull() | (F.col("node") == F.col(_ROW))).select(
-        F.col(_ROW).alias("node"), F.coalesce("component", _ROW).alias("component"), F.coalesce("part", F.lit(0)).alias("part"), F.coalesce("size", F.lit(1)).alias("size"),
-        "n_shingles", "␟lookups")
-    queries = own.select(F.explode("␟lookups").alias("shingle"), "node", "component", n.alias("n"))
+        F.col(_ROW).alias("node"), F.coalesce("component", _ROW).alias("component"), F.coalesce("into", _ROW).alias("into"), F.coalesce("part", F.lit(0)).alias("part"),
+        F.coalesce("size", F.lit(1)).alias("size"), "n_shingles", "␟lookups")
+    # A link needs (100 + P) * common >= P * (both sizes), and of the common shingles all but AGREE - 1 at
+    # most are from this one on: ``rest`` is what a side can have from here on, less its own need.
+    whole = 100 + PERCENT
+    rest = (100 * n - whole * F.col("at")).alias("rest")
+    queries = own.select(F.posexplode("␟lookups").alias("at", "shingle"), "node", "component", "n_shingles").select("shingle", "node", "component", n.alias("n"), rest)
     # A member meets only queries that are no smaller, so fewer of its shingles do.
-    common = F.ceil(2 * PERCENT * n / (100 + PERCENT))
+    common = F.ceil(2 * PERCENT * n / whole)
     first = F.slice("␟lookups", 1, (n - common + F.least(F.lit(AGREE), common)).cast("int"))
-    entries = own.select(F.explode(first).alias("shingle"), F.col("component").alias("into"), "part", "size", n.alias("low"), n.alias("high"))
+    entries = own.select(F.posexplode(first).alias("at", "shingle"), "into", "part", "size", "n_shingles")
+    entries = entries.select("shingle", "into", "part", "size", n.alias("low"), n.alias("high"), rest.alias("room"))
     alone = entries.where("size = 1").drop("size")
-    grouped = entries.where("size > 1").groupBy("shingle", "into", "part").agg(F.min("low").alias("low"), F.max("high").alias("high"))
-    fits = (F.col("component") != F.col("into")) & (F.col("low") <= F.col("n")) & (100 * F.col("high") >= PERCENT * F.col("n"))
+    grouped = entries.where("size > 1").groupBy("shingle", "into", "part").agg(F.min("low").alias("low"), F.max("high").alias("high"), F.max("room").alias("room"))
+    spare = whole * (AGREE - 1)
+    fits = (
+        ((F.col("part") < 0) | (F.col("component") != F.col("into"))) & (F.col("low") <= F.col("n")) & (100 * F.col("high") >= PERCENT * F.col("n"))
+        & (F.col("rest") + spare >= PERCENT * F.col("low")) & (F.col("room") + spare >= PERCENT * F.col("n")))
     found = queries.join(alone.unionByName(grouped), "shingle").where(fits).groupBy("node", "n", "component", "into", "part").agg(F.count("*").alias("agree"))
     enough = F.least(F.lit(AGREE), F.ceil(PERCENT * F.col("n") / 100))
     return stored(found.where(F.col("agree") >= enough).drop("agree"), "shingle-lookups")
@@ -327,13 +362,12 @@ def _across(docs: DataFrame, text: str, nodes: DataFrame, known: DataFrame, foun
     turns = F.ceil(F.greatest(F.col("n") / QUERIES, F.col("size") / QUERY_SHINGLES)).cast("bigint")
     asked = stored(asked.select("into", "part", turns.alias("turns")), "shingle-asked")
     block = F.xxhash64("into", "part", "turn").alias("block")
-    members = asked.join(known.select(F.col("component").alias("into"), "part", F.col("node").alias("member")), ["into", "part"], "left")
+    members = asked.join(known.select("into", "part", "node", "component"), ["into", "part"], "left")
     members = members.withColumn("turn", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("turns") - 1))).select(
-        block, F.coalesce("member", "into").alias("node"), F.col("into").alias("component"), F.lit(False).alias("asks"))
+        block, F.coalesce("node", "into").alias("node"), F.coalesce("component", "into").alias("component"), F.lit(False).alias("asks"))
     queries = found.join(asked, ["into", "part"]).withColumn("turn", F.pmod(F.xxhash64("node"), "turns")).select(block, "node", "component", F.lit(True).alias("asks"))
     roles = stored(members.unionByName(queries), "shingle-roles")
-    wanted = stored(roles.select("node").distinct().join(nodes.select("␟key", "node"), "node"), "shingle-wanted")
-    sets = _sets(docs, text, wanted, "␟key", "shingle-sets").select("node", "shingles")
+    sets = _sets(docs, text, nodes, roles, "shingle-sets")
     halves = F.transform("shingles", lambda x: F.shiftright(x, 32).cast("int")).alias("halves")
     bounded = roles.join(sets.select("node", halves), "node").select("block", "node", "asks", "halves")
     bounded = stored(bounded.repartition("block").sortWithinPartitions("block").mapInArrow(_qualified, "block bigint, node bigint"), "shingle-qualified")
@@ -352,20 +386,13 @@ def link_documents(docs: DataFrame, *, id: str = "doc_id", text: str = "text", k
     base = stored(annotate(source, "␟body", FIELDS, _signed(shingles), [*kept, "␟id", _ROW]), "shingle-base")
     worded = base.where("`␟key` is not null")
     nodes = worded.groupBy("␟key").agg(
-        F.min(_ROW).alias("node"), F.min("␟id").alias("least"), F.min("␟lot").alias("␟lot"), F.min("n_shingles").alias("n_shingles"), F.count("*").alias("copies"))
+        F.min(_ROW).alias("node"), F.min("␟id").alias("least"), F.first("␟lots").alias("␟lots"), F.min("n_shingles").alias("n_shingles"), F.count("*").alias("copies"))
     nodes = stored(nodes, "shingle-nodes")
 
-    links = _within_lots(docs, text, nodes)
-    labels = None if links.isEmpty() else components(links, "shingle-inner")
-    if labels is None:
-        labels = nodes.where("false").select("node", F.col("node").alias("component"))
-    # Nodes with copies or in a component; all others are their own.
-    sizes = labels.groupBy("component").agg(F.count("*").alias("size"))
-    labels = stored(labels.join(sizes, "component"), "shingle-labels")
-    part = F.pmod(F.xxhash64("node"), F.ceil(F.col("size") / GROUP_NODES)).cast("int")
-    known = nodes.join(labels, "node", "left").where("copies > 1 or component is not null")
-    known = known.select("␟key", "node", F.coalesce("component", "node").alias("component"), F.coalesce("size", F.lit(1)).alias("size"))
-    known = stored(known.withColumn("part", part), "shingle-known")
+    lots, member = _lots(nodes)
+    links = _within_lots(docs, text, nodes, lots, member)
+    labels = nodes.where("false").select("node", F.col("node").alias("component")) if links.isEmpty() else components(links, "shingle-inner")
+    known = _grouped(nodes, member, labels)
 
     found = _lookup(base, known)
     across = None if found.isEmpty() else _across(docs, text, nodes, known, found)
