@@ -7,7 +7,7 @@ a component is what links reach.
 Equal sets are one node.  Similar nodes are partitioned into groups: nodes that agree in two
 minimum hashes (a lot; each node is in ``LOTS`` of them) are compared within bounded blocks
 (a large lot is split, its leader is in every block).  The groups are parts, of
-``GROUP_NODES`` about, of the components that this yields, and of the unlinked nodes of a lot;
+about ``GROUP_NODES`` or ``GROUP_SHINGLES``, of the components that this yields, and of the unlinked nodes of a lot;
 a node without a lot is a group of its own.
 
 The matrix has a row for each shingle and group: the group's token union.  A query node can
@@ -44,7 +44,7 @@ from graphtide.llm.near_dup import components
 SHINGLE = 5
 PERCENT = 80
 BLOCK_NODES, BLOCK_SHINGLES = 256, 1 << 18  # of nodes that are compared with each other at once
-GROUP_NODES = 64
+GROUP_NODES, GROUP_SHINGLES = 256, 1 << 20
 QUERIES, QUERY_SHINGLES = 512, 1 << 20  # that look into one group in a task
 FREQUENT = 8  # documents that make a shingle a frequent one
 MOST_FREQUENT = 1_000_000  # frequent shingles that the order tells apart; a broadcast of 5 MB
@@ -314,13 +314,13 @@ def _grouped(nodes: DataFrame, member: DataFrame, labels: DataFrame) -> DataFram
 
     The parts of components count up from nought, those of lots down from -1.
     """
-    sizes = labels.groupBy("component").agg(F.count("*").alias("size"))
-    linked = labels.join(sizes, "component").select("node", "component", F.col("component").alias("into"), "size")
     fullest = member.join(labels, "node", "left_anti").groupBy("node").agg(F.max(F.struct("n", "lot"))["lot"].alias("into"))
-    fullest = stored(fullest, "shingle-fullest")
-    loose = fullest.join(fullest.groupBy("into").agg(F.count("*").alias("size")).where("size > 1"), "into").select("node", F.col("node").alias("component"), "into", F.col("size"))
-    part = F.pmod(F.xxhash64("node"), F.ceil(F.col("size") / GROUP_NODES))
-    found = linked.withColumn("part", part).unionByName(loose.withColumn("part", -1 - part))
+    linked = labels.select("node", "component", F.col("component").alias("into"), F.lit(False).alias("loose"))
+    groups = linked.unionByName(fullest.select("node", F.col("node").alias("component"), "into", F.lit(True).alias("loose")))
+    groups = stored(groups.join(nodes.select("node", "n_shingles"), "node"), "shingle-grouped")
+    sizes = groups.groupBy("into", "loose").agg(F.count("*").alias("size"), F.sum("n_shingles").alias("n")).where("size > 1")
+    part = F.pmod(F.xxhash64("node"), F.ceil(F.greatest(F.col("size") / GROUP_NODES, F.col("n") / GROUP_SHINGLES)))
+    found = groups.join(sizes, ["into", "loose"]).select("node", "component", "into", F.when(F.col("loose"), -1 - part).otherwise(part).alias("part"), "size")
     found = nodes.select("␟key", "node", "copies").join(found, "node", "left").where("copies > 1 or into is not null")
     own = F.col("node")
     return stored(found.select(
