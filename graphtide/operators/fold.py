@@ -45,14 +45,14 @@ def _seq_of(order: Column) -> Column:
 
 
 def _version(df: DataFrame, keys: Sequence[str]) -> Column:
-    """Everything but the key as one comparable value, order first."""
+    """Everything but the key as one comparable value, order first; ``unpacked`` undoes it."""
     rest = [c for c in df.columns if c not in {*keys, SEQ, DELETED}]
     return F.struct(_order(F.col(SEQ)).alias("order"), DELETED, *[quoted(c) for c in rest])
 
 
-def _unpacked(df: DataFrame, keys: Sequence[str], label: Label) -> DataFrame:
-    """Undo ``_version`` (column ``newest``)."""
-    rows = df.select(*keys, "newest.*").withColumn(SEQ, _seq_of(F.col("order")))
+def unpacked(df: DataFrame, label: Label) -> DataFrame:
+    """The columns of ``latest_changes`` from keys and ``newest``, a change packed into one value."""
+    rows = df.select(*label.key_names, "newest.*").withColumn(SEQ, _seq_of(F.col("order")))
     return rows.select(*state_columns(label), SEQ, DELETED)
 
 
@@ -64,7 +64,7 @@ def latest_changes(changes: DataFrame, label: Label) -> DataFrame:
     """
     changes = with_deleted(changes)
     newest = changes.groupBy(*label.key_names).agg(F.max(_version(changes, label.key_names)).alias("newest"))
-    return _unpacked(newest, label.key_names, label)
+    return unpacked(newest, label)
 
 
 def state_columns(label: Label) -> list[str]:
@@ -109,13 +109,13 @@ def merge_latest(base: DataFrame, tail: DataFrame, label: Label, on: Sequence[st
     for constant in label.key_names:
         if constant not in keys:
             newest = newest.withColumn(constant, F.lit(0).cast("bigint"))
-    return _unpacked(newest, label.key_names, label)
+    return unpacked(newest, label)
 
 
 def state_stream(changes: DataFrame, label: Label) -> DataFrame:
     """The fold as a streaming aggregation (update mode).
 
-    Keeps every key in the state store for ever, tombstones included; meant for
-    small key sets.  Use ``streaming.store`` for large ones.
+    Keeps every key in the state store for ever, tombstones included; see
+    ``streaming.view``.  Use ``streaming.store`` for large key sets.
     """
     return latest_changes(changes, label)

@@ -260,3 +260,11 @@ ORACLE: dict[str, str] = {
 
 # The store gives what the operators give on the whole feed.
 ORACLE |= {"store_edges": ORACLE["edge_state"], "store_fetch": ORACLE["edge_fetch"], "store_one_hop": ORACLE["one_hop"]}
+ORACLE |= {"state_view": VERTEX_STATE, "stream_key_coverage": ORACLE["key_coverage"]}
+ORACLE["raw_to_reconcile"] = """WITH graph AS (SELECT * FROM orders WHERE o_orderstatus IN ('F', 'O')),
+    source AS (SELECT * FROM orders WHERE o_orderpriority <> '5-LOW')
+    SELECT coalesce(s.o_orderkey, g.o_orderkey) AS _vid,
+        CASE WHEN g.o_orderkey IS NULL THEN 'missing' WHEN s.o_orderkey IS NULL THEN 'extra' ELSE 'differs' END AS status,
+        CASE WHEN g.o_orderkey IS NULL OR s.o_orderkey IS NULL THEN '' ELSE 'total' END AS columns
+    FROM source s FULL OUTER JOIN graph g ON s.o_orderkey = g.o_orderkey
+    WHERE g.o_orderkey IS NULL OR s.o_orderkey IS NULL OR s.o_orderpriority = '2-HIGH'"""

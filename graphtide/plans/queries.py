@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import replace
-from functools import reduce
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,7 +18,9 @@ from graphtide.sources.label_csv import read_label_csv, write_label_csv
 from graphtide.sources.snapshot import snapshot_envelopes, snapshot_rows
 from graphtide.streaming.files import join, shared_dir
 from graphtide.streaming.store import GraphStore
-from graphtide.streaming.sync import bootstrap, sync_available
+from graphtide.streaming.sync import bootstrap, start_sync, sync_available
+from graphtide.streaming.view import StateView, view_available
+from graphtide.streaming.watch import Warnings
 
 Query = Callable[[SparkSession, str], DataFrame]
 NOW = 1_700_000_000
@@ -614,3 +616,49 @@ def store_lookup(spark, sf):
     return store.lookup(feeds.CUSTOMER, ids)
 
 
+@query
+def state_view(spark, sf):
+    """Users kept in the state store: half of the changes, a restart from the checkpoint, the other half."""
+    home = shared_dir(spark, "view")
+    feed, changes = join(home, "feed"), feeds.users(spark, sf)
+    for half in range(2):
+        feeds.text(changes.where(F.pmod("seq.pos", F.lit(2)) == half)).write.mode("append").text(feed)
+        view_available(stream_feed(spark, feed), StateView(spark, join(home, "checkpoint"), feeds.SHOP, feeds.USER))
+    return StateView(spark, join(home, "checkpoint"), feeds.SHOP, feeds.USER).state()
+
+
+@query
+def stream_key_coverage(spark, sf):
+    """Key warnings of a running sync, over two batches of a mixed feed."""
+    home = shared_dir(spark, "watch")
+    feed, text = join(home, "feed"), feeds.mixed_text(spark, sf)
+    store = GraphStore(spark, join(home, "store"), feeds.ALL_LABELS)
+    watch = Warnings(feeds.ALL_LABELS)
+    for half in range(2):
+        text.where(F.pmod(F.xxhash64("value"), F.lit(2)) == half).write.mode("append").text(feed)
+        run = start_sync(stream_feed(spark, feed), store, join(home, "checkpoint"), available_now=True, watch=watch)
+        run.awaitTermination()
+        watch.settle(run)
+    watch.unregister(spark)
+    return watch.missing(spark)
+
+
+@query
+def raw_to_reconcile(spark, sf):
+    """The whole way: raw change text, normalised in a stream, stored, folded, and held against the source table."""
+    home = shared_dir(spark, "end-to-end")
+    feed, raw = join(home, "feed"), feeds.raw_orders(spark, sf)
+    label = replace(feeds.ORDER, props=tuple(p for p in feeds.ORDER.props if p.column != "o_orderstatus"))
+    store = GraphStore(spark, join(home, "store"), spec_labels([label]))
+    described = normalize.RawTable("o_orderkey bigint, o_custkey bigint, o_totalprice double, o_orderdate int, o_orderpriority string", "o_orderkey bigint", {"o_orderdate": "date"})
+    for half in range(2):
+        part = raw.where(F.pmod("source_offset.pos", F.lit(2)) == half)
+        part.select(F.to_json(F.struct("*")).alias("value")).write.mode("append").text(feed)
+        sync_available(stream_feed(spark, feed), store, join(home, "checkpoint"), decode=partial(normalize.normalize_feed, tables={"shop.orders": described}, now=NOW))
+        if half == 0:
+            store.compact(label)
+    source = feeds.table(spark, sf, "orders").where("o_orderpriority <> '5-LOW'").select(
+        F.col("o_orderkey").alias(VID), F.when(F.col("o_orderpriority") == "2-HIGH", F.col("o_totalprice") + 1).otherwise(F.col("o_totalprice")).alias("total"),
+        F.col("o_orderdate").cast("date").cast("string").alias("placed_on"), F.col("o_orderpriority").alias("priority"))
+    found = verify.reconcile(source, store.state(label), [VID])
+    return found.withColumn("columns", F.array_join("columns", ","))

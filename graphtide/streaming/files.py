@@ -32,6 +32,11 @@ class Files:
         fs, p = self._at(path)
         return sorted(s.getPath().getName() for s in fs.listStatus(p)) if fs.exists(p) else []
 
+    def size(self, path: str) -> int:
+        """Bytes of all files below a directory."""
+        fs, p = self._at(path)
+        return fs.getContentSummary(p).getLength()
+
     def mark(self, path: str) -> None:
         """Create an empty file; it appears at once or not at all."""
         fs, p = self._at(path)

@@ -42,6 +42,7 @@ EMPTY_FEED_DDL = (
     "source string, db string, `table` string"
 )
 _VERSION = re.compile(r"upto-(\d+)\.gen-(\d+)\.buckets-(\d+)$")
+_BUCKET_FILE = re.compile(r".*_(\d+)(?:\..*)?$")  # how Spark names the files of a bucket
 ANYONE = "manual"
 
 
@@ -187,7 +188,9 @@ class GraphStore:
         if logged is None:
             ddl = f"{project.change_ddl(mapping)}, {OP} string, {SEQ} {SEQ_TYPE}"
             return self.spark.createDataFrame([], ddl)
-        logged = logged.where(route.op_class(F.col("op")).isNotNull())
+        # Names may hold dots, so different tables may share a place.
+        home = (F.col("source") == mapping.source) & (F.col("db") == mapping.db) & (F.col("table") == mapping.table)
+        logged = logged.where(home & route.op_class(F.col("op")).isNotNull())
         return project.map_columns(project.project_slots(logged, mapping), mapping)
 
     def versions(self, label: Label | str) -> list[Version]:
@@ -240,21 +243,35 @@ class GraphStore:
     def _narrowed(self, label: Label, wanted: DataFrame, on: list[str]) -> DataFrame:
         """Current rows whose ``on`` columns are among ``wanted``.
 
-        Where these are what the version is bucketed by, the request is cut like the
-        version and the version stays where it is.  Else (a source alone, or a ranked
-        edge by its ends) a small request is broadcast and a large one makes both
-        sides move, split where skewed.
+        Where these are what the version is bucketed by, only the buckets that a key of
+        the request can be in are read; a request that touches them all is cut like the
+        version, which stays where it is.  Else (a source alone, or a ranked edge by its
+        ends) a small request is broadcast and a large one makes both sides move, split
+        where skewed.
         """
         wanted = wanted.select(*[F.col(c).cast(label.shape[c]).alias(c) for c in on]).distinct()
         versions = self.versions(label)
         newer = self.changes(label, after=versions[-1].upto if versions else -1)
         rows = fold.with_deleted(newer.join(wanted, on, "left_semi"))
         if versions:
-            asked = wanted.repartition(versions[-1].buckets, *on) if on == self._identity(label) else wanted
-            base = self._version(label, versions[-1]).select(*rows.columns)
+            asked, touched = wanted, None
+            if on == self._identity(label):
+                touched = self.touched(wanted, on, versions[-1])
+                if len(touched) == versions[-1].buckets:
+                    asked, touched = wanted.repartition(versions[-1].buckets, *on), None
+            base = self._version(label, versions[-1], touched).select(*rows.columns)
             rows = rows.unionByName(base.join(asked, on, "left_semi"))
         return fold.current_state(rows, label)
 
+    @staticmethod
+    def touched(wanted: DataFrame, on: list[str], version: Version) -> list[int]:
+        """Numbers of the buckets that the wanted keys fall into, at most as many as there are buckets.
+
+        A job over the request alone; Spark deals keys to buckets by this very hash.
+        """
+        bucket = F.pmod(F.hash(*on), F.lit(version.buckets)).alias("bucket")
+        return sorted(r["bucket"] for r in wanted.select(bucket).distinct().collect())
+
     def stats(self) -> DataFrame:
         """Rows per label and totals of each space."""
         return verify.graph_stats(
@@ -327,8 +344,11 @@ class GraphStore:
         plain = re.sub(r"\W", "_", label.label).lower()
         return f"graphtide_{plain}_{place}"
 
-    def _version(self, label: Label, version: Version) -> DataFrame:
-        """A version with the columns of the label as mapped now: one that it was written without is null."""
+    def _version(self, label: Label, version: Version, buckets: list[int] | None = None) -> DataFrame:
+        """A version with the columns of the label as mapped now: one that it was written without is null.
+
+        With ``buckets``, only the files of these are read.
+        """
         table = self._table(label, version)
         path = join(self._home(label), version.folder)
         full = self.spec.mappings(label)[0]  # a bare label reads the same files
@@ -342,6 +362,11 @@ class GraphStore:
                 f"CLUSTERED BY ({identity}) SORTED BY ({identity}) INTO {version.buckets} BUCKETS LOCATION '{place}'"
             )
         found = self.spark.table(table)
+        if buckets is not None:
+            named = ((_BUCKET_FILE.match(n), n) for n in self.files.names(path))
+            chosen = [join(path, n) for m, n in named if m and int(m[1]) in set(buckets)]
+            schema = found.schema
+            found = self.spark.read.schema(schema).parquet(*chosen) if chosen else self.spark.createDataFrame([], schema)
         kinds = dict(found.dtypes)
         changed = sorted(n for n in label.key_names if kinds[n] != _simple(full.shape[n]))
         if changed:

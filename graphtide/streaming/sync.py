@@ -11,6 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 from graphtide.sources.envelopes import decode_envelopes
 from graphtide.streaming.files import join
 from graphtide.streaming.store import GraphStore
+from graphtide.streaming.watch import Warnings
 
 # Fixed value: flush interval of the sinks.
 DEFAULT_TRIGGER = "500 milliseconds"
@@ -18,7 +19,7 @@ DEFAULT_TRIGGER = "500 milliseconds"
 
 def start_sync(feed: DataFrame, store: GraphStore, checkpoint: str, *, available_now: bool = False,
                trigger: str = DEFAULT_TRIGGER, decode: Callable[[DataFrame], DataFrame] | None = decode_envelopes,
-               compact_every: int = 1000, name: str | None = None) -> StreamingQuery:
+               compact_every: int = 1000, name: str | None = None, watch: Warnings | None = None) -> StreamingQuery:
     """Start the query that keeps ``store`` in step with ``feed``.
 
     ``feed`` is a stream of envelope text, or of anything ``decode`` turns into
@@ -26,11 +27,15 @@ def start_sync(feed: DataFrame, store: GraphStore, checkpoint: str, *, available
     ``checkpoint`` goes on where the last run stopped; with a new one the batches
     are numbered on from those the store has.  ``compact_every`` folds the log and
     drops what is folded each time that many batches have come in (0: never).
+    ``watch`` counts key and column warnings as the changes pass.
 
     There is no watermark: order is settled by the fold, at any delay.  A
     failure is raised by the returned query, not swallowed.
     """
     changes = feed if decode is None else decode(feed)
+    if watch:
+        changes = watch.observe(changes)
+        watch.register(store.spark)
     owner, base = _claim(store, checkpoint)
 
     def apply(batch: DataFrame, batch_id: int) -> None:
