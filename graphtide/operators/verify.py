@@ -10,10 +10,10 @@ from pyspark.sql import functions as F
 
 from graphtide.plans.spec import DST, RANK, SRC, VID, quoted
 
-# Copies of a request that is joined with edges on less than their whole key:
-# one source may own a large share of all edges, and its edges are then spread
-# over this many tasks.
+# Tasks over which the edges of a heavy key are spread, and the share of all edges that makes a key heavy.
 SALTS = 16
+HEAVY_SHARE = 1 / 64
+TRACKED = 10_000
 
 
 def lookup_vertices(vertices: DataFrame, ids: DataFrame) -> DataFrame:
@@ -25,26 +25,44 @@ def lookup_vertices(vertices: DataFrame, ids: DataFrame) -> DataFrame:
     return vertices.join(ids.select(VID).distinct(), VID, "left_semi")
 
 
-def fetch_edges(edges: DataFrame, pairs: DataFrame, salts: int = SALTS) -> DataFrame:
-    """Edges of any rank between the given ``(_src, _dst)`` pairs."""
-    return _salted_semi(edges, pairs.select(SRC, DST), [SRC, DST], F.xxhash64(RANK), salts)
+def heavy_keys(edges: DataFrame, on: Sequence[str] = (SRC,), share: float = HEAVY_SHARE) -> list[int]:
+    """Hashes of the keys that own at least ``share`` of all edges.
 
+    One pass over the key columns with a frequency sketch in each task: nothing is
+    shuffled but the sketches, and at most ``2 / share`` keys come back.  Frequencies are
+    off by a ``TRACKED``-th of the edges at most or so, so the bar is put half as high.
+    """
+    most = int(1 / share)
+    keys = edges.select(F.xxhash64(*[quoted(c) for c in on]).alias("key"))
+    found = keys.agg(F.count("key").alias("n"), F.expr(f"approx_top_k(key, {2 * most}, {TRACKED})").alias("top")).head()
+    return [t["item"] for t in found["top"] or [] if t["count"] >= share / 2 * found["n"]]
+
+
+def fetch_edges(edges: DataFrame, pairs: DataFrame, *, heavy: Sequence[int] = (), salts: int = SALTS) -> DataFrame:
+    """Edges of any rank between the given ``(_src, _dst)`` pairs; ``heavy`` as in ``one_hop``."""
+    return _salted_semi(edges, pairs.select(SRC, DST), [SRC, DST], F.xxhash64(RANK), heavy, salts)
 
-def one_hop(edges: DataFrame, seeds: DataFrame, salts: int = SALTS) -> DataFrame:
+
+def one_hop(edges: DataFrame, seeds: DataFrame, *, heavy: Sequence[int] = (), salts: int = SALTS) -> DataFrame:
     """Out-neighbours of the seeds: one ``(_src, _dst, _rank)`` row per edge.
 
-    ``seeds`` has a column ``_src``.
+    ``seeds`` has a column ``_src``.  The edges of ``heavy`` sources (``heavy_keys``) are
+    spread over ``salts`` tasks, and only the requests for these are copied as often.
+    Without them a skewed task is left to adaptive execution, which splits it.
     """
     spread = F.xxhash64(DST, RANK)
-    return _salted_semi(edges.select(SRC, DST, RANK), seeds.select(SRC), [SRC], spread, salts)
-
-
-def _salted_semi(edges: DataFrame, wanted: DataFrame, on: list[str], spread: Column, salts: int) -> DataFrame:
-    if salts <= 1:
-        return edges.join(wanted.distinct(), on, "left_semi")
-    wanted = wanted.distinct().withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    salted = edges.withColumn("_salt", F.pmod(spread, F.lit(salts)).cast("int"))
-    return salted.join(wanted, [*on, "_salt"], "left_semi").drop("_salt")
+    return _salted_semi(edges.select(SRC, DST, RANK), seeds.select(SRC), [SRC], spread, heavy, salts)
+
+
+def _salted_semi(edges: DataFrame, wanted: DataFrame, on: list[str], spread: Column, heavy: Sequence[int], salts: int) -> DataFrame:
+    # Hashes tell types apart, so the request takes those of the edges.
+    wanted = wanted.select(*[F.col(c).cast(edges.schema[c].dataType).alias(c) for c in on]).distinct()
+    if not heavy or salts <= 1:
+        return edges.join(wanted, on, "left_semi")
+    is_heavy = F.xxhash64(*on).isin(*heavy)
+    copies = F.when(is_heavy, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
+    salted = edges.withColumn("_salt", F.when(is_heavy, F.pmod(spread, F.lit(salts)).cast("int")).otherwise(0))
+    return salted.join(wanted.withColumn("_salt", F.explode(copies)), [*on, "_salt"], "left_semi").drop("_salt")
 
 
 def graph_stats(vertices: Mapping[tuple[str, str], DataFrame], edges: Mapping[tuple[str, str], DataFrame]) -> DataFrame:

@@ -268,3 +268,7 @@ ORACLE["raw_to_reconcile"] = """WITH graph AS (SELECT * FROM orders WHERE o_orde
         CASE WHEN g.o_orderkey IS NULL OR s.o_orderkey IS NULL THEN '' ELSE 'total' END AS columns
     FROM source s FULL OUTER JOIN graph g ON s.o_orderkey = g.o_orderkey
     WHERE g.o_orderkey IS NULL OR s.o_orderkey IS NULL OR s.o_orderpriority = '2-HIGH'"""
+ORACLE["one_hop_heavy"] = """WITH edges AS (
+    SELECT CASE WHEN l_orderkey % 2 = 0 THEN CAST(0 AS BIGINT) ELSE l_orderkey END AS _src, l_partkey AS _dst,
+        l_orderkey * 10 + l_linenumber AS _rank FROM lineitem)
+    SELECT * FROM edges WHERE _src = 0 OR _src IN (SELECT o_orderkey FROM orders WHERE o_orderstatus = 'P')"""

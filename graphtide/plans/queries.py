@@ -445,6 +445,17 @@ def one_hop(spark, sf):
     return verify.one_hop(edges, seeds.select(F.col("c_custkey").alias(SRC)))
 
 
+@query
+def one_hop_heavy(spark, sf):
+    """One hop where source 0 owns half of all edges: found by a sketch, spread on its own."""
+    lines = feeds.table(spark, sf, "lineitem")
+    source = F.when(F.col("l_orderkey") % 2 == 0, 0).otherwise(F.col("l_orderkey")).cast("bigint")
+    edges = lines.select(source.alias(SRC), F.col("l_partkey").alias(DST), (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("_rank"))
+    pending = feeds.table(spark, sf, "orders").where("o_orderstatus = 'P'").select(F.col("o_orderkey").alias(SRC))
+    seeds = pending.unionByName(spark.range(1).select(F.col("id").alias(SRC)))
+    return verify.one_hop(edges, seeds, heavy=verify.heavy_keys(edges))
+
+
 @query
 def graph_stats(spark, sf):
     """A mixed feed logged once for all its labels, then counted label by label."""

@@ -148,9 +148,10 @@ class GraphStore:
         """Numbers of the complete batches."""
         return sorted(self._owners())
 
-    def _log(self, place: str, after: int) -> DataFrame | None:
+    def _log(self, place: str, after: int, upto: int | None = None) -> DataFrame | None:
         log = join(self.root, "log")
-        paths = [join(log, f"batch_id={n}") for n in self.batches() if n > after]
+        there = {int(n.removeprefix("batch_id=")) for n in self.files.names(log) if n.startswith("batch_id=")}
+        paths = [join(log, f"batch_id={n}") for n in self.batches() if n > after and n in there and (upto is None or n <= upto)]
         if not paths:
             return None
         reader = self.spark.read.schema(LOG_DDL).option("basePath", log)
@@ -161,15 +162,29 @@ class GraphStore:
 
         What no label reads is there if the store keeps rejects.  A change with a
         value of the wrong type (``bad_value``) or without its key (``null_key``) is
-        found anew from the log, so up to the next ``vacuum``.
+        found anew from the log.  ``vacuum`` moves the rejects of the batches that it
+        drops to a table of their own if the store keeps rejects.
         """
+        kept = self._reject_tables()
+        found = self._found_rejects(max(kept, default=-1))
+        for upto in kept:
+            found = found.unionByName(self.spark.read.schema(found.schema).parquet(join(self.root, "rejects", f"upto-{upto}")))
+        return found
+
+    def _reject_tables(self) -> list[int]:
+        """Last batches of the tables of moved rejects."""
+        home = join(self.root, "rejects")
+        return sorted(int(n.removeprefix("upto-")) for n in self.files.names(home) if self.files.exists(join(home, n, "_SUCCESS")))
+
+    def _found_rejects(self, after: int, upto: int | None = None) -> DataFrame:
         shown = ["reason", "label", ENVELOPE, "op", "seq", "source", "db", "table"]
-        found = self._log(REJECTED, -1)
+        found = self._log(REJECTED, after, upto)
         if found is None:
-            return self.spark.createDataFrame([], f"reason string, label string, {LOG_DDL}").select(*shown)
+            return self.spark.createDataFrame([], f"label string, {LOG_DDL}").select(*shown)
         found = found.withColumn("label", F.lit(None).cast("string")).select(*shown)
         for mapping in self.spec.labels:
-            logged = self._log(mapping.place, -1).where(route.op_class(F.col("op")).isNotNull())
+            home = (F.col("source") == mapping.source) & (F.col("db") == mapping.db) & (F.col("table") == mapping.table)
+            logged = self._log(mapping.place, after, upto).where(home & route.op_class(F.col("op")).isNotNull())
             spoiled = project.rejected_slots(project.project_slots(logged, mapping, carry=[ENVELOPE, "op", "seq", "source", "db", "table"]), mapping)
             found = found.unionByName(spoiled.withColumn("label", F.lit(mapping.label)).select(*shown))
         return found
@@ -320,8 +335,12 @@ class GraphStore:
                 self.spark.sql(f"DROP TABLE IF EXISTS {self._table(label, version)}")
                 self.files.remove(join(self._home(label), version.folder))
         oldest = min((v[-1].upto for v in folded if v), default=-1) if all(folded) else -1
+        moved = max(self._reject_tables(), default=-1)
+        if self.keep_rejects and moved < oldest:
+            # Complete before a batch goes; from then on these batches are not searched again.
+            self._found_rejects(moved, oldest).write.mode("overwrite").parquet(join(self.root, "rejects", f"upto-{oldest}"))
         for batch, owner in sorted(self._owners().items()):
-            if batch <= oldest and not self.keep_rejects:
+            if batch <= oldest:
                 # The marker of the newest folded batch stays: it dates the store.
                 if batch < oldest:
                     self.files.remove(join(self.root, "commits", f"{batch}.{owner}"))

@@ -146,8 +146,35 @@ def test_one_hop_with_a_hot_source(spark, rows):
     many = edges(spark, [(1, i, 0, i) for i in range(500)] + [(2, 5, 0, 1), (2, 5, 1, 1), (3, 1, 0, 1)])
     seeds = spark.createDataFrame([(1,), (2,), (2,), (9,)], "_src int")
     want = sorted([(1, i, 0) for i in range(500)] + [(2, 5, 0), (2, 5, 1)], key=repr)
-    for salts in (1, 16):
-        assert rows(verify.one_hop(many, seeds, salts)) == want
+    heavy = verify.heavy_keys(many)
+    assert len(heavy) == 1
+    for given, salts in (((), 16), (heavy, 1), (heavy, 16)):
+        assert rows(verify.one_hop(many, seeds, heavy=given, salts=salts)) == want
+    # The request's type does not matter, though hashes tell types apart.
+    assert rows(verify.one_hop(many, seeds.select(F.col("_src").cast("bigint")), heavy=heavy)) == want
+
+
+def test_only_heavy_keys_are_spread(spark, monkeypatch):
+    many = spark.range(4000).select(
+        F.when(F.col("id") % 2 == 0, 0).otherwise(F.col("id")).cast("bigint").alias("_src"), F.col("id").alias("_dst"), F.lit(0).cast("bigint").alias("_rank"))
+    heavy = verify.heavy_keys(many)
+    zero = spark.range(1).select(F.xxhash64("id")).head()[0]
+    assert heavy == [zero]
+    sides = {}
+    kind = type(many)
+    real = kind.join
+
+    def spy(left, right, on, how):
+        sides.update(left=left, right=right, on=on)
+        return real(left, right, on, how)
+
+    monkeypatch.setattr(kind, "join", spy)
+    verify.one_hop(many, spark.range(1000).withColumnRenamed("id", "_src"), heavy=heavy)
+    monkeypatch.undo()
+    assert sides["right"].count() == 1000 - 1 + verify.SALTS
+    sizes = sorted(r["count"] for r in sides["left"].where("_src = 0").groupBy("_salt").count().collect())
+    assert len(sizes) == verify.SALTS and sizes[-1] < 2 * sizes[len(sizes) // 2]
+    assert verify.heavy_keys(spark.range(1000).withColumnRenamed("id", "_src")) == [] and verify.heavy_keys(many.where("false")) == []
 
 
 def test_fetch_returns_every_rank(spark, rows):

@@ -221,6 +221,25 @@ def test_rejects_are_kept_on_request(spark, rows, tmp_path):
     assert store.state("crate").count() == 1
 
 
+def test_vacuum_moves_the_rejects_of_dropped_batches(spark, rows, tmp_path):
+    store = GraphStore(spark, str(tmp_path), DEPOT, keep_rejects=True)
+    reasons = lambda: [r[0] for r in rows(store.rejects().select("reason"))]
+    store.append(batch(spark, crate("c", 1, 1), "junk", crate("u", 1, 5, age="abc")), 0)
+    store.append(batch(spark, crate("c", 2, 1), change("t", "crate", {"id": 1})), 1)
+    before = reasons()
+    assert before == ["bad_json", "bad_op", "bad_value"]
+    store.compact_all()
+    store.vacuum()
+    assert store.files.names(f"{tmp_path}/log") == [] and reasons() == before
+    store.vacuum()
+    assert reasons() == before
+    store.append(batch(spark, crate("c", 3, 1), "more junk"), 2)
+    assert reasons() == ["bad_json", *before]
+    store.compact_all()
+    store.vacuum()
+    assert reasons() == ["bad_json", *before] and store.state("crate").count() == 3
+
+
 def test_stats(spark, rows, store):
     store.append(batch(spark, crate("c", 1, 1), crate("c", 2, 1), change("c", "lashing", LINK)), 0)
     assert ("depot", "Space", "vertices", 2) in rows(store.stats()) and ("depot", "Edge", "depot.lashing", 1) in rows(store.stats())
