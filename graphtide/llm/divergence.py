@@ -13,8 +13,10 @@ Everything is built-in expressions; a text never leaves its row.  Repeated three
 windows are found by sorting their 64-bit hashes, with the position in the low bits.
 The references are a row for each language of ``COMMON_WORDS`` and histogram entry.
 
-A null text is an empty one and fails the base rules.  Without a reference (no row of a
-known language) the base rules decide.
+A text whose ``lang`` has no reference (a language without a list of common words) is not held
+to the word limit.  A null text is an empty one and fails the base rules.  Without a
+reference (no row of a known language) the base rules decide.  Columns of the results' names
+are replaced.
 """
 
 from __future__ import annotations
@@ -38,6 +40,7 @@ LEAST_CHARS, LEAST_WORDS = 200, 50
 BASE_WORDS = 50
 BASE_REPEATED = 50  # per cent
 
+RESULTS = {"n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "char_distance", "word_distance", "kept"}
 BLANK = r"[\x20\x09-\x0D]+"
 CLASSES = {"lower": r"\p{Ll}+", "upper": r"\p{Lu}+", "digit": r"[0-9]+", "stop": r"[.,;:'\"!?()\-]+", "sign": r"[#*$%&|<>]+"}
 
@@ -66,7 +69,8 @@ def _repeated(hashes: str, n: str) -> Column:
         return _let(_let(packed, places), covered)
 
     mask = F.pow(F.lit(2.0), F.ceil(F.log2(F.col(n) + 1))).cast("bigint") - 1
-    return _let(windows, lambda w: count(w, mask))
+    # Most texts repeat no window; only the others are sorted.
+    return _let(windows, lambda w: F.when(F.size(F.array_distinct(w)) == F.size(w), F.lit(0).cast("bigint")).otherwise(count(w, mask)))
 
 
 def _let(value: Column, body) -> Column:
@@ -157,8 +161,11 @@ def _word_distance(reference: dict[int, float], words: int) -> Column:
     return _distance(F.lit(0.5) + listed + term(other, F.lit(reference[-1])))
 
 
-def judge(measured: DataFrame, known: dict[str, tuple[list[float], dict[int, float]]]) -> DataFrame:
-    """Add ``char_distance`` and ``word_distance`` to the nearest language, and ``kept``."""
+def judge(measured: DataFrame, known: dict[str, tuple[list[float], dict[int, float]]], lang: str | None = None) -> DataFrame:
+    """Add ``char_distance`` and ``word_distance`` to the nearest language, and ``kept``.
+
+    ``lang`` names the column of the language that a text is said to be in.
+    """
     words = len({w for group in COMMON_WORDS.values() for w in group})
 
     def limit(reference: dict[int, float]) -> float:
@@ -172,13 +179,16 @@ def judge(measured: DataFrame, known: dict[str, tuple[list[float], dict[int, flo
         return measured.withColumns({"char_distance": nothing, "word_distance": nothing, "kept": ~F.col("base_failed")})
     each = F.array(*[F.struct(_word_distance(w, words).alias("word"), _char_distance(c).alias("char"), F.lit(limit(w)).alias("limit")) for c, w in known.values()])
     judged = measured.withColumn("␟each", each)
-    fits = lambda d: ((d["char"] <= CHAR_LIMIT) | (F.aggregate("chars", F.lit(0), lambda a, x: a + x) < LEAST_CHARS)) & ((d["word"] <= d["limit"]) | (F.col("n_words") < LEAST_WORDS))
+    foreign = F.coalesce(~named(lang).isin(*known), F.lit(False)) if lang else F.lit(False)
+    fits = lambda d: ((d["char"] <= CHAR_LIMIT) | (F.aggregate("chars", F.lit(0), lambda a, x: a + x) < LEAST_CHARS)) & ((d["word"] <= d["limit"]) | (F.col("n_words") < LEAST_WORDS) | foreign)
     best = F.array_min("␟each")
     return judged.withColumns({"char_distance": best["char"], "word_distance": best["word"], "kept": ~F.col("base_failed") & F.exists("␟each", fits)}).drop("␟each")
 
 
 def apply_rules(docs: DataFrame, *, text: str = "text", lang: str = "lang", keep: list[str]) -> DataFrame:
     """Measures, distances and ``kept`` of each document; ``keep`` names the columns to return with them."""
-    source = docs.withColumn("␟lang", named(lang).cast("string"))
-    measured = stored(measure(source, text=text, keep=[*keep, "␟lang"]), "divergence")
-    return judge(measured, references(measured, "␟lang")).drop("␟lang", "chars", "common")
+    kept = {f"␟own-{i}": c for i, c in enumerate(keep) if c.lower() not in RESULTS}
+    source = docs.select(*[named(c).alias(own) for own, c in kept.items()], named(text).alias("␟text"), named(lang).cast("string").alias("␟lang"))
+    measured = stored(measure(source, text="␟text", keep=[*kept, "␟lang"]), "divergence")
+    judged = judge(measured, references(measured, "␟lang"), "␟lang").drop("␟lang", "chars", "common")
+    return judged.select(*[F.col(c).alias(kept[c]) if c in kept else c for c in judged.columns])

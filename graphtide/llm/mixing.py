@@ -14,7 +14,8 @@ have no explicit weight above nought weigh one part in ``RESOLUTION`` together.
 No document is dropped or repeated.  ``in_mix`` marks the blocks before the first slot at
 which some source has none left, where the shares hold; the others follow in the order
 of their deadlines.  A null source is a source of its own.  Repeated rows are placed
-each; an empty table gives an empty one.
+each; rows without an id are ordered by a hash of the whole row, and so are different rows
+with the same id.  Columns of the results' names are replaced; an empty table gives an empty one.
 """
 
 from __future__ import annotations
@@ -105,10 +106,11 @@ def mix_sources(
 ) -> DataFrame:
     """All rows with ``mix_slot`` (of their block), ``mix_block`` (the block's number in its source), ``mix_rank`` (in the source) and ``in_mix``."""
     made = ("mix_slot", "mix_block", "mix_rank", "in_mix")
-    kept = [c for c in docs.columns if c not in made]
+    kept = [c for c in docs.columns if c.lower() not in made]
     key = F.when(named(source).isNull(), "").otherwise(F.concat(F.lit("="), named(source).cast("string")))
-    order = F.md5(F.concat_ws(":", F.lit(str(seed)), named(id).cast("string")))
-    keyed = docs.select(*[named(c) for c in kept], key.alias("␟key"), order.alias("␟order"))
+    whole = F.xxhash64(F.to_json(F.struct(*[named(c) for c in docs.columns])))
+    order = F.md5(F.concat_ws(":", F.lit(str(seed)), F.coalesce(named(id).cast("string"), whole.cast("string"))))
+    keyed = docs.select(*[named(c) for c in kept], key.alias("␟key"), order.alias("␟order"), whole.alias("␟whole"))
     counts = docs.groupBy(key.alias("key")).agg(F.count("*").alias("n"))
     counts = stored(counts, "mixing-sources")
     slots = _slots(counts, weights, block)
@@ -125,7 +127,7 @@ def mix_sources(
     offsets = own.groupBy("␟key", "␟bucket", "␟before").agg(F.array_sort(F.collect_list(F.struct("␟block", "␟slot", "in_mix"))).alias("␟slots"))
 
     placed = keyed.join(pattern, "␟key").withColumn("␟bucket", bucket)
-    number = F.row_number().over(Window.partitionBy("␟key", "␟bucket").orderBy("␟order", named(id)))
+    number = F.row_number().over(Window.partitionBy("␟key", "␟bucket").orderBy("␟order", named(id), "␟whole"))
     ranked = placed.withColumn("␟number", number).join(offsets, ["␟key", "␟bucket"])
     rank = F.col("␟before") + F.col("␟number") - 1
     ranked = ranked.withColumn("␟rank", rank).withColumn("␟block", at(F.col("␟rank")))

@@ -20,8 +20,8 @@ the join, which keeps a family of looser copies from being expanded into pairs.
 
 With 32 bands of 6 components, a pair at similarity 0.8 is missed with probability 6e-5.
 
-A null text and one without words is alone in its class.  Repeated rows are copies.  Of
-each class the first row stays (``kept``) and gives ``class_id``.
+A null text and one without words is alone in its class.  Repeated rows are copies.  Columns
+of the results' names are replaced.  Of each class the first row stays (``kept``) and gives ``class_id``.
 """
 
 from __future__ import annotations
@@ -246,7 +246,7 @@ def _similar_size(a: str, b: str):
 
 def find_near_duplicates(docs: DataFrame, *, id: str = "doc_id", text: str = "text", keep: list[str] | None = None) -> DataFrame:
     """Documents with ``class_id`` (the id of the first row of the class) and ``kept`` (whether it is that row)."""
-    kept = [c for c in (docs.columns if keep is None else keep) if c not in ("class_id", "kept")]
+    kept = [c for c in (docs.columns if keep is None else keep) if c.lower() not in ("class_id", "kept")]
     source = docs.select(*[named(c) for c in dict.fromkeys([*kept, id])], F.monotonically_increasing_id().alias(_ROW), named(text).cast("string").alias("␟body"))
     signed = stored(annotate(source, "␟body", SIGNED, _sign), "near-dup-signed")
 

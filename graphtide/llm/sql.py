@@ -31,25 +31,28 @@ WITH RECURSIVE d AS (
          row_number() OVER (PARTITION BY source ORDER BY md5('0:' || doc_id), doc_id) - 1 AS mix_rank
   FROM documents),
 n AS (SELECT key, count(*) AS n FROM d GROUP BY key),
-s AS (SELECT key, n, row_number() OVER (ORDER BY key) AS i,
-             greatest(1, CAST(round(1000 * sqrt(n) / sum(sqrt(n)) OVER ()) AS BIGINT)) AS w FROM n),
-g AS (SELECT list(w ORDER BY i) AS ws, CAST(sum(w) AS BIGINT) AS total FROM s),
+s AS (SELECT key, n, row_number() OVER (ORDER BY key) AS i, sqrt(n) AS w, (n + 31) // 32 AS blocks FROM n),
+g AS (SELECT list(w ORDER BY i) AS ws, list(blocks ORDER BY i) AS bs, sum(w) AS total FROM s),
+-- A quotient that should be whole may miss it by rounding.
 run AS (
   SELECT -1::BIGINT AS t, list_transform(ws, lambda x: 0::BIGINT) AS c, 0::BIGINT AS pick FROM g
   UNION ALL
   SELECT t + 1, list_transform(range(1, len(ws) + 1), lambda i: c[i] + CASE WHEN i = best THEN 1 ELSE 0 END), best
   FROM (
-    SELECT t, c, ws, total, list_min(list_filter(list_transform(range(1, len(ws) + 1), lambda i:
-             CASE WHEN c[i] < ws[i] AND c[i] * total // ws[i] <= t + 1 THEN (((c[i] + 1) * total + ws[i] - 1) // ws[i]) * 1000000 + i END),
+    SELECT t, c, ws, bs, list_min(list_filter(list_transform(range(1, len(ws) + 1), lambda i:
+             CASE WHEN floor(c[i] * total / ws[i] + 1e-9) <= t + 1 THEN CAST(ceil((c[i] + 1) * total / ws[i] - 1e-9) AS BIGINT) * 1000000 + i END),
              lambda v: v IS NOT NULL)) % 1000000 AS best
-    FROM run, g WHERE t + 1 < total)),
-slots AS (SELECT pick AS i, t, row_number() OVER (PARTITION BY pick ORDER BY t) - 1 AS k FROM run WHERE t >= 0),
-ends AS (
-  SELECT min(((n + 31) // 32) // w * total + slots.t) AS horizon
-  FROM s, g, slots WHERE slots.i = s.i AND slots.k = ((n + 31) // 32) % w)
-SELECT doc_id, source, CAST(mix_rank // 32 // w * total + slots.t AS BIGINT) AS mix_slot, CAST(mix_rank // 32 AS BIGINT) AS mix_block,
-       CAST(mix_rank AS BIGINT) AS mix_rank, mix_rank // 32 // w * total + slots.t < horizon AS in_mix
-FROM d JOIN s USING (key) CROSS JOIN g CROSS JOIN ends JOIN slots ON slots.i = s.i AND slots.k = (mix_rank // 32) % w
+    FROM run, g)
+  WHERE c[best] < bs[best]),
+mixed AS (SELECT pick AS i, row_number() OVER (PARTITION BY pick ORDER BY t) - 1 AS j, t AS slot, true AS in_mix FROM run WHERE t >= 0),
+placed AS (SELECT s.i, blocks, w, count(mixed.i) AS done FROM s LEFT JOIN mixed ON mixed.i = s.i GROUP BY ALL),
+left_over AS (SELECT i, w, unnest(range(done, blocks)) AS j FROM placed),
+slots AS (
+  SELECT * FROM mixed
+  UNION ALL
+  SELECT i, j, (SELECT count(*) FROM mixed) + row_number() OVER (ORDER BY ceil((j + 1) * total / w - 1e-9), i, j) - 1, false FROM left_over, g)
+SELECT doc_id, source, CAST(slot AS BIGINT) AS mix_slot, CAST(mix_rank // 32 AS BIGINT) AS mix_block, CAST(mix_rank AS BIGINT) AS mix_rank, in_mix
+FROM d JOIN s USING (key) JOIN slots ON slots.i = s.i AND slots.j = mix_rank // 32
 """
 
 _ESCAPED = "replace(replace(replace({0}, '\\', '\\b'), '#', '\\h'), '<', '\\l')"

@@ -66,3 +66,18 @@ def test_rows(documents):
     unknown = apply_rules(documents([(k, t, "xx") for k, t in clean]), keep=["doc_id"])
     assert unknown.where("kept").count() == len(clean)
     assert apply_rules(documents(ROWS).where("false"), keep=["doc_id"]).count() == 0
+
+
+def test_a_language_without_words_is_not_held_to_the_word_limit(documents):
+    clean = [(100 + k, " ".join(COMMON_WORDS["en"][(k * 7 + i * i) % 29] if i % 2 else f"w{i}x{k}" for i in range(90))) for k in range(5)]
+    fifth = " ".join(f"ka{'abcdefghij'[i % 10]}{'klmnopqrstuv'[i // 10]}lo" for i in range(120)) + "."
+    docs = documents([*clean, (1, fifth, "fi"), (2, fifth, "en"), (3, "XQ" * 300 + " 9" * 120, "fi")])
+    kept = {r.doc_id: r.kept for r in apply_rules(docs, keep=["doc_id"]).collect()}
+    assert kept[1] and not kept[2] and not kept[3]
+
+
+def test_clashing_columns(documents):
+    docs = documents([(1, GOOD)]).withColumnsRenamed({"score": "N_WORDS", "label": "Chars", "node": "common", "rule": "KEPT"})
+    done = apply_rules(docs, keep=["doc_id", "N_WORDS", "Chars", "common", "KEPT", "text"])
+    assert done.columns[:4] == ["doc_id", "Chars", "common", "text"] and len({c.lower() for c in done.columns}) == len(done.columns)
+    assert done.head().Chars == "x" and done.head().n_words == len(GOOD.split())

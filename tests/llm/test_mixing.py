@@ -1,8 +1,11 @@
 from collections import Counter
 
+import duckdb
 from pyspark.sql import functions as F
 
+from graphtide.llm import sql
 from graphtide.llm.mixing import RESOLUTION, mix_sources, schedule
+from tests.compare import compare
 
 
 def deviations(rows, weights):
@@ -57,3 +60,24 @@ def test_rows(spark, documents):
     assert sorted(r.mix_rank for r in rows if r.source is None) == [0, 1] and sum(r.in_mix for r in rows) > 0
     assert mix_sources(docs.where("false")).count() == 0
     assert mix_sources(docs, weights={"other": 1.0}).count() == 5
+
+
+def test_sql_of_unequal_sources(spark, tmp_path):
+    n = F.col("id")
+    third = F.when(n % 3 == 0, "hot").when(n % 50 == 1, None).when(n % 50 == 2, "").otherwise(F.concat(F.lit("s"), F.floor(F.sqrt(n % 400)).cast("string")))
+    spark.range(6000).select(n.alias("doc_id"), third.alias("source")).coalesce(1).write.parquet(str(tmp_path / "documents.parquet"))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    docs = spark.read.parquet(str(tmp_path / "documents.parquet"))
+    assert compare(mix_sources(docs), con, sql.MIXING) is None
+    assert mix_sources(docs).where("not in_mix").count() > 1000
+
+
+def test_rows_without_ids_and_clashing_columns(spark):
+    docs = spark.range(4000).select(F.lit(None).cast("long").alias("doc_id"), F.lit("s").alias("source"), F.col("id").alias("own"), F.lit(1).alias("MIX_SLOT"), F.lit(2).alias("In_Mix"))
+    first, again = (sorted((r.mix_rank, r.own) for r in mix_sources(d).collect()) for d in (docs, docs.repartition(7, "own")))
+    assert first == again and [r for r, _ in first] == list(range(4000)) and [o for _, o in first] != list(range(4000))
+    assert mix_sources(docs).columns == ["doc_id", "source", "own", "mix_slot", "mix_block", "mix_rank", "in_mix"]
+    twins = docs.withColumn("doc_id", F.lit(5).cast("long"))
+    first, again = (sorted((r.mix_rank, r.own) for r in mix_sources(d).collect()) for d in (twins, twins.repartition(7, "own")))
+    assert first == again

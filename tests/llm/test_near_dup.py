@@ -97,3 +97,9 @@ def test_components(spark):
     edges = [(k, k + 1) for k in range(1, 40)] + [(100, k) for k in range(101, 130)] + [(200, 201), (201, 200), (300, 300)]
     got = {r.node: r.component for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {**{k: 1 for k in range(1, 41)}, **{k: 100 for k in range(100, 130)}, 200: 200, 201: 200}
+
+
+def test_clashing_columns(documents):
+    docs = documents([(1, "a b c"), (2, "a b c")]).withColumnsRenamed({"kept": "Kept", "class_id": "CLASS_ID"})
+    done = find_near_duplicates(docs)
+    assert {r.class_id for r in done.collect()} in ({1}, {2}) and len({c.lower() for c in done.columns}) == len(done.columns)
