@@ -16,7 +16,8 @@ them, and no pair that could join two components is left out.  In that last step
 node brings a longer signature of one bit a component: a pair whose bits differ more than
 ``SKETCH_MISSES`` allows (a similarity of 0.8 does so with probability 3e-5), or that would
 need more shingles in common than either shares with any other node, is ruled out within
-the join, which keeps a family of looser copies from being expanded into pairs.
+the join, which keeps a family of looser copies from being expanded into pairs.  A crowded bucket is
+cut into tiles for it.
 
 With 32 bands of 6 components, a pair at similarity 0.8 is missed with probability 6e-5.
 
@@ -51,6 +52,7 @@ BROADCAST_IDS = 2_000_000
 # Shingles up to which the multisets of a round are broadcast (8 bytes each, in all the 10 MB up to
 # which Spark broadcasts by default); beyond, pairs and multisets are joined by a shuffle.
 BROADCAST_SHINGLES = 1_250_000
+TILE = 1000  # nodes of a bucket that a task compares with as many others
 _ROW = "␟row"
 _U = np.uint64
 
@@ -250,8 +252,11 @@ def find_near_duplicates(docs: DataFrame, *, id: str = "doc_id", text: str = "te
     source = docs.select(*[named(c) for c in dict.fromkeys([*kept, id])], F.monotonically_increasing_id().alias(_ROW), named(text).cast("string").alias("␟body"))
     signed = stored(annotate(source, "␟body", SIGNED, _sign), "near-dup-signed")
 
-    copies = signed.where("`␟key` is not null").groupBy("␟key").agg(F.min(_ROW).alias("node"))
-    members = stored(signed.select(_ROW, "␟key").join(copies, "␟key", "left").select(_ROW, F.coalesce("node", _ROW).alias("node")), "near-dup-members")
+    # Only keys that occur again are joined, to a written table: a hot key's rows can then be split over tasks.
+    worded, wordless = signed.where("`␟key` is not null").select(_ROW, "␟key"), signed.where("`␟key` is null").select(_ROW, F.col(_ROW).alias("node"))
+    copies = worded.groupBy("␟key").agg(F.min(_ROW).alias("node"), F.count("*").alias("n")).where("n > 1").select("␟key", "node")
+    members = worded.join(stored(copies, "near-dup-copies"), "␟key", "left").select(_ROW, F.coalesce("node", _ROW).alias("node"))
+    members = stored(members.unionByName(wordless), "near-dup-members")
 
     nodes = signed.join(members.where(F.col(_ROW) == F.col("node")).select(_ROW), _ROW, "left_semi").select(F.col(_ROW).alias("node"), F.col("␟weight").alias("weight"), "␟bands")
     buckets = stored(nodes.select("node", "weight", F.explode("␟bands").alias("bucket")), "near-dup-buckets")
@@ -283,14 +288,20 @@ def find_near_duplicates(docs: DataFrame, *, id: str = "doc_id", text: str = "te
     common = single.groupBy("shingle").agg(F.count("*").alias("n")).where("n > 1").select("shingle")
     room = single.join(common, "shingle").groupBy(_ROW).agg(F.count("*").alias("room"))
     room = stored(room.where(F.col("room") > 0), "near-dup-room").select(F.col(_ROW).alias("node"), "room")
-    near = apart.join(room, "node").where(F.col("room") >= SIMILARITY * F.col("weight"))
+    near = stored(apart.join(room, "node").where(F.col("room") >= SIMILARITY * F.col("weight")), "near-dup-near")
+    # A crowded bucket is compared tile by tile: each pair of nodes meets in one of its pairs of tiles.
+    crowds = near.groupBy("bucket").agg(F.count("*").alias("n")).where(F.col("n") > TILE).select("bucket", F.ceil(F.col("n") / TILE).alias("tiles"))
+    near = near.join(stored(crowds, "near-dup-tiles"), "bucket", "left").withColumn("tiles", F.coalesce("tiles", F.lit(1).cast("bigint")))
+    near = near.withColumn("own", F.pmod(F.xxhash64("node"), "tiles"))
     near = near.join(bags.select(F.col(_ROW).alias("node"), F.col("␟bands").alias("bands"), "sketch"), "node")
-    other = near.select("bucket", *[F.col(c).alias(f"other_{c}") for c in ("node", "weight", "component", "room", "bands", "sketch")])
+    every = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("tiles") - 1))
+    other = near.withColumn("left", every).select("bucket", "left", F.col("own").alias("right"), *[F.col(c).alias(f"other_{c}") for c in ("node", "weight", "component", "room", "bands", "sketch")])
     overlap = F.least("room", "other_room")
     fits = overlap >= SIMILARITY * (F.col("weight") + F.col("other_weight") - overlap)
     misses = F.aggregate(F.zip_with("sketch", "other_sketch", lambda a, b: F.bit_count(a.bitwiseXOR(b))), F.lit(0), lambda a, x: a + x)
     across = (F.col("component") < F.col("other_component")) & _similar_size("weight", "other_weight") & fits & (misses <= SKETCH_MISSES)
-    pairs = near.join(other, "bucket").where(across & (F.array_min(F.array_intersect("bands", "other_bands")) == F.col("bucket")))
+    near = near.withColumn("right", every).withColumn("left", F.col("own"))
+    pairs = near.join(other, ["bucket", "left", "right"]).where(across & (F.array_min(F.array_intersect("bands", "other_bands")) == F.col("bucket")))
     pairs = stored(_ordered(pairs.select("node", F.col("other_node").alias("other"))), "near-dup-pairs-rest")
     if not pairs.isEmpty():
         found = _verified(bags, pairs, "rest")

@@ -103,3 +103,20 @@ def test_clashing_columns(documents):
     docs = documents([(1, "a b c"), (2, "a b c")]).withColumnsRenamed({"kept": "Kept", "class_id": "CLASS_ID"})
     done = find_near_duplicates(docs)
     assert {r.class_id for r in done.collect()} in ({1}, {2}) and len({c.lower() for c in done.columns}) == len(done.columns)
+
+
+def test_tiles_and_hot_copies_change_nothing(documents, monkeypatch):
+    from graphtide.llm import near_dup
+
+    random.seed(11)
+    base = [f"w{random.randrange(200)}" for _ in range(60)]
+    texts = []
+    for _ in range(60):
+        copy = base[:]
+        for _ in range(random.choice([0, 1, 2, 3])):
+            copy[random.randrange(60)] = f"v{random.randrange(900)}"
+        texts.append(" ".join(copy))
+    texts += [texts[0]] * 30 + [None, "", None]
+    monkeypatch.setattr(near_dup, "TILE", 3)
+    monkeypatch.setattr(near_dup, "STAR_ROUNDS", 1)
+    assert found(find_near_duplicates(documents(list(enumerate(texts))))) == classes(texts)
