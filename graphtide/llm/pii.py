@@ -90,9 +90,10 @@ _BRACKETED = re.compile(rf"{_B}(?:(at|arroba|@)|({_DOTS}|\.)){_E}", re.I)
 _BARE = re.compile(
     rf"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++(?P<at>[ \t]{{1,3}}(?:at|arroba)[ \t]{{1,3}}|[ \t]{{0,3}}@[ \t]{{0,3}})[A-Za-z0-9-]++"
     rf"(?P<rest>(?:[ \t]{{1,3}}(?:{_DOTS})[ \t]{{1,3}}[A-Za-z0-9-]++|\.[A-Za-z0-9-]++)+)", re.I)
-# A name with a spelled dot behind it; a name has at most 64 characters.
-_DOTTED_NAME = re.compile(rf"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]+(?P<dot>[ \t]{{1,3}}(?:{_DOTS})[ \t]{{1,3}})\Z", re.I)
-_NAME_REACH = 80
+# A spelled dot behind a part of a name, and the most characters that it has.
+_DOT_BEHIND = re.compile(rf"[ \t]{{1,3}}(?:{_DOTS})[ \t]{{1,3}}\Z", re.I)
+_DOT_LENGTH = 6 + max(map(len, _DOTS.split("|")))
+_NAME = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _SPELLED_DOT = re.compile(rf"[ \t]{{1,3}}(?:{_DOTS})[ \t]{{1,3}}", re.I)
 
 # Digits in words (English, German, French, Spanish).
@@ -174,10 +175,14 @@ def _bare(text: str) -> Iterator[Edit]:
     for m in _BARE.finditer(text):
         dots = list(_SPELLED_DOT.finditer(text, *m.span("rest")))
         name, begin = [], m.start()
-        while n := _DOTTED_NAME.search(text[max(after, begin - _NAME_REACH) : begin]):
-            shift = max(after, begin - _NAME_REACH)
-            name.append((shift + n.start("dot"), begin, "."))
-            begin = shift + n.start()
+        while dot := _DOT_BEHIND.search(text, max(after, begin - _DOT_LENGTH), begin):
+            start = dot.start()
+            while start > after and text[start - 1] in _NAME:
+                start -= 1
+            if start == dot.start():
+                break
+            name.append((dot.start(), begin, "."))
+            begin = start
         # "at" before a plain domain is prose unless the name looks like a login.
         if "@" not in m["at"] and not dots and not name and not re.search(r"[0-9._%+]", text[m.start() : m.start("at")]):
             continue
@@ -223,8 +228,18 @@ def _overlaps(a: Span, spans: list[Span]) -> bool:
     return any(a[0] == s[0] and a[1] < s[2] and s[1] < a[2] for s in spans)
 
 
+def _extends(a: Span, spans: list[Span]) -> bool:
+    """Whether all spans of its kind that it overlaps lie within it, none as long as itself."""
+    met = [s for s in spans if a[0] == s[0] and a[1] < s[2] and s[1] < a[2]]
+    return all(a[1] <= s[1] and s[2] <= a[2] and s[1:] != a[1:] for s in met)
+
+
 def disguised(text: str, known: list[Span]) -> list[Span]:
-    """Identifiers that show only after rewriting, in source offsets."""
+    """Identifiers that show only after rewriting, in source offsets.
+
+    One that holds a known one and more (``ann dot b@exa.org``) is among them; one that
+    overlaps a known one otherwise is not.
+    """
     state = Rewritten(text)
     for wanted, edits in _TRANSDUCERS:
         if wanted(state.text) and (found := list(edits(state.text))):
@@ -234,7 +249,7 @@ def disguised(text: str, known: list[Span]) -> list[Span]:
     out: list[Span] = []
     for kind, a, b in plain(state.text):
         span = (kind, int(state.begin[a]), int(state.end[b - 1]))
-        if state.new[a:b].any() and not _overlaps(span, known) and not _overlaps(span, out):
+        if state.new[a:b].any() and _extends(span, known) and not _overlaps(span, out):
             out.append(span)
     return out
 

@@ -52,6 +52,10 @@ CASES = [
     ("card 4111 one one one one 1111 1111", "card", "4111 one one one one 1111 1111"),
     ("ask john dot smith at example dot com", "email", "john dot smith at example dot com"),
     ("ask j dot r dot smith at example.com", "email", "j dot r dot smith at example.com"),
+    ("ask john dot smith@example.com", "email", "john dot smith@example.com"),
+    ("or j.smith@mail.example dot com now", "email", "j.smith@mail.example dot com"),
+    ("or ann@exa.or\u200bg now", "email", "ann@exa.or\u200bg"),
+    ("ask " + "j" * 200 + " dot smith at example dot com", "email", "j" * 200 + " dot smith at example dot com"),
 ]
 
 
@@ -73,6 +77,13 @@ def test_numbers_of_prose_are_left_alone():
         assert plain(text) == [] and disguised(text, []) == [], text
 
 
+def test_a_longer_span_stands_beside_the_plain_one():
+    for text, inner in (("ask john dot smith@example.com", "smith@example.com"), ("j.smith@mail.example dot com", "j.smith@mail.example"), ("ann@exa.or\u200bg", "ann@exa.or")):
+        (base,) = plain(text)
+        (longer,) = disguised(text, [base])
+        assert text[base[1]:base[2]] == inner and longer[1] <= base[1] and base[2] <= longer[2]
+
+
 def test_base_spans_stay_with_disguised_ones():
     text = "a@b.cd and ann [at] exa [dot] org and +49 151 2345678"
     base = plain(text)
