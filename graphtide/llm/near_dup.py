@@ -260,15 +260,17 @@ def find_near_duplicates(docs: DataFrame, *, id: str = "doc_id", text: str = "te
 
     nodes = signed.join(members.where(F.col(_ROW) == F.col("node")).select(_ROW), _ROW, "left_semi").select(F.col(_ROW).alias("node"), F.col("␟weight").alias("weight"), "␟bands")
     buckets = stored(nodes.select("node", "weight", F.explode("␟bands").alias("bucket")), "near-dup-buckets")
-    shared = buckets.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1").select("bucket")
-    crowded = stored(buckets.join(shared, "bucket"), "near-dup-crowded").select("bucket", "node", "weight")
+    shared = buckets.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
+    crowded = stored(buckets.join(shared, "bucket"), "near-dup-crowded").select("bucket", "node", "weight", "n")
+    # How many others a node meets, over its buckets: most for the one that a family's copies were made from.
+    meets = stored(crowded.groupBy("node").agg(F.sum("n").alias("meets")), "near-dup-meets")
 
-    # Each node with the first node of one of its buckets; then again with other nodes, across components.
+    # Each node with the most met node of one of its buckets; then again with other nodes, across components.
     links, labels = None, None
     for number in range(STAR_ROUNDS):
         apart = crowded.withColumn("component", F.col("node")) if labels is None else _apart(crowded, labels)
         # The star's centre differs from round to round.
-        rank = F.col("node") if number == 0 else F.xxhash64("node", F.lit(number))
+        apart, rank = (apart.join(meets, "node"), -F.col("meets")) if number == 0 else (apart, F.xxhash64("node", F.lit(number)))
         centre = apart.groupBy("bucket").agg(F.min(F.struct(rank.alias("rank"), "node", "weight", "component")).alias("c"))
         pairs = (
             apart.join(centre, "bucket").where((F.col("component") != F.col("c.component")) & _similar_size("weight", "c.weight"))
