@@ -272,3 +272,4 @@ ORACLE["one_hop_heavy"] = """WITH edges AS (
     SELECT CASE WHEN l_orderkey % 2 = 0 THEN CAST(0 AS BIGINT) ELSE l_orderkey END AS _src, l_partkey AS _dst,
         l_orderkey * 10 + l_linenumber AS _rank FROM lineitem)
     SELECT * FROM edges WHERE _src = 0 OR _src IN (SELECT o_orderkey FROM orders WHERE o_orderstatus = 'P')"""
+ORACLE["reconcile_ranges"] = ORACLE["reconcile"]

@@ -559,15 +559,28 @@ def snapshot_tail_render(spark, sf):
     return reduce(DataFrame.unionByName, [w.select(VID, text) for w in ways]).distinct()
 
 
-@query
-def reconcile(spark, sf):
-    """Customers in credit against the graph: some changed, some gone, some never in credit."""
-    source = feeds.table(spark, sf, "customer").where("c_acctbal > 0").select(
+def _in_credit(spark: SparkSession, sf: str) -> DataFrame:
+    """Customers in credit, as the graph has them."""
+    return feeds.table(spark, sf, "customer").where("c_acctbal > 0").select(
         F.col("c_custkey").alias(VID), F.col("c_name").alias("name"), F.col("c_nationkey").alias("nation"),
         F.col("c_acctbal").alias("balance"), F.col("c_mktsegment").alias("segment"),
     )
+
+
+@query
+def reconcile(spark, sf):
+    """Customers in credit against the graph: some changed, some gone, some never in credit."""
     graph = fold.current_state(_customer_rows(spark, sf), feeds.CUSTOMER)
-    found = verify.reconcile(source, graph, [VID])
+    found = verify.reconcile(_in_credit(spark, sf), graph, [VID])
+    return found.withColumn("columns", F.array_join("columns", ","))
+
+
+@query
+def reconcile_ranges(spark, sf):
+    """The same by checksums of key ranges, against a stored graph."""
+    path = shared_dir(spark, "reconcile")
+    fold.current_state(_customer_rows(spark, sf), feeds.CUSTOMER).write.parquet(path)
+    found = verify.reconcile_ranges(_in_credit(spark, sf), spark.read.parquet(path), [VID])
     return found.withColumn("columns", F.array_join("columns", ","))
 
 

@@ -217,3 +217,19 @@ def test_reconcile(spark, rows, plan):
     assert rows(verify.reconcile(source, graph.where("false"), ["k"]).select("status").distinct()) == [("missing",)]
     assert plan(found).count("Exchange") == 1
 
+
+def test_reconcile_by_ranges_moves_few_rows(spark, rows):
+    graph = spark.range(20_000).select(F.col("id").alias("k"), F.concat(F.lit("v"), F.col("id")).alias("a"), F.lit(None).cast("string").alias("b"))
+    # One in a thousand differs: a value, a null that changed places, a key that is gone, new or repeated.
+    odd = F.col("k") % 5000
+    source = graph.where(odd != 3).withColumn("a", F.when(odd == 1, "other").when(odd == 2, None).otherwise(F.col("a"))).withColumn(
+        "b", F.when(odd == 2, F.concat(F.lit("v"), F.col("k"))).otherwise(F.col("b")))
+    source = source.unionByName(source.where(odd == 4)).unionByName(graph.where(odd == 5).withColumn("k", F.col("k") + 100_000))
+    want = rows(verify.reconcile(source, graph, ["k"]))
+    assert len(want) == 20 and {r[1] for r in want} == {"differs", "missing", "extra", "repeated"}
+    assert rows(verify.reconcile_ranges(source.select(F.col("k").cast("int"), "b", "a"), graph, ["k"])) == want
+    moved = sum(side.count() for side in verify.unequal_rows(source, graph, ["k"]))
+    assert moved < 0.02 * (source.count() + graph.count())
+    assert all(side.count() == 0 for side in verify.unequal_rows(graph, graph, ["k"]))
+    assert rows(verify.reconcile_ranges(source, graph, ["k"], rows=1)) == want
+    assert verify.reconcile_ranges(graph.where("false"), graph.where("false"), ["k"]).count() == 0
