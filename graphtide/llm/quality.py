@@ -5,9 +5,10 @@ repetition of words and lines, lengths) minimises the non-negative unbiased risk
 
     prior * E_P[l(f)] + max(0, E_U[l(-f)] - prior * E_P[l(-f)])
 
-with trusted positives P and unlabelled texts U.  E_U, its gradient and the spread of the
-features are taken over all unlabelled texts: their features are stored once and each
-round sums them in parallel.  A Newton step needs the curvature too, and that comes from
+with trusted positives P and unlabelled texts U: every text whose id is trusted, its label
+unseen, as E_U is the mean over texts of both classes (so no text is moved to look for its
+label).  E_U, its gradient and the spread of the features are taken over all of U: their
+features are stored once and each round sums them in parallel.  A Newton step needs the curvature too, and that comes from
 a sample; it changes the way to the minimum, not the minimum.
 
 The class prior is estimated from P and U alone (``best_bin``).  Negative labels serve the
@@ -229,8 +230,7 @@ def train(docs: DataFrame, labels: DataFrame, trusted: Callable[[Column], Column
     if not (y == 1).any():
         return QualityModel(share)
     texts = docs.select(named(id).alias("␟id"), named(text).cast("string").alias("text")).where(trusted(F.col("␟id")) & F.col("␟id").isNotNull())
-    free = texts.join(labels.select(named(id).alias("␟id")).distinct(), "␟id", "left_anti")
-    free = stored(annotate(free, "text", made, _packed, ["␟id"]), "quality-unlabelled")
+    free = stored(annotate(texts, "text", made, _packed, ["␟id"]), "quality-unlabelled")
     unlabelled = Unlabelled(free)
     if not unlabelled.n:
         return QualityModel(share)
