@@ -126,6 +126,7 @@ ORACLE: dict[str, str] = {
         WHERE op <> 'd' AND user_id IN (SELECT s_suppkey FROM supplier)""",
     "bootstrap_state": CUSTOMER_STATE,
     "merged_state": CUSTOMER_STATE,
+    "chunked_bootstrap": CUSTOMER_STATE,
     "store_bootstrap": CUSTOMER_STATE,
     "store_lookup": f"""WITH {_CUSTOMER_ROWS} SELECT {_CUSTOMER_COLUMNS} FROM customer_newest
         WHERE op <> 'd' AND c_custkey IN (SELECT s_suppkey FROM supplier)""",

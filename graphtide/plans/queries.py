@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 from dataclasses import replace
 from functools import partial, reduce
@@ -16,6 +17,7 @@ from graphtide.plans.spec import DST, OP, SEQ, SRC, VID, KeyRef, Prop, VertexMap
 from graphtide.sources.envelopes import decode_envelopes, stream_feed, union_sources
 from graphtide.sources.label_csv import read_label_csv, write_label_csv
 from graphtide.sources.snapshot import snapshot_envelopes, snapshot_rows
+from graphtide.streaming.chunks import ChunkedSnapshot, chunk_bounds
 from graphtide.streaming.files import join, shared_dir
 from graphtide.streaming.store import GraphStore
 from graphtide.streaming.sync import bootstrap, start_sync, sync_available
@@ -686,3 +688,37 @@ def raw_to_reconcile(spark, sf):
         F.col("o_orderdate").cast("date").cast("string").alias("placed_on"), F.col("o_orderpriority").alias("priority"))
     found = verify.reconcile(source, store.state(label), [VID])
     return found.withColumn("columns", F.array_join("columns", ","))
+
+
+@query
+def chunked_bootstrap(spark, sf):
+    """Customers read in chunks beside their changes: each chunk sees some changes that the stream brings too.
+
+    Changes are cut into four runs by time.  With run k the table is read as it was after
+    run k + 1, one chunk of it, at the mark where run k ends.
+    """
+    home, runs = shared_dir(spark, "chunks"), 4
+    feed, tail = join(home, "feed"), feeds.customer_tail(spark, sf)
+    customers, label = feeds.table(spark, sf, "customer"), feeds.CUSTOMER
+    ends = tail.agg(F.percentile_approx("ts_sec", [k / runs for k in range(1, runs)])).head()[0] or [0] * (runs - 1)
+    ends = [*ends, 1 << 40]
+    first = snapshot_rows(customers, label)
+    changes = project.label_changes(tail.withColumn("data", F.to_json("data")), label)
+    store = GraphStore(spark, join(home, "store"), spec_labels([label]))
+    now = {}
+
+    def read():
+        seen = changes.where(F.col(f"{SEQ}.ts_sec") <= ends[min(now["run"] + 1, runs - 1)])
+        rows = fold.current_state(fold.bootstrap_then_tail(first, seen), label)
+        return rows.select(F.col(VID).alias("c_custkey"), *[F.col(p.name).alias(p.column) for p in label.props])
+
+    rows = max(1, math.ceil(customers.count() / runs))
+    chunks = ChunkedSnapshot(
+        store, "customer", db=feeds.DB, table="customer", key=["c_custkey"], column="c_custkey", bounds=chunk_bounds(customers, "c_custkey", rows),
+        read=read, mark=lambda: {"ts_sec": ends[now["run"]]})
+    for run in range(runs):
+        now["run"] = run
+        after = ends[run - 1] if run else -(1 << 40)
+        feeds.text(tail.where((F.col("ts_sec") > after) & (F.col("ts_sec") <= ends[run]))).write.mode("append").text(feed)
+        sync_available(stream_feed(spark, feed), store, join(home, "checkpoint"), chunks=chunks)
+    return store.state(label)

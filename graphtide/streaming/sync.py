@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from graphtide.sources.envelopes import decode_envelopes
+from graphtide.streaming.chunks import ChunkedSnapshot, with_chunks
 from graphtide.streaming.files import join
 from graphtide.streaming.store import GraphStore
 from graphtide.streaming.watch import Warnings
@@ -19,7 +20,8 @@ DEFAULT_TRIGGER = "500 milliseconds"
 
 def start_sync(feed: DataFrame, store: GraphStore, checkpoint: str, *, available_now: bool = False,
                trigger: str = DEFAULT_TRIGGER, decode: Callable[[DataFrame], DataFrame] | None = decode_envelopes,
-               compact_every: int = 1000, name: str | None = None, watch: Warnings | None = None) -> StreamingQuery:
+               compact_every: int = 1000, name: str | None = None, watch: Warnings | None = None,
+               chunks: ChunkedSnapshot | None = None) -> StreamingQuery:
     """Start the query that keeps ``store`` in step with ``feed``.
 
     ``feed`` is a stream of envelope text, or of anything ``decode`` turns into
@@ -27,7 +29,8 @@ def start_sync(feed: DataFrame, store: GraphStore, checkpoint: str, *, available
     ``checkpoint`` goes on where the last run stopped; with a new one the batches
     are numbered on from those the store has.  ``compact_every`` folds the log and
     drops what is folded each time that many batches have come in (0: never).
-    ``watch`` counts key and column warnings as the changes pass.
+    ``watch`` counts key and column warnings as the changes pass.  ``chunks`` reads a
+    table beside its changes, some of it with each batch (a batch needs a change to begin).
 
     There is no watermark: order is settled by the fold, at any delay.  A
     failure is raised by the returned query, not swallowed.
@@ -39,7 +42,8 @@ def start_sync(feed: DataFrame, store: GraphStore, checkpoint: str, *, available
     owner, base = _claim(store, checkpoint)
 
     def apply(batch: DataFrame, batch_id: int) -> None:
-        store.append(batch, base + batch_id + 1, owner)  # number 0 is the snapshot
+        number = base + batch_id + 1  # number 0 is the snapshot
+        store.append(with_chunks(batch, chunks.take(number)) if chunks else batch, number, owner)
         if compact_every and (batch_id + 1) % compact_every == 0:
             store.compact_all()
             store.vacuum()
