@@ -76,6 +76,26 @@ def alive(latest: DataFrame, label: Label) -> DataFrame:
     return latest.where(~F.col(DELETED)).select(*state_columns(label))
 
 
+def before(seq: Column, mark: Column) -> Column:
+    """Whether a change stands before a mark (a ``_seq`` too) in the order of changes."""
+    return _order(seq) < _order(mark)
+
+
+def first_of(marks: Sequence[Column]) -> Column:
+    """The first of several marks."""
+    return _seq_of(F.least(*map(_order, marks))) if len(marks) > 1 else marks[0]
+
+
+def last_of(marks: Sequence[Column]) -> Column:
+    """The last of several marks."""
+    return _seq_of(F.greatest(*map(_order, marks))) if len(marks) > 1 else marks[0]
+
+
+def without_old_tombstones(latest: DataFrame, mark: Column) -> DataFrame:
+    """Folded rows without the deletes that stand before the mark: no older change may arrive any more."""
+    return latest.where(~(F.col(DELETED) & before(F.col(SEQ), mark)))
+
+
 def current_state(changes: DataFrame, label: Label) -> DataFrame:
     """Change rows -> the vertices or edges they leave behind."""
     return alive(latest_changes(changes, label), label)

@@ -58,7 +58,7 @@ class ChunkedSnapshot:
     """The rows of one source table, dealt to the batches of a stream.
 
     ``read()`` gives the table as it is now; ``mark()`` the place the source's log has
-    reached, as a mapping of ``ts_sec`` and, where the changes have them, ``file, pos, row``.
+    reached, as a mapping of ``ts_sec`` and, if the changes have them, ``file, pos, row``.
     ``bounds`` cut ``column`` (``chunk_bounds``) and must stay the same for a ``name``; each
     batch takes ``per_batch`` chunks.  ``options`` go to ``snapshot_envelopes``.
     """

@@ -3,6 +3,7 @@
     <root>/log/batch_id=<n>/place=<source.db.table>/   changes of micro-batch n, once for each table
     <root>/commits/<n>.<owner>                         batch n is complete, and who wrote it
     <root>/base/<kind>-<label>/upto-<n>.gen-<g>.buckets-<b>/   all changes up to batch n, folded
+    <root>/marks/<n>.<place>                       low mark of a source, set after batch n
 
 A change is logged once, however many labels read its table, and routed when it
 is read: a label added later finds what its table has logged.  Writing a batch
@@ -10,24 +11,25 @@ again replaces it.  A reader sees whole batches only, the same ones for every
 label.  The folded version is bucketed by the key (an edge without a rank: by
 its two ends), so folding newer changes into it shuffles those changes but not
 the version.  Deletes stay in it as tombstones, or an older change that arrives
-late would bring a key back.
+late would bring a key back; they go when a low mark says that none can arrive.
 """
 
 from __future__ import annotations
 
 import hashlib
+import json
 import re
 from collections.abc import Mapping
 from functools import reduce
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType
 
 from graphtide.operators import fold, project, route, verify
 from graphtide.plans.spec import DELETED, DST, OP, RANK, SEQ, SRC, VID, GraphSpec, Label, quoted
-from graphtide.sources.envelopes import ENVELOPE, SEQ_TYPE, data_envelope
+from graphtide.sources.envelopes import ENVELOPE, SEQ_TYPE, data_envelope, seq_of
 from graphtide.sources.snapshot import snapshot_rows
 from graphtide.streaming.files import Files, join
 
@@ -125,6 +127,44 @@ class GraphStore:
         if 0 not in self.batches():
             self._append(self.spark.createDataFrame([], EMPTY_FEED_DDL), 0, ANYONE)
 
+    def set_low_mark(self, source: str, seq: Mapping) -> None:
+        """No change of ``source`` from before ``seq`` will come after the batches that are complete now.
+
+        ``seq`` has ``ts_sec`` and, if the changes have them, ``file, pos, row``: a mark without
+        a file stands before every change that has one.  The next
+        ``compact`` leaves out the tombstones before the first mark of a label's sources
+        (all of them must have one).  A change that comes all the same, in a later batch, is
+        not read; ``rejects`` shows it as ``too_late``.  Marks stay.
+        """
+        if source not in {m.source for m in self.spec.labels}:
+            raise ValueError(f"{source!r} feeds no label")
+        place = json.dumps([source, *(seq.get(p) for p in ("ts_sec", "file", "pos", "row"))]).encode().hex()
+        self.files.mark(join(self.root, "marks", f"{max(self.batches(), default=-1)}.{place}"))
+
+    def _marks(self, source: str) -> list[tuple[int, Column]]:
+        """Low marks of a source, each with the last batch that may hold older changes."""
+        found = []
+        for name in self.files.names(join(self.root, "marks")):
+            batch, _, place = name.partition(".")
+            of, ts_sec, file, pos, row = json.loads(bytes.fromhex(place))
+            if of == source:
+                parts = (None if v is None else F.lit(v) for v in (pos, row, file))
+                found.append((int(batch), seq_of(F.lit(ts_sec), *parts)))
+        return found
+
+    def _too_late(self, source: str) -> Column:
+        """Whether a logged change comes from before a low mark that was set before its batch."""
+        late = F.lit(False)
+        for batch, mark in self._marks(source):
+            late = late | ((F.col("batch_id") > batch) & fold.before(F.col("seq"), mark))
+        return late
+
+    def _retired(self, latest: DataFrame, label: Label) -> DataFrame:
+        marks = [[m for _, m in self._marks(source)] for source in {m.source for m in self.spec.mappings(label)}]
+        if not all(marks):
+            return latest
+        return fold.without_old_tombstones(latest, fold.first_of([fold.last_of(of) for of in marks]))
+
     def _logged(self, feed: DataFrame) -> DataFrame:
         if ENVELOPE not in feed.columns:
             data = F.col("data") if dict(feed.dtypes)["data"] == "string" else F.to_json("data")
@@ -187,6 +227,8 @@ class GraphStore:
             logged = self._log(mapping.place, after, upto).where(home & route.op_class(F.col("op")).isNotNull())
             spoiled = project.rejected_slots(project.project_slots(logged, mapping, carry=[ENVELOPE, "op", "seq", "source", "db", "table"]), mapping)
             found = found.unionByName(spoiled.withColumn("label", F.lit(mapping.label)).select(*shown))
+            late = logged.where(self._too_late(mapping.source)).withColumn("reason", F.lit("too_late"))
+            found = found.unionByName(late.withColumn("label", F.lit(mapping.label)).select(*shown))
         return found
 
     def changes(self, label: Label | str, *, after: int = -1) -> DataFrame:
@@ -205,7 +247,7 @@ class GraphStore:
             return self.spark.createDataFrame([], ddl)
         # Names may hold dots, so different tables may share a place.
         home = (F.col("source") == mapping.source) & (F.col("db") == mapping.db) & (F.col("table") == mapping.table)
-        logged = logged.where(home & route.op_class(F.col("op")).isNotNull())
+        logged = logged.where(home & route.op_class(F.col("op")).isNotNull() & ~self._too_late(mapping.source))
         return project.map_columns(project.project_slots(logged, mapping), mapping)
 
     def versions(self, label: Label | str) -> list[Version]:
@@ -303,7 +345,7 @@ class GraphStore:
         versions = self.versions(label)
         if not done or (versions and versions[-1].upto >= done[-1]):
             return versions[-1].upto if versions else None
-        latest = self.latest(label)
+        latest = self._retired(self.latest(label), label)
         buckets = versions[-1].buckets if versions else self.buckets
         if not versions:
             # Later versions come out of the join in bucket order already.

@@ -335,25 +335,29 @@ def test_chunks_cover_a_table_once(spark):
     assert chunk_bounds(table.where("false"), "at", 40) == []
 
 
+def at(pos):
+    return {"ts_sec": 1_600_000_000, "file": "bin.1", "pos": pos}
+
+
 def crates(spark, store, live, mark, **kwargs):
     table = lambda: spark.createDataFrame(list(live), "id long, name string, age int")
     home = DEPOT.label("crate")
-    return ChunkedSnapshot(store, "crate", db=home.db, table=home.table, key=["id"], column="id", bounds=[10], read=table, mark=lambda: {"ts_sec": mark["at"]},
+    return ChunkedSnapshot(store, "crate", db=home.db, table=home.table, key=["id"], column="id", bounds=[10], read=table, mark=lambda: at(mark["at"]),
                            source=home.source, **kwargs)
 
 
 def test_chunks_beside_changes(spark, rows, store, tmp_path):
-    # Crate 1 was deleted and 2 updated before the first chunk is read; 3 is updated during the read.
-    live, mark = {(2, "n", 20), (3, "n", 31), (12, "n", 12)}, {"at": 5}
+    # Crate 1 was deleted and 2 updated (the second time unseen) before the first chunk is read; 3 is updated during the read.
+    live, mark = {(2, "n", 22), (3, "n", 31), (12, "n", 12)}, {"at": 5}
     chunks = crates(spark, store, live, mark)
     put(spark, tmp_path, crate("d", 1, 3), crate("u", 2, 4, age=20), crate("u", 3, 6, age=31))
     sync(spark, store, tmp_path, chunks=chunks)
-    assert rows(store.state("crate")) == [(2, "n", 20), (3, "n", 31)] and chunks.left() == [1]
+    assert rows(store.state("crate")) == [(2, "n", 22), (3, "n", 31)] and chunks.left() == [1]
     # 12 goes after the second mark, though the chunk still saw it; the chunk missed 13.
     mark["at"] = 8
     put(spark, tmp_path, crate("d", 12, 9), crate("c", 13, 10, age=13))
     sync(spark, store, tmp_path, chunks=chunks)
-    assert rows(store.state("crate")) == [(13, "n", 13), (2, "n", 20), (3, "n", 31)] and chunks.left() == []
+    assert rows(store.state("crate")) == [(13, "n", 13), (2, "n", 22), (3, "n", 31)] and chunks.left() == []
 
 
 def test_a_replayed_batch_takes_its_chunk_again(spark, store):
@@ -363,3 +367,34 @@ def test_a_replayed_batch_takes_its_chunk_again(spark, store):
     assert chunks.left() == [0, 1]  # batch 1 is not there yet
     assert chunks.take(1).count() == 1 and chunks.dealt(1) == {0: 1}
     assert chunks.take(2).count() == 1 and chunks.dealt(2) == {0: 2}  # batch 1 never came
+
+
+def test_tombstones_go_below_the_low_mark(spark, rows, tmp_path):
+    store = GraphStore(spark, str(tmp_path / "marked"), DEPOT, buckets=3, keep_rejects=True)
+    source = CRATE.source
+    store.append(batch(spark, crate("c", 1, 1), crate("d", 1, 5), crate("c", 2, 2), crate("d", 2, 20), crate("c", 3, 3)), 1)
+    store.compact("crate")
+    assert store.latest("crate").count() == 3
+    store.set_low_mark(source, at(4))
+    store.set_low_mark(source, at(10))
+    # Both sides of the mark: 1 and 4 are from before it, 2 is older than its delete, 3 and 5 are newer.
+    store.append(batch(spark, crate("u", 1, 4), crate("c", 4, 9), crate("u", 2, 15), crate("u", 3, 12, age=7), crate("c", 5, 10)), 2)
+    want = [(3, "n", 7), (5, "n", 1)]
+    assert rows(store.state("crate")) == want
+    store.compact("crate")
+    assert rows(store.state("crate")) == want
+    assert rows(store.latest("crate").where("_deleted").select("_vid")) == [(2,)]
+    ids = spark.createDataFrame([(k,) for k in range(6)], "_vid int")
+    assert rows(store.lookup("crate", ids)) == want
+    assert [r.seq.pos for r in store.rejects().where("reason = 'too_late'").orderBy("seq.pos").collect()] == [4, 9]
+    with pytest.raises(ValueError, match="feeds no label"):
+        store.set_low_mark("nowhere", at(1))
+
+
+def test_a_mark_leaves_earlier_batches_alone(spark, rows, store):
+    store.append(batch(spark, crate("c", 1, 1), crate("c", 2, 2)), 1)
+    store.set_low_mark(CRATE.source, at(10))
+    store.append(batch(spark, crate("d", 1, 11)), 2)
+    assert rows(store.state("crate")) == [(2, "n", 1)]
+    store.compact("crate")
+    assert rows(store.latest("crate").select("_vid", "_deleted")) == [(1, True), (2, False)]
