@@ -67,7 +67,8 @@ class GraphStore:
 
     ``buckets`` is the number of files of a folded version (default: the
     session's shuffle partitions); choose it so that one holds a few hundred
-    megabytes.  ``log_files`` bounds the files that a batch writes for one table.
+    megabytes.  A batch writes up to ``log_files`` files for one table, and more only where
+    one would outgrow ``spark.sql.adaptive.advisoryPartitionSizeInBytes``.
     ``keep_rejects`` also logs the changes that reach no label.  One writer
     (streaming query) feeds a store.
     """
@@ -173,9 +174,10 @@ class GraphStore:
         if not self.keep_rejects:
             judged = judged.where("reason IS NULL")
         place = F.when(F.col("reason").isNull(), F.concat_ws(".", "source", "db", "table")).otherwise(REJECTED)
-        # A few files for each table, and a hot table in as many tasks.
+        # A few files for each table; adaptive execution splits what is too much for one task.
         spread = F.pmod(F.xxhash64(ENVELOPE, "seq"), F.lit(self.log_files))
-        return judged.withColumn("place", place).select(*LOG_COLUMNS).repartition(F.col("place"), spread)
+        dealt = judged.withColumn("place", place).select(*LOG_COLUMNS, spread.alias("_spread"))
+        return dealt.hint("rebalance", "place", "_spread").drop("_spread")
 
     # -- reading ---------------------------------------------------------------
 

@@ -133,6 +133,17 @@ def test_a_change_is_logged_once_in_few_files(spark, tmp_path):
     assert all(store.state(f"s.v{k}").count() == 40 for k in range(6))
 
 
+def test_a_large_batch_is_logged_by_more_tasks(spark, store):
+    few = GraphStore(spark, store.root, store.spec, buckets=3, log_files=1)
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "8k")
+    try:
+        few.append(batch(spark, *[crate("c", k, k) for k in range(4000)]).repartition(8), 0)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    assert len(spark.read.parquet(f"{store.root}/log").inputFiles()) >= 4
+    assert few.state("crate").count() == 4000
+
+
 def test_a_mapping_may_grow(spark, rows, store, tmp_path):
     store.append(batch(spark, crate("c", 1, 1, age=5)), 0)
     store.compact("crate")
