@@ -14,7 +14,7 @@ from graphtide.functions import geometry, render
 from graphtide.operators import fold, normalize, project, route, verify
 from graphtide.plans import feeds
 from graphtide.plans.spec import DST, OP, SEQ, SRC, VID, KeyRef, Prop, VertexMap, spec_labels
-from graphtide.sources.envelopes import decode_envelopes, stream_feed, union_sources
+from graphtide.sources.envelopes import decode_envelopes, stream_feed, union_sources, write_feed
 from graphtide.sources.label_csv import read_label_csv, write_label_csv
 from graphtide.sources.snapshot import snapshot_envelopes, snapshot_rows
 from graphtide.streaming.chunks import ChunkedSnapshot, chunk_bounds
@@ -593,7 +593,7 @@ def reconcile_ranges(spark, sf):
 def stream_vertex_state(spark, sf):
     """Envelope files as a stream into a store, read back as vertices."""
     home = shared_dir(spark, "stream")
-    feeds.text(feeds.users(spark, sf)).write.text(join(home, "feed"))
+    write_feed(feeds.text(feeds.users(spark, sf)), join(home, "feed"))
     store = GraphStore(spark, join(home, "store"), feeds.SHOP)
     files = max(1, spark.sparkContext.defaultParallelism // 2)
     stream = stream_feed(spark, join(home, "feed"), max_files_per_trigger=files)
@@ -609,10 +609,10 @@ def stream_resume(spark, sf):
     changes = feeds.contains(spark, sf)
     store = GraphStore(spark, join(home, "store"), feeds.SHOP)
     finished = F.col("data.l_linestatus") == "F"
-    feeds.text(changes.where(finished)).write.mode("append").text(feed)
+    write_feed(feeds.text(changes.where(finished)), feed)
     sync_available(stream_feed(spark, feed), store, checkpoint)
     store.compact(feeds.CONTAINS)
-    feeds.text(changes.where(~finished)).write.mode("append").text(feed)
+    write_feed(feeds.text(changes.where(~finished)), feed)
     sync_available(stream_feed(spark, feed), store, checkpoint)
     store.append(decode_envelopes(spark.read.text(feed)), store.batches()[-1] + 1)
     return store.state(feeds.CONTAINS)
@@ -648,7 +648,7 @@ def state_view(spark, sf):
     home = shared_dir(spark, "view")
     feed, changes = join(home, "feed"), feeds.users(spark, sf)
     for half in range(2):
-        feeds.text(changes.where(F.pmod("seq.pos", F.lit(2)) == half)).write.mode("append").text(feed)
+        write_feed(feeds.text(changes.where(F.pmod("seq.pos", F.lit(2)) == half)), feed)
         view_available(stream_feed(spark, feed), StateView(spark, join(home, "checkpoint"), feeds.SHOP, feeds.USER))
     return StateView(spark, join(home, "checkpoint"), feeds.SHOP, feeds.USER).state()
 
@@ -661,7 +661,7 @@ def stream_key_coverage(spark, sf):
     store = GraphStore(spark, join(home, "store"), feeds.ALL_LABELS)
     watch = Warnings(feeds.ALL_LABELS)
     for half in range(2):
-        text.where(F.pmod(F.xxhash64("value"), F.lit(2)) == half).write.mode("append").text(feed)
+        write_feed(text.where(F.pmod(F.xxhash64("value"), F.lit(2)) == half), feed)
         run = start_sync(stream_feed(spark, feed), store, join(home, "checkpoint"), available_now=True, watch=watch)
         run.awaitTermination()
         watch.settle(run)
@@ -679,7 +679,7 @@ def raw_to_reconcile(spark, sf):
     described = normalize.RawTable("o_orderkey bigint, o_custkey bigint, o_totalprice double, o_orderdate int, o_orderpriority string", "o_orderkey bigint", {"o_orderdate": "date"})
     for half in range(2):
         part = raw.where(F.pmod("source_offset.pos", F.lit(2)) == half)
-        part.select(F.to_json(F.struct("*")).alias("value")).write.mode("append").text(feed)
+        write_feed(part.select(F.to_json(F.struct("*")).alias("value")), feed)
         sync_available(stream_feed(spark, feed), store, join(home, "checkpoint"), decode=partial(normalize.normalize_feed, tables={"shop.orders": described}, now=NOW))
         if half == 0:
             store.compact(label)
@@ -719,6 +719,6 @@ def chunked_bootstrap(spark, sf):
     for run in range(runs):
         now["run"] = run
         after = ends[run - 1] if run else -(1 << 40)
-        feeds.text(tail.where((F.col("ts_sec") > after) & (F.col("ts_sec") <= ends[run]))).write.mode("append").text(feed)
+        write_feed(feeds.text(tail.where((F.col("ts_sec") > after) & (F.col("ts_sec") <= ends[run]))), feed)
         sync_available(stream_feed(spark, feed), store, join(home, "checkpoint"), chunks=chunks)
     return store.state(label)

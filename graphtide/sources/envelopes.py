@@ -26,6 +26,7 @@ ENVELOPE_COLUMNS = ("op", "ts_sec", "db", "table", "key", "data", "parse_time",
 BAD_JSON = "bad_json"
 OFFSET = "_offset"  # place in a topic's partition; orders the changes of a feed without seq
 ENVELOPE = "envelope"
+FILE_RECORDS = 1_000_000  # of a written feed: some 50 MB
 
 
 def seq_of(ts_sec: Column, pos: Column | None = None, row: Column | None = None,
@@ -101,6 +102,14 @@ def read_feed(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return spark.read.text(path)
 
 
+def write_feed(text: DataFrame, path: str) -> None:
+    """Append envelope text to a feed, compressed; ``read_feed`` and ``stream_feed`` read it as it is.
+
+    A compressed file is read by one task, so none holds more than ``FILE_RECORDS``.
+    """
+    text.write.mode("append").option("compression", "gzip").option("maxRecordsPerFile", FILE_RECORDS).text(path)
+
+
 def stream_feed(spark: SparkSession, path: str, *, max_files_per_trigger: int | None = None) -> DataFrame:
     """Envelope text files as a stream; new files are picked up as they arrive."""
     reader = spark.readStream

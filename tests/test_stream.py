@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from graphtide.operators import fold, project
 from graphtide.plans.spec import EdgeMap, KeyRef, Prop, VertexMap, spec_labels
-from graphtide.sources.envelopes import decode_envelopes, stream_feed
+from graphtide.sources.envelopes import decode_envelopes, stream_feed, write_feed
 from graphtide.sources.snapshot import snapshot_envelopes
 from graphtide.streaming.chunks import ChunkedSnapshot, chunk_bounds, in_chunk
 from graphtide.streaming.store import GraphStore
@@ -144,6 +144,18 @@ def test_a_large_batch_is_logged_by_more_tasks(spark, store):
     assert few.state("crate").count() == 4000
 
 
+def test_feed_and_store_are_compressed(spark, rows, store, tmp_path):
+    feed = str(tmp_path / "feed")
+    for k in range(2):
+        write_feed(spark.createDataFrame([(crate("c", k, k),)], "value string"), feed)
+    assert all(f.endswith(".txt.gz") for f in spark.read.text(feed).inputFiles())
+    sync_available(stream_feed(spark, feed).withColumn("source", F.lit("db_1")), store, str(tmp_path / "checkpoint"))
+    store.compact("crate")
+    assert rows(store.state("crate").select("_vid")) == [(0,), (1,)]
+    files = [*spark.read.parquet(f"{store.root}/log").inputFiles(), *spark.read.parquet(f"{store.root}/base/vertex-depot.crate/*").inputFiles()]
+    assert len(files) > 1 and all(f.endswith(".zstd.parquet") for f in files)
+
+
 def test_a_mapping_may_grow(spark, rows, store, tmp_path):
     store.append(batch(spark, crate("c", 1, 1, age=5)), 0)
     store.compact("crate")
