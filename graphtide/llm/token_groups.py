@@ -54,6 +54,9 @@ COUNTED = np.uint64(5 << 60)
 BROADCAST_ROWS = 1_000_000  # keys up to which a join may broadcast them; more are joined by a shuffle
 LOTS = 4
 AGREE = 4  # looked-up shingles that a group must hold
+TOGETHER, ENTRIES = 8, 1 << 15  # nodes of a group that ask as one; shingles met by one group's nodes in a task
+WHOLE, SPARE = 100 + PERCENT, (100 + PERCENT) * (AGREE - 1)
+FOUND = ["node", "n", "component", "into", "part"]
 CHUNK = 4096
 _ROW = "␟row"
 _U = np.uint64
@@ -328,32 +331,98 @@ def _grouped(nodes: DataFrame, member: DataFrame, labels: DataFrame) -> DataFram
         F.coalesce("part", F.lit(0)).alias("part"), F.coalesce("size", F.lit(1)).alias("size")), "shingle-known")
 
 
-def _lookup(base: DataFrame, known: DataFrame) -> DataFrame:
-    """Queries and groups that share enough looked-up shingles: (node, n, component, into, part)."""
-    n = F.col("n_shingles")
+def _asking(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Members of the block's group that share enough looked-up shingles with a group it met: (node, n, component, into, part)."""
+    for table in _groups(batches):
+        asks = table.column("asks").to_numpy()
+        members, groups = table.filter(pa.array(asks)), table.filter(pa.array(~asks))
+        node, n, component = (members.column(c).to_numpy() for c in ("node", "n", "component"))
+        lookups, met = _lists(members, "lookups"), _lists(groups, "met")
+        into, part = groups.column("into").to_numpy(), groups.column("part").to_numpy()
+        low, high, room = (np.concatenate(_lists(groups, c)) for c in ("low", "high", "room"))
+        asker, code = np.repeat(np.arange(len(node)), [len(x) for x in lookups]), np.concatenate(lookups)
+        rest = 100 * n[asker] - WHOLE * np.concatenate([np.arange(len(x)) for x in lookups])
+        order = np.argsort(code)
+        asker, code, rest = asker[order], code[order], rest[order]
+        group, shingle = np.repeat(np.arange(len(into)), [len(x) for x in met]), np.concatenate(met)
+        first, last = np.searchsorted(code, shingle), np.searchsorted(code, shingle, "right")
+        agree = np.zeros((len(node), len(into)), np.int32)
+        for a in range(0, len(shingle), CHUNK):
+            many = (last - first)[a : a + CHUNK]
+            entry = np.repeat(np.arange(a, a + len(many)), many)
+            which = np.repeat(first[a : a + CHUNK] - np.cumsum(many) + many, many) + np.arange(many.sum())
+            q, g = asker[which], group[entry]
+            fits = (
+                ((part[g] < 0) | (component[q] != into[g])) & (low[entry] <= n[q]) & (100 * high[entry] >= PERCENT * n[q])
+                & (rest[which] + SPARE >= PERCENT * low[entry]) & (room[entry] + SPARE >= PERCENT * n[q]))
+            np.add.at(agree, (q[fits], g[fits]), 1)
+        q, g = np.nonzero(agree >= np.minimum(AGREE, -(-PERCENT * n // 100))[:, None])
+        yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in (node[q], n[q], component[q], into[g], part[g])], names=FOUND)
+
+
+def _owned(base: DataFrame, known: DataFrame) -> DataFrame:
+    """The nodes with their groups and looked-up shingles."""
     own = base.where("`␟key` is not null").select(_ROW, "␟key", "n_shingles", "␟lookups").join(_bounded(known), "␟key", "left")
-    own = own.where(F.col("node").isNull() | (F.col("node") == F.col(_ROW))).select(
+    return own.where(F.col("node").isNull() | (F.col("node") == F.col(_ROW))).select(
         F.col(_ROW).alias("node"), F.coalesce("component", _ROW).alias("component"), F.coalesce("into", _ROW).alias("into"), F.coalesce("part", F.lit(0)).alias("part"),
-        F.coalesce("size", F.lit(1)).alias("size"), "n_shingles", "␟lookups")
+        F.coalesce("size", F.lit(1)).alias("size"), F.col("n_shingles").alias("n"), "␟lookups")
+
+
+def _meetings(own: DataFrame) -> DataFrame:
+    """Looked-up shingles that askers and groups share, with what would be their bounds.
+
+    A node asks for itself, but the nodes of a group of ``TOGETHER`` ask as one (no ``node``), in
+    the widest bounds of those that have the shingle: what many of them share meets a group once.
+    """
+    n = F.col("n")
     # A link needs (100 + P) * common >= P * (both sizes), and of the common shingles all but AGREE - 1 at
     # most are from this one on: ``rest`` is what a side can have from here on, less its own need.
-    whole = 100 + PERCENT
-    rest = (100 * n - whole * F.col("at")).alias("rest")
-    queries = own.select(F.posexplode("␟lookups").alias("at", "shingle"), "node", "component", "n_shingles").select("shingle", "node", "component", n.alias("n"), rest)
+    rest = 100 * n - WHOLE * F.col("at")
+    queries = own.select(F.posexplode("␟lookups").alias("at", "shingle"), "node", "component", "into", "part", "size", "n")
+    queries = queries.select(
+        "shingle", "node", "component", F.col("into").alias("home"), F.col("part").alias("home_part"), "size", n.alias("least"), n.alias("most"), rest.alias("rest"),
+        F.lit(False).alias("mixed"))
+    itself = queries.where(F.col("size") < TOGETHER).drop("size")
+    as_one = queries.where(F.col("size") >= TOGETHER).groupBy("shingle", "home", "home_part").agg(
+        F.lit(None).cast("bigint").alias("node"), F.min("component").alias("component"), F.min("least").alias("least"), F.max("most").alias("most"),
+        F.max("rest").alias("rest"), (F.min("component") < F.max("component")).alias("mixed"))
     # A member meets only queries that are no smaller, so fewer of its shingles do.
-    common = F.ceil(2 * PERCENT * n / whole)
+    common = F.ceil(2 * PERCENT * n / WHOLE)
     first = F.slice("␟lookups", 1, (n - common + F.least(F.lit(AGREE), common)).cast("int"))
-    entries = own.select(F.posexplode(first).alias("at", "shingle"), "into", "part", "size", "n_shingles")
+    entries = own.select(F.posexplode(first).alias("at", "shingle"), "into", "part", "size", "n")
     entries = entries.select("shingle", "into", "part", "size", n.alias("low"), n.alias("high"), rest.alias("room"))
     alone = entries.where("size = 1").drop("size")
     grouped = entries.where("size > 1").groupBy("shingle", "into", "part").agg(F.min("low").alias("low"), F.max("high").alias("high"), F.max("room").alias("room"))
-    spare = whole * (AGREE - 1)
     fits = (
-        ((F.col("part") < 0) | (F.col("component") != F.col("into"))) & (F.col("low") <= F.col("n")) & (100 * F.col("high") >= PERCENT * F.col("n"))
-        & (F.col("rest") + spare >= PERCENT * F.col("low")) & (F.col("room") + spare >= PERCENT * F.col("n")))
-    found = queries.join(alone.unionByName(grouped), "shingle").where(fits).groupBy("node", "n", "component", "into", "part").agg(F.count("*").alias("agree"))
-    enough = F.least(F.lit(AGREE), F.ceil(PERCENT * F.col("n") / 100))
-    return stored(found.where(F.col("agree") >= enough).drop("agree"), "shingle-lookups")
+        ((F.col("part") < 0) | F.col("mixed") | (F.col("component") != F.col("into"))) & (F.col("low") <= F.col("most")) & (100 * F.col("high") >= PERCENT * F.col("least"))
+        & (F.col("rest") + SPARE >= PERCENT * F.col("low")) & (F.col("room") + SPARE >= PERCENT * F.col("least")))
+    return itself.unionByName(as_one).join(alone.unionByName(grouped), "shingle").where(fits)
+
+
+def _lookup(base: DataFrame, known: DataFrame) -> DataFrame:
+    """Queries and groups that share enough looked-up shingles: (node, n, component, into, part)."""
+    own, home = _owned(base, known), ["home", "home_part"]
+    entry = F.when(F.col("node").isNull(), F.struct("shingle", "low", "high", "room"))
+    met = _meetings(own).withColumn("component", F.when(F.col("node").isNotNull(), F.col("component"))).groupBy("node", "component", *home, "into", "part").agg(
+        F.min("least").alias("n"), F.count("*").alias("agree"), F.collect_list(entry).alias("entries"))
+    met = stored(met.where(F.col("agree") >= F.least(F.lit(AGREE), F.ceil(PERCENT * F.col("n") / 100))), "shingle-met")
+    by_itself, as_one = met.where("node is not null").select(*FOUND), met.where("node is null")
+    asked = stored(as_one.groupBy(*home).agg(F.ceil(F.sum("agree") / ENTRIES).alias("turns")), "shingle-asking")
+    if asked.isEmpty():
+        return stored(by_itself, "shingle-lookups")
+
+    block = F.xxhash64(*home, "turn").alias("block")
+    none = lambda x, kind="bigint": F.lit(None).cast(kind).alias(x)
+    members = own.where(F.col("size") >= TOGETHER).withColumnsRenamed({"into": "home", "part": "home_part"}).join(asked, home)
+    members = members.withColumn("turn", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("turns") - 1))).select(
+        block, F.lit(True).alias("asks"), "node", "n", "component", F.col("␟lookups").alias("lookups"), none("into"), none("part"),
+        *[none(c, "array<bigint>") for c in ("met", "low", "high", "room")])
+    groups = as_one.join(asked, home).withColumn("turn", F.pmod(F.xxhash64("into", "part"), "turns")).select(
+        block, F.lit(False).alias("asks"), *[none(c) for c in ("node", "n", "component")], none("lookups", "array<bigint>"), "into", "part",
+        F.col("entries.shingle").alias("met"), *[F.col(f"entries.{c}").alias(c) for c in ("low", "high", "room")])
+    met_in = members.unionByName(groups).repartition("block").sortWithinPartitions("block")
+    together = met_in.mapInArrow(_asking, ", ".join(f"{c} bigint" for c in FOUND))
+    return stored(by_itself.unionByName(together), "shingle-lookups")
 
 
 def _across(docs: DataFrame, text: str, nodes: DataFrame, known: DataFrame, found: DataFrame) -> DataFrame:

@@ -118,3 +118,31 @@ def test_frequent_shingles_are_counted_over_all_documents(documents, monkeypatch
 def test_query_on_the_given_table(spark, sf_dir):
     rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()]
     assert found(op13_token_groups(spark, sf_dir)) == plain_components(rows)
+
+
+def test_groups_of_a_large_family_ask_as_one(documents, monkeypatch):
+    """Similar copies that hardly link: what many of them share meets a group once, not once for each of them."""
+    rng = random.Random(11)
+    base = [f"w{rng.randrange(3000)}" for _ in range(150)]
+    rows = []
+    for i in range(400):
+        copy = base[:]
+        for at in rng.sample(range(150), rng.choice([1, 4, 4, 4, 5])):
+            copy[at] = f"x{rng.randrange(10**6)}"
+        rows.append((i, " ".join(copy)))
+    rows += [(1000 + i, t) for i, t in families(5)]
+    lookup, met, asked = token_groups._lookup, [], []
+
+    def watched(base, known):
+        met.append(token_groups._meetings(token_groups._owned(base, known)).count())
+        asked.append(lookup(base, known))
+        return asked[-1]
+
+    monkeypatch.setattr(token_groups, "_lookup", watched)
+    monkeypatch.setattr(token_groups, "GROUP_NODES", 64)
+    monkeypatch.setattr(token_groups, "ENTRIES", 500)  # several turns
+    for together in (8, 1 << 40):  # nobody asks as one in the second pass
+        monkeypatch.setattr(token_groups, "TOGETHER", together)
+        assert found(link_documents(documents(rows))) == plain_components(rows)
+    assert 4 * met[0] < met[1]
+    assert asked[0].count() and sorted(asked[0].collect()) == sorted(asked[1].collect())
