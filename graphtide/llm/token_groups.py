@@ -379,13 +379,12 @@ def _meetings(own: DataFrame) -> DataFrame:
     # most are from this one on: ``rest`` is what a side can have from here on, less its own need.
     rest = 100 * n - WHOLE * F.col("at")
     queries = own.select(F.posexplode("␟lookups").alias("at", "shingle"), "node", "component", "into", "part", "size", "n")
-    queries = queries.select(
-        "shingle", "node", "component", F.col("into").alias("home"), F.col("part").alias("home_part"), "size", n.alias("least"), n.alias("most"), rest.alias("rest"),
-        F.lit(False).alias("mixed"))
-    itself = queries.where(F.col("size") < TOGETHER).drop("size")
-    as_one = queries.where(F.col("size") >= TOGETHER).groupBy("shingle", "home", "home_part").agg(
-        F.lit(None).cast("bigint").alias("node"), F.min("component").alias("component"), F.min("least").alias("least"), F.max("most").alias("most"),
-        F.max("rest").alias("rest"), (F.min("component") < F.max("component")).alias("mixed"))
+    team = F.struct(F.col("into").alias("home"), F.col("part").alias("home_part"), F.col("most")).alias("team")  # most rows have none and stay narrow
+    itself = queries.where(F.col("size") < TOGETHER).select("shingle", "node", "component", n.alias("least"), rest.alias("rest"), F.lit(None).cast("struct<home: bigint, home_part: bigint, most: bigint>").alias("team"))
+    one = F.when(F.min("component") == F.max("component"), F.min("component"))
+    as_one = queries.where(F.col("size") >= TOGETHER).groupBy("shingle", "into", "part").agg(
+        F.lit(None).cast("bigint").alias("node"), one.alias("component"), F.min("n").alias("least"), F.max("n").alias("most"), F.max(rest).alias("rest"))
+    as_one = as_one.select("shingle", "node", "component", "least", "rest", team)
     # A member meets only queries that are no smaller, so fewer of its shingles do.
     common = F.ceil(2 * PERCENT * n / WHOLE)
     first = F.slice("␟lookups", 1, (n - common + F.least(F.lit(AGREE), common)).cast("int"))
@@ -393,17 +392,19 @@ def _meetings(own: DataFrame) -> DataFrame:
     entries = entries.select("shingle", "into", "part", "size", n.alias("low"), n.alias("high"), rest.alias("room"))
     alone = entries.where("size = 1").drop("size")
     grouped = entries.where("size > 1").groupBy("shingle", "into", "part").agg(F.min("low").alias("low"), F.max("high").alias("high"), F.max("room").alias("room"))
+    most = F.coalesce("team.most", "least")
     fits = (
-        ((F.col("part") < 0) | F.col("mixed") | (F.col("component") != F.col("into"))) & (F.col("low") <= F.col("most")) & (100 * F.col("high") >= PERCENT * F.col("least"))
+        ((F.col("part") < 0) | F.col("component").isNull() | (F.col("component") != F.col("into"))) & (F.col("low") <= most) & (100 * F.col("high") >= PERCENT * F.col("least"))
         & (F.col("rest") + SPARE >= PERCENT * F.col("low")) & (F.col("room") + SPARE >= PERCENT * F.col("least")))
-    return itself.unionByName(as_one).join(alone.unionByName(grouped), "shingle").where(fits)
+    found = itself.unionByName(as_one).join(alone.unionByName(grouped), "shingle").where(fits)
+    return found.select("shingle", "node", F.when(F.col("node").isNotNull(), F.col("component")).alias("component"), "team.home", "team.home_part", "least", "into", "part", "low", "high", "room")
 
 
 def _lookup(base: DataFrame, known: DataFrame) -> DataFrame:
     """Queries and groups that share enough looked-up shingles: (node, n, component, into, part)."""
     own, home = _owned(base, known), ["home", "home_part"]
     entry = F.when(F.col("node").isNull(), F.struct("shingle", "low", "high", "room"))
-    met = _meetings(own).withColumn("component", F.when(F.col("node").isNotNull(), F.col("component"))).groupBy("node", "component", *home, "into", "part").agg(
+    met = _meetings(own).groupBy("node", "component", *home, "into", "part").agg(
         F.min("least").alias("n"), F.count("*").alias("agree"), F.collect_list(entry).alias("entries"))
     met = stored(met.where(F.col("agree") >= F.least(F.lit(AGREE), F.ceil(PERCENT * F.col("n") / 100))), "shingle-met")
     by_itself, as_one = met.where("node is not null").select(*FOUND), met.where("node is null")
