@@ -31,7 +31,7 @@ from graphtide.operators import fold, project, route, verify
 from graphtide.plans.spec import DELETED, DST, OP, RANK, SEQ, SRC, VID, GraphSpec, Label, quoted
 from graphtide.sources.envelopes import ENVELOPE, SEQ_TYPE, data_envelope, seq_of
 from graphtide.sources.snapshot import snapshot_rows
-from graphtide.streaming.files import Files, join
+from graphtide.streaming.files import Files, byte_count, join, session_setting
 
 REJECTED = "_rejected"
 LOG_DDL = (
@@ -47,6 +47,8 @@ _VERSION = re.compile(r"upto-(\d+)\.gen-(\d+)\.buckets-(\d+)$")
 _BUCKET_FILE = re.compile(r".*_(\d+)(?:\..*)?$")  # how Spark names the files of a bucket
 ANYONE = "manual"
 CODEC = "zstd"  # envelope text repeats its names: half the size of Spark's default
+OPEN_TABLES = 16  # files that a task writing the log keeps open; it sorts the rows of further tables
+LOG_BLOCK = 32 << 20  # what such a file holds back in memory
 
 
 class Version(NamedTuple):
@@ -69,7 +71,7 @@ class GraphStore:
     ``buckets`` is the number of files of a folded version (default: the
     session's shuffle partitions); choose it so that one holds a few hundred
     megabytes.  A batch writes up to ``log_files`` files for one table, and more only where
-    one would outgrow ``spark.sql.adaptive.advisoryPartitionSizeInBytes``.
+    they have a sixteenth of ``spark.sql.adaptive.advisoryPartitionSizeInBytes`` or more each.
     ``keep_rejects`` also logs the changes that reach no label.  One writer
     (streaming query) feeds a store.
     """
@@ -104,9 +106,32 @@ class GraphStore:
         path = join(self.root, "log", f"batch_id={batch_id}")
         marker = join(self.root, "commits", f"{batch_id}.{owner}")
         self.files.remove(marker)  # while it is rewritten, the batch is not complete
-        self._logged(feed).write.mode("overwrite").option("compression", CODEC).partitionBy("place").parquet(path)
+        self._write_log(self._logged(feed), path, "overwrite")
+        self._merge_small(path)
         self.files.mark(marker)
 
+    @staticmethod
+    def _write_log(rows: DataFrame, path: str, mode: str) -> None:
+        """Write rows where they are: neither a shuffle nor a sort puts the text of a batch on disk a second time."""
+        with session_setting(rows.sparkSession, "spark.sql.maxConcurrentOutputFileWriters", str(OPEN_TABLES)):
+            writer = rows.write.mode(mode).option("compression", CODEC).option("parquet.block.size", LOG_BLOCK)
+            writer.partitionBy("place").parquet(path)
+
+    def _merge_small(self, path: str) -> None:
+        """Write the files of a table anew where a batch left many small ones; the batch is not complete yet."""
+        target = byte_count(self.spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes"))
+        merged: dict[int, list[str]] = {}
+        for place in (n for n in self.files.names(path) if n.startswith("place=")):
+            count, size = self.files.content(join(path, place))
+            if count > self.log_files and size < count * target / 16:
+                merged.setdefault(max(self.log_files, -(-size // target)), []).append(join(path, place))
+        for files, places in merged.items():
+            small = [join(place, n) for place in places for n in self.files.names(place)]
+            rows = self.spark.read.schema(LOG_DDL).option("basePath", join(self.root, "log")).parquet(*small)
+            self._write_log(rows.select(*LOG_COLUMNS).coalesce(files), path, "append")
+            for file in small:
+                self.files.remove(file)
+
     def folded(self) -> int:
         """The last batch that some version holds, -1 without versions."""
         return max((v.upto for label in self.spec.distinct() for v in self.versions(label)), default=-1)
@@ -175,10 +200,7 @@ class GraphStore:
         if not self.keep_rejects:
             judged = judged.where("reason IS NULL")
         place = F.when(F.col("reason").isNull(), F.concat_ws(".", "source", "db", "table")).otherwise(REJECTED)
-        # A few files for each table; adaptive execution splits what is too much for one task.
-        spread = F.pmod(F.xxhash64(ENVELOPE, "seq"), F.lit(self.log_files))
-        dealt = judged.withColumn("place", place).select(*LOG_COLUMNS, spread.alias("_spread"))
-        return dealt.hint("rebalance", "place", "_spread").drop("_spread")
+        return judged.withColumn("place", place).select(*LOG_COLUMNS)
 
     # -- reading ---------------------------------------------------------------
 

@@ -10,7 +10,8 @@ from graphtide.plans.spec import EdgeMap, KeyRef, Prop, VertexMap, spec_labels
 from graphtide.sources.envelopes import decode_envelopes, stream_feed, write_feed
 from graphtide.sources.snapshot import snapshot_envelopes
 from graphtide.streaming.chunks import ChunkedSnapshot, chunk_bounds, in_chunk
-from graphtide.streaming.store import GraphStore
+from graphtide.streaming.files import byte_count
+from graphtide.streaming.store import OPEN_TABLES, GraphStore
 from graphtide.streaming.sync import bootstrap, start_sync, sync_available
 from tests.samples import DEPOT, change, feed
 from tests.test_operators import OAK, LINK
@@ -144,6 +145,44 @@ def test_a_large_batch_is_logged_by_more_tasks(spark, store):
     assert few.state("crate").count() == 4000
 
 
+def test_a_large_batch_is_logged_where_it_is(spark, store):
+    few = GraphStore(spark, store.root, store.spec, buckets=3, log_files=1)
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "1k")
+    try:
+        few.append(batch(spark, *[crate("c", k, k) for k in range(400)]).repartitionByRange(4, "seq"), 0)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    log = spark.read.parquet(f"{store.root}/log").groupBy(F.input_file_name()).agg(F.min("seq.pos").alias("low"), F.max("seq.pos").alias("high"))
+    found = sorted((r["low"], r["high"]) for r in log.collect())
+    assert len(found) > 1 and all(a[1] < b[0] for a, b in zip(found, found[1:]))  # no file has rows of two tasks
+    assert few.state("crate").count() == 400
+    assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == "0"
+
+
+def test_small_files_of_many_tasks_are_merged(spark, store):
+    few = GraphStore(spark, store.root, store.spec, buckets=3, log_files=2, keep_rejects=True)
+    changes = batch(spark, *[crate("c", k, k) for k in range(60)], *[change("c", "lashing", LINK | {"inner": k}) for k in range(60)], "junk")
+    for _ in range(2):  # the second replaces the first
+        few.append(changes.repartition(12), 0)
+        log = spark.read.parquet(f"{store.root}/log")
+        assert sorted(tuple(r) for r in log.groupBy("place").count().collect()) == [("_rejected", 1), ("db_1.yard.crate", 60), ("db_1.yard.lashing", 60)]
+        assert len(log.inputFiles()) <= 5
+    assert few.state("crate").count() == 60
+
+
+def test_a_task_may_hold_more_tables_than_files_are_kept_open(spark, tmp_path):
+    names = [f"t{k}" for k in range(OPEN_TABLES + 4)]
+    labels = [VertexMap(n, "s", "yard", n, source="db_1", id=KeyRef("id", "int")) for n in names]
+    store = GraphStore(spark, str(tmp_path), spec_labels(labels))
+    store.append(batch(spark, *[change("c", "crate", {"id": k}, k + 1, table_name=n) for k in range(3) for n in names]).coalesce(1), 0)
+    assert all(store.state(f"s.{n}").count() == 3 for n in names)
+
+
+@pytest.mark.parametrize("size, count", [("64MB", 64 << 20), ("8k", 8192), ("67108864b", 67108864), ("1g", 1 << 30), ("12", 12)])
+def test_byte_count(size, count):
+    assert byte_count(size) == count
+
+
 def test_feed_and_store_are_compressed(spark, rows, store, tmp_path):
     feed = str(tmp_path / "feed")
     for k in range(2):
