@@ -465,11 +465,13 @@ class GraphStore:
         table = self._table(label, version)
         self.spark.sql(f"DROP TABLE IF EXISTS {table}")
         identity = self._identity(label)
-        (
-            latest.write.format("parquet").mode("overwrite").option("compression", CODEC)
-            .bucketBy(version.buckets, *identity).sortBy(*identity)
-            .option("path", join(self._home(label), version.folder)).saveAsTable(table)
-        )
+        # Else the shuffle of a fold stays on disk until the driver collects its garbage.
+        with session_setting(latest.sparkSession, "spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true"):
+            (
+                latest.write.format("parquet").mode("overwrite").option("compression", CODEC)
+                .bucketBy(version.buckets, *identity).sortBy(*identity)
+                .option("path", join(self._home(label), version.folder)).saveAsTable(table)
+            )
 
 
 def _simple(ddl: str) -> str:

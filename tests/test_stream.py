@@ -1,3 +1,4 @@
+import time
 from dataclasses import replace
 
 import pytest
@@ -170,6 +171,21 @@ def test_small_files_of_many_tasks_are_merged(spark, store):
     assert few.state("crate").count() == 60
 
 
+def test_a_fold_leaves_no_shuffle_on_disk(spark, store):
+    def shuffles():
+        manager = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+        return {n for n in manager.getAllFiles().mkString("\n").split("\n") if n.rpartition("/")[2].startswith("shuffle_")}
+
+    store.append(batch(spark, *[crate("c", k, k) for k in range(60)]).coalesce(1), 0)
+    before = shuffles()
+    store.compact("crate")
+    until = time.time() + 20  # files go in the background
+    while shuffles() - before and time.time() < until:
+        time.sleep(0.2)
+    assert not shuffles() - before
+    assert store.state("crate").count() == 60
+
+
 def test_a_task_may_hold_more_tables_than_files_are_kept_open(spark, tmp_path):
     names = [f"t{k}" for k in range(OPEN_TABLES + 4)]
     labels = [VertexMap(n, "s", "yard", n, source="db_1", id=KeyRef("id", "int")) for n in names]
