@@ -657,7 +657,7 @@ def state_view(spark, sf):
 def stream_key_coverage(spark, sf):
     """Key warnings of a running sync, over two batches of a mixed feed."""
     home = shared_dir(spark, "watch")
-    feed, text = join(home, "feed"), feeds.mixed_text(spark, sf)
+    feed, text = join(home, "feed"), feeds.encoded_once(feeds.mixed_text(spark, sf))
     store = GraphStore(spark, join(home, "store"), feeds.ALL_LABELS)
     watch = Warnings(feeds.ALL_LABELS)
     for half in range(2):

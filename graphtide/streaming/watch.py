@@ -77,16 +77,21 @@ class Warnings(StreamingQueryListener):
     def observe(self, feed: DataFrame) -> DataFrame:
         """The decoded feed with the counts as observed metrics."""
         known = with_source(feed)
+        tables = list(dict.fromkeys((x.source, x.db, x.table) for x in self.spec.labels))
+        table = F.lit(-1)
+        for i, (source, db, name) in enumerate(tables):
+            table = F.when((F.col("source") == source) & (F.col("db") == db) & (F.col("table") == name), i).otherwise(table)
+        # Found once for each record; the many counts compare a number first.
+        found = {"_table": F.when(op_class(F.col("op")).isNotNull(), table).otherwise(-1), "_key": F.col("key"), "_present": _present(feed)}
         conditions = []
         for label in self.spec.labels:
-            # A comparison with a null key or name is null and not counted.
-            home = (F.col("source") == label.source) & (F.col("db") == label.db) & (F.col("table") == label.table) & op_class(F.col("op")).isNotNull()
+            home = F.col("_table") == tables.index((label.source, label.db, label.table))
             conditions.append(home)
+            # What a null key or image holds is null too and not counted.
             conditions += [home & ~F.array_contains("_key", c) for c in label.index_columns]
             conditions += [home & ~F.array_contains("_present", c) for c in dict.fromkeys(label.slots)]
         counts = [F.count_if(c).alias(f"n{i}") for i, c in enumerate(conditions)]
-        watched = known.withColumns({"_key": F.col("key"), "_present": _present(feed)}).observe(METRICS, *counts)
-        return watched.select(*feed.columns)
+        return known.withColumns(found).observe(METRICS, *counts).select(*feed.columns)
 
     # -- in the listener ---------------------------------------------------------
 
@@ -146,9 +151,13 @@ class Warnings(StreamingQueryListener):
 def _present(feed: DataFrame) -> Column:
     """Names of the columns that a record has a value for."""
     kinds = dict(feed.dtypes)
-    if "data" in kinds and kinds["data"].startswith("struct"):
-        data = F.to_json("data")
+    if "data" in kinds:
+        data = F.to_json("data") if kinds["data"].startswith("struct") else F.col("data")
+        values = F.from_json(data, "map<string,variant>")
     else:
-        data = F.col("data") if "data" in kinds else F.get_json_object(F.col(ENVELOPE), "$.data")
-    pairs = F.from_json(data, "map<string,string>")
-    return F.map_keys(F.map_filter(pairs, lambda _, v: v.isNotNull()))
+        data = F.get_json_object(F.col(ENVELOPE), "$.data")
+        values = F.from_json(F.col(ENVELOPE), "data map<string,variant>").getField("data")
+    # Values are read in place; printing each as text costs more than the decoding of the record.
+    # That is left for images with a value that is no variant, such as an object that repeats a name.
+    seen = F.map_keys(F.map_filter(values, lambda _, v: ~F.coalesce(F.is_variant_null(v), F.lit(True))))
+    return F.coalesce(seen, F.map_keys(F.map_filter(F.from_json(data, "map<string,string>"), lambda _, v: v.isNotNull())))

@@ -3,11 +3,12 @@ from functools import partial
 import pytest
 from pyspark.sql import functions as F
 
-from graphtide.sources.envelopes import decode_envelopes, stream_feed
+from graphtide.plans.feeds import encoded_once
+from graphtide.sources.envelopes import decode_envelopes, encode_envelopes, stream_feed
 from graphtide.streaming.store import GraphStore
 from graphtide.streaming.sync import sync_available
 from graphtide.streaming.view import StateView, view_available
-from graphtide.streaming.watch import ABSENT, CHANGES, UNKEYED, Warnings, _Totals
+from graphtide.streaming.watch import ABSENT, CHANGES, UNKEYED, Warnings, _present, _Totals
 from tests.samples import DEPOT, change, feed
 from tests.test_operators import LINK
 from tests.test_stream import batch, crate
@@ -126,6 +127,30 @@ def _flat(spark, df):
     return decoded(df).withColumn("data", F.get_json_object("envelope", "$.data")).drop("envelope", "bad_json")
 
 
+IMAGES = [
+    ('{"id": 1, "name": null, "age": 0}', ["id", "age"]), ('{"id": 1, "id": null}', ["id"]), ('{"id": {"a": 1, "a": 2}, "age": [null]}', ["id", "age"]),
+    ('{"id": 12345678901234567890123456789012345678901234567890, "ID": ""}', ["id", "ID"]), ("{}", []), ("null", None), ('"id"', None), ("[1]", None), ("3", None),
+]
+
+
+def test_what_an_image_has(spark):
+    rows = spark.createDataFrame([(f'{{"op": "c", "data": {image}}}', image) for image, _ in IMAGES], "envelope string, data string").coalesce(1)
+    for feed in (rows.drop("data"), rows.drop("envelope")):
+        assert [r[0] for r in feed.select(_present(feed)).collect()] == [names for _, names in IMAGES]
+
+
+def test_each_record_is_matched_with_its_table_once(spark):
+    plan = Warnings(DEPOT).observe(batch(spark, crate("c", 1, 1)))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count(" = crate)") == 1 and plan.count(" = lashing)") == 1
+
+
+def test_a_filter_on_encoded_text_does_not_encode_again(spark):
+    text = encode_envelopes(spark.range(3).select(F.lit("c").alias("op"), F.struct("id").alias("data")))
+    kept = encoded_once(text).where(F.xxhash64("value") != 0)
+    assert kept._jdf.queryExecution().optimizedPlan().toString().count("StructsToJson") == 1
+    assert sorted(r["value"] for r in kept.collect()) == [f'{{"op":"c","data":{{"id":{k}}}}}' for k in range(3)]
+
+
 def test_a_repeated_batch_is_counted_once():
     totals = _Totals()
     for number, n in ((0, 3), (1, 4), (1, 5), (2, 1)):
